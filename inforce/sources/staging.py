@@ -60,6 +60,12 @@ def term(spark: SparkSession, d: str) -> DataFrame:
             F.col("risk_st"),
             F.col("mkt_segment"),
             F.when(F.row_number().over(w_first) == 1, F.lit("N")).otherwise(F.lit("R")).alias("new_rnw_cd"),
+            F.when(F.col("o_orderkey") % 5 == 0, 6).otherwise(12).alias("term_mo_cnt"),
+            F.when(
+                F.col("o_orderkey") % 4 == 0,
+                F.date_add(eff, ((F.col("o_orderkey") * 37) % 420 - 20 - (F.col("o_orderkey") * 11) % 60).cast("int")),
+            ).alias("canc_trans_dt"),
+            F.when(F.col("o_orderkey") % 3 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("newco_ind"),
         )
     )
 
@@ -78,7 +84,11 @@ TERM_SQL = """term AS (
          c.c_nationkey AS risk_st,
          c.c_mktsegment AS mkt_segment,
          CASE WHEN row_number() OVER (PARTITION BY o.o_custkey ORDER BY o.o_orderdate, o.o_orderkey) = 1
-              THEN 'N' ELSE 'R' END AS new_rnw_cd
+              THEN 'N' ELSE 'R' END AS new_rnw_cd,
+         CASE WHEN o.o_orderkey % 5 = 0 THEN 6 ELSE 12 END AS term_mo_cnt,
+         CASE WHEN o.o_orderkey % 4 = 0
+              THEN CAST(o.o_orderdate AS DATE) + CAST((o.o_orderkey * 37) % 420 - 20 - (o.o_orderkey * 11) % 60 AS INTEGER) END AS canc_trans_dt,
+         CASE WHEN o.o_orderkey % 3 = 0 THEN 'N' ELSE 'Y' END AS newco_ind
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
@@ -207,3 +217,75 @@ def with_ctes(names: list[str], body: str, extra: list[str] | None = None) -> st
     if not parts:
         return body
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+# --------------------------------------------------------------------------- development factors
+DEV_PERIODS = ["1"] + [f"{n}-Ult" for n in (330, 300, 270, 240, 210, 180, 150, 120, 90, 60, 30, 0)]
+# rows left out on purpose, so the lookup's NVL(…, 1) default is exercised
+DEV_MISSING = {("90-Ult", "R"), ("0-Ult", "N")}
+
+
+def dev_factor_rows() -> list[tuple[str, str, float]]:
+    """Factor rule: '1' -> 1.0; step n days -> 0.60 + n/1000 (new) or 0.70 + n/1200 (renewal)."""
+    rows = []
+    for p in DEV_PERIODS:
+        for nr in ("N", "R"):
+            if (p, nr) in DEV_MISSING:
+                continue
+            if p == "1":
+                f = 1.0
+            else:
+                n = int(p.split("-")[0])
+                f = round(0.60 + n / 1000.0, 4) if nr == "N" else round(0.70 + n / 1200.0, 4)
+            rows.append((p, nr, f))
+    return rows
+
+
+def dev_factors(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(dev_factor_rows(), "persistency_period string, pol_new_renew_cd string, dev_fctr double")
+
+
+def dev_factors_sql() -> str:
+    vals = ", ".join(f"('{p}', '{nr}', CAST({f!r} AS DOUBLE))" for p, nr, f in dev_factor_rows())
+    return f"dev_factor AS (SELECT * FROM (VALUES {vals}) AS t(persistency_period, pol_new_renew_cd, dev_fctr))"
+
+
+# --------------------------------------------------------------------------- in-force month-end snapshots
+MONTH_ENDS = [dt.date(2000, 1, 31), dt.date(2000, 2, 29), dt.date(2000, 3, 31),
+              dt.date(2000, 4, 30), dt.date(2000, 5, 31), dt.date(2000, 6, 30)]
+
+
+def inforce_monthend(spark: SparkSession, d: str) -> DataFrame:
+    """Month-end snapshot: for each month end, the newest term of each policy in
+    force then (eff <= me < exp). Each term emits the month ends it covers
+    (array filter + explode), so no join against the calendar is needed."""
+    t = term(spark, d)
+    mes = F.array(*[F.lit(m) for m in MONTH_ENDS])
+    covered = F.filter(mes, lambda m: (F.col("pol_eff_dt") <= m) & (F.col("pol_exp_dt") > m))
+    snap = t.select(
+        F.col("pol_id").alias("policy_id"), "pol_prd_id", "pol_eff_dt", "canc_eff_dt", "rate_plan_cd", "pol_form_cd",
+        F.explode(covered).alias("me_dt"),
+    )
+    w = Window.partitionBy("policy_id", "me_dt").orderBy(F.col("pol_eff_dt").desc(), F.col("pol_prd_id").desc())
+    return (
+        snap.withColumn("_rn", F.row_number().over(w))
+        .filter(F.col("_rn") == 1)
+        .select(
+            "policy_id", "me_dt", "pol_prd_id", "rate_plan_cd", "pol_form_cd",
+            F.when(F.col("canc_eff_dt").isNotNull() & (F.col("canc_eff_dt") <= F.col("me_dt")), F.lit("Cancelled"))
+            .otherwise(F.lit("InForce"))
+            .alias("pol_status_cd"),
+        )
+    )
+
+
+def inforce_monthend_sql() -> str:
+    vals = ", ".join(f"(DATE '{m.isoformat()}')" for m in MONTH_ENDS)
+    return f"""inforce_monthend AS (
+  SELECT policy_id, me_dt, pol_prd_id, rate_plan_cd, pol_form_cd, pol_status_cd FROM (
+    SELECT t.pol_id AS policy_id, m.me_dt, t.pol_prd_id, t.rate_plan_cd, t.pol_form_cd,
+           CASE WHEN t.canc_eff_dt IS NOT NULL AND t.canc_eff_dt <= m.me_dt THEN 'Cancelled' ELSE 'InForce' END AS pol_status_cd,
+           row_number() OVER (PARTITION BY t.pol_id, m.me_dt ORDER BY t.pol_eff_dt DESC, t.pol_prd_id DESC) AS rn
+    FROM term t JOIN (VALUES {vals}) AS m(me_dt) ON t.pol_eff_dt <= m.me_dt AND t.pol_exp_dt > m.me_dt
+  ) WHERE rn = 1
+)"""
