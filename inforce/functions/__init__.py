@@ -13,6 +13,7 @@ from inforce.functions.columns import (  # noqa: F401
     pct_diff_symmetric,
     pct_text,
     ratio,
+    round_half_up,
     same_value_ind,
 )
 from inforce.functions.bands import band_column, band_expr  # noqa: F401

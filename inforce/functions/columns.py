@@ -48,6 +48,17 @@ def ratio(num: ColumnLike, den: ColumnLike, digits: int | None = 6) -> Column:
     return F.round(r, digits) if digits is not None else r
 
 
+def round_half_up(x: ColumnLike, digits: int) -> Column:
+    """Half-up rounding written out as ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``.
+
+    Built-in ``round`` implementations disagree on doubles that sit on (or one
+    ulp beside) a decimal half; this form is the same IEEE arithmetic in every
+    engine, so results are reproducible across engines."""
+    v = _c(x).cast("double")
+    scale = float(10 ** digits)
+    return F.signum(v) * F.floor(F.abs(v) * scale + 0.5).cast("double") / scale
+
+
 def div0(num: ColumnLike, den: ColumnLike) -> Column:
     """Warehouse ``DIV0``: 0 when den is 0, else num / den (NULL stays NULL)."""
     n = _c(num).cast("double")
