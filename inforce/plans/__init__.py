@@ -1,4 +1,4 @@
 """Registered queries: importing this package fills ``QUERIES`` / ``ORACLES``."""
 
-from inforce.plans import loss_plans, persistency_plans, reconcile_plans, segment_plans  # noqa: F401
+from inforce.plans import linkage_plans, loss_plans, persistency_plans, reconcile_plans, segment_plans  # noqa: F401
 from inforce.plans.registry import ORACLES, QUERIES, finalize, register  # noqa: F401
