@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inforce.functions.columns import earned_exposure, ratio
+from inforce.functions.columns import earned_exposure, ratio, round_half_up
 from inforce.operators.common import bounded_broadcast
 
 # Fixed values used by the source dashboard (labels must match exactly).
@@ -90,7 +90,9 @@ def loss_rollup(loss: DataFrame, cohort: DataFrame, exclude_cov: Sequence[str] =
     j = lo.join(co, ["pol_id", "pol_eff_dt"], "inner").filter(F.col("earned_month") >= F.col("start_month"))
     aggs = [F.min(c).alias("latest_pol_eff_dt" if c == "pol_eff_dt" else c) for c in ATTR_COLS]
     aggs += [F.sum(c).alias(c) for c in LOSS_MEASURES]
-    return j.groupBy("pol_id", "earned_month").agg(*aggs).withColumn("ee", earned_exposure("earned_month"))
+    # exposure carried as an exact decimal so later sums do not depend on row order
+    ee = earned_exposure("earned_month").cast("decimal(18,12)")
+    return j.groupBy("pol_id", "earned_month").agg(*aggs).withColumn("ee", ee)
 
 
 # --------------------------------------------------------------------------- W11
@@ -143,7 +145,7 @@ def running_ratio(
         cum_loss.cast("double").alias("cum_loss"),
         cum_prem.cast("double").alias("cum_epapr"),
         ratio(cum_loss, cum_prem, 6).alias("cum_loss_ratio"),
-        F.round(F.sum("_ee").over(w), 6).alias("cum_ee"),
+        round_half_up(F.sum("_ee").over(w).cast("double"), 6).alias("cum_ee"),
         F.col("pol_cnt"),
     )
 
@@ -229,9 +231,12 @@ def segment_loss_ratio(
 
 # --------------------------------------------------------------------------- W37
 def premium_change_by_year(terms: DataFrame, change_col: str, eff_col: str = "pol_eff_dt") -> DataFrame:
-    """Σ change / COUNT(*) by effective year (NULL changes count in the divisor)."""
+    """Σ change / COUNT(*) by effective year (NULL changes count in the divisor).
+    The 6-place changes are summed as exact decimals, so the result does not
+    depend on the order rows arrive in."""
+    exact = F.col(change_col).cast("decimal(18,6)")
     return terms.groupBy(F.year(eff_col).alias("eff_year")).agg(
-        F.round(F.sum(change_col).cast("double") / F.count(F.lit(1)), 6).alias("avg_prem_change"),
+        round_half_up(F.sum(exact).cast("double") / F.count(F.lit(1)), 6).alias("avg_prem_change"),
         F.count(F.lit(1)).alias("term_cnt"),
     )
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inforce.functions.bands import band_expr
+from inforce.functions.columns import round_half_up
 from inforce.operators.common import bounded_broadcast
 
 
@@ -85,16 +86,21 @@ def segment_summary(
 ) -> DataFrame:
     """Long-form summary over several segmentations in one pass:
     (segmentation, band, cnt = count of non-null ``count_col``, lrr = mean of
-    ``mean_col``). Rows whose band is NULL are dropped (pandas group keys)."""
+    ``mean_col``). Rows whose band is NULL are dropped (pandas group keys).
+    The mean is an exact decimal sum over the count of non-null values, so it
+    does not depend on the order rows arrive in."""
     pairs = F.explode(
         F.array(*[F.struct(F.lit(b).alias("segmentation"), F.col(b).cast("string").alias("band")) for b in by])
     ).alias("_p")
-    exploded = df.select(pairs, F.col(count_col).alias("_c"), F.col(mean_col).cast("double").alias("_m"))
+    exploded = df.select(pairs, F.col(count_col).alias("_c"), F.col(mean_col).cast(f"decimal(18,{digits})").alias("_m"))
     g = (
         exploded.select("_p.segmentation", "_p.band", "_c", "_m")
         .filter(F.col("band").isNotNull())
         .groupBy("segmentation", "band")
-        .agg(F.count("_c").alias("cnt"), F.round(F.avg("_m"), digits).alias("lrr"))
+        .agg(
+            F.count("_c").alias("cnt"),
+            round_half_up(F.sum("_m").cast("double") / F.count("_m").cast("double"), digits).alias("lrr"),
+        )
     )
     return g
 

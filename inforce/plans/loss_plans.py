@@ -37,7 +37,7 @@ ROLLUP_SQL = f"""rollup AS (
          CAST(SUM(l.incur_clm_cnt) AS BIGINT) AS incur_clm_cnt, SUM(l.incur_loss) AS incur_loss,
          CAST(SUM(l.glass_tow_cnt) AS BIGINT) AS glass_tow_cnt, SUM(l.glass_tow_loss) AS glass_tow_loss,
          SUM(l.ep) AS ep, SUM(l.epapr) AS epapr,
-         {EE_SQL.format(m="l.earned_month")} AS ee
+         CAST({EE_SQL.format(m="l.earned_month")} AS DECIMAL(18,12)) AS ee
   FROM loss l JOIN cohort co ON l.pol_id = co.pol_id AND l.pol_eff_dt = co.pol_eff_dt
   WHERE l.cov_type_abbr NOT IN ('R') AND l.earned_month >= co.start_month
   GROUP BY co.pol_id, l.earned_month
@@ -96,7 +96,7 @@ _W10_COLS = ["pol_id", "earned_month", "risk_st", "latest_pol_eff_dt", "pol_type
              "derived_ttl_cnt", "derived_yes_no_flag", *L.LOSS_MEASURES, "ee"]
 
 
-_DEC = {"incur_loss", "glass_tow_loss", "ep", "epapr"}
+_DEC = {"incur_loss", "glass_tow_loss", "ep", "epapr", "ee"}
 
 
 @register(
@@ -127,7 +127,7 @@ W12_SQL = _uw_sql(
        CAST(SUM(_loss) OVER w AS DOUBLE) AS cum_loss,
        CAST(SUM(_prem) OVER w AS DOUBLE) AS cum_epapr,
        ROUND(CAST(SUM(_loss) OVER w AS DOUBLE) / NULLIF(CAST(SUM(_prem) OVER w AS DOUBLE), 0), 6) AS cum_loss_ratio,
-       ROUND(SUM(_ee) OVER w, 6) AS cum_ee,
+       sign(CAST(SUM(_ee) OVER w AS DOUBLE)) * floor(abs(CAST(SUM(_ee) OVER w AS DOUBLE)) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE) AS cum_ee,
        pol_cnt
 FROM seg
 WINDOW w AS (PARTITION BY segment ORDER BY earned_month RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",

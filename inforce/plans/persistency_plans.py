@@ -439,10 +439,12 @@ W37_MIN_EFF = "1997-01-01"
 @register(
     "w37_premium_change_by_year",
     _sql(
-        f"""SELECT CAST(year(pol_eff_dt) AS INTEGER) AS eff_year,
-       ROUND(CAST(SUM(renewal_prem_change) AS DOUBLE) / COUNT(*), 6) AS avg_prem_change, COUNT(*) AS term_cnt
-FROM hist WHERE risk_st = {W37_STATE} AND pol_eff_dt >= DATE '{W37_MIN_EFF}' AND new_rnw_cd = 'R'
-GROUP BY 1""",
+        f"""SELECT eff_year,
+       sign(x) * floor(abs(x) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE) AS avg_prem_change, term_cnt
+FROM (SELECT eff_year, CAST(SUM(CAST(renewal_prem_change AS DECIMAL(18,6))) AS DOUBLE) / COUNT(*) AS x, COUNT(*) AS term_cnt
+      FROM (SELECT *, CAST(year(pol_eff_dt) AS INTEGER) AS eff_year FROM hist) h
+      WHERE risk_st = {W37_STATE} AND pol_eff_dt >= DATE '{W37_MIN_EFF}' AND new_rnw_cd = 'R'
+      GROUP BY eff_year)""",
         history_sql_ctes(),
     ),
 )

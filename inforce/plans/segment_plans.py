@@ -254,7 +254,8 @@ def w21_segment_bands(spark, d):
 # ----------------------------------------------------------------------------- W23
 W23_SQL = _sql(
     " UNION ALL ".join(
-        f"SELECT '{b}' AS segmentation, CAST({b} AS VARCHAR) AS band, COUNT(compl_qte_ind) AS cnt, ROUND(AVG(elrr), 6) AS lrr "
+        f"SELECT '{b}' AS segmentation, CAST({b} AS VARCHAR) AS band, COUNT(compl_qte_ind) AS cnt, "
+        f"sign(CAST(SUM(CAST(elrr AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(elrr) AS DOUBLE)) * floor(abs(CAST(SUM(CAST(elrr AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(elrr) AS DOUBLE)) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE) AS lrr "
         f"FROM banded WHERE {b} IS NOT NULL GROUP BY {b}"
         for b in SEGMENTATIONS
     ),
