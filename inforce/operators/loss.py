@@ -190,13 +190,11 @@ def share_of_total(
     type_col: str = "pol_type",
 ) -> DataFrame:
     """Segment share of the grand total (``SUM(x) / TOTAL(SUM(x))``). The grand
-    total is a one-row aggregate joined back (broadcast of one row)."""
+    total is a scalar subquery, evaluated once and inlined as a literal."""
     m = F.col(measure) if business_type == "Both" else F.when(F.col(type_col) == business_type, F.col(measure))
     seg = df.groupBy(*dims).agg(F.sum(m).alias("_m"))
-    tot = seg.agg(F.sum("_m").alias("_t"))
-    return seg.crossJoin(F.broadcast(tot)).select(
-        *dims, F.col("_m").cast("double").alias("segment_total"), ratio("_m", "_t", 6).alias("share")
-    )
+    tot = seg.agg(F.sum("_m")).scalar()
+    return seg.select(*dims, F.col("_m").cast("double").alias("segment_total"), ratio(F.col("_m"), tot, 6).alias("share"))
 
 
 # --------------------------------------------------------------------------- W15
@@ -219,13 +217,13 @@ def segment_loss_ratio(
         F.sum("ee").alias("_ee"), F.sum("ult_loss").alias("_ult"), F.sum("incur_loss").alias("_inc"),
         F.sum("ep").alias("_ep"),
     )
-    tot = seg.agg(F.sum("_ee").alias("_tee"))
-    return seg.crossJoin(F.broadcast(tot)).select(
+    tot = seg.agg(F.sum("_ee")).scalar()
+    return seg.select(
         *dims,
         F.col("_ee").cast("double").alias("earned_exposure"),
         ratio("_ult", "_ep", 4).alias("ult_loss_ratio"),
         ratio("_inc", "_ep", 4).alias("incur_loss_ratio"),
-        F.round(F.col("_ee").cast("double") / F.col("_tee").cast("double") * 100.0, 2).alias("ee_pct"),
+        F.round(F.col("_ee").cast("double") / tot.cast("double") * 100.0, 2).alias("ee_pct"),
     )
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from inforce.functions.bands import band_expr
 from inforce.functions.columns import days_between, ratio
 from inforce.operators.common import bounded_broadcast
+from inforce.operators.sequence import ordered_lags
 
 # Fixed values of the source's development ladder.
 DEV_DAYS = (30, 60, 90, 120, 150, 180, 210, 240, 270, 300, 330)
@@ -101,26 +102,39 @@ def term_history(
     cancel_flag: str | None = "cancel_flag",
     acct_cr: str | None = "acct_cr_ind",
     first_prem: str | None = None,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Prior-term values (lag 1, lag 2), premium change and its band, "same as
-    prior term" indicators, prior-term cancel and credit indicators — all on one
-    window spec. The change compares the term's first-transaction premium
-    (``first_prem``, default the term premium) with the prior term's latest one."""
-    w = Window.partitionBy(key).orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    prior term" indicators, prior-term cancel and credit indicators.
+
+    The change compares the term's first-transaction premium (``first_prem``,
+    default the term premium) with the prior term's latest one. All lags share
+    one window spec; with ``bucket`` (e.g. the effective year) they are
+    computed skew-safe (see ``sequence.bucketed_lags``)."""
+    lags: dict[str, tuple[int, ...]] = {prem: (1, 2)}
+    for c in compare:
+        lags[c] = (1,)
+    if cancel_flag is not None:
+        lags[cancel_flag] = (1,)
+    if acct_cr is not None:
+        lags[acct_cr] = (1,)
+    if first_prem is not None:
+        lags[first_prem] = (1,)
+    lagged = ordered_lags(terms, [key], order, lags, bucket)
     p = F.col(first_prem or prem).cast("double")
-    prev1 = F.coalesce(F.lag(prem, 1).over(w).cast("double"), F.lit(0.0))
-    prev2 = F.coalesce(F.lag(prem, 2).over(w).cast("double"), F.lit(0.0))
-    sel = [F.col("*"), prev1.alias("prev_term_prem"), prev2.alias("prev_two_term_prem")]
+    sel = [F.col(c) for c in terms.columns]
+    sel.append(F.coalesce(F.col(f"lag1_{prem}").cast("double"), F.lit(0.0)).alias("prev_term_prem"))
+    sel.append(F.coalesce(F.col(f"lag2_{prem}").cast("double"), F.lit(0.0)).alias("prev_two_term_prem"))
     for c in compare:
-        sel.append(F.lag(c, 1).over(w).alias(f"prev_{c}"))
+        sel.append(F.col(f"lag1_{c}").alias(f"prev_{c}"))
     if cancel_flag is not None:
-        lagc = F.lag(cancel_flag, 1).over(w)
+        lagc = F.col(f"lag1_{cancel_flag}")
         sel.append(F.when(lagc == 1, F.lit("1")).when(lagc == 0, F.lit("0")).alias("prior_term_canc_ind"))
     if acct_cr is not None:
-        sel.append(F.lag(acct_cr, 1).over(w).alias("prior_term_acct_cr_ind"))
+        sel.append(F.col(f"lag1_{acct_cr}").alias("prior_term_acct_cr_ind"))
     if first_prem is not None:
-        sel.append(F.coalesce(F.lag(first_prem, 1).over(w).cast("double"), F.lit(0.0)).alias("prev_trm_frst_trans_prem"))
-    df = terms.select(*sel)
+        sel.append(F.coalesce(F.col(f"lag1_{first_prem}").cast("double"), F.lit(0.0)).alias("prev_trm_frst_trans_prem"))
+    df = lagged.select(*sel)
     is_new = F.col(new_renew) == "N"
     chg1 = F.when(is_new | (F.col("prev_term_prem") == 0), F.lit(None).cast("double")).otherwise(
         p / F.col("prev_term_prem") - 1.0
@@ -268,6 +282,7 @@ def reinstated_after_cancel(
     key: str = "qcn",
     when_col: str = "trans_dt",
     max_years: int = 1,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Current transaction 'Reinstate' whose previous one (per quote, by date)
     was a 'Cancel' for 'Non-Payment', within ``max_years`` calendar-year
@@ -277,12 +292,13 @@ def reinstated_after_cancel(
         & (F.col(when_col) >= F.lit(since))
         & (F.col("trans_stat_desc") == "Committed")
     )
-    w = Window.partitionBy(key).orderBy(F.col(when_col).asc(), F.col("trans_id").asc())
-    j = j.select(
-        F.col("*"),
-        F.lag("trans_typ_desc").over(w).alias("cancel_check"),
-        F.lag("trans_rsn_desc").over(w).alias("non_pymt_check"),
-        F.lag("canc_eff_dt").over(w).alias("last_cancelation_dt"),
+    j = ordered_lags(
+        j, [key], [when_col, "trans_id"], {"trans_typ_desc": (1,), "trans_rsn_desc": (1,), "canc_eff_dt": (1,)}, bucket
+    )
+    j = (
+        j.withColumnRenamed("lag1_trans_typ_desc", "cancel_check")
+        .withColumnRenamed("lag1_trans_rsn_desc", "non_pymt_check")
+        .withColumnRenamed("lag1_canc_eff_dt", "last_cancelation_dt")
     )
     return j.filter(
         (F.col("trans_typ_desc") == "Reinstate")

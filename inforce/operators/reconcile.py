@@ -45,11 +45,14 @@ def allocate_prediction(
         *[F.col(f"{c}_exposure") for c in MODEL_COVERAGES],
     )
     j = loss.withColumn("_lk", F.col(period_col).cast("string")).join(m, F.col("_lk") == F.col("_mk"), "inner")
-    w = Window.partitionBy(*keys)
+    # total exposure per (policy, period, coverage): a partial aggregation joined
+    # back (AQE splits a hot key on the join) rather than a window that would
+    # sort a hot key's rows in one task
     ee = F.col(ee_col).cast("double")
-    tot = F.sum(ee).over(w)
-    share = F.when(tot == 0, F.lit(None).cast("double")).otherwise(ee / tot)
-    j = j.withColumn("ee_percent", share)
+    tot = loss.groupBy(*keys).agg(F.sum(F.col(ee_col).cast("double")).alias("_tot"))
+    j = j.join(tot, list(keys), "inner")
+    share = F.when(F.col("_tot") == 0, F.lit(None).cast("double")).otherwise(ee / F.col("_tot"))
+    j = j.withColumn("ee_percent", share).drop("_tot")
     alloc = []
     for code, c in COVERAGE_MAP.items():
         v = F.when(
@@ -133,7 +136,11 @@ def reconcile_metric(
     kn = [f"_g{i}" for i in range(len(kcols))]
     a = left.groupBy(*[c.alias(n) for c, n in zip(kcols, kn)]).agg(F.round(F.sum(metric_l), digits).alias(names[0]))
     b = right.groupBy(*[c.alias(n) for c, n in zip(kcols, kn)]).agg(F.round(F.sum(metric_r), digits).alias(names[1]))
-    j = a.crossJoin(b) if not kn else a.join(b, kn, "inner")
+    if kn:
+        j = a.join(b, kn, "inner")
+    else:
+        # grand totals: one scalar subquery per side, no join at all
+        j = a.select(F.col(names[0]), b.select(names[1]).scalar().alias(names[1]))
     return j.select(
         *kn, F.col(names[0]).cast("double").alias(names[0]), F.col(names[1]).cast("double").alias(names[1]),
         pct_diff_signed(F.col(names[0]), F.col(names[1]), 2).alias("pct_diff"),

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inforce.operators.common import drop_null_keys, exclude_keys, order_cols
+from inforce.operators.sequence import ordered_lags
 
 
 # --------------------------------------------------------------------------- W01
@@ -96,12 +97,13 @@ def credit_removed(
     order: Sequence[str] = ("pol_eff_dt", "pol_prd_id"),
     ind: str = "acct_cr_ind",
     keep: Sequence[str] = (),
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Rows whose indicator dropped 1 -> 0 from the previous term
-    (``LAG(ind) - ind = 1``), distinct."""
-    w = Window.partitionBy(key).orderBy(*[F.col(o).asc_nulls_first() for o in order])
-    dropped = (F.lag(ind, 1).over(w) - F.col(ind)) == 1
-    return terms.withColumn("_rem", dropped).filter(F.col("_rem")).select(key, ind, *keep).distinct()
+    (``LAG(ind) - ind = 1``), distinct. ``bucket`` makes the lag skew-safe."""
+    lagged = ordered_lags(terms, [key], order, {ind: (1,)}, bucket)
+    dropped = (F.col(f"lag1_{ind}") - F.col(ind)) == 1
+    return lagged.filter(dropped).select(key, ind, *keep).distinct()
 
 
 # --------------------------------------------------------------------------- W38

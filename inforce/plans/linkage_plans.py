@@ -156,7 +156,7 @@ def auto_inforce_now(spark, d):
 
 def crosswalk(spark, d):
     removed = SEL.credit_removed(
-        pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1))
+        pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1)), bucket=F.year("pol_eff_dt")
     ).filter(F.col("acct_cr_ind") == 0)
     home = LN.home_policy(spark, d)
     aq, hq, lk = LN.auto_quotes(spark, d), LN.home_quotes(spark, d), LN.party_link(spark, d)
@@ -611,9 +611,9 @@ _LIST_CTES = [flags_sql(), TXN_SQL, REMOVED_IDS_SQL, REINSTATED_IDS_SQL, STACKED
 
 def id_lists(spark, d):
     removed = SEL.credit_removed(pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1)),
-                                 keep=["pol_prd_id"]).select("pol_id")
+                                 keep=["pol_prd_id"], bucket=F.year("pol_eff_dt")).select("pol_id")
     txn, rsn = transactions(spark, d)
-    reinst = P.reinstated_after_cancel(txn, rsn, W35_SINCE).select(F.col("qcn").alias("pol_id"))
+    reinst = P.reinstated_after_cancel(txn, rsn, W35_SINCE, bucket=F.year("trans_dt")).select(F.col("qcn").alias("pol_id"))
     return removed, reinst
 
 

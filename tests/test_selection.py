@@ -81,3 +81,24 @@ def test_renewal_window(spark):
     assert out == [True, False, True]
     out2 = [r[0] for r in df.select(SEL.renewal_window("exp", D(2024, 10, 1), D(2024, 10, 15))).collect()]
     assert out2 == [True, True, True]
+
+
+def test_bucketed_lags_equal_plain_window_with_a_hot_key(spark):
+    import random
+
+    from inforce.operators.sequence import bucketed_lags, plain_lags
+
+    rnd = random.Random(7)
+    rows = []
+    i = 0
+    for key, n in (("hot", 400), ("a", 3), ("b", 1), ("c", 7)):
+        for _ in range(n):
+            i += 1
+            eff = None if rnd.random() < 0.02 else D(2000 + rnd.randrange(0, 12), 1 + rnd.randrange(12), 1)
+            rows.append((key, eff, i, rnd.choice([None, 1.5, 2.5, 3.5]), rnd.choice(["x", "y"])))
+    df = spark.createDataFrame(rows, "k string, eff date, prd int, v double, s string")
+    lags = {"v": (1, 2), "s": (1,)}
+    a = bucketed_lags(df, ["k"], ["eff", "prd"], F.year("eff"), lags)
+    b = plain_lags(df, ["k"], ["eff", "prd"], lags)
+    cols = ["prd", "lag1_v", "lag2_v", "lag1_s"]
+    assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
