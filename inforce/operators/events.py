@@ -27,14 +27,13 @@ def session_cohort(events: DataFrame, base: Column, qualifying: Column, session_
 
 
 # --------------------------------------------------------------------------- W32
-def normalize_id_list(df: DataFrame, col: str = "policy_num", day_col: str = "event_day", id_len: int = 11,
-                      quote_marks: tuple[str, ...] = ("ph", "pa")) -> DataFrame:
-    """Clean a free-text id field into one id per row.
+def id_rows(df: DataFrame, col: str = "policy_num", day_col: str = "event_day", id_len: int = 11,
+            quote_marks: tuple[str, ...] = ("ph", "pa")) -> DataFrame:
+    """Per-row part of the id clean-up (stateless, so it also runs on streams).
 
     Short values (length <= id_len + 1) keep their first ``id_len`` characters
     (drops a stray trailing comma); longer ones are split on ',', trimmed, and
-    parts that look like quote ids are dropped. The two halves are unioned
-    distinct and blank ids removed."""
+    parts that look like quote ids are dropped; blank ids are removed."""
     v = F.col(col)
     single = df.filter(F.length(v) <= id_len + 1).select(F.substring(v, 1, id_len).alias("pol_id"), day_col)
     parts = df.filter(F.length(v) > id_len + 1).select(F.explode(F.split(v, ",")).alias("_p"), day_col)
@@ -43,7 +42,14 @@ def normalize_id_list(df: DataFrame, col: str = "policy_num", day_col: str = "ev
         c = ~F.col("_p").like(f"%{q}%")
         keep = c if keep is None else keep & c
     multi = parts.filter(keep).select(F.trim("_p").alias("pol_id"), day_col)
-    return single.union(multi).distinct().filter(F.col("pol_id") != "")
+    return single.union(multi).filter(F.col("pol_id") != "")
+
+
+def normalize_id_list(df: DataFrame, col: str = "policy_num", day_col: str = "event_day", id_len: int = 11,
+                      quote_marks: tuple[str, ...] = ("ph", "pa")) -> DataFrame:
+    """Clean a free-text id field into distinct (id, day) rows (UNION of the
+    single-id and list halves, blanks removed)."""
+    return id_rows(df, col, day_col, id_len, quote_marks).distinct()
 
 
 def latest_day_per_id(ids: DataFrame, day_col: str = "event_day", label_fmt: str = "MMM-yyyy") -> DataFrame:

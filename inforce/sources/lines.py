@@ -175,7 +175,11 @@ SITE = "newco-service"
 
 
 def web_events(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "events")
+    return web_events_from(read_table(spark, d, "events"))
+
+
+def web_events_from(e: DataFrame) -> DataFrame:
+    """Raw event rows -> web-event columns (works on batch and streaming frames)."""
     uid = F.lpad(F.col("user_id").cast("string"), 11, "0")
     nxt = F.lpad((F.col("user_id") + 1).cast("string"), 11, "0")
     eid = F.col("event_id")

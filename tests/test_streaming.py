@@ -1,0 +1,35 @@
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from inforce.operators import events as EV
+from inforce.plans import linkage_plans as LP
+from inforce.sources import lines as LN
+from inforce.streaming import events as ST
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_incremental_cohort_equals_batch(spark):
+    ev = spark.read.parquet(os.path.join(SF, "events.parquet"))
+    work = tempfile.mkdtemp(prefix="inforce-stream-")
+    src = os.path.join(work, "events")
+    name = "t_cohort_" + "".join(ch if ch.isalnum() else "_" for ch in os.path.basename(work))
+    # two arrivals: the first and second half of the month
+    ev.filter(F.dayofmonth("ts") <= 15).write.parquet(os.path.join(src, "part1"))
+    q = ST.start_cohort_stream(
+        spark, src + "/*", ev.schema, LN.web_events_from, LP._base(), LP._qual(), os.path.join(work, "table"),
+        name=name,
+    )
+    q.awaitTermination(120)
+    ev.filter(F.dayofmonth("ts") > 15).write.parquet(os.path.join(src, "part2"))
+    q = ST.start_cohort_stream(
+        spark, src + "/*", ev.schema, LN.web_events_from, LP._base(), LP._qual(), os.path.join(work, "table"),
+        name=name,
+    )
+    q.awaitTermination(120)
+    got = sorted(tuple(r) for r in ST.latest_cohort(spark, os.path.join(work, "table")).collect())
+    batch = EV.normalize_id_list(EV.event_cohort(LN.web_events(spark, SF), LP._base(), LP._qual()))
+    want = sorted(tuple(r) for r in batch.groupBy("pol_id").agg(F.max("event_day").alias("event_day")).collect())
+    assert got == want and len(got) > 0
