@@ -48,17 +48,23 @@ def bucketed_lags(
     ``bucket`` must be non-decreasing along ``order`` within a key."""
     key = list(key)
     max_off = max(max(v) for v in lags.values())
-    d = df.withColumn("_bkt", bucket)
+    d0 = df.withColumn("_bkt", bucket)
     w = Window.partitionBy(*key, "_bkt").orderBy(*_asc(order))
     wd = Window.partitionBy(*key, "_bkt").orderBy(*_desc(order))
-    sel = [F.col("*"), F.row_number().over(w).alias("_rn"), F.row_number().over(wd).alias("_rnd")]
+    sel = [F.col("*"), F.row_number().over(w).alias("_rn")]
     for c, offs in lags.items():
         for n in offs:
             sel.append(F.lag(c, n).over(w).alias(f"_loc{n}_{c}"))
-    d = d.select(*sel)
+    d = d0.select(*sel)
 
     cols = list(lags)
-    tail = d.filter(F.col("_rnd") <= max_off).select(*key, "_bkt", "_rnd", *cols)
+    # last max_off rows per (key, bucket): a top-k per group, planned with a
+    # partial group limit before its shuffle, so only <= max_off rows per
+    # (key, bucket) and task move; this branch re-reads only the needed columns
+    tail = (
+        d0.select(*key, "_bkt", *cols, F.row_number().over(wd).alias("_rnd"))
+        .filter(F.col("_rnd") <= max_off)
+    )
     wt = Window.partitionBy(*key).orderBy(F.col("_bkt").asc_nulls_first(), F.col("_rnd").desc())
     tsel = [F.col(k) for k in key] + [F.col("_bkt"), F.col("_rnd")]
     for c in cols:

@@ -17,6 +17,7 @@ from inforce.plans.persistency_plans import TXN_SQL, W35_SINCE, flags_sql, pers,
 from inforce.plans.registry import finalize, register
 from inforce.sources import lines as LN
 from inforce.sources import staging as S
+from inforce.sources.tables import session_memo
 
 A = S.AS_OF_SQL
 LATEST = "row_number() OVER (PARTITION BY pol_id ORDER BY pol_eff_dt DESC NULLS FIRST, pol_prd_id DESC NULLS FIRST)"
@@ -26,6 +27,7 @@ def _sql(body, extra, base=("term",)):
     return S.with_ctes(list(base), body, extra)
 
 
+@session_memo
 def latest_pers(spark, d):
     return SEL.latest_by_key(pers(spark, d), ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
 
@@ -71,6 +73,7 @@ def w24_test_only_once(spark, d):
 
 
 # ----------------------------------------------------------------------------- W25
+@session_memo
 def outcomes(spark, d):
     bd = C.billing_data(LN.billing_account(spark, d), LN.billing_term(spark, d), LN.billing_term_data(spark, d))
     return C.campaign_outcomes(SEL.campaign_purity(_campaign_filtered(spark, d)), latest_pers(spark, d), bd)
@@ -144,6 +147,7 @@ def w26_inforce_billing_buckets(spark, d):
 
 
 # ----------------------------------------------------------------------------- W28
+@session_memo
 def auto_inforce_now(spark, d):
     snap = S.inforce_monthend(spark, d)
     latest = snap.agg(F.max("me_dt").alias("me_dt"))
@@ -154,6 +158,7 @@ def auto_inforce_now(spark, d):
     )
 
 
+@session_memo
 def crosswalk(spark, d):
     removed = SEL.credit_removed(
         pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1)), bucket=F.year("pol_eff_dt")
@@ -210,6 +215,7 @@ W29_COLS = ["auto_pol_id", "auto_eff_dt", "auto_status", "auto_acct_cr_ind", "au
             "home_form_cd", "home_pol_id", "home_acct_cr_ind", "home_status", "future_ind", "acct_issue_ind"]
 
 
+@session_memo
 def linked_pairs(spark, d):
     a = F.lit(S.AS_OF)
     ap = latest_pers(spark, d).select(
@@ -274,6 +280,7 @@ def w29_household_credit_issues(spark, d):
 
 
 # ----------------------------------------------------------------------------- W42
+@session_memo
 def connected(spark, d):
     """Distinct linked pairs with market attributes; each side is reduced and
     de-duplicated to the kept columns before the chain is joined."""
@@ -384,6 +391,7 @@ fixed AS (
 ids AS (SELECT * FROM (SELECT * FROM fixed UNION SELECT * FROM comma_fix) WHERE pol_id <> '')"""
 
 
+@session_memo
 def session_ids(spark, d):
     return EV.normalize_id_list(w31_session_cohort(spark, d))
 
@@ -427,6 +435,7 @@ def _padded(df, label):
     return df.withColumn("pol_id", F.lpad("pol_id", 11, "0")).withColumn("pol_type", F.lit(label))
 
 
+@session_memo
 def stacked_lines(spark, d):
     cohort = EV.latest_day_per_id(session_ids(spark, d)).select("pol_id", "event_day")
     auto = _padded(latest_pers(spark, d), "Auto")
@@ -526,6 +535,7 @@ W36_COLS = ["pol_id", "pol_eff_dt", "hit_prd_id", "hit_line", "uw_ref_decl_rule_
             "uw_rule_trig_rsn_desc", "pol_prd_id", "cancel_flag", "pol_form_cd", "orig_pol_eff_dt", "veh_cnt"]
 
 
+@session_memo
 def rule_terms(spark, d):
     from pyspark.sql import Window
 
@@ -609,6 +619,7 @@ STACKED_SQL = """stacked AS (
 _LIST_CTES = [flags_sql(), TXN_SQL, REMOVED_IDS_SQL, REINSTATED_IDS_SQL, STACKED_SQL]
 
 
+@session_memo
 def id_lists(spark, d):
     removed = SEL.credit_removed(pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1)),
                                  keep=["pol_prd_id"], bucket=F.year("pol_eff_dt")).select("pol_id")
@@ -617,6 +628,7 @@ def id_lists(spark, d):
     return removed, reinst
 
 
+@session_memo
 def stacked_ids(spark, d):
     removed, reinst = id_lists(spark, d)
     return SEL.tag_and_stack({"credit_removed": removed, "reinstated": reinst}, dedupe=["credit_removed"])

@@ -11,7 +11,7 @@ from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
 from inforce.plans.registry import finalize, register
 from inforce.sources import staging as S
-from inforce.sources.tables import read_table
+from inforce.sources.tables import read_table, session_memo
 
 A = S.AS_OF_SQL
 
@@ -64,6 +64,7 @@ FLAG_COLS = (
 )
 
 
+@session_memo
 def pers(spark, d):
     t = S.term(spark, d)
     flat = F.coalesce((F.col("canc_eff_dt") == F.col("pol_eff_dt")).cast("int"), F.lit(0))
@@ -119,6 +120,7 @@ FIRST_TRANS_SQL = """first_trans AS (
 )"""
 
 
+@session_memo
 def first_transactions(spark, d):
     """First transaction premium per agreement (earliest line of each order)."""
     li = read_table(spark, d, "lineitem").select(
@@ -131,6 +133,7 @@ def first_transactions(spark, d):
     return first.select("pol_prd_id", "frst_trans_prem")
 
 
+@session_memo
 def history(spark, d):
     base = pers(spark, d).join(first_transactions(spark, d), "pol_prd_id", "left")
     return P.term_history(base, prem="prem", first_prem="frst_trans_prem", bucket=YEAR_BUCKET())
@@ -225,6 +228,7 @@ def w05_ultimate_cancel(spark, d):
 
 
 # ----------------------------------------------------------------------------- W06 / W07 / W08 — renewal-zone book
+@session_memo
 def members(spark, d):
     """Renewal-zone list: policies whose holder had a qualifying web event."""
     ev = read_table(spark, d, "events")
@@ -234,6 +238,7 @@ def members(spark, d):
 MEMBERS_SQL = "members AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS pol_id FROM events WHERE event_type = 'purchase')"
 
 
+@session_memo
 def book(spark, d):
     latest = SEL.latest_by_key(pers(spark, d), ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
     return latest.filter(SEL.renewal_window("pol_exp_dt", RENEWAL_WINDOW_START, S.AS_OF))
@@ -392,6 +397,7 @@ rsn AS (
 )"""
 
 
+@session_memo
 def transactions(spark, d):
     t = S.term(spark, d)
     w = Window.partitionBy("pol_id")

@@ -9,7 +9,7 @@ from inforce.operators import reconcile as R
 from inforce.operators import selection as SEL
 from inforce.plans.registry import finalize, register
 from inforce.sources import staging as S
-from inforce.sources.tables import read_table
+from inforce.sources.tables import read_table, session_memo
 
 A = S.AS_OF_SQL
 
@@ -28,6 +28,7 @@ MODEL_ACTIVE = {"bi", "coll", "mp"}
 LOSS_COV = {"A": "BI", "N": "COLL", "R": "MED"}
 
 
+@session_memo
 def ulm_loss(spark, d):
     lo = S.loss(spark, d)
     cov = F.when(F.col("cov_type_abbr") == "A", "BI").when(F.col("cov_type_abbr") == "N", "COLL").otherwise("MED")
@@ -42,6 +43,7 @@ ULM_LOSS_SQL = """ulm_loss AS (
 )"""
 
 
+@session_memo
 def model_period(spark, d):
     """Model predictions per policy period (scored orders only: status P is not scored yet)."""
     o = read_table(spark, d, "orders").filter(F.col("o_orderstatus") != "P")
@@ -85,6 +87,7 @@ def _sql(body, extra):
     return S.with_ctes(["loss"], body, extra)
 
 
+@session_memo
 def alloc(spark, d):
     return R.allocate_prediction(ulm_loss(spark, d), model_period(spark, d))
 

@@ -9,7 +9,7 @@ from inforce.operators import segment as G
 from inforce.operators import selection as SEL
 from inforce.plans.registry import register
 from inforce.sources import staging as S
-from inforce.sources.tables import read_table
+from inforce.sources.tables import read_table, session_memo
 
 A = S.AS_OF_SQL
 
@@ -98,6 +98,7 @@ def band_rules():
 
 
 # ----------------------------------------------------------------------------- score mart fixture
+@session_memo
 def scoremart(spark, d):
     """One quote row per policy: customer attributes + the policy's latest term up to AS_OF."""
     c = read_table(spark, d, "customer")
@@ -178,12 +179,14 @@ REL_SQL = """rel AS (
 )"""
 
 
+@session_memo
 def rel(spark, d):
     return G.relativity_rows(
         scoremart(spark, d), "state", {"expected_loss_ratio": "elrr", "ol_expected_loss_ratio": "ol_elrr"}
     )
 
 
+@session_memo
 def banded(spark, d):
     df = rel(spark, d).select(
         F.col("*"),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inforce.functions.columns import as_date, money, month_key
-from inforce.sources.tables import read_table
+from inforce.sources.tables import read_table, session_memo
 
 AS_OF = dt.date(2000, 6, 30)
 AS_OF_SQL = "DATE '2000-06-30'"
@@ -34,6 +34,7 @@ COHORT_GROUPS = [
 
 
 # --------------------------------------------------------------------------- term
+@session_memo
 def term(spark: SparkSession, d: str) -> DataFrame:
     """Policy terms: one order = one term of policy ``o_custkey``."""
     o = read_table(spark, d, "orders")
@@ -94,6 +95,7 @@ TERM_SQL = """term AS (
 
 
 # --------------------------------------------------------------------------- loss
+@session_memo
 def loss(spark: SparkSession, d: str) -> DataFrame:
     """Operational loss: one line item = one policy-period x coverage x earned-month row."""
     li = read_table(spark, d, "lineitem")
@@ -140,6 +142,7 @@ LOSS_SQL = """loss AS (
 
 
 # --------------------------------------------------------------------------- auto policy (UW view)
+@session_memo
 def auto_policy(spark: SparkSession, d: str) -> DataFrame:
     """Underwriting attributes per term: origin date, clean/dirty code, violation and
     eligibility counts (some eligibility counts NULL on purpose)."""
@@ -189,6 +192,7 @@ AUTO_POLICY_SQL = """auto_policy AS (
 
 
 # --------------------------------------------------------------------------- cohort config
+@session_memo
 def cohort_config(spark: SparkSession) -> DataFrame:
     """Parameter table (state, start date, start month); bounded by the number of states."""
     rows = [(s, start, month) for states, start, month in COHORT_GROUPS for s in states]
@@ -241,6 +245,7 @@ def dev_factor_rows() -> list[tuple[str, str, float]]:
     return rows
 
 
+@session_memo
 def dev_factors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(dev_factor_rows(), "persistency_period string, pol_new_renew_cd string, dev_fctr double")
 
@@ -255,6 +260,7 @@ MONTH_ENDS = [dt.date(2000, 1, 31), dt.date(2000, 2, 29), dt.date(2000, 3, 31),
               dt.date(2000, 4, 30), dt.date(2000, 5, 31), dt.date(2000, 6, 30)]
 
 
+@session_memo
 def inforce_monthend(spark: SparkSession, d: str) -> DataFrame:
     """Month-end snapshot: for each month end, the newest term of each policy in
     force then (eff <= me < exp). Each term emits the month ends it covers
