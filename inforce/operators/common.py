@@ -49,3 +49,13 @@ def exclude_keys(df: DataFrame, members: DataFrame, keys: Sequence[str]) -> Data
     on non-null keys shuffles and scales for a large right side.
     """
     return df.join(drop_null_keys(members.select(*keys), keys), list(keys), "left_anti")
+
+
+def with_group_aggs(df: DataFrame, key: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Attach per-key aggregates to every row (``agg() OVER (PARTITION BY key)``).
+
+    Written as a partial aggregation joined back rather than a window: a hot
+    key ships one partial row per task instead of all its rows to one task,
+    and the join back is an equi-join that AQE can split when skewed."""
+    g = df.groupBy(*key).agg(*aggs)
+    return df.join(g, list(key), "left")

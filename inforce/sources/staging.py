@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inforce.functions.columns import as_date, money, month_key
+from inforce.operators.common import with_group_aggs
 from inforce.sources.tables import read_table, session_memo
 
 AS_OF = dt.date(2000, 6, 30)
@@ -42,7 +43,9 @@ def term(spark: SparkSession, d: str) -> DataFrame:
         F.col("c_custkey"), F.col("c_nationkey").alias("risk_st"), F.col("c_mktsegment").alias("mkt_segment")
     )
     eff = as_date("o_orderdate")
-    w_first = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate"), F.col("o_orderkey"))
+    # first term of each policy: a per-policy minimum joined back (hot-key safe)
+    first = F.struct(F.col("o_orderdate"), F.col("o_orderkey"))
+    o = with_group_aggs(o, ["o_custkey"], [F.min(first).alias("_first")])
     return (
         o.join(c, o.o_custkey == c.c_custkey, "inner")
         .select(
@@ -60,7 +63,7 @@ def term(spark: SparkSession, d: str) -> DataFrame:
             ).alias("canc_eff_dt"),
             F.col("risk_st"),
             F.col("mkt_segment"),
-            F.when(F.row_number().over(w_first) == 1, F.lit("N")).otherwise(F.lit("R")).alias("new_rnw_cd"),
+            F.when(first == F.col("_first"), F.lit("N")).otherwise(F.lit("R")).alias("new_rnw_cd"),
             F.when(F.col("o_orderkey") % 5 == 0, 6).otherwise(12).alias("term_mo_cnt"),
             F.when(
                 F.col("o_orderkey") % 4 == 0,
@@ -151,12 +154,12 @@ def auto_policy(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     ck = F.col("o_custkey")
     eff = as_date("o_orderdate")
-    w_pol = Window.partitionBy("o_custkey")
+    o = with_group_aggs(o, ["o_custkey"], [F.min(eff).alias("_orig")])
     return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
         ck.cast("string").alias("pol_id"),
         k.alias("pol_prd_id"),
         F.col("risk_st"),
-        F.min(eff).over(w_pol).alias("orig_pol_eff_dt"),
+        F.col("_orig").alias("orig_pol_eff_dt"),
         eff.alias("pol_eff_dt"),
         F.col("o_orderstatus").alias("trans_stat_desc"),
         F.when(F.col("o_orderstatus") == "F", F.lit("D")).otherwise(F.lit("C")).alias("clean_dirty_cd"),
