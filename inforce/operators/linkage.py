@@ -9,10 +9,12 @@ Scale notes
   them but AQE turns each into a broadcast hash join when one side is small
   at run time (e.g. the other-line quote table), which also neutralises a
   hot link key: the large side is never shuffled on it.
-* Before a DISTINCT over a chain, each side is reduced to the columns the
-  output keeps and de-duplicated. Because the join keys are part of the
-  kept columns, ``distinct(π(A ⋈ B)) = distinct(π(A)) ⋈ distinct(π(B))``, so
-  a policy's many terms no longer multiply against its many quotes.
+* A DISTINCT over a chain is replaced by de-duplicating each side on the
+  columns it contributes. When every join key is kept in the output (or is
+  determined by a kept column), ``distinct(π(A ⋈ B)) = distinct(π(A)) ⋈
+  distinct(π(B))`` and the join of distinct sides is already distinct — so
+  the big chain output is never aggregated, and a policy's many terms are not
+  multiplied by its many quotes first.
 """
 
 from __future__ import annotations
@@ -45,19 +47,21 @@ def crosswalk(
     policy, kept when that policy is in force (ids compared as decimals, so
     non-numeric ids never match). ``start`` has ``pol_id``; quote tables have
     ``qcn, pol_id`` (+ ``qte_dt``); ``inforce_to`` has ``pol_id``."""
+    # each side de-duplicated on what it contributes; all join keys are kept in
+    # the output, so the chain is distinct without a DISTINCT over its rows
     s = start.select(F.col("pol_id").alias("start_pol_id")).distinct()
     qa = quotes_from.select(F.col("pol_id").alias("start_pol_id"), F.col("qcn").alias("start_qcn"),
-                            F.col("qte_dt").alias("start_orig_qte_dt"))
-    lk = link.select(F.col(link_from).alias("start_qcn"), F.col(link_to).alias("end_qcn"))
+                            F.col("qte_dt").alias("start_orig_qte_dt")).distinct()
+    lk = link.select(F.col(link_from).alias("start_qcn"), F.col(link_to).alias("end_qcn")).distinct()
     qb = quotes_to.select(F.col("qcn").alias("end_qcn"), F.col("pol_id").alias("end_pol_id"),
-                          F.col("qte_dt").alias("end_orig_qte_dt"))
+                          F.col("qte_dt").alias("end_orig_qte_dt")).distinct()
     inf = inforce_to.select(try_decimal_id("pol_id").alias("_inf")).filter(F.col("_inf").isNotNull())
     chain = s.join(qa, "start_pol_id").join(lk, "start_qcn").join(qb, "end_qcn").filter(F.col("end_pol_id").isNotNull())
     chain = chain.join(inf, try_decimal_id("end_pol_id") == F.col("_inf"), "left_semi")
     return chain.select(
         F.lit(start_label).alias("pol_start"), "start_pol_id", "start_orig_qte_dt", "start_qcn", "end_qcn",
         "end_orig_qte_dt", "end_pol_id", F.lit(end_label).alias("pol_end"),
-    ).distinct()
+    )
 
 
 # --------------------------------------------------------------------------- W29

@@ -234,12 +234,13 @@ def linked_pairs(spark, d):
         F.when((F.col("pol_status_cd") == "InForce") & (F.col("pol_eff_dt") >= F.add_months(a, -12)), F.lit("InForce"))
         .otherwise(F.lit("Left")).alias("home_status"),
     )
-    aq = LN.auto_quotes(spark, d).select(F.col("pol_id").alias("auto_pol_id"), F.col("qcn").alias("auto_qcn"))
-    lk = LN.party_link(spark, d)
-    hq = LN.home_quotes(spark, d).select(F.col("qcn").alias("home_qcn"), F.col("pol_id").alias("home_pol_id"))
-    j = ap.join(aq, "auto_pol_id").join(lk, "auto_qcn").join(hq, "home_qcn")
-    j = j.join(hp, j.home_pol_id.cast("string") == hp._hp_id).drop("_hp_id")
-    return j.distinct()
+    aq = LN.auto_quotes(spark, d).select(F.col("pol_id").alias("auto_pol_id"), F.col("qcn").alias("auto_qcn")).distinct()
+    lk = LN.party_link(spark, d).distinct()
+    hq = LN.home_quotes(spark, d).select(F.col("qcn").alias("home_qcn"), F.col("pol_id").alias("home_pol_id")).distinct()
+    # every side is distinct on what it contributes and every join key is kept
+    # (or equal to a kept column), so the chain output is already distinct
+    j = ap.distinct().join(aq, "auto_pol_id").join(lk, "auto_qcn").join(hq, "home_qcn")
+    return j.join(hp.distinct(), j.home_pol_id.cast("string") == hp._hp_id).drop("_hp_id")
 
 
 @register(
@@ -283,8 +284,14 @@ def w29_household_credit_issues(spark, d):
 # ----------------------------------------------------------------------------- W42
 @session_memo
 def connected(spark, d):
-    """Distinct linked pairs with market attributes; each side is reduced and
-    de-duplicated to the kept columns before the chain is joined."""
+    """Distinct linked pairs with market attributes.
+
+    Each side is reduced to the columns the output keeps (id sides to their
+    decimal key) and de-duplicated *before* the chain is joined. Every join
+    key is then either kept in the output or determined by it, so the join
+    of distinct sides is itself distinct: no DISTINCT over the (much larger)
+    chain output is needed, and a policy's many terms are not multiplied by
+    its many quotes before being collapsed again."""
     t = pers(spark, d)
     auto = t.select(
         F.col("pol_id").alias("auto_pol_id"),
@@ -292,17 +299,18 @@ def connected(spark, d):
         F.when(F.col("pol_form_cd").isin("1-URGENT", "2-HIGH"), F.lit("Agency"))
         .when(F.col("pol_form_cd") == "3-MEDIUM", F.lit("Direct")).otherwise(F.lit("Partner")).alias("auto_mkt_chnl"),
     ).distinct()
-    aq = LN.auto_quotes(spark, d).select(F.col("pol_id").alias("_aq_pol"), F.col("qcn").alias("auto_qcn")).distinct()
-    lk = LN.party_link(spark, d)
+    aq = LN.auto_quotes(spark, d).select(
+        LK.try_decimal_id("pol_id").alias("_aq_key"), F.col("qcn").alias("auto_qcn")
+    ).filter(F.col("_aq_key").isNotNull()).distinct()
+    lk = LN.party_link(spark, d).distinct()
     hq = LN.home_quotes(spark, d).select(F.col("qcn").alias("home_qcn"), F.col("pol_id").alias("home_pol_id")).distinct()
     hp = LN.home_policy(spark, d).select(
-        F.col("pol_id").alias("_hp_id"), F.col("market_channel").alias("home_mkt_chnl"),
+        LK.try_decimal_id("pol_id").alias("_hp_key"), F.col("market_channel").alias("home_mkt_chnl"),
         F.col("mktg_media_grp").alias("home_mkt_grp"),
-    ).distinct()
-    j = auto.join(aq, LK.try_decimal_id("auto_pol_id") == LK.try_decimal_id("_aq_pol")).drop("_aq_pol")
+    ).filter(F.col("_hp_key").isNotNull()).distinct()
+    j = auto.join(aq, LK.try_decimal_id("auto_pol_id") == F.col("_aq_key")).drop("_aq_key")
     j = j.join(lk, "auto_qcn").join(hq, "home_qcn")
-    j = j.join(hp, LK.try_decimal_id("home_pol_id") == LK.try_decimal_id("_hp_id")).drop("_hp_id")
-    return j.distinct()
+    return j.join(hp, LK.try_decimal_id("home_pol_id") == F.col("_hp_key")).drop("_hp_key")
 
 
 @register(
