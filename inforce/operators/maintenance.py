@@ -57,3 +57,25 @@ def claims_ingest(
         ),
     )
     return timestamps_to_dates(df)
+
+
+def add_columns(df: DataFrame, defaults: dict) -> DataFrame:
+    """``ALTER TABLE ... ADD COLUMN c DEFAULT v``: new columns with constant defaults."""
+    return df.select(F.col("*"), *[F.lit(v).alias(c) for c, v in defaults.items()])
+
+
+def insert_into(target: DataFrame, rows: DataFrame, by_position: bool = False) -> DataFrame:
+    """``INSERT INTO target SELECT ...``: by column name, or by position as a
+    column-list-free INSERT binds (the rows take the target's names)."""
+    if by_position:
+        if len(rows.columns) != len(target.columns):
+            raise ValueError("INSERT by position needs the same number of columns")
+        rows = rows.toDF(*target.columns)
+        return target.union(rows.select(*[F.col(c).cast(t) for c, t in target.dtypes]))
+    return target.unionByName(rows)
+
+
+def top_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """``ORDER BY ... LIMIT n`` (top-k: each task keeps its best n, then one
+    merge of at most n rows per task); the limit is the feature here."""
+    return df.orderBy(*order).limit(n)

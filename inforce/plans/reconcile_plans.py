@@ -247,3 +247,23 @@ def w20_snapshot_vs_history(spark, d):
         (F.col("pol_eff_dt") <= a) & (F.col("pol_exp_dt") > a) & (F.col("canc_eff_dt").isNull() | (F.col("canc_eff_dt") > a))
     )
     return R.snapshot_vs_history_counts(snap, inforce, snapshot_filter=F.col("pol_status_cd") == "InForce")
+
+
+# ----------------------------------------------------------------------------- W16 sample (ORDER BY ... LIMIT)
+SAMPLE_N = 500
+_SAMPLE_ORDER = ["pol_id", "pol_prd_id", "cov_type_abbr", "earned_month", "ee", "adj_ttl_pp"]
+
+
+@register(
+    "w16_allocation_sample",
+    _sql(
+        "SELECT " + ", ".join("CAST(ee AS DOUBLE) AS ee" if c == "ee" else c for c in _W16_COLS)
+        + f" FROM alloc ORDER BY {', '.join(_SAMPLE_ORDER)} LIMIT {SAMPLE_N}",
+        [ULM_LOSS_SQL, model_period_sql(), _alloc_sql()],
+    ),
+)
+def w16_allocation_sample(spark, d):
+    """The first rows of the allocation in key order, for inspection (the limit is the feature)."""
+    from inforce.operators.maintenance import top_rows
+
+    return top_rows(finalize(alloc(spark, d).select(*_W16_COLS)), SAMPLE_N, _SAMPLE_ORDER)

@@ -86,3 +86,18 @@ def test_reconcile_metric_grains(spark):
     assert (tot.left_total, tot.right_total, tot.pct_diff) == (150.0, 160.0, 6.67)
     by = {r._g0: r.pct_diff for r in R.reconcile_metric(left, right, "m", "m", ["y"]).collect()}
     assert by == {2020: 10.0, 2021: 0.0}
+
+
+def test_maintenance_ddl_and_insert(spark):
+    from inforce.operators import maintenance as MT
+
+    t = spark.createDataFrame([("a", 1)], "k string, v int")
+    t2 = MT.add_columns(t, {"adj": 0.0, "flag": "N"})
+    assert t2.columns == ["k", "v", "adj", "flag"] and t2.first().adj == 0.0
+    rows = spark.createDataFrame([(2, "b")], "v int, k string")
+    by_name = MT.insert_into(t, rows)
+    assert sorted(tuple(r) for r in by_name.collect()) == [("a", 1), ("b", 2)]
+    pos = spark.createDataFrame([("c", 3)], "x string, y int")
+    assert sorted(tuple(r) for r in MT.insert_into(t, pos, by_position=True).collect()) == [("a", 1), ("c", 3)]
+    top = MT.top_rows(spark.createDataFrame([(i,) for i in range(100)], "x int"), 3, ["x"])
+    assert [r.x for r in top.collect()] == [0, 1, 2]
