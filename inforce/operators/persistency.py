@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inforce.functions.bands import band_expr
-from inforce.functions.columns import days_between, ratio
+from inforce.functions.columns import date_from_yyyymmdd, days_between, div0, ratio, round_half_up
 from inforce.operators.common import bounded_broadcast
 from inforce.operators.sequence import ordered_lags
 
@@ -153,6 +153,76 @@ def term_history(
     return df.select(F.col("*"), *extra)
 
 
+# --------------------------------------------------------------------------- W03 (characteristics)
+AAL_NO_DATA, AAL_UNKNOWN, AAL_SAME, AAL_UP, AAL_DOWN = "NO AAL", "UNKNOWN", "NO CHANGE", "INCREASE", "DECREASE"
+
+
+def latest_premium_by_policy(ref: DataFrame, key: str = "policy_id", prem: str = "term_writ_prem") -> DataFrame:
+    """Latest term premium of every policy (newest effective date, then period)."""
+    w = Window.partitionBy(key).orderBy(F.col("pol_eff_dt").desc(), F.col("pol_prd_id").desc())
+    return (
+        ref.select(key, prem, F.row_number().over(w).alias("_rn"))
+        .filter(F.col("_rn") == 1)
+        .select(F.col(key).alias("_prev_key"), F.col(prem).alias("_prev_pol_prem"))
+    )
+
+
+def term_characteristics(
+    ref: DataFrame,
+    key: str = "policy_id",
+    order: Sequence[str] = ("pol_eff_dt", "pol_prd_id"),
+    bucket: Column | None = None,
+    modelled: Sequence[str] = ("eq_grss_aal_amt", "hurr_grss_aal_amt", "total_aal_cat_load"),
+) -> DataFrame:
+    """The remaining term-history columns of the persistency build, on a
+    reference table with ``yyyymmdd`` integer dates (0 = none):
+    decoded dates, credit label, annualised premium, prior-policy premium,
+    combined (two-line) premium change, cancel entry date, tenure as a
+    decimal, full zip, prior rate-table date and change flag, prior-term
+    modelled-loss amounts and the catastrophe-load change label."""
+    prev = latest_premium_by_policy(ref, key)
+    j = ref.join(prev, ref["prev_pol_id"] == prev["_prev_key"], "left").drop("_prev_key")
+    lags = {"term_writ_prem": (1,), "current_term_auto_prem": (1,), "rate_tbl_dt": (1,)}
+    for c in modelled:
+        lags[c] = (1,)
+    j = ordered_lags(j, [key], order, lags, bucket)
+    prem, auto = F.col("term_writ_prem"), F.col("current_term_auto_prem")
+    lprem, lauto = F.col("lag1_term_writ_prem"), F.col("lag1_current_term_auto_prem")
+    combined = F.when(
+        auto.isNotNull() & lauto.isNotNull() & lprem.isNotNull(),
+        div0((prem + auto).cast("double"), (lprem + lauto).cast("double")) - 1.0,
+    )
+    cat, prr_cat = F.col("total_aal_cat_load"), F.col("lag1_total_aal_cat_load")
+    aal = (
+        F.when(F.col("aal_data_ind") == "N", F.lit(AAL_NO_DATA))
+        .when(cat.isNull() | prr_cat.isNull(), F.lit(AAL_UNKNOWN))
+        .when(cat == prr_cat, F.lit(AAL_SAME))
+        .when(cat > prr_cat, F.lit(AAL_UP))
+        .when(cat < prr_cat, F.lit(AAL_DOWN))
+    )
+    out = [
+        F.col(key), F.col("pol_prd_id"),
+        date_from_yyyymmdd("pol_eff_dt").alias("pol_eff_date"),
+        date_from_yyyymmdd("canc_eff_dt").alias("canc_eff_date"),
+        F.when(F.col("acct_cr_cd") == 1, F.lit("Y")).when(F.col("acct_cr_cd") == 2, F.lit("N")).alias("acct_cr_ind"),
+        F.when(F.col("pol_term_mo_cnt") == 6, prem * 2).otherwise(prem).alias("pol_annl_ttl_bill_prem_amt"),
+        F.coalesce(lprem, F.col("_prev_pol_prem"), F.lit(0).cast("decimal(18,2)")).alias("prev_term_latest_prem_amt"),
+        lauto.alias("prev_term_auto_prem"),
+        round_half_up(combined, 6).alias("prem_chng_combined"),
+        F.when(F.col(key) != F.col("prev_pol_id"), F.coalesce(F.col("_prev_pol_prem"), F.lit(0).cast("decimal(18,2)")))
+        .otherwise(F.lit(0).cast("decimal(18,2)")).alias("prev_pol_id_latst_prem"),
+        F.when(F.col("canc_eff_dt") != 0, date_from_yyyymmdd("pol_entry_dt")).alias("cancel_trans_dt"),
+        F.col("years_with_co").cast("decimal(10,1)").alias("htfd_pol_yr_cnt"),
+        F.when(F.col("plus4_cd").isNotNull(), F.concat(F.col("zip_cd"), F.lit("-"), F.col("plus4_cd")))
+        .otherwise(F.col("zip_cd")).alias("dwell_loc_addr_full_zip_cd"),
+        F.col("lag1_rate_tbl_dt").alias("prev_term_rate_tbl_dt"),
+        F.when(F.col("rate_tbl_dt") != F.col("lag1_rate_tbl_dt"), 1).otherwise(0).alias("rate_tbl_dt_chng_ind"),
+        *[F.col(f"lag1_{c}").alias(f"prr_{c}") for c in modelled],
+        aal.alias("aal_cat_load_change"),
+    ]
+    return j.select(*out)
+
+
 # --------------------------------------------------------------------------- W05
 def persistency_period(days_eff: Column, term_months: Column) -> Column:
     """'1' once the term is fully developed (365 days, or 185 on 6-month

@@ -469,3 +469,61 @@ def w37_premium_change_by_year(spark, d):
         & (F.col("new_rnw_cd") == "R")
     )
     return premium_change_by_year(h, "renewal_prem_change")
+
+
+# ----------------------------------------------------------------------------- W03 characteristics
+_CHAR_COLS = [
+    "policy_id", "pol_prd_id", "pol_eff_date", "canc_eff_date", "acct_cr_ind", "pol_annl_ttl_bill_prem_amt",
+    "prev_term_latest_prem_amt", "prev_term_auto_prem", "prem_chng_combined", "prev_pol_id_latst_prem",
+    "cancel_trans_dt", "htfd_pol_yr_cnt", "dwell_loc_addr_full_zip_cd", "prev_term_rate_tbl_dt", "rate_tbl_dt_chng_ind",
+    "prr_eq_grss_aal_amt", "prr_hurr_grss_aal_amt", "prr_total_aal_cat_load", "aal_cat_load_change",
+]
+_YMD = "CASE WHEN {c} IS NULL OR {c} = 0 THEN NULL ELSE CAST(strptime(CAST({c} AS VARCHAR), '%Y%m%d') AS DATE) END"
+
+
+def _char_sql() -> str:
+    w = "OVER (PARTITION BY r.policy_id ORDER BY r.pol_eff_dt ASC NULLS FIRST, r.pol_prd_id ASC NULLS FIRST)"
+    comb = (
+        "CASE WHEN current_term_auto_prem IS NOT NULL AND lag_auto IS NOT NULL AND lag_prem IS NOT NULL THEN "
+        "(CASE WHEN CAST(lag_prem + lag_auto AS DOUBLE) = 0 THEN 0.0 "
+        "ELSE CAST(term_writ_prem + current_term_auto_prem AS DOUBLE) / CAST(lag_prem + lag_auto AS DOUBLE) END) - 1.0 END"
+    )
+    rhu = f"sign({comb}) * floor(abs({comb}) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE)"
+    return f"""SELECT policy_id, pol_prd_id,
+       {_YMD.format(c='pol_eff_dt')} AS pol_eff_date,
+       {_YMD.format(c='canc_eff_dt')} AS canc_eff_date,
+       CASE WHEN acct_cr_cd = 1 THEN 'Y' WHEN acct_cr_cd = 2 THEN 'N' END AS acct_cr_ind,
+       CAST(CASE WHEN pol_term_mo_cnt = 6 THEN term_writ_prem * 2 ELSE term_writ_prem END AS DOUBLE) AS pol_annl_ttl_bill_prem_amt,
+       CAST(COALESCE(lag_prem, prev_pol_prem, 0) AS DOUBLE) AS prev_term_latest_prem_amt,
+       CAST(lag_auto AS DOUBLE) AS prev_term_auto_prem,
+       {rhu} AS prem_chng_combined,
+       CAST(CASE WHEN policy_id <> prev_pol_id THEN COALESCE(prev_pol_prem, 0) ELSE 0 END AS DOUBLE) AS prev_pol_id_latst_prem,
+       CASE WHEN canc_eff_dt <> 0 THEN {_YMD.format(c='pol_entry_dt')} END AS cancel_trans_dt,
+       CAST(CAST(years_with_co AS DECIMAL(10,1)) AS DOUBLE) AS htfd_pol_yr_cnt,
+       CASE WHEN plus4_cd IS NOT NULL THEN zip_cd || '-' || plus4_cd ELSE zip_cd END AS dwell_loc_addr_full_zip_cd,
+       lag_rate AS prev_term_rate_tbl_dt,
+       CASE WHEN rate_tbl_dt <> lag_rate THEN 1 ELSE 0 END AS rate_tbl_dt_chng_ind,
+       CAST(lag_eq AS DOUBLE) AS prr_eq_grss_aal_amt, CAST(lag_hurr AS DOUBLE) AS prr_hurr_grss_aal_amt,
+       CAST(lag_cat AS DOUBLE) AS prr_total_aal_cat_load,
+       CASE WHEN aal_data_ind = 'N' THEN 'NO AAL'
+            WHEN total_aal_cat_load IS NULL OR lag_cat IS NULL THEN 'UNKNOWN'
+            WHEN total_aal_cat_load = lag_cat THEN 'NO CHANGE'
+            WHEN total_aal_cat_load > lag_cat THEN 'INCREASE'
+            WHEN total_aal_cat_load < lag_cat THEN 'DECREASE' END AS aal_cat_load_change
+FROM (
+  SELECT r.*, c.prev_pol_prem,
+         LAG(r.term_writ_prem, 1) {w} AS lag_prem, LAG(r.current_term_auto_prem, 1) {w} AS lag_auto,
+         LAG(r.rate_tbl_dt, 1) {w} AS lag_rate, LAG(r.eq_grss_aal_amt, 1) {w} AS lag_eq,
+         LAG(r.hurr_grss_aal_amt, 1) {w} AS lag_hurr, LAG(r.total_aal_cat_load, 1) {w} AS lag_cat
+  FROM char_ref r LEFT JOIN (
+    SELECT policy_id AS pol_id, term_writ_prem AS prev_pol_prem FROM (
+      SELECT *, row_number() OVER (PARTITION BY policy_id ORDER BY pol_eff_dt DESC, pol_prd_id DESC) AS rn FROM char_ref
+    ) WHERE rn = 1
+  ) c ON r.prev_pol_id = c.pol_id
+)"""
+
+
+@register("w03_term_characteristics", S.with_ctes(["term", "char_ref"], _char_sql()))
+def w03_term_characteristics(spark, d):
+    out = P.term_characteristics(S.char_ref(spark, d), bucket=(F.col("pol_eff_dt") / 10000).cast("int"))
+    return finalize(out.select(*_CHAR_COLS))

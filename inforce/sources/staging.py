@@ -298,3 +298,63 @@ def inforce_monthend_sql() -> str:
     FROM term t JOIN (VALUES {vals}) AS m(me_dt) ON t.pol_eff_dt <= m.me_dt AND t.pol_exp_dt > m.me_dt
   ) WHERE rn = 1
 )"""
+
+
+# --------------------------------------------------------------------------- policy characteristics (int dates)
+@session_memo
+def char_ref(spark: SparkSession, d: str) -> DataFrame:
+    """Per-term characteristics as the source's reference table stores them:
+    dates as ``yyyymmdd`` integers with 0 for "none", a possibly different
+    previous policy id, second-line premium, modelled-loss (AAL) amounts."""
+    t = term(spark, d)
+    k = F.col("pol_prd_id")
+
+    def ymd(c):
+        return F.coalesce(F.date_format(c, "yyyyMMdd").cast("int"), F.lit(0))
+
+    return t.select(
+        F.col("pol_id").alias("policy_id"),
+        "pol_prd_id",
+        ymd(F.col("pol_eff_dt")).alias("pol_eff_dt"),
+        ymd(F.col("canc_eff_dt")).alias("canc_eff_dt"),
+        ymd(F.col("canc_trans_dt")).alias("pol_entry_dt"),
+        F.col("prem").alias("term_writ_prem"),
+        F.col("term_mo_cnt").alias("pol_term_mo_cnt"),
+        F.when(k % 3 == 0, F.lit(None).cast("decimal(18,4)"))
+        .otherwise((F.col("prem").cast("double") * 0.35).cast("decimal(18,4)")).alias("current_term_auto_prem"),
+        F.when(F.col("pol_id").cast("bigint") % 4 == 1, (F.col("pol_id").cast("bigint") - 1).cast("string"))
+        .otherwise(F.col("pol_id")).alias("prev_pol_id"),
+        F.when(F.col("pol_form_cd").isin("1-URGENT", "2-HIGH"), F.lit(1)).when(F.col("pol_form_cd") == "5-LOW", F.lit(None))
+        .otherwise(F.lit(2)).alias("acct_cr_cd"),
+        F.concat((k % 200).cast("string"), F.lit("."), (k % 10).cast("string")).alias("years_with_co"),
+        F.lpad((F.col("risk_st") * 1000 + F.col("pol_id").cast("bigint") % 1000).cast("string"), 5, "0").alias("zip_cd"),
+        F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.lpad((k % 10000).cast("string"), 4, "0")).alias("plus4_cd"),
+        F.trunc("pol_eff_dt", "quarter").alias("rate_tbl_dt"),
+        (F.col("prem").cast("double") * 0.01).cast("decimal(18,4)").alias("eq_grss_aal_amt"),
+        (F.col("prem").cast("double") * 0.02).cast("decimal(18,4)").alias("hurr_grss_aal_amt"),
+        F.when(k % 7 == 0, F.lit(None).cast("decimal(18,2)")).otherwise(((k % 50) * 1.5).cast("decimal(18,2)"))
+        .alias("total_aal_cat_load"),
+        F.when(F.col("rate_plan_cd") == "P", F.lit("N")).otherwise(F.lit("Y")).alias("aal_data_ind"),
+    )
+
+
+CHAR_REF_SQL = """char_ref AS (
+  SELECT pol_id AS policy_id, pol_prd_id,
+         COALESCE(CAST(strftime(pol_eff_dt, '%Y%m%d') AS INTEGER), 0) AS pol_eff_dt,
+         COALESCE(CAST(strftime(canc_eff_dt, '%Y%m%d') AS INTEGER), 0) AS canc_eff_dt,
+         COALESCE(CAST(strftime(canc_trans_dt, '%Y%m%d') AS INTEGER), 0) AS pol_entry_dt,
+         prem AS term_writ_prem, term_mo_cnt AS pol_term_mo_cnt,
+         CASE WHEN pol_prd_id % 3 = 0 THEN NULL ELSE CAST(CAST(prem AS DOUBLE) * 0.35 AS DECIMAL(18,4)) END AS current_term_auto_prem,
+         CASE WHEN CAST(pol_id AS BIGINT) % 4 = 1 THEN CAST(CAST(pol_id AS BIGINT) - 1 AS VARCHAR) ELSE pol_id END AS prev_pol_id,
+         CASE WHEN pol_form_cd IN ('1-URGENT', '2-HIGH') THEN 1 WHEN pol_form_cd = '5-LOW' THEN NULL ELSE 2 END AS acct_cr_cd,
+         CAST(pol_prd_id % 200 AS VARCHAR) || '.' || CAST(pol_prd_id % 10 AS VARCHAR) AS years_with_co,
+         lpad(CAST(risk_st * 1000 + CAST(pol_id AS BIGINT) % 1000 AS VARCHAR), 5, '0') AS zip_cd,
+         CASE WHEN pol_prd_id % 5 = 0 THEN NULL ELSE lpad(CAST(pol_prd_id % 10000 AS VARCHAR), 4, '0') END AS plus4_cd,
+         CAST(date_trunc('quarter', pol_eff_dt) AS DATE) AS rate_tbl_dt,
+         CAST(CAST(prem AS DOUBLE) * 0.01 AS DECIMAL(18,4)) AS eq_grss_aal_amt,
+         CAST(CAST(prem AS DOUBLE) * 0.02 AS DECIMAL(18,4)) AS hurr_grss_aal_amt,
+         CASE WHEN pol_prd_id % 7 = 0 THEN NULL ELSE CAST((pol_prd_id % 50) * 1.5 AS DECIMAL(18,2)) END AS total_aal_cat_load,
+         CASE WHEN rate_plan_cd = 'P' THEN 'N' ELSE 'Y' END AS aal_data_ind
+  FROM term
+)"""
+STAGING_SQL["char_ref"] = CHAR_REF_SQL

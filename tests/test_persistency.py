@@ -145,3 +145,31 @@ def test_reinstated_after_cancel(spark):
     )
     out = P.reinstated_after_cancel(txns, reasons, D(2024, 12, 1)).collect()
     assert [(r.qcn, r.last_cancelation_dt) for r in out] == [("q1", D(2024, 12, 2))]  # q2 is 2 calendar years old
+
+
+def test_term_characteristics_edges(spark):
+    from decimal import Decimal as Dec
+
+    rows = [
+        # policy b was rewritten from policy a: its first term falls back to a's latest premium
+        ("a", 1, 20230101, 0, 0, Dec("100.00"), 12, Dec("50.0000"), "a", 1, "3.5", "06103", "1234", D(2023, 1, 1), Dec("1.00"), "Y"),
+        ("a", 2, 20240101, 20240301, 20240215, Dec("120.00"), 6, Dec("30.0000"), "a", 2, "4.5", "06103", None, D(2024, 1, 1), Dec("2.00"), "Y"),
+        ("b", 3, 20240601, 0, 0, Dec("80.00"), 12, None, "a", None, "0.5", "01000", None, D(2024, 4, 1), None, "N"),
+        ("c", 4, 20240101, 0, 0, Dec("0.00"), 12, Dec("0.0000"), "c", 1, "1.0", "02000", None, D(2024, 1, 1), Dec("5.00"), "Y"),
+        ("c", 5, 20250101, 0, 0, Dec("10.00"), 12, Dec("0.0000"), "c", 1, "1.0", "02000", None, D(2025, 1, 1), Dec("5.00"), "Y"),
+    ]
+    schema = ("policy_id string, pol_prd_id bigint, pol_eff_dt int, canc_eff_dt int, pol_entry_dt int, term_writ_prem decimal(18,2), "
+              "pol_term_mo_cnt int, current_term_auto_prem decimal(18,4), prev_pol_id string, acct_cr_cd int, years_with_co string, "
+              "zip_cd string, plus4_cd string, rate_tbl_dt date, total_aal_cat_load decimal(18,2), aal_data_ind string")
+    ref = spark.createDataFrame(rows, schema)
+    out = {r.pol_prd_id: r for r in P.term_characteristics(ref, modelled=("total_aal_cat_load",)).collect()}
+    assert out[1].pol_eff_date == D(2023, 1, 1) and out[1].canc_eff_date is None and out[1].cancel_trans_dt is None
+    assert out[1].dwell_loc_addr_full_zip_cd == "06103-1234" and out[2].dwell_loc_addr_full_zip_cd == "06103"
+    assert out[2].canc_eff_date == D(2024, 3, 1) and out[2].cancel_trans_dt == D(2024, 2, 15)
+    assert out[2].pol_annl_ttl_bill_prem_amt == Dec("240.00") and out[2].acct_cr_ind == "N"
+    assert out[2].prem_chng_combined == pytest.approx(150.0 / 150.0 - 1.0) and out[2].rate_tbl_dt_chng_ind == 1
+    assert out[3].prev_term_latest_prem_amt == Dec("120.00") and out[3].prev_pol_id_latst_prem == Dec("120.00")
+    assert out[3].acct_cr_ind is None and out[3].aal_cat_load_change == "NO AAL"
+    assert out[5].prem_chng_combined == -1.0  # DIV0: zero prior total gives 0, minus 1
+    assert out[5].aal_cat_load_change == "NO CHANGE" and out[2].aal_cat_load_change == "INCREASE"
+    assert str(out[1].htfd_pol_yr_cnt) == "3.5"
