@@ -190,10 +190,11 @@ def share_of_total(
     type_col: str = "pol_type",
 ) -> DataFrame:
     """Segment share of the grand total (``SUM(x) / TOTAL(SUM(x))``). The grand
-    total is a scalar subquery, evaluated once and inlined as a literal."""
+    total is a window over the aggregated report rows (one per segment), so
+    the input is scanned and aggregated once."""
     m = F.col(measure) if business_type == "Both" else F.when(F.col(type_col) == business_type, F.col(measure))
     seg = df.groupBy(*dims).agg(F.sum(m).alias("_m"))
-    tot = seg.agg(F.sum("_m")).scalar()
+    tot = F.sum("_m").over(Window.partitionBy())
     return seg.select(*dims, F.col("_m").cast("double").alias("segment_total"), ratio(F.col("_m"), tot, 6).alias("share"))
 
 
@@ -217,7 +218,8 @@ def segment_loss_ratio(
         F.sum("ee").alias("_ee"), F.sum("ult_loss").alias("_ult"), F.sum("incur_loss").alias("_inc"),
         F.sum("ep").alias("_ep"),
     )
-    tot = seg.agg(F.sum("_ee")).scalar()
+    # grand total over the aggregated report rows (one per segment): no re-scan
+    tot = F.sum("_ee").over(Window.partitionBy())
     return seg.select(
         *dims,
         F.col("_ee").cast("double").alias("earned_exposure"),

@@ -296,6 +296,43 @@ def persistency_rate(df: DataFrame, horizon: int | str = "flat", by: Sequence[st
     )
 
 
+def cohort_rates(
+    book: DataFrame,
+    members: DataFrame,
+    horizons: Sequence[int | str] = ("flat", 30),
+    key: str = "pol_id",
+    labels: tuple[str, str, str] = ("members", "book", "book_minus_members"),
+) -> DataFrame:
+    """Persistency rates of the three cohorts (members, whole book, book minus
+    members) at several horizons in one pass over the book: each row is tagged
+    with its membership (left join to the distinct non-null member keys),
+    emits the cohorts it belongs to, and one aggregation sums every horizon."""
+    m = members.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_is_m", F.lit(True))
+    hs = ["flat" if h in (0, "0", "flat") else str(h) for h in horizons]
+    tagged = book.join(m, key, "left").select(
+        F.explode(
+            F.when(F.col("_is_m"), F.array(F.lit(labels[0]), F.lit(labels[1])))
+            .otherwise(F.array(F.lit(labels[2]), F.lit(labels[1])))
+        ).alias("cohort"),
+        *[F.col(f"atr_e_{h}") for h in hs], *[F.col(f"cancel_e_{h}") for h in hs],
+    )
+    aggs = []
+    for h in hs:
+        aggs += [F.coalesce(F.sum(f"atr_e_{h}"), F.lit(0)).cast("bigint").alias(f"a_{h}"),
+                 F.coalesce(F.sum(f"cancel_e_{h}"), F.lit(0)).cast("bigint").alias(f"c_{h}")]
+    g = tagged.groupBy("cohort").agg(*aggs)
+    per_h = F.explode(F.array(*[
+        F.struct(F.lit(0 if h == "flat" else int(h)).alias("horizon"), F.col(f"a_{h}").alias("atr_sum"),
+                 F.col(f"c_{h}").alias("cancel_sum"))
+        for h in hs
+    ])).alias("_h")
+    out = g.select("cohort", per_h).select("cohort", "_h.horizon", "_h.atr_sum", "_h.cancel_sum")
+    rate = F.round(ratio(F.col("atr_sum") - F.col("cancel_sum"), F.col("atr_sum"), None) * 100.0, 2)
+    return out.withColumn("rate_pct", rate).withColumn(
+        "rate_text", F.concat(F.format_string("%.2f", F.col("rate_pct")), F.lit("%"))
+    )
+
+
 # --------------------------------------------------------------------------- W30
 def code_transitions(
     snapshots: DataFrame,

@@ -173,3 +173,15 @@ def test_term_characteristics_edges(spark):
     assert out[5].prem_chng_combined == -1.0  # DIV0: zero prior total gives 0, minus 1
     assert out[5].aal_cat_load_change == "NO CHANGE" and out[2].aal_cat_load_change == "INCREASE"
     assert str(out[1].htfd_pol_yr_cnt) == "3.5"
+
+
+def test_cohort_rates_one_pass(spark):
+    book = spark.createDataFrame(
+        [("a", 1, 0, 1, 0), ("b", 1, 1, 1, 1), ("c", 1, 0, 0, 0), ("d", 0, 0, 0, 0)],
+        "pol_id string, atr_e_flat int, cancel_e_flat int, atr_e_30 int, cancel_e_30 int",
+    )
+    members = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "pol_id string")
+    out = {(r.cohort, r.horizon): (r.atr_sum, r.cancel_sum, r.rate_pct) for r in P.cohort_rates(book, members).collect()}
+    assert out[("members", 0)] == (2, 1, 50.0) and out[("book", 0)] == (3, 1, 66.67)
+    assert out[("book_minus_members", 0)] == (1, 0, 100.0) and out[("book_minus_members", 30)] == (0, 0, None)
+    assert out[("book", 30)] == (2, 1, 50.0)
