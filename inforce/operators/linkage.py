@@ -137,14 +137,20 @@ def stack_lines(
 # --------------------------------------------------------------------------- W34
 def quote_funnel(
     latest_quotes: DataFrame,
-    quote_flow: DataFrame,
     rater: DataFrame,
     first_terms: DataFrame,
+    quote_flow: DataFrame | None = None,
 ) -> DataFrame:
     """Latest quote row + per-quote max response/issue counts + comparative
-    rater (left) + the policy's first term persistency (left) + match flag."""
-    agg = quote_flow.groupBy("qcn").agg(F.max("resp_ind_cnt").alias("resp_ind_cnt"), F.max("iss_ind_cnt").alias("iss_ind_cnt"))
-    a = latest_quotes.join(agg, "qcn", "inner")
+    rater (left) + the policy's first term persistency (left) + match flag.
+    When ``quote_flow`` is given the counts are aggregated from it; otherwise
+    ``latest_quotes`` already carries them (see ``selection.latest_with_aggs``)."""
+    a = latest_quotes
+    if quote_flow is not None:
+        agg = quote_flow.groupBy("qcn").agg(
+            F.max("resp_ind_cnt").alias("resp_ind_cnt"), F.max("iss_ind_cnt").alias("iss_ind_cnt")
+        )
+        a = latest_quotes.join(agg, "qcn", "inner")
     c = first_terms.withColumnRenamed("pol_id", "policy_id")
     j = a.join(rater, "qcn", "left").join(c, a.pol_id == c.policy_id, "left")
     return j.withColumn("pol_cnt_issue_match", F.when(F.col("pol_id") == F.col("policy_id"), 1).otherwise(0))

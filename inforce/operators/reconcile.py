@@ -27,6 +27,10 @@ COVERAGE_MAP = {"BI": "bi", "COLL": "coll", "COMP": "comp", "MED": "mp", "PD": "
 MODEL_COVERAGES = ["bi", "coll", "comp", "mp", "pd", "pip", "um"]
 
 
+def _as(c: Column, t: str | None) -> Column:
+    return c if t is None else c.cast(t)
+
+
 # --------------------------------------------------------------------------- W16
 def allocate_prediction(
     loss: DataFrame,
@@ -39,12 +43,16 @@ def allocate_prediction(
 ) -> DataFrame:
     """Spread each period-level coverage prediction over the period's month rows
     in proportion to earned exposure; add the total over the seven coverages."""
+    # the source compares the two ids as text; when both sides already have the
+    # same type the native key is equivalent and hashes faster
+    same = dict(loss.dtypes)[period_col] == dict(model.dtypes)[model_key]
+    key_type = None if same else "string"
     m = model.select(
-        F.col(model_key).cast("string").alias("_mk"),
+        _as(F.col(model_key), key_type).alias("_mk"),
         *[F.col(f"adj_{c}_pp_pred") for c in MODEL_COVERAGES],
         *[F.col(f"{c}_exposure") for c in MODEL_COVERAGES],
     )
-    j = loss.withColumn("_lk", F.col(period_col).cast("string")).join(m, F.col("_lk") == F.col("_mk"), "inner")
+    j = loss.withColumn("_lk", _as(F.col(period_col), key_type)).join(m, F.col("_lk") == F.col("_mk"), "inner")
     # total exposure per (policy, period, coverage): a partial aggregation joined
     # back (AQE splits a hot key on the join) rather than a window that would
     # sort a hot key's rows in one task

@@ -34,6 +34,25 @@ def latest_by_key(
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def latest_with_aggs(
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    keep: Sequence[str],
+    aggs: Sequence[Column] = (),
+) -> DataFrame:
+    """Newest row per key (its ``keep`` columns) together with other per-key
+    aggregates, in one aggregation: ``max_by(row, ordering)`` is combined
+    map-side like any aggregate, so each task ships one partial row per key and
+    the input is scanned once (instead of a window plus a separate group-by).
+    Ordering is descending with NULLs first, as ``latest_by_key``; ``order``
+    should be unique within a key."""
+    ordering = F.struct(*[e for c in order for e in (F.col(c).isNull(), F.col(c))])
+    row = F.struct(*[F.col(c) for c in keep])
+    g = df.groupBy(*key).agg(F.max_by(row, ordering).alias("_latest"), *aggs)
+    return g.select(*key, "_latest.*", *[a for a in g.columns if a not in (*key, "_latest")])
+
+
 # --------------------------------------------------------------------------- W02
 def extreme_by_key(df: DataFrame, key: Sequence[str], col: str, kind: str = "max") -> DataFrame:
     """All rows whose ``col`` equals its per-key max (or min), ties kept.

@@ -489,16 +489,21 @@ W34_COLS = ["qcn", "pol_id", "quote_last_transaction_dt", "resp_ind_cnt", "iss_i
 
 def quote_funnel(spark, d):
     qf = LN.quote_flow(spark, d).withColumn("_dt", F.to_date("quote_trans_lst_chng_dt", "yyyyMMdd"))
-    latest = SEL.latest_by_key(qf, ["qcn"], ["_dt"], ["line_no", "part_no", "supp_no", "qte_prem_amt"])
+    # latest transaction row and the per-quote maxima in one aggregation
+    latest = SEL.latest_with_aggs(
+        qf, ["qcn"], ["_dt", "line_no", "part_no", "supp_no", "qte_prem_amt"],
+        ["pol_id", "_dt", "qte_prem_amt", "bus_unit_abbr", "quote_trans_lst_chng_dt"],
+        [F.max("resp_ind_cnt").alias("resp_ind_cnt"), F.max("iss_ind_cnt").alias("iss_ind_cnt")],
+    )
     latest = latest.filter((F.col("bus_unit_abbr") == "AGCY") & (F.col("quote_trans_lst_chng_dt") >= QUOTE_FROM)).select(
-        "qcn", "pol_id", F.col("_dt").alias("quote_last_transaction_dt"), "qte_prem_amt"
+        "qcn", "pol_id", F.col("_dt").alias("quote_last_transaction_dt"), "qte_prem_amt", "resp_ind_cnt", "iss_ind_cnt"
     )
     first = SEL.extreme_by_key(pers(spark, d), ["pol_id"], "pol_prd_id", "min").select(
         "pol_id", F.col("pol_eff_dt").alias("first_pol_eff_dt"), "cancel_e_flat", "cancel_e_180", "cancel_e_365",
         "atr_e_flat", "atr_e_180", "atr_e_365", "canc_eff_dt", F.col("risk_st").alias("pol_risk_st"),
         F.col("new_rnw_cd").alias("pol_new_rnw_cd"),
     )
-    out = LK.quote_funnel(latest, qf, LN.comparative_rater(spark, d), first)
+    out = LK.quote_funnel(latest, LN.comparative_rater(spark, d), first)
     return finalize(out.select(*W34_COLS))
 
 

@@ -47,7 +47,7 @@ def test_quote_funnel_and_enrich_rules(spark):
     flow = spark.createDataFrame([(1, 0, 1), (1, 2, 0), (2, 1, 0)], "qcn bigint, resp_ind_cnt int, iss_ind_cnt int")
     rater = spark.createDataFrame([(1, 5)], "qcn bigint, carriers_quoted int")
     first = spark.createDataFrame([("p", D(2020, 1, 1))], "pol_id string, first_pol_eff_dt date")
-    out = {r.qcn: r for r in LK.quote_funnel(latest, flow, rater, first).collect()}
+    out = {r.qcn: r for r in LK.quote_funnel(latest, rater, first, quote_flow=flow).collect()}
     assert (out[1].resp_ind_cnt, out[1].iss_ind_cnt, out[1].carriers_quoted, out[1].pol_cnt_issue_match) == (2, 1, 5, 1)
     assert out[2].carriers_quoted is None and out[2].pol_cnt_issue_match == 0
     hits = spark.createDataFrame([("p", D(2020, 1, 1), 7), ("p", D(2020, 1, 1), 8), ("x", D(2020, 1, 1), 7)],
@@ -87,3 +87,17 @@ def test_claims_ingest_dates_and_split(spark):
     assert dict(out.dtypes)["loss_dt"] == "date" and dict(out.dtypes)["rpt_tmsp"] == "date"
     got = {r.clm_id: (r.loss_dt, float(r.glass_tow_amt)) for r in out.collect()}
     assert got == {1: (D(2024, 7, 2), 10.5), 2: (D(2024, 7, 5), 0.0)}
+
+
+def test_latest_with_aggs_matches_window(spark):
+    from inforce.operators import selection as SEL
+
+    df = spark.createDataFrame(
+        [("k", None, 1, 10), ("k", D(2024, 1, 2), 2, 20), ("k", D(2024, 1, 2), 3, 30), ("j", D(2023, 1, 1), 4, 40)],
+        "key string, d date, n int, v int",
+    )
+    got = {r.key: (r.n, r.v, r.mx) for r in SEL.latest_with_aggs(df, ["key"], ["d", "n"], ["n", "v"], [F.max("v").alias("mx")]).collect()}
+    # NULL order value first (descending, nulls first), as latest_by_key
+    assert got == {"k": (1, 10, 30), "j": (4, 40, 40)}
+    ref = {r.key: r.n for r in SEL.latest_by_key(df, ["key"], ["d"], ["n"]).collect()}
+    assert ref == {k: v[0] for k, v in got.items()}
