@@ -40,16 +40,23 @@ def latest_with_aggs(
     order: Sequence[str],
     keep: Sequence[str],
     aggs: Sequence[Column] = (),
+    descending: bool = True,
 ) -> DataFrame:
     """Newest row per key (its ``keep`` columns) together with other per-key
     aggregates, in one aggregation: ``max_by(row, ordering)`` is combined
     map-side like any aggregate, so each task ships one partial row per key and
     the input is scanned once (instead of a window plus a separate group-by).
-    Ordering is descending with NULLs first, as ``latest_by_key``; ``order``
-    should be unique within a key."""
-    ordering = F.struct(*[e for c in order for e in (F.col(c).isNull(), F.col(c))])
+    Ordering puts NULLs first, as ``latest_by_key`` (descending by default,
+    ``descending=False`` gives the earliest row); ``order`` should be unique
+    within a key."""
     row = F.struct(*[F.col(c) for c in keep])
-    g = df.groupBy(*key).agg(F.max_by(row, ordering).alias("_latest"), *aggs)
+    if descending:
+        ordering = F.struct(*[e for c in order for e in (F.col(c).isNull(), F.col(c))])
+        pick = F.max_by(row, ordering)
+    else:
+        ordering = F.struct(*[e for c in order for e in (F.col(c).isNotNull(), F.col(c))])
+        pick = F.min_by(row, ordering)
+    g = df.groupBy(*key).agg(pick.alias("_latest"), *aggs)
     return g.select(*key, "_latest.*", *[a for a in g.columns if a not in (*key, "_latest")])
 
 

@@ -127,10 +127,11 @@ def first_transactions(spark, d):
         F.col("l_orderkey").alias("pol_prd_id"), "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey",
         F.col("l_extendedprice").cast("decimal(18,2)").alias("frst_trans_prem"), "l_extendedprice",
     )
-    first = SEL.latest_by_key(
-        li, ["pol_prd_id"], ["l_shipdate"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], descending=False
+    # earliest line per order as one (map-side combined) aggregation
+    return SEL.latest_with_aggs(
+        li, ["pol_prd_id"], ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+        ["frst_trans_prem"], descending=False,
     )
-    return first.select("pol_prd_id", "frst_trans_prem")
 
 
 @session_memo
