@@ -13,7 +13,6 @@ from inforce.operators import linkage as LK
 from inforce.operators import maintenance as MT
 from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
-from inforce.operators.common import with_group_aggs
 from inforce.plans.persistency_plans import TXN_SQL, W35_SINCE, flags_sql, pers, transactions
 from inforce.plans.registry import finalize, register
 from inforce.sources import lines as LN
@@ -551,11 +550,11 @@ W36_COLS = ["pol_id", "pol_eff_dt", "hit_prd_id", "hit_line", "uw_ref_decl_rule_
 
 @session_memo
 def rule_terms(spark, d):
-    t = with_group_aggs(pers(spark, d), ["pol_id"], [F.min("pol_eff_dt").alias("_orig")])
+    t = pers(spark, d)
     veh = (F.col("pol_prd_id") % 3) + (F.col("pol_prd_id") % 2) + (F.col("risk_st") % 2).cast("bigint") + F.lit(1)
     return t.select(
         "pol_id", "pol_eff_dt", "pol_prd_id", "cancel_flag", "pol_form_cd",
-        F.col("_orig").alias("orig_pol_eff_dt"), veh.alias("veh_cnt"),
+        F.col("orig_pol_eff_dt"), veh.alias("veh_cnt"),
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
-from inforce.operators.common import with_group_aggs
 from inforce.plans.registry import finalize, register
 from inforce.sources import staging as S
 from inforce.sources.tables import read_table, session_memo
@@ -392,13 +391,13 @@ rsn AS (
 
 @session_memo
 def transactions(spark, d):
-    t = with_group_aggs(S.term(spark, d), ["pol_id"], [F.min("pol_eff_dt").alias("_orig")])
+    t = S.term(spark, d)
     raw = t.select(
         F.col("pol_id").alias("qcn"), F.col("pol_eff_dt").alias("trans_dt"), F.col("pol_prd_id").alias("trans_id"),
         F.col("pol_prd_id").alias("version_id"),
         F.when(F.col("canc_eff_dt").isNotNull(), F.lit("Cancel")).otherwise(F.lit("Reinstate")).alias("trans_typ_desc"),
         F.when(F.col("pol_prd_id") % 10 == 3, F.lit("Pending")).otherwise(F.lit("Committed")).alias("trans_stat_desc"),
-        F.col("_orig").alias("orig_pol_eff_dt"), "canc_eff_dt",
+        F.col("orig_pol_eff_dt"), "canc_eff_dt",
     )
     txn = SEL.extreme_by_key(raw, ["qcn", "trans_dt"], "version_id", "max")
     rsn = t.select(

@@ -64,6 +64,7 @@ def term(spark: SparkSession, d: str) -> DataFrame:
             F.col("risk_st"),
             F.col("mkt_segment"),
             F.when(first == F.col("_first"), F.lit("N")).otherwise(F.lit("R")).alias("new_rnw_cd"),
+            as_date(F.col("_first.o_orderdate")).alias("orig_pol_eff_dt"),
             F.when(F.col("o_orderkey") % 5 == 0, 6).otherwise(12).alias("term_mo_cnt"),
             F.when(
                 F.col("o_orderkey") % 4 == 0,
@@ -92,7 +93,8 @@ TERM_SQL = """term AS (
          CASE WHEN o.o_orderkey % 5 = 0 THEN 6 ELSE 12 END AS term_mo_cnt,
          CASE WHEN o.o_orderkey % 4 = 0
               THEN CAST(o.o_orderdate AS DATE) + CAST((o.o_orderkey * 37) % 420 - 20 - (o.o_orderkey * 11) % 60 AS INTEGER) END AS canc_trans_dt,
-         CASE WHEN o.o_orderkey % 3 = 0 THEN 'N' ELSE 'Y' END AS newco_ind
+         CASE WHEN o.o_orderkey % 3 = 0 THEN 'N' ELSE 'Y' END AS newco_ind,
+         MIN(CAST(o.o_orderdate AS DATE)) OVER (PARTITION BY o.o_custkey) AS orig_pol_eff_dt
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
