@@ -5,8 +5,9 @@ Scale notes
 * The cohort configuration is one row per state, so it is broadcast; the
   per-group start dates become a join + filter instead of one query per group.
 * Loss rows are joined on the policy key *and* effective date, then grouped by
-  policy x month: one shuffle on ``pol_id`` serves both (the join's hash
-  partitioning satisfies the aggregate's required distribution).
+  policy x month with partial aggregation before that second shuffle. Hashing
+  on (policy, term) and (policy, month) rather than on the policy alone
+  spreads a hot policy over its terms and months.
 * Ratios over few segment keys (state, segment) are computed from aggregated
   rows, never with a window over raw rows: the window input is the small
   aggregate, so a hot state cannot land a third of the data in one task.
@@ -226,6 +227,10 @@ def segment_loss_ratio(
         ratio("_ult", "_ep", 4).alias("ult_loss_ratio"),
         ratio("_inc", "_ep", 4).alias("incur_loss_ratio"),
         F.round(F.col("_ee").cast("double") / tot.cast("double") * 100.0, 2).alias("ee_pct"),
+        # the worksheet's text form, one decimal and a percent sign
+        F.concat(
+            F.format_string("%.1f", round_half_up(F.col("_ee").cast("double") / tot.cast("double") * 100.0, 1)), F.lit("%")
+        ).alias("ee_pct_text"),
     )
 
 

@@ -30,6 +30,13 @@ def profile(df: DataFrame, id_col: str, date_col: str, status_col: str) -> DataF
     )
 
 
+def segment_date_range(df: DataFrame, segment: Sequence[str], date_col: str, id_col: str) -> DataFrame:
+    """First and last date and distinct ids per segment (one aggregation)."""
+    return df.groupBy(*segment).agg(
+        F.min(date_col).alias("first_dt"), F.max(date_col).alias("last_dt"), F.countDistinct(id_col).alias("id_cnt")
+    )
+
+
 def timestamps_to_dates(df: DataFrame) -> DataFrame:
     """Every timestamp column becomes a DATE (schema-driven, like the notebook's loop)."""
     out = []

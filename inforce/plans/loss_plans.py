@@ -210,7 +210,10 @@ W15_MIN_EFF = "1998-01-01"
         """SELECT acct_cr_ind, rate_plan_cd, CAST(_ee AS DOUBLE) AS earned_exposure,
        ROUND(CAST(_ult AS DOUBLE) / NULLIF(CAST(_ep AS DOUBLE), 0), 4) AS ult_loss_ratio,
        ROUND(CAST(_inc AS DOUBLE) / NULLIF(CAST(_ep AS DOUBLE), 0), 4) AS incur_loss_ratio,
-       ROUND(CAST(_ee AS DOUBLE) / CAST(SUM(_ee) OVER () AS DOUBLE) * 100.0, 2) AS ee_pct
+       ROUND(CAST(_ee AS DOUBLE) / CAST(SUM(_ee) OVER () AS DOUBLE) * 100.0, 2) AS ee_pct,
+       printf('%.1f', sign(CAST(_ee AS DOUBLE) / CAST(SUM(_ee) OVER () AS DOUBLE) * 100.0)
+              * floor(abs(CAST(_ee AS DOUBLE) / CAST(SUM(_ee) OVER () AS DOUBLE) * 100.0) * CAST(10 AS DOUBLE) + 0.5)
+              / CAST(10 AS DOUBLE)) || '%' AS ee_pct_text
 FROM seg""",
         [f"""chars AS (SELECT pol_id, pol_prd_id, acct_cr_ind, rate_plan_cd FROM term WHERE pol_eff_dt >= DATE '{W15_MIN_EFF}')""",
          """ru AS (
