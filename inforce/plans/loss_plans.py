@@ -67,7 +67,7 @@ def _uw_sql(body: str, upto: str = "fixed", more: list[str] | None = None) -> st
     return S.with_ctes(_UW_CTES, body, extra + (more or []))
 
 
-# ----------------------------------------------------------------------------- DataFrame pipeline
+# ----------------------------------------------------------------------------- shared DataFrame stages
 @session_memo
 def uw_cohort(spark, d):
     return L.cohort_extract(S.auto_policy(spark, d), S.cohort_config(spark), S.AS_OF)

@@ -298,18 +298,18 @@ QUOTE_FLOW_SQL = """quote_flow AS (
 def comparative_rater(spark: SparkSession, d: str) -> DataFrame:
     o = read_table(spark, d, "orders").filter(F.col("o_orderstatus").isin("F", "O"))
     return o.select(
-        F.col("o_orderkey").alias("qcn"), F.col("o_totalprice").cast("decimal(18,2)").alias("hig_premium"),
+        F.col("o_orderkey").alias("qcn"), F.col("o_totalprice").cast("decimal(18,2)").alias("own_premium"),
         (F.col("o_orderkey") % 5 + 1).cast("int").alias("carriers_quoted"),
         F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0).alias("win_ind"),
-        (F.col("o_orderkey") % 4 + 1).cast("int").alias("hig_rank"),
+        (F.col("o_orderkey") % 4 + 1).cast("int").alias("own_rank"),
     )
 
 
 RATER_SQL = """comparative_rater AS (
-  SELECT o_orderkey AS qcn, CAST(o_totalprice AS DECIMAL(18,2)) AS hig_premium,
+  SELECT o_orderkey AS qcn, CAST(o_totalprice AS DECIMAL(18,2)) AS own_premium,
          CAST(o_orderkey % 5 + 1 AS INTEGER) AS carriers_quoted,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS win_ind,
-         CAST(o_orderkey % 4 + 1 AS INTEGER) AS hig_rank
+         CAST(o_orderkey % 4 + 1 AS INTEGER) AS own_rank
   FROM orders WHERE o_orderstatus IN ('F', 'O')
 )"""
 
