@@ -179,7 +179,7 @@ CAMPAIGN_SQL = """campaign_extract AS (
 QUALIFYING_EVENTS = ["purchase"]
 QUALIFYING_PAGE = "renewal-dashboard"
 QUALIFYING_DETAIL = "learn-more-rate"
-SITE = "newco-service"
+SITE = "policy-service"
 
 
 @session_memo
