@@ -35,6 +35,25 @@ def _desc(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in cols]
 
 
+def _null_safe_parts(c: Column, dtype) -> tuple[Column, Column]:
+    """(is-null flag, value with NULL replaced by a typed default): together an
+    injective, never-NULL stand-in for ``c``, so NULL keys group and join like
+    any other value in plain equi-joins."""
+    from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
+
+    if isinstance(dtype, StringType):
+        default = F.lit("")
+    elif isinstance(dtype, NumericType):
+        default = F.lit(0).cast(dtype)
+    elif isinstance(dtype, BooleanType):
+        default = F.lit(False)
+    elif isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        default = F.lit("1970-01-01").cast(dtype)
+    else:
+        default = F.lit(None).cast(dtype)
+    return c.isNull(), F.coalesce(c, default)
+
+
 def bucketed_lags(
     df: DataFrame,
     key: Sequence[str],
@@ -45,12 +64,23 @@ def bucketed_lags(
     """Add ``lag{n}_{col}`` for every ``col -> offsets`` in ``lags``.
 
     ``order`` must make rows unique within a key (add a tiebreak column);
-    ``bucket`` must be non-decreasing along ``order`` within a key."""
+    ``bucket`` must be non-decreasing along ``order`` within a key (NULL
+    order values, and a NULL bucket, come first)."""
     key = list(key)
     max_off = max(max(v) for v in lags.values())
-    d0 = df.withColumn("_bkt", bucket)
-    w = Window.partitionBy(*key, "_bkt").orderBy(*_asc(order))
-    wd = Window.partitionBy(*key, "_bkt").orderBy(*_desc(order))
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    # never-NULL stand-ins for the key and the bucket: the windows and the
+    # carry-in join use the same plain columns, so the join needs no new shuffle
+    parts = []
+    for i, k in enumerate(key):
+        kn, kf = _null_safe_parts(F.col(k), types[k])
+        parts += [kn.alias(f"_kn{i}"), kf.alias(f"_kf{i}")]
+    d0 = df.select(F.col("*"), *parts, bucket.alias("_bkt"))
+    bn, bf = _null_safe_parts(F.col("_bkt"), d0.schema["_bkt"].dataType)
+    d0 = d0.select(F.col("*"), bn.alias("_bn"), bf.alias("_bf")).drop("_bkt")
+    gkey = [c for i in range(len(key)) for c in (f"_kn{i}", f"_kf{i}")]
+    w = Window.partitionBy(*gkey, "_bn", "_bf").orderBy(*_asc(order))
+    wd = Window.partitionBy(*gkey, "_bn", "_bf").orderBy(*_desc(order))
     sel = [F.col("*"), F.row_number().over(w).alias("_rn")]
     for c, offs in lags.items():
         for n in offs:
@@ -62,22 +92,22 @@ def bucketed_lags(
     # partial group limit before its shuffle, so only <= max_off rows per
     # (key, bucket) and task move; this branch re-reads only the needed columns
     tail = (
-        d0.select(*key, "_bkt", *cols, F.row_number().over(wd).alias("_rnd"))
+        d0.select(*gkey, "_bn", "_bf", *cols, F.row_number().over(wd).alias("_rnd"))
         .filter(F.col("_rnd") <= max_off)
     )
-    wt = Window.partitionBy(*key).orderBy(F.col("_bkt").asc_nulls_first(), F.col("_rnd").desc())
-    tsel = [F.col(k) for k in key] + [F.col("_bkt"), F.col("_rnd")]
+    # NULL bucket first, then buckets ascending; within a bucket earliest first
+    wt = Window.partitionBy(*gkey).orderBy(F.col("_bn").desc(), F.col("_bf").asc(), F.col("_rnd").desc())
+    tsel = [F.col(c) for c in gkey] + [F.col("_bn"), F.col("_bf")]
     for c in cols:
         for i in range(1, max_off + 1):
             tsel.append(F.lag(c, i).over(wt).alias(f"_in{i}_{c}"))
-    # the earliest tail row of a bucket carries the values just before the bucket
-    first_of_bucket = F.col("_rnd") == F.max("_rnd").over(Window.partitionBy(*key, "_bkt"))
-    carry = (
-        tail.select(*tsel, first_of_bucket.alias("_first"))
-        .filter(F.col("_first"))
-        .drop("_first", "_rnd")
-    )
-    j = d.join(carry, [*key, "_bkt"], "left")
+    # the earliest tail row of a bucket (first row, or the bucket changed from the
+    # previous tail row) carries the values just before the bucket; computed on
+    # the same window as the lags, so the tail table is shuffled once
+    changed = (F.lag("_bn", 1).over(wt) != F.col("_bn")) | (F.lag("_bf", 1).over(wt) != F.col("_bf"))
+    first_of_bucket = (F.row_number().over(wt) == 1) | changed
+    carry = tail.select(*tsel, first_of_bucket.alias("_first")).filter(F.col("_first")).drop("_first")
+    j = d.join(carry, [*gkey, "_bn", "_bf"], "left")
     out = [F.col(c) for c in df.columns]
     for c, offs in lags.items():
         for n in offs:

@@ -13,11 +13,11 @@ from inforce.operators import reconcile as R
 from inforce.operators import selection as SEL
 from inforce.operators.sequence import bucketed_lags, plain_lags
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 terms = st.lists(
     st.tuples(
-        st.sampled_from(["hot", "a", "b"]),
+        st.one_of(st.none(), st.sampled_from(["hot", "hot", "a", "b"])),
         st.one_of(st.none(), st.dates(dt.date(2000, 1, 1), dt.date(2006, 12, 31))),
         st.one_of(st.none(), st.integers(-5, 5)),
     ),
@@ -31,9 +31,10 @@ terms = st.lists(
 def test_bucketed_lags_equal_plain_window(spark, rows):
     data = [(k, d, i, v) for i, (k, d, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, d date, i int, v int")
-    lags = {"v": (1, 2)}
-    a = bucketed_lags(df, ["k"], ["d", "i"], F.year("d"), lags).select("i", "lag1_v", "lag2_v").collect()
-    b = plain_lags(df, ["k"], ["d", "i"], lags).select("i", "lag1_v", "lag2_v").collect()
+    lags = {"v": (1, 2, 3)}
+    cols = ["i", "lag1_v", "lag2_v", "lag3_v"]
+    a = bucketed_lags(df, ["k"], ["d", "i"], F.year("d"), lags).select(*cols).collect()
+    b = plain_lags(df, ["k"], ["d", "i"], lags).select(*cols).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
