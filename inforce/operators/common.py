@@ -51,11 +51,22 @@ def exclude_keys(df: DataFrame, members: DataFrame, keys: Sequence[str]) -> Data
     return df.join(drop_null_keys(members.select(*keys), keys), list(keys), "left_anti")
 
 
-def with_group_aggs(df: DataFrame, key: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+def with_group_aggs(df: DataFrame, key: Sequence[str], aggs: Sequence[Column], null_keys: bool = False) -> DataFrame:
     """Attach per-key aggregates to every row (``agg() OVER (PARTITION BY key)``).
 
     Written as a partial aggregation joined back rather than a window: a hot
     key ships one partial row per task instead of all its rows to one task,
-    and the join back is an equi-join that AQE can split when skewed."""
+    and the join back is an equi-join that AQE can split when skewed.
+
+    Rows with a NULL key get NULL aggregates unless ``null_keys=True``, which
+    matches NULL keys null-safely as the window would (at the cost of
+    re-partitioning on the null-safe key instead of reusing the key's)."""
     g = df.groupBy(*key).agg(*aggs)
-    return df.join(g, list(key), "left")
+    if not null_keys:
+        return df.join(g, list(key), "left")
+    g = g.select(*[F.col(k).alias(f"_gk_{k}") for k in key], *[c for c in g.columns if c not in key])
+    cond = None
+    for k in key:
+        c = F.col(k).eqNullSafe(F.col(f"_gk_{k}"))
+        cond = c if cond is None else cond & c
+    return df.join(g, cond, "left").drop(*[f"_gk_{k}" for k in key])

@@ -102,3 +102,14 @@ def test_bucketed_lags_equal_plain_window_with_a_hot_key(spark):
     b = plain_lags(df, ["k"], ["eff", "prd"], lags)
     cols = ["prd", "lag1_v", "lag2_v", "lag1_s"]
     assert sorted(a.select(*cols).collect()) == sorted(b.select(*cols).collect())
+
+
+def test_with_group_aggs_matches_window_with_null_keys(spark):
+    from pyspark.sql import Window
+
+    from inforce.operators.common import with_group_aggs
+
+    df = spark.createDataFrame([("a", 1), ("a", 5), (None, 2), (None, 7), ("b", None)], "k string, v int")
+    got = sorted((r.k or "", r.v or 0, r.m or 0) for r in with_group_aggs(df, ["k"], [F.max("v").alias("m")], null_keys=True).collect())
+    want = sorted((r.k or "", r.v or 0, r.m or 0) for r in df.withColumn("m", F.max("v").over(Window.partitionBy("k"))).collect())
+    assert got == want
