@@ -148,3 +148,60 @@ def test_selection_brute_force(spark):
         if len(codes) == 1:
             want3 += [r[2] for r in rows if r[0] == k]
     assert got3 == sorted(want3)
+
+
+def test_code_transitions_brute_force(spark):
+    rnd = random.Random(7)
+    mes = [dt.date(2024, m, 28) for m in range(1, 9)]
+    rows = []
+    for p in range(40):
+        for me in sorted(rnd.sample(mes, rnd.randrange(1, 6))):
+            rows.append((f"p{p}", me, rnd.choice(["HO3", "HO5", "0"])))
+    snaps = spark.createDataFrame(rows, "policy_id string, me_dt date, pol_form_cd string")
+    now_ids = {f"p{p}" for p in range(0, 40, 3)}
+    now = spark.createDataFrame([(i,) for i in now_ids], "policy_id string")
+    got = {r.policy_id: r for r in P.code_transitions(snaps, now, from_code="HO3", label="HO3").collect()}
+    want = {}
+    for p in {r[0] for r in rows}:
+        seq = sorted((r for r in rows if r[0] == p), key=lambda r: r[1])
+        changes = [seq[i][1] for i in range(1, len(seq)) if seq[i][2] != seq[i - 1][2]]
+        if not changes:
+            continue
+        ini, cur = seq[0][2], seq[-1][2]
+        if ini == "HO3" and cur != "0":
+            b = "HO3 to Other"
+        elif ini == "HO3" and cur == "0":
+            b = "HO3 to Nothing"
+        elif cur == "HO3" and ini != "0":
+            b = "Other to HO3"
+        elif cur == "HO3" and ini == "0":
+            b = "Nothing to HO3"
+        elif cur == ini:
+            b = "Multiple Code Changes"
+        else:
+            b = "No HO3 in Transition"
+        want[p] = (ini, cur, max(changes), int(p not in now_ids), b)
+    assert {k: (v.initial_code, v.current_code, v.change_dt, v.cancel_flag, v.bucket) for k, v in got.items()} == want
+
+
+def test_segment_summary_brute_force(spark):
+    from decimal import Decimal
+
+    from inforce.operators import segment as G
+
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["x", "y", None]), rnd.choice(["u", "v", "w", None]), rnd.choice([1, None]),
+             rnd.choice([None, round(rnd.uniform(0.2, 2.0), 6)])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "b1 string, b2 string, c int, m double")
+    got = {(r.segmentation, r.band): (r.cnt, r.lrr) for r in G.segment_summary(df, ["b1", "b2"], "c", "m").collect()}
+    want = {}
+    for i, seg in enumerate(["b1", "b2"]):
+        for band in {r[i] for r in rows if r[i] is not None}:
+            grp = [r for r in rows if r[i] == band]
+            ms = [Decimal(str(r[3])) for r in grp if r[3] is not None]
+            mean = None if not ms else float(sum(ms)) / len(ms)
+            want[(seg, band)] = (sum(1 for r in grp if r[2] is not None), None if mean is None else round(mean, 6))
+    assert got.keys() == want.keys()
+    for k, (cnt, lrr) in want.items():
+        assert got[k][0] == cnt
+        assert (got[k][1] is None and lrr is None) or abs(got[k][1] - lrr) < 1e-6
