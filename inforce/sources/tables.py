@@ -29,6 +29,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _MEMO: dict[tuple, DataFrame] = {}
 
 
+def _session_token(spark: SparkSession):
+    """Identity of a live session (a new application or session gets a new token)."""
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        return (getattr(spark, "session_id", None), id(spark))
+
+
 def session_memo(fn):
     """Build a staging DataFrame once per (session, data folder, arguments).
 
@@ -38,7 +46,7 @@ def session_memo(fn):
 
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, *args):
-        key = (fn.__module__, fn.__qualname__, spark.sparkContext.applicationId, id(spark), args)
+        key = (fn.__module__, fn.__qualname__, _session_token(spark), args)
         df = _MEMO.get(key)
         if df is None:
             df = fn(spark, *args)
