@@ -28,3 +28,17 @@ def test_domain_schema_roundtrip(spark):
     # a partition column is appended last when read back; names and types are kept
     assert sorted((f.name, f.dataType) for f in back.schema) == sorted((f.name, f.dataType) for f in SC.SCHEMAS["term_history"])
     assert back.count() == term.count()
+
+
+def test_segment_summary_written_per_segmentation(spark):
+    from inforce.operators import segment as G
+    from inforce.session import materialize
+
+    df = spark.createDataFrame([("a", "x", 1, 1.0), ("b", "x", 1, 2.0), ("a", "y", None, 3.0)],
+                               "b1 string, b2 string, c int, m double")
+    summ = materialize(G.segment_summary(df, ["b1", "b2"], "c", "m"))  # lineage cut in the checkpoint folder
+    path = os.path.join(tempfile.mkdtemp(prefix="inforce-seg-"), "summary")
+    G.write_summary(summ, path)
+    assert sorted(os.listdir(path)) == ["_SUCCESS", "segmentation=b1", "segmentation=b2"]
+    back = spark.read.parquet(path)
+    assert back.count() == summ.count() == 4
