@@ -86,3 +86,8 @@ def top_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """``ORDER BY ... LIMIT n`` (top-k: each task keeps its best n, then one
     merge of at most n rows per task); the limit is the feature here."""
     return df.orderBy(*order).limit(n)
+
+
+def value_counts(df: DataFrame, col: str, by: Sequence[str] = (), out: str = "cnt") -> DataFrame:
+    """pandas ``value_counts()``: rows per value (within ``by``), NULL values dropped."""
+    return df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias(out))

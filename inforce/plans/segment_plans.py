@@ -269,3 +269,28 @@ W23_SQL = _sql(
 @register("w23_segment_summary", W23_SQL)
 def w23_segment_summary(spark, d):
     return G.segment_summary(banded(spark, d), SEGMENTATIONS, "compl_qte_ind", "elrr")
+
+
+# ----------------------------------------------------------------------------- W21 value counts
+@register(
+    "w21_band_value_counts",
+    _sql(
+        " UNION ALL ".join(
+            f"SELECT '{b}' AS segmentation, CAST({b} AS VARCHAR) AS band, COUNT(*) AS cnt FROM banded "
+            f"WHERE {b} IS NOT NULL GROUP BY {b}"
+            for b in ("pni_age_grp", "cv_decile", "ubi_score_grp", "tlmtc_bucket_cd")
+        ),
+        banded_sql_ctes(),
+    ),
+)
+def w21_band_value_counts(spark, d):
+    """Rows per band of each banding (the notebooks' ``value_counts()`` checks), in one pass."""
+    from inforce.operators.maintenance import value_counts
+
+    b = banded(spark, d)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("segmentation"), F.col(c).cast("string").alias("band"))
+        for c in ("pni_age_grp", "cv_decile", "ubi_score_grp", "tlmtc_bucket_cd")
+    ])).alias("_p")
+    long = b.select(pairs).select("_p.segmentation", "_p.band")
+    return value_counts(long, "band", by=["segmentation"])
