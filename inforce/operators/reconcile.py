@@ -74,10 +74,10 @@ def allocate_prediction(
     return j.withColumn("adj_ttl_pp", total).drop("_lk", "_mk")
 
 
-def model_values(model: DataFrame, model_key: str = "cv_plcy_period_id") -> DataFrame:
+def model_values(model: DataFrame, model_key: str = "cv_plcy_period_id", key_type: str | None = "string") -> DataFrame:
     """Per-period model value per coverage: prediction x exposure, and the total."""
     cols = [(F.col(f"adj_{c}_pp_pred") * F.col(f"{c}_exposure")).alias(f"{c}_ulm") for c in MODEL_COVERAGES]
-    df = model.select(F.col(model_key).cast("string").alias("pol_prd_id"), *cols)
+    df = model.select(_as(F.col(model_key), key_type).alias("pol_prd_id"), *cols)
     total = None
     for c in MODEL_COVERAGES:
         total = F.col(f"{c}_ulm") if total is None else total + F.col(f"{c}_ulm")
@@ -89,16 +89,20 @@ def allocation_check(alloc: DataFrame, model: DataFrame, tol: float = 0.02, with
     """Re-sum the allocation per period and compare with the model value per
     coverage; keep periods where every coverage is within ``tol`` (or, with
     ``within=False``, where any coverage is outside it)."""
-    op = alloc.groupBy(F.col("pol_prd_id").cast("string").alias("pol_prd_id")).agg(
+    # ids are compared as text (as the source does); with equal native types the
+    # native key is equivalent, and the text form is produced only for the output
+    same = dict(alloc.dtypes)["pol_prd_id"] == dict(model.dtypes)["cv_plcy_period_id"]
+    key_type = None if same else "string"
+    op = alloc.groupBy(_as(F.col("pol_prd_id"), key_type).alias("pol_prd_id")).agg(
         *[F.sum(f"adj_{c}_pp").alias(f"{c}_op") for c in MODEL_COVERAGES], F.sum("adj_ttl_pp").alias("ttl_op")
     )
-    j = op.join(model_values(model), "pol_prd_id", "inner")
+    j = op.join(model_values(model, key_type=key_type), "pol_prd_id", "inner")
     ok = None
     for c in MODEL_COVERAGES:
         cond = F.abs(F.col(f"{c}_op") - F.col(f"{c}_ulm")) <= tol
         ok = cond if ok is None else ok & cond
     j = j.filter(ok if within else ~ok)
-    out = ["pol_prd_id"]
+    out = [F.col("pol_prd_id").cast("string").alias("pol_prd_id")]
     for c in [*MODEL_COVERAGES, "ttl"]:
         out += [round_half_up(f"{c}_op", 4).alias(f"{c}_op"), round_half_up(f"{c}_ulm", 4).alias(f"{c}_ulm")]
     return j.select(*out)
