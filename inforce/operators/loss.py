@@ -248,8 +248,13 @@ def premium_change_by_year(terms: DataFrame, change_col: str, eff_col: str = "po
 
 # --------------------------------------------------------------------------- W40
 def loss_by_source(ids: DataFrame, losses: DataFrame, id_col: str = "pol_id") -> DataFrame:
-    """Keep every listed id (left join), Σ premium and loss by id x month x source."""
-    j = ids.join(losses, id_col, "left")
+    """Keep every listed id (left join), Σ premium and loss by id x month x source.
+
+    Losses are summed to id x month *before* the join: the sums are
+    distributive, a hot id ships one partial row per task and month, and the
+    right side of the left join (which AQE cannot split) is small per key."""
+    lo = losses.groupBy(id_col, "earned_month").agg(F.sum("ep").alias("_ep"), F.sum("incur_loss").alias("_il"))
+    j = ids.join(lo, id_col, "left")
     return j.groupBy(id_col, "earned_month", "source").agg(
-        F.sum("ep").cast("double").alias("ep"), F.sum("incur_loss").cast("double").alias("incur_loss")
+        F.sum("_ep").cast("double").alias("ep"), F.sum("_il").cast("double").alias("incur_loss")
     )
