@@ -42,3 +42,13 @@ def test_segment_summary_written_per_segmentation(spark):
     assert sorted(p for p in os.listdir(path) if p.startswith("segmentation=")) == ["segmentation=b1", "segmentation=b2"]
     back = spark.read.parquet(path)
     assert back.count() == summ.count() == 4
+
+
+def test_persistency_build_reports_match_registered_queries(spark):
+    from inforce.plans.persistency_build import build_persistency_table
+
+    out = build_persistency_table(spark, SF, name="persistency_test")
+    assert _rows(out["premium_change_by_year"]) == _rows(E.queries()["w37_premium_change_by_year"](spark, SF))
+    ult = {r.pol_prd_id: r.ult_canc_cnt for r in E.queries()["w05_ultimate_cancel"](spark, SF).collect()}
+    got = {r.pol_prd_id: r.ult_canc_cnt for r in out["table"].select("pol_prd_id", "ult_canc_cnt").collect()}
+    assert got == ult
