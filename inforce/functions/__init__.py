@@ -2,6 +2,7 @@
 
 from inforce.functions.columns import (  # noqa: F401
     as_date,
+    date_literal,
     date_from_yyyymmdd,
     days_between,
     div0,

@@ -22,6 +22,12 @@ def as_date(x: ColumnLike) -> Column:
     return F.to_date(_c(x))
 
 
+def date_literal(text: str, fmt: str = "ddMMMyyyy") -> Column:
+    """A date written as text in the worksheets (e.g. '01Jul2024'), parsed explicitly
+    instead of relying on an implicit string-to-date conversion."""
+    return F.to_date(F.lit(text), fmt)
+
+
 def date_from_yyyymmdd(x: ColumnLike) -> Column:
     """Integer- or string-coded ``yyyymmdd`` -> DATE; 0, '' and NULL mean "none"."""
     s = _c(x).cast("string")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
@@ -50,13 +50,14 @@ def timestamps_to_dates(df: DataFrame) -> DataFrame:
 
 def claims_ingest(
     src: DataFrame,
-    since: dt.date,
+    since: dt.date | Column,
     date_col: str = "loss_dt",
     special_covs: Sequence[str] = ("Glass", "Towing"),
 ) -> DataFrame:
     """Claims on or after ``since`` with the glass/towing amount split out and
     all timestamps reduced to dates. The date filter is pushed into the scan."""
-    df = src.filter(F.col(date_col) >= F.lit(since))
+    bound = since if isinstance(since, Column) else F.lit(since)
+    df = src.filter(F.col(date_col) >= bound)
     df = df.withColumn(
         "glass_tow_amt",
         F.when(F.col("cov_typ_desc").isin(list(special_covs)), F.col("clm_ttl_inc_amt")).otherwise(
