@@ -173,18 +173,27 @@ def term_characteristics(
     order: Sequence[str] = ("pol_eff_dt", "pol_prd_id"),
     bucket: Column | None = None,
     modelled: Sequence[str] = ("eq_grss_aal_amt", "hurr_grss_aal_amt", "total_aal_cat_load"),
+    first_latest: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """The remaining term-history columns of the persistency build, on a
     reference table with ``yyyymmdd`` integer dates (0 = none):
     decoded dates, credit label, annualised premium, prior-policy premium,
     combined (two-line) premium change, cancel entry date, tenure as a
     decimal, full zip, prior rate-table date and change flag, prior-term
-    modelled-loss amounts and the catastrophe-load change label."""
+    modelled-loss amounts and the catastrophe-load change label.
+
+    ``first_latest`` maps a name to (first-of-term column, latest-of-term
+    column): ``prev_term_<name>`` is the prior term's latest value and
+    ``same_<name>_ind`` is 1 when it equals this term's first value (the
+    source's CHNG_* flags, which mark an *unchanged* value)."""
+    first_latest = first_latest or {}
     prev = latest_premium_by_policy(ref, key)
     j = ref.join(prev, ref["prev_pol_id"] == prev["_prev_key"], "left").drop("_prev_key")
     lags = {"term_writ_prem": (1,), "current_term_auto_prem": (1,), "rate_tbl_dt": (1,)}
     for c in modelled:
         lags[c] = (1,)
+    for _, (_, latest) in first_latest.items():
+        lags[latest] = (1,)
     j = ordered_lags(j, [key], order, lags, bucket)
     prem, auto = F.col("term_writ_prem"), F.col("current_term_auto_prem")
     lprem, lauto = F.col("lag1_term_writ_prem"), F.col("lag1_current_term_auto_prem")
@@ -220,6 +229,9 @@ def term_characteristics(
         *[F.col(f"lag1_{c}").alias(f"prr_{c}") for c in modelled],
         aal.alias("aal_cat_load_change"),
     ]
+    for name, (first, latest) in first_latest.items():
+        out.append(F.col(f"lag1_{latest}").alias(f"prev_term_{name}"))
+        out.append(F.when(F.col(f"lag1_{latest}") == F.col(first), 1).otherwise(0).alias(f"same_{name}_ind"))
     return j.select(*out)
 
 

@@ -469,7 +469,10 @@ _CHAR_COLS = [
     "prev_term_latest_prem_amt", "prev_term_auto_prem", "prem_chng_combined", "prev_pol_id_latst_prem",
     "cancel_trans_dt", "htfd_pol_yr_cnt", "dwell_loc_addr_full_zip_cd", "prev_term_rate_tbl_dt", "rate_tbl_dt_chng_ind",
     "prr_eq_grss_aal_amt", "prr_hurr_grss_aal_amt", "prr_total_aal_cat_load", "aal_cat_load_change",
+    "prev_term_loss_cnt", "same_loss_cnt_ind", "prev_term_ins_score", "same_ins_score_ind",
 ]
+FIRST_LATEST = {"loss_cnt": ("frst_chrg_loss_cnt", "latst_chrg_loss_cnt"),
+                "ins_score": ("frst_ins_score_cd", "latst_ins_score_cd")}
 _YMD = "CASE WHEN {c} IS NULL OR {c} = 0 THEN NULL ELSE CAST(strptime(CAST({c} AS VARCHAR), '%Y%m%d') AS DATE) END"
 
 
@@ -501,12 +504,15 @@ def _char_sql() -> str:
             WHEN total_aal_cat_load IS NULL OR lag_cat IS NULL THEN 'UNKNOWN'
             WHEN total_aal_cat_load = lag_cat THEN 'NO CHANGE'
             WHEN total_aal_cat_load > lag_cat THEN 'INCREASE'
-            WHEN total_aal_cat_load < lag_cat THEN 'DECREASE' END AS aal_cat_load_change
+            WHEN total_aal_cat_load < lag_cat THEN 'DECREASE' END AS aal_cat_load_change,
+       lag_loss AS prev_term_loss_cnt, CASE WHEN lag_loss = frst_chrg_loss_cnt THEN 1 ELSE 0 END AS same_loss_cnt_ind,
+       lag_score AS prev_term_ins_score, CASE WHEN lag_score = frst_ins_score_cd THEN 1 ELSE 0 END AS same_ins_score_ind
 FROM (
   SELECT r.*, c.prev_pol_prem,
          LAG(r.term_writ_prem, 1) {w} AS lag_prem, LAG(r.current_term_auto_prem, 1) {w} AS lag_auto,
          LAG(r.rate_tbl_dt, 1) {w} AS lag_rate, LAG(r.eq_grss_aal_amt, 1) {w} AS lag_eq,
-         LAG(r.hurr_grss_aal_amt, 1) {w} AS lag_hurr, LAG(r.total_aal_cat_load, 1) {w} AS lag_cat
+         LAG(r.hurr_grss_aal_amt, 1) {w} AS lag_hurr, LAG(r.total_aal_cat_load, 1) {w} AS lag_cat,
+         LAG(r.latst_chrg_loss_cnt, 1) {w} AS lag_loss, LAG(r.latst_ins_score_cd, 1) {w} AS lag_score
   FROM char_ref r LEFT JOIN (
     SELECT policy_id AS pol_id, term_writ_prem AS prev_pol_prem FROM (
       SELECT *, row_number() OVER (PARTITION BY policy_id ORDER BY pol_eff_dt DESC, pol_prd_id DESC) AS rn FROM char_ref
@@ -517,5 +523,7 @@ FROM (
 
 @register("w03_term_characteristics", S.with_ctes(["term", "char_ref"], _char_sql()))
 def w03_term_characteristics(spark, d):
-    out = P.term_characteristics(S.char_ref(spark, d), bucket=(F.col("pol_eff_dt") / 10000).cast("int"))
+    out = P.term_characteristics(
+        S.char_ref(spark, d), bucket=(F.col("pol_eff_dt") / 10000).cast("int"), first_latest=FIRST_LATEST
+    )
     return finalize(out.select(*_CHAR_COLS))

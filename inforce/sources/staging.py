@@ -337,6 +337,11 @@ def char_ref(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 7 == 0, F.lit(None).cast("decimal(18,2)")).otherwise(((k % 50) * 1.5).cast("decimal(18,2)"))
         .alias("total_aal_cat_load"),
         F.when(F.col("rate_plan_cd") == "P", F.lit("N")).otherwise(F.lit("Y")).alias("aal_data_ind"),
+        (k % 3).cast("int").alias("frst_chrg_loss_cnt"),
+        ((k + F.col("risk_st")) % 3).cast("int").alias("latst_chrg_loss_cnt"),
+        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("S"), (k % 4).cast("string")))
+        .alias("frst_ins_score_cd"),
+        F.concat(F.lit("S"), ((k + 1) % 4).cast("string")).alias("latst_ins_score_cd"),
     )
 
 
@@ -356,7 +361,11 @@ CHAR_REF_SQL = """char_ref AS (
          CAST(CAST(prem AS DOUBLE) * 0.01 AS DECIMAL(18,4)) AS eq_grss_aal_amt,
          CAST(CAST(prem AS DOUBLE) * 0.02 AS DECIMAL(18,4)) AS hurr_grss_aal_amt,
          CASE WHEN pol_prd_id % 7 = 0 THEN NULL ELSE CAST((pol_prd_id % 50) * 1.5 AS DECIMAL(18,2)) END AS total_aal_cat_load,
-         CASE WHEN rate_plan_cd = 'P' THEN 'N' ELSE 'Y' END AS aal_data_ind
+         CASE WHEN rate_plan_cd = 'P' THEN 'N' ELSE 'Y' END AS aal_data_ind,
+         CAST(pol_prd_id % 3 AS INTEGER) AS frst_chrg_loss_cnt,
+         CAST((pol_prd_id + risk_st) % 3 AS INTEGER) AS latst_chrg_loss_cnt,
+         CASE WHEN pol_prd_id % 11 = 0 THEN NULL ELSE 'S' || CAST(pol_prd_id % 4 AS VARCHAR) END AS frst_ins_score_cd,
+         'S' || CAST((pol_prd_id + 1) % 4 AS VARCHAR) AS latst_ins_score_cd
   FROM term
 )"""
 STAGING_SQL["char_ref"] = CHAR_REF_SQL
