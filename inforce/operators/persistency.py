@@ -412,7 +412,10 @@ def reinstated_after_cancel(
         & (F.col("trans_stat_desc") == "Committed")
     )
     j = ordered_lags(
-        j, [key], [when_col, "trans_id"], {"trans_typ_desc": (1,), "trans_rsn_desc": (1,), "canc_eff_dt": (1,)}, bucket
+        # a transaction can carry several reasons (the reason table is keyed by
+        # quote and date only), so the reason is the last tiebreak of the order
+        j, [key], [when_col, "trans_id", "trans_rsn_desc"],
+        {"trans_typ_desc": (1,), "trans_rsn_desc": (1,), "canc_eff_dt": (1,)}, bucket
     )
     j = (
         j.withColumnRenamed("lag1_trans_typ_desc", "cancel_check")

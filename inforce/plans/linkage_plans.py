@@ -619,7 +619,7 @@ REINSTATED_IDS_SQL = f"""reinstated_ids AS (
       FROM txn a JOIN rsn b ON a.qcn = b.qcn AND a.trans_dt = b.trans_dt
       WHERE year(a.trans_dt) - year(a.orig_pol_eff_dt) <= 1 AND a.trans_dt >= DATE '{W35_SINCE.isoformat()}'
         AND a.trans_stat_desc = 'Committed'
-    ) j WINDOW w AS (PARTITION BY qcn ORDER BY trans_dt, trans_id)
+    ) j WINDOW w AS (PARTITION BY qcn ORDER BY trans_dt ASC NULLS FIRST, trans_id ASC NULLS FIRST, trans_rsn_desc ASC NULLS FIRST)
   ) WHERE trans_typ_desc = 'Reinstate' AND cancel_check = 'Cancel' AND non_pymt_check = 'Non-Payment'
 )"""
 STACKED_SQL = """stacked AS (

@@ -425,7 +425,7 @@ _W35_COLS = ["qcn", "trans_id", "orig_pol_eff_dt", "trans_dt", "canc_eff_dt", "t
     WHERE year(a.trans_dt) - year(a.orig_pol_eff_dt) <= 1 AND a.trans_dt >= DATE '{W35_SINCE.isoformat()}'
       AND a.trans_stat_desc = 'Committed'
   ) j
-  WINDOW w AS (PARTITION BY qcn ORDER BY trans_dt, trans_id)
+  WINDOW w AS (PARTITION BY qcn ORDER BY trans_dt ASC NULLS FIRST, trans_id ASC NULLS FIRST, trans_rsn_desc ASC NULLS FIRST)
 ) WHERE trans_typ_desc = 'Reinstate' AND cancel_check = 'Cancel' AND non_pymt_check = 'Non-Payment'""",
         [TXN_SQL],
     ),
