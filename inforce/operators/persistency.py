@@ -103,6 +103,8 @@ def term_history(
     acct_cr: str | None = "acct_cr_ind",
     first_prem: str | None = None,
     bucket: Column | None = None,
+    first_prem_table: DataFrame | None = None,
+    row_id: str = "pol_prd_id",
 ) -> DataFrame:
     """Prior-term values (lag 1, lag 2), premium change and its band, "same as
     prior term" indicators, prior-term cancel and credit indicators.
@@ -110,7 +112,13 @@ def term_history(
     The change compares the term's first-transaction premium (``first_prem``,
     default the term premium) with the prior term's latest one. All lags share
     one window spec; with ``bucket`` (e.g. the effective year) they are
-    computed skew-safe (see ``sequence.bucketed_lags``)."""
+    computed skew-safe (see ``sequence.bucketed_lags``).
+
+    With ``first_prem_table`` (``row_id`` -> ``first_prem``, e.g. the first
+    transaction of each term from a much larger transaction table), the value
+    is attached *after* the lags: once for the term and once for the prior term
+    (joined on the lagged ``row_id``, which must identify a term), so the
+    window inputs never include the transaction table."""
     lags: dict[str, tuple[int, ...]] = {prem: (1, 2)}
     for c in compare:
         lags[c] = (1,)
@@ -118,11 +126,24 @@ def term_history(
         lags[cancel_flag] = (1,)
     if acct_cr is not None:
         lags[acct_cr] = (1,)
-    if first_prem is not None:
+    if first_prem is not None and first_prem_table is None:
         lags[first_prem] = (1,)
+    if first_prem_table is not None:
+        lags[row_id] = (1,)
     lagged = ordered_lags(terms, [key], order, lags, bucket)
+    keep = list(terms.columns)
+    if first_prem_table is not None:
+        fp = first_prem or "frst_trans_prem"
+        cur = first_prem_table.select(F.col(row_id).alias("_fp_id"), F.col(fp))
+        prv = first_prem_table.select(F.col(row_id).alias("_pfp_id"), F.col(fp).alias(f"lag1_{fp}"))
+        lagged = (
+            lagged.join(cur, F.col(row_id) == F.col("_fp_id"), "left")
+            .join(prv, F.col(f"lag1_{row_id}") == F.col("_pfp_id"), "left")
+            .drop("_fp_id", "_pfp_id")
+        )
+        keep.append(fp)
     p = F.col(first_prem or prem).cast("double")
-    sel = [F.col(c) for c in terms.columns]
+    sel = [F.col(c) for c in keep]
     sel.append(F.coalesce(F.col(f"lag1_{prem}").cast("double"), F.lit(0.0)).alias("prev_term_prem"))
     sel.append(F.coalesce(F.col(f"lag2_{prem}").cast("double"), F.lit(0.0)).alias("prev_two_term_prem"))
     for c in compare:

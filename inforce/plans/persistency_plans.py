@@ -135,8 +135,10 @@ def first_transactions(spark, d):
 
 @session_memo
 def history(spark, d):
-    base = pers(spark, d).join(first_transactions(spark, d), "pol_prd_id", "left")
-    return P.term_history(base, prem="prem", first_prem="frst_trans_prem", bucket=YEAR_BUCKET())
+    return P.term_history(
+        pers(spark, d), prem="prem", first_prem="frst_trans_prem", first_prem_table=first_transactions(spark, d),
+        bucket=YEAR_BUCKET(),
+    )
 
 
 def history_sql_ctes() -> list[str]:

@@ -185,3 +185,18 @@ def test_cohort_rates_one_pass(spark):
     assert out[("members", 0)] == (2, 1, 50.0) and out[("book", 0)] == (3, 1, 66.67)
     assert out[("book_minus_members", 0)] == (1, 0, 100.0) and out[("book_minus_members", 30)] == (0, 0, None)
     assert out[("book", 30)] == (2, 1, 50.0)
+
+
+def test_term_history_first_premium_table_equals_prejoin(spark):
+    rows = [("p", 1, D(2020, 1, 1), 100.0, "N", "A", 0), ("p", 2, D(2021, 1, 1), 110.0, "R", "A", 0),
+            ("p", 3, D(2022, 1, 1), 90.0, "R", "B", 1), ("q", 4, D(2021, 6, 1), 50.0, "N", "A", 0),
+            ("q", 5, D(2022, 6, 1), 55.0, "R", "A", 0)]
+    terms = spark.createDataFrame(
+        rows, "pol_id string, pol_prd_id int, pol_eff_dt date, prem double, new_rnw_cd string, rate_plan_cd string, cancel_flag int"
+    )
+    ft = spark.createDataFrame([(1, 99.0), (2, 105.0), (3, None), (5, 60.0)], "pol_prd_id int, frst_trans_prem double")
+    cols = ["pol_prd_id", "frst_trans_prem", "prev_trm_frst_trans_prem", "renewal_prem_change", "renewal_prem_change_grp"]
+    pre = P.term_history(terms.join(ft, "pol_prd_id", "left"), compare=["rate_plan_cd"], acct_cr=None, first_prem="frst_trans_prem")
+    post = P.term_history(terms, compare=["rate_plan_cd"], acct_cr=None, first_prem="frst_trans_prem", first_prem_table=ft,
+                          bucket=F.year("pol_eff_dt"))
+    assert sorted(map(tuple, pre.select(*cols).collect())) == sorted(map(tuple, post.select(*cols).collect()))
