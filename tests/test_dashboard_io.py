@@ -52,3 +52,24 @@ def test_persistency_build_reports_match_registered_queries(spark):
     ult = {r.pol_prd_id: r.ult_canc_cnt for r in E.queries()["w05_ultimate_cancel"](spark, SF).collect()}
     got = {r.pol_prd_id: r.ult_canc_cnt for r in out["table"].select("pol_prd_id", "ult_canc_cnt").collect()}
     assert got == ult
+
+
+def test_readme_usage_on_schema_conformed_tables(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from inforce.operators import loss as L
+    from inforce.operators import persistency as P
+    from inforce.operators import selection as SEL
+
+    terms = SC.conform(S.term(spark, SF), "term_history")
+    loss = SC.conform(S.loss(spark, SF), "operational_loss")
+    uw = SC.conform(S.auto_policy(spark, SF), "auto_policy_latest")
+    cfg = spark.createDataFrame([(str(i), dt.date(1999, 7, 11), "199907") for i in range(25)],
+                                "risk_st string, start_dt date, start_month string")
+    rollup = L.loss_rollup(loss, L.cohort_extract(uw, cfg, as_of=S.AS_OF), exclude_cov=["R"])
+    rollup = L.reclassify(rollup, F.col("clean_dirty_cd") == "D", "derived_yes_no_flag", L.YES_ACC_LABEL)
+    assert L.running_ratio(rollup).count() > 0
+    latest = SEL.latest_by_key(P.development_flags(terms, as_of=S.AS_OF), ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
+    assert P.persistency_rate(latest, "flat").first().atr_sum > 0
