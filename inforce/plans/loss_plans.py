@@ -182,6 +182,7 @@ def _w13(business_type):
 
 register("w13_relativity_both", _w13_sql("Both"))(_w13("Both"))
 register("w13_relativity_renewal", _w13_sql("Renewal"))(_w13("Renewal"))
+register("w13_relativity_nb", _w13_sql("NB"))(_w13("NB"))
 
 
 # ----------------------------------------------------------------------------- W14
@@ -199,6 +200,22 @@ def w14_share_of_total(spark, d):
     return L.share_of_total(df, ["segment", "pol_type"], "epapr")
 
 
+@register(
+    "w14_share_of_total_renewal",
+    _uw_sql(
+        """SELECT segment, CAST(_m AS DOUBLE) AS segment_total,
+       ROUND(CAST(_m AS DOUBLE) / NULLIF(CAST(SUM(_m) OVER () AS DOUBLE), 0), 6) AS share
+FROM seg""",
+        more=[f"seg AS (SELECT {SEGMENT_SQL} AS segment, SUM(CASE WHEN pol_type = 'Renewal' THEN epapr END) AS _m "
+              "FROM fixed GROUP BY 1)"],
+    ),
+)
+def w14_share_of_total_renewal(spark, d):
+    """The dashboard's business-type switch set to 'Renewal' (EPAPR pulse check)."""
+    df = uw_fixed(spark, d).withColumn("segment", L.segment_label())
+    return L.share_of_total(df, ["segment"], "epapr", business_type="Renewal")
+
+
 # ----------------------------------------------------------------------------- W15
 W15_MIN_EFF = "1998-01-01"
 

@@ -295,6 +295,9 @@ register("w07_persistency_rate_e0", _sql(_rate_sql("flat", "book"), [flags_sql()
 register("w07_persistency_rate_e30", _sql(_rate_sql("30", "book"), [flags_sql(), BOOK_SQL]))(
     lambda spark, d: P.persistency_rate(book(spark, d), 30)
 )
+register("w07_persistency_rate_e60", _sql(_rate_sql("60", "book"), [flags_sql(), BOOK_SQL]))(
+    lambda spark, d: P.persistency_rate(book(spark, d), 60)
+)
 
 
 def _w08_sql() -> str:
