@@ -2,7 +2,6 @@ import datetime as dt
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from inforce.functions.bands import band_expr, band_sql
 from inforce.functions.columns import (
