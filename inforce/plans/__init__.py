@@ -1,4 +1,13 @@
 """Registered queries: importing this package fills ``QUERIES`` / ``ORACLES``."""
 
-from inforce.plans import linkage_plans, loss_plans, persistency_plans, reconcile_plans, segment_plans  # noqa: F401
+from inforce.plans import (  # noqa: F401
+    campaign_plans,
+    event_plans,
+    linkage_plans,
+    loss_plans,
+    maintenance_plans,
+    persistency_plans,
+    reconcile_plans,
+    segment_plans,
+)
 from inforce.plans.registry import ORACLES, QUERIES, finalize, register  # noqa: F401

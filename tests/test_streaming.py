@@ -4,7 +4,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from inforce.operators import events as EV
-from inforce.plans import linkage_plans as LP
+from inforce.plans import event_plans as LP
 from inforce.sources import lines as LN
 from inforce.streaming import events as ST
 
