@@ -27,18 +27,25 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this is configured by the deployment and is only read here.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster this is configured by the deployment and is only read here
+    (Spark then also uses it for ``DataFrame.checkpoint``). Only when it is
+    unset (local tests) a scratch folder is created for this application and
+    registered as the context's checkpoint directory.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="inforce-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if path:
+        return path
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_CKPT:
+        _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="inforce-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[app])
+    return _LOCAL_CKPT[app]
 
 
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
