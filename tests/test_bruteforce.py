@@ -205,3 +205,72 @@ def test_segment_summary_brute_force(spark):
     for k, (cnt, lrr) in want.items():
         assert got[k][0] == cnt
         assert (got[k][1] is None and lrr is None) or abs(got[k][1] - lrr) < 1e-6
+
+
+def _rhu(x, d):
+    import math
+
+    if x is None:
+        return None
+    s = 10.0 ** d
+    return math.copysign(1.0, x) * math.floor(abs(x) * s + 0.5) / s if x != 0 else 0.0
+
+
+def test_allocation_and_update_brute_force(spark):
+    from inforce.operators import reconcile as R
+
+    rnd = random.Random(9)
+    covs = ["BI", "COLL", "MED", "PIP", "XX"]
+    loss_rows = [(rnd.choice(["p", "q"]), rnd.choice([1, 2, 3, None]), rnd.choice(covs), f"2024{rnd.randint(1, 12):02d}",
+                  float(rnd.choice([0, 1, 2, 5, 7]))) for _ in range(120)]
+    loss = spark.createDataFrame(loss_rows, "pol_id string, pol_prd_id bigint, cov_type_abbr string, earned_month string, ee double")
+    model_rows = []
+    for prd in (1, 2):
+        row = [prd]
+        for i, _ in enumerate(R.MODEL_COVERAGES):
+            row += [1.37 * (i + 1) * prd, 0.3 + i / 7.0]
+        model_rows.append(tuple(row))
+    schema = "cv_plcy_period_id bigint, " + ", ".join(f"adj_{c}_pp_pred double, {c}_exposure double" for c in R.MODEL_COVERAGES)
+    model = spark.createDataFrame(model_rows, schema)
+    mdl = {r[0]: r[1:] for r in model_rows}
+    got = sorted((r.pol_id, r.pol_prd_id, r.cov_type_abbr, r.earned_month, r.ee, r.adj_bi_pp, r.adj_mp_pp, r.adj_ttl_pp)
+                 for r in R.allocate_prediction(loss, model).collect())
+    want = []
+    for pol, prd, cov, m, ee in loss_rows:
+        if prd not in mdl:
+            continue  # inner join with the model (NULL periods never match)
+        tot = sum(r[4] for r in loss_rows if (r[0], r[1], r[2]) == (pol, prd, cov))
+        share = None if tot == 0 else ee / tot
+        vals = {}
+        for i, c in enumerate(R.MODEL_COVERAGES):
+            code = [k for k, v in R.COVERAGE_MAP.items() if v == c][0]
+            v = (share * mdl[prd][2 * i] * mdl[prd][2 * i + 1]) if (cov == code and share is not None) else (None if cov == code else 0.0)
+            vals[c] = _rhu(v, 4) if v is not None else None
+        ttl = None if any(v is None for v in vals.values()) else sum(vals[c] for c in R.MODEL_COVERAGES)
+        want.append((pol, prd, cov, m, ee, vals["bi"], vals["mp"], ttl))
+    assert len(got) == len(want)
+    gs = sorted(got, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
+    ws = sorted(want, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
+    for g, w in zip(gs, ws):
+        assert g[:5] == w[:5]
+        for a, b in zip(g[5:], w[5:]):
+            assert (a is None and b is None) or abs(a - b) < 1e-9
+
+
+def test_reconcile_metric_brute_force(spark):
+    from decimal import Decimal
+
+    from inforce.operators import reconcile as R
+
+    rnd = random.Random(10)
+    left = [(rnd.choice([2020, 2021, 2022]), Decimal(rnd.randint(0, 10000)) / 100) for _ in range(80)]
+    right = [(rnd.choice([2020, 2021, 2023]), Decimal(rnd.randint(0, 10000)) / 100) for _ in range(80)]
+    lf = spark.createDataFrame(left, "y int, m decimal(18,2)")
+    rf = spark.createDataFrame(right, "y int, m decimal(18,2)")
+    got = {r._g0: (r.left_total, r.right_total, r.pct_diff) for r in R.reconcile_metric(lf, rf, "m", "m", ["y"]).collect()}
+    want = {}
+    for y in {r[0] for r in left} & {r[0] for r in right}:
+        a = float(sum(r[1] for r in left if r[0] == y))
+        b = float(sum(r[1] for r in right if r[0] == y))
+        want[y] = (a, b, None if a == 0 else round((b - a) / a * 100.0, 2))
+    assert got == want
