@@ -28,13 +28,22 @@ def main(argv: list[str]) -> None:
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     import __spark_entry__ as E
 
-    print("| query | shuffles | scans | sort aggs | broadcast joins | sort-merge joins | flags |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | shuffles | scans | columns read / table width | sort aggs | broadcast joins | sort-merge joins | flags |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+    widths = {}
     for name, fn in sorted(E.queries().items()):
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        reads = {}
+        for cols, loc in re.findall(r"FileScan parquet \[([^\]]*)\].*?Location: [^\[]*\[[^\]]*/(\w+)\.parquet\]", plan):
+            reads[loc] = max(reads.get(loc, 0), len([c for c in cols.split(",") if c.strip()]))
+        for t in reads:
+            if t not in widths:
+                widths[t] = len(spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).columns)
+        pruning = ", ".join(f"{t} {n}/{widths[t]}" for t, n in sorted(reads.items()))
         row = [
             len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
             len(re.findall(r"FileScan parquet", plan)),
+            pruning,
             len(re.findall(r"SortAggregate", plan)),
             len(re.findall(r"BroadcastHashJoin", plan)),
             len(re.findall(r"SortMergeJoin", plan)),
