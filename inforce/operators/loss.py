@@ -122,11 +122,22 @@ def running_ratio(
     prem_col: str = "epapr",
     ee_col: str = "ee",
     id_col: str = "pol_id",
+    business_type: str = "Both",
+    states: Sequence | None = None,
+    type_col: str = "pol_type",
+    state_col: str = "risk_st",
 ) -> DataFrame:
     """Segment x month: running loss, running premium, running LR, running EE and
     the month's distinct policy count. The window runs over the (segment, month)
-    aggregate, which has at most #segments x #months rows."""
+    aggregate, which has at most #segments x #months rows.
+
+    ``business_type`` ('NB', 'Renewal' or 'Both') and ``states`` are the
+    dashboard's filters; they are row filters applied before aggregation."""
     seg = segment if segment is not None else segment_label()
+    if business_type != "Both":
+        rollup = rollup.filter(F.col(type_col) == business_type)
+    if states is not None:
+        rollup = rollup.filter(F.col(state_col).isin(list(states)))
     per_month = (
         rollup.withColumn("segment", seg)
         .groupBy("segment", month)

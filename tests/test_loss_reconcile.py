@@ -101,3 +101,13 @@ def test_maintenance_ddl_and_insert(spark):
     assert sorted(tuple(r) for r in MT.insert_into(t, pos, by_position=True).collect()) == [("a", 1), ("c", 3)]
     top = MT.top_rows(spark.createDataFrame([(i,) for i in range(100)], "x int"), 3, ["x"])
     assert [r.x for r in top.collect()] == [0, 1, 2]
+
+
+def test_running_ratio_dashboard_filters(spark):
+    rows = [("p1", "202401", "C", L.NO_ACC_LABEL, 10.0, 100.0, 0.1, "NB", 1),
+            ("p2", "202401", "C", L.NO_ACC_LABEL, 5.0, 50.0, 0.1, "Renewal", 2)]
+    df = spark.createDataFrame(rows, "pol_id string, earned_month string, clean_dirty_cd string, derived_yes_no_flag string, "
+                                     "incur_loss double, epapr double, ee double, pol_type string, risk_st int")
+    assert [r.cum_loss for r in L.running_ratio(df, business_type="NB").collect()] == [10.0]
+    assert [r.cum_loss for r in L.running_ratio(df, states=[2]).collect()] == [5.0]
+    assert [r.cum_loss for r in L.running_ratio(df).collect()] == [15.0]
