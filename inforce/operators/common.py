@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_BOUND = 100_000
 
 
-def bounded_broadcast(df: DataFrame, row_bound: int, limit: int = BROADCAST_ROW_BOUND) -> DataFrame:
-    """Broadcast ``df`` when its proven row bound is small; otherwise leave the
-    choice to AQE (which broadcasts only after measuring the shuffle output)."""
-    return F.broadcast(df) if row_bound <= limit else df
+def bounded_broadcast(df: DataFrame, row_bound: int | None, limit: int = BROADCAST_ROW_BOUND) -> DataFrame:
+    """Broadcast ``df`` when the caller knows a small bound on its rows (a
+    parameter table built from a list, one row per state, ...); with no known
+    bound (``None``) leave the choice to AQE, which broadcasts only after
+    measuring the actual size at run time."""
+    return F.broadcast(df) if row_bound is not None and row_bound <= limit else df
 
 
 def cols(names: Sequence[str | Column]) -> list[Column]:

@@ -48,7 +48,7 @@ def cohort_extract(
     policies: DataFrame,
     config: DataFrame,
     as_of: dt.date,
-    config_rows: int = 64,
+    config_rows: int | None = None,
     nb_months: int = 6,
 ) -> DataFrame:
     """Per-state start dates drive the extraction (one broadcast join instead of

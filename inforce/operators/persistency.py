@@ -270,7 +270,7 @@ def persistency_period(days_eff: Column, term_months: Column) -> Column:
 def ultimate_cancel(
     flags: DataFrame,
     dev_factors: DataFrame,
-    factor_rows: int = 64,
+    factor_rows: int | None = None,
     new_renew: str = "new_rnw_cd",
     term_months: str = "term_mo_cnt",
 ) -> DataFrame:

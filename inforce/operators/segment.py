@@ -28,12 +28,13 @@ def relativity_rows(
     df: DataFrame,
     group: str,
     measures: Mapping[str, str],
-    group_bound: int | None = 256,
+    group_bound: int | None = None,
     digits: int = 6,
 ) -> DataFrame:
     """Row relativity = row value / mean of its group, for each ``measure -> out``.
     The mean is Σ / count of non-null values (pandas ``mean`` semantics; NULL
-    group keys get no mean)."""
+    group keys get no mean). ``group_bound``: a known bound on the number of
+    groups (e.g. states), which lets the means be broadcast back."""
     aggs = []
     for m in measures:
         aggs.append((F.sum(m).cast("double") / F.count(m).cast("double")).alias(f"_mean_{m}"))

@@ -70,7 +70,7 @@ def _uw_sql(body: str, upto: str = "fixed", more: list[str] | None = None) -> st
 # ----------------------------------------------------------------------------- shared DataFrame stages
 @session_memo
 def uw_cohort(spark, d):
-    return L.cohort_extract(S.auto_policy(spark, d), S.cohort_config(spark), S.AS_OF)
+    return L.cohort_extract(S.auto_policy(spark, d), S.cohort_config(spark), S.AS_OF, config_rows=S.cohort_config_rows())
 
 
 @session_memo

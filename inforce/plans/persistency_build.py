@@ -24,7 +24,7 @@ from inforce.sources import staging as S
 def build_persistency_table(spark: SparkSession, sf_dir: str, name: str = "persistency") -> dict[str, DataFrame]:
     """Write history + flags + ultimate cancellations, then the reports from the written table."""
     target = os.path.join(ensure_checkpoint_dir(spark), name)
-    table = P.ultimate_cancel(history(spark, sf_dir), S.dev_factors(spark))
+    table = P.ultimate_cancel(history(spark, sf_dir), S.dev_factors(spark), factor_rows=len(S.dev_factor_rows()))
     table.write.mode("overwrite").parquet(target)
     t = spark.read.parquet(target)
     change = L.premium_change_by_year(

@@ -225,7 +225,7 @@ FROM ult""",
     ),
 )
 def w05_ultimate_cancel(spark, d):
-    u = P.ultimate_cancel(pers(spark, d), S.dev_factors(spark))
+    u = P.ultimate_cancel(pers(spark, d), S.dev_factors(spark), factor_rows=len(S.dev_factor_rows()))
     return u.select("pol_id", "pol_prd_id", "persistency_period", "latest_cancel", "dev_fctr", "ult_canc_cnt", "ult_atr_cnt")
 
 

@@ -204,6 +204,10 @@ def cohort_config(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "risk_st int, start_dt date, start_month string")
 
 
+def cohort_config_rows() -> int:
+    return sum(len(states) for states, _, _ in COHORT_GROUPS)
+
+
 def cohort_config_sql() -> str:
     vals = ", ".join(
         f"({s}, DATE '{start.isoformat()}', '{month}')" for states, start, month in COHORT_GROUPS for s in states
