@@ -11,7 +11,7 @@ from inforce.operators import linkage as LK
 from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
 from inforce.plans.persistency_plans import flags_sql
-from inforce.plans.registry import register
+from inforce.plans.registry import deliver_as_double, register
 from inforce.plans.shared import LATEST, LATEST_PERS_SQL, _sql, latest_pers
 from inforce.sources import lines as LN
 from inforce.sources import staging as S
@@ -153,3 +153,6 @@ def _stack_sql():
 )
 def w33_stack_lines(spark, d):
     return stacked_lines(spark, d)
+
+
+deliver_as_double("w33_stack_lines", ("atr_e_365", "cancel_e_365"))
