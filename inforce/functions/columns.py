@@ -72,11 +72,17 @@ def div0(num: ColumnLike, den: ColumnLike) -> Column:
     return F.when(d == 0, F.lit(0.0)).otherwise(n / d)
 
 
+def no_negative_zero(x: ColumnLike) -> Column:
+    """-0.0 -> 0.0 (rounding a tiny negative gives -0.0 in some engines, 0.0 in others)."""
+    c = _c(x)
+    return F.when(c == 0, F.lit(0.0)).otherwise(c)
+
+
 def pct_diff_signed(base: ColumnLike, other: ColumnLike, digits: int = 4) -> Column:
     """(other - base) / base * 100; NULL when base is 0."""
     b = _c(base).cast("double")
     o = _c(other).cast("double")
-    return F.round(F.when(b == 0, F.lit(None).cast("double")).otherwise((o - b) / b * 100.0), digits)
+    return no_negative_zero(F.round(F.when(b == 0, F.lit(None).cast("double")).otherwise((o - b) / b * 100.0), digits))
 
 
 def pct_diff_symmetric(a: ColumnLike, b: ColumnLike, digits: int = 4) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inforce.functions.bands import band_expr
-from inforce.functions.columns import date_from_yyyymmdd, days_between, div0, ratio, round_half_up
+from inforce.functions.columns import date_from_yyyymmdd, days_between, div0, no_negative_zero, ratio, round_half_up
 from inforce.operators.common import bounded_broadcast
 from inforce.operators.sequence import ordered_lags
 
@@ -164,8 +164,8 @@ def term_history(
         p / F.col("prev_two_term_prem") - 1.0
     )
     extra = [
-        F.round(chg1, 6).alias("renewal_prem_change"),
-        F.round(chg2, 6).alias("renewal_prem_change_two_term"),
+        no_negative_zero(F.round(chg1, 6)).alias("renewal_prem_change"),
+        no_negative_zero(F.round(chg2, 6)).alias("renewal_prem_change_two_term"),
         band_expr(chg1, PREMIUM_CHANGE_BANDS).alias("renewal_prem_change_grp"),
     ]
     for c in compare:

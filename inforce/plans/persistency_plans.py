@@ -144,6 +144,11 @@ def history(spark, d):
     )
 
 
+def nz(x: str) -> str:
+    """SQL twin of ``no_negative_zero``."""
+    return f"(CASE WHEN {x} = 0 THEN 0.0 ELSE {x} END)"
+
+
 def history_sql_ctes() -> list[str]:
     w = "OVER (PARTITION BY p.pol_id ORDER BY p.pol_eff_dt ASC NULLS FIRST, p.pol_prd_id ASC NULLS FIRST)"
     chg = lambda prev: (
@@ -167,8 +172,8 @@ def history_sql_ctes() -> list[str]:
 )""",
         f"""hist AS (
   SELECT *,
-         ROUND({chg('prev_term_prem')}, 6) AS renewal_prem_change,
-         ROUND({chg('prev_two_term_prem')}, 6) AS renewal_prem_change_two_term,
+         {nz(f"ROUND({chg('prev_term_prem')}, 6)")} AS renewal_prem_change,
+         {nz(f"ROUND({chg('prev_two_term_prem')}, 6)")} AS renewal_prem_change_two_term,
          {band_sql(chg('prev_term_prem'), P.PREMIUM_CHANGE_BANDS)} AS renewal_prem_change_grp,
          CASE WHEN rate_plan_cd = prev_rate_plan_cd THEN 1 ELSE 0 END AS same_rate_plan_cd_ind,
          CASE WHEN pol_form_cd = prev_pol_form_cd THEN 1 ELSE 0 END AS same_pol_form_cd_ind

@@ -177,11 +177,13 @@ def _w19_sql(grain: str, ml: str, mr: str) -> str:
         join = "FROM a JOIN b ON a.year_earned = b.year_earned AND a.month_earned = b.month_earned"
     gb = "" if grain == "all" else (" GROUP BY 1" if grain == "year" else " GROUP BY 1, 2")
     k = (keys + ", ") if keys else ""
+    pct = ("ROUND(CASE WHEN CAST(a.left_total AS DOUBLE) = 0 THEN NULL ELSE (CAST(b.right_total AS DOUBLE) - "
+           "CAST(a.left_total AS DOUBLE)) / CAST(a.left_total AS DOUBLE) * 100.0 END, 2)")
+    nz_pct = f"CASE WHEN {pct} = 0 THEN 0.0 ELSE {pct} END"
     return S.with_ctes(
         ["loss"],
         f"""SELECT {sel}CAST(a.left_total AS DOUBLE) AS left_total, CAST(b.right_total AS DOUBLE) AS right_total,
-       ROUND(CASE WHEN CAST(a.left_total AS DOUBLE) = 0 THEN NULL
-                  ELSE (CAST(b.right_total AS DOUBLE) - CAST(a.left_total AS DOUBLE)) / CAST(a.left_total AS DOUBLE) * 100.0 END, 2) AS pct_diff
+       {nz_pct} AS pct_diff
 {join}""",
         [
             f"a AS (SELECT {k}ROUND(SUM({ml}), 2) AS left_total FROM loss{gb})",
