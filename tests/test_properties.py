@@ -98,3 +98,20 @@ def test_band_rules_agree_with_their_sql(spark, xs):
     vals = ", ".join(f"({'NULL' if x is None else x}::INTEGER)" for x in xs)
     want = [r[0] for r in duckdb.sql(f"SELECT {band_sql('x', decile_rules())} FROM (VALUES {vals}) t(x)").fetchall()]
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d", "e"]), st.integers(0, 1), st.integers(0, 1),
+                          st.integers(0, 1), st.integers(0, 1)), min_size=1, max_size=30),
+       st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "x"])), max_size=6))
+def test_one_pass_cohort_rates_equal_three_separate_rates(spark, book_rows, member_ids):
+    from inforce.operators import persistency as P
+
+    book = spark.createDataFrame(book_rows, "pol_id string, atr_e_flat int, cancel_e_flat int, atr_e_30 int, cancel_e_30 int")
+    members = spark.createDataFrame([(m,) for m in member_ids] or [(None,)], "pol_id string")
+    one = {(r.cohort, r.horizon): (r.atr_sum, r.cancel_sum, r.rate_pct) for r in P.cohort_rates(book, members).collect()}
+    parts = SEL.cohort_split(book, members)
+    for label, df in parts.items():
+        for h, hl in (("flat", 0), ("30", 30)):
+            r = P.persistency_rate(df, h).first()
+            assert one.get((label, hl), (0, 0, None)) == (r.atr_sum, r.cancel_sum, r.rate_pct)
