@@ -274,3 +274,17 @@ def test_reconcile_metric_brute_force(spark):
         b = float(sum(r[1] for r in right if r[0] == y))
         want[y] = (a, b, None if a == 0 else round((b - a) / a * 100.0, 2))
     assert got == want
+
+
+def test_latest_with_aggs_both_directions_brute_force(spark):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(12)
+    rows = [(rnd.choice(["a", "b", "c"]), _rand_date(rnd, span=15, p_null=0.2), i, rnd.randint(0, 50)) for i in range(150)]
+    df = spark.createDataFrame(rows, "k string, d date, i int, v int")
+    for desc in (True, False):
+        got = {r.k: (r.i, r.mx) for r in SEL.latest_with_aggs(df, ["k"], ["d", "i"], ["i"], [F.max("v").alias("mx")],
+                                                              descending=desc).collect()}
+        ref = {r.k: r.i for r in SEL.latest_by_key(df, ["k"], ["d"], ["i"], descending=desc).collect()}
+        mx = {k: max(r[3] for r in rows if r[0] == k) for k in ref}
+        assert got == {k: (ref[k], mx[k]) for k in ref}
