@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from inforce.llm.common import crc_mod
 from inforce.llm.token_counts import token_counts
+from inforce.llm.token_files import read_token_files, token_file_folder, write_token_files
 from inforce.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_scores
 from inforce.sources.tables import read_table
 
@@ -33,3 +34,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
     return toxicity_scores(docs, model).select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    index = write_token_files(read_table(spark, sf_dir, "documents"), path, token_file_folder(spark))
+    return read_token_files(index)

@@ -28,8 +28,8 @@ from itertools import chain
 
 import numpy as np
 
-#: Chunks kept per process and tokenizer before the table starts anew.
-TABLE_CHUNKS = 500_000
+#: Chunks kept per process and tokenizer before the table starts anew (about 250 bytes each).
+TABLE_CHUNKS = 1_200_000
 #: Characters handled at once inside a task.
 BLOCK_CHARS = 4_000_000
 
