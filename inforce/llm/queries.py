@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inforce.llm.common import crc_mod
+from inforce.llm.packing import pack_documents
 from inforce.llm.token_counts import token_counts
 from inforce.llm.token_files import read_token_files, token_file_folder, write_token_files
 from inforce.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_scores
@@ -41,3 +42,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     index = write_token_files(read_table(spark, sf_dir, "documents"), path, token_file_folder(spark))
     return read_token_files(index)
+
+
+@_query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
