@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from inforce.llm.common import crc_mod
 from inforce.llm.packing import pack_documents
+from inforce.llm.pii import find_pii, fit_pii
 from inforce.llm.token_counts import token_counts
 from inforce.llm.token_files import read_token_files, token_file_folder, write_token_files
 from inforce.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_scores
@@ -47,3 +48,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return find_pii(docs, fit_pii(docs))
