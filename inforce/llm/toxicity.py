@@ -195,10 +195,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column | None =
     ids = base.select("doc_id").join(marks, "doc_id", "left")
     n = ids.agg(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1)), F.count(F.when(F.col("toxic").isNull(), 1))).first()
     prior = min(0.9, max(0.001, n[0] / max(1, n[0] + n[1])))
-    rest = marks.filter(F.col("toxic") == 1) if n[2] == 0 else marks
-    # each sample is cut on ids before the texts meet the labels
-    pos = _sampled(base, n[0], most_positive).join(marks.filter(F.col("toxic") == 1), "doc_id", "left_semi")
-    unl = _sampled(base, n[1] if n[2] == 0 else n[2], most_unlabelled).join(rest, "doc_id", "left_anti")
+    # the sample is drawn on ids; at most about the stated numbers of ids are broadcast
+    other = F.col("toxic") == 0 if n[2] == 0 else F.col("toxic").isNull()
+    pos = _sampled(ids.filter(F.col("toxic") == 1), n[0], most_positive)
+    unl = _sampled(ids.filter(other), n[1] if n[2] == 0 else n[2], most_unlabelled)
+    pos, unl = (base.join(F.broadcast(x.select("doc_id").distinct()), "doc_id", "left_semi") for x in (pos, unl))
     return train(_feature_rows(pos), _feature_rows(unl), prior)
 
 
