@@ -125,23 +125,59 @@ def _powers_inverse(n: int) -> np.ndarray:
     return _INVERSES
 
 
-def shingle_hashes(text: bytes, words: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of ``words`` words; with fewer
-    words, the whole sequence as one; without words, none."""
-    raw, start, end = word_spans(text)
+def text_blocks(texts: list[str], most: int = 1_000_000):
+    """Consecutive texts as UTF-8, in blocks of about ``most`` bytes."""
+    block, size, first = [], 0, 0
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        block.append(raw)
+        size += len(raw)
+        if size >= most:
+            yield first, block
+            block, size, first = [], 0, i + 1
+    if block:
+        yield first, block
+
+
+def block_shingles(block: list[bytes], words: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the runs of ``words`` words of several texts, text after
+    text (repeats included), and where each text's end (0 first). A text with
+    fewer words has its whole sequence as one; without words, none."""
+    raw, start, end = word_spans(b"\n".join(block))
+    ends = np.cumsum([len(t) + 1 for t in block])
     h = word_hashes(raw, start, end)
-    n = h.size
-    if n == 0:
-        return h
-    if n < words:
-        out = np.uint64(n)
-        for x in h:
-            out = mix(np.array([out * _POLY + x], dtype=np.uint64))[0]
-        return np.array([out], dtype=np.uint64)
-    out = h[: n - words + 1].copy()
-    for i in range(1, words):
-        out = out * _POLY + h[i : n - words + 1 + i]
-    return np.unique(mix(out))
+    at = np.concatenate([[0], np.searchsorted(start, ends)])
+    n = np.diff(at)
+    runs = np.maximum(n - words + 1, 0)
+    if h.size >= words:
+        full = h[: h.size - words + 1].copy()
+        for i in range(1, words):
+            full = full * _POLY + h[i : h.size - words + 1 + i]
+        keep = np.ones(full.size, dtype=bool)
+        for e in at[1:-1]:  # runs that reach over a text's end
+            keep[max(0, e - words + 1) : e] = False
+        full = mix(full[keep])
+    else:
+        full = np.zeros(0, dtype=np.uint64)
+    short = np.flatnonzero((n > 0) & (n < words))
+    if short.size:
+        whole = np.empty(short.size, dtype=np.uint64)
+        for k, d in enumerate(short.tolist()):
+            x = np.uint64(n[d])
+            for w in h[at[d] : at[d + 1]]:
+                x = x * _POLY + w
+            whole[k] = x
+        full = np.insert(full, np.cumsum(runs)[short], mix(whole))
+        runs[short] = 1
+    return full, np.concatenate([[0], np.cumsum(runs)])
+
+
+def shingle_sets(texts: list[str], words: int = 5):
+    """Sorted distinct shingle hashes of each text, one after the other."""
+    for _, block in text_blocks(texts):
+        h, at = block_shingles(block, words)
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            yield np.unique(h[a:b])
 
 
 np.seterr(over="ignore")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inforce.llm.common import crc_mod
+from inforce.llm.decontaminate import contained_items
 from inforce.llm.packing import pack_documents
 from inforce.llm.pii import find_pii, fit_pii
 from inforce.llm.token_counts import token_counts
@@ -54,3 +55,33 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return find_pii(docs, fit_pii(docs))
+
+
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+# A-Z in lower case, split at the six ASCII white-space characters.
+_WORDS_SQL = "regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+_SHINGLES_SQL = """{name}_words AS (SELECT {id} AS id, {words} AS w FROM {table} WHERE text IS NOT NULL),
+{name} AS (
+  SELECT DISTINCT id, s FROM (
+    SELECT id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                           ELSE [array_to_string(w, ' ') || ' <' || len(w) || '>'] END) AS s
+    FROM {name}_words WHERE len(w) > 0))"""
+
+
+def _shingles_sql(name: str, table: str, id_col: str) -> str:
+    return _SHINGLES_SQL.format(name=name, table=table, id=id_col, words=_WORDS_SQL.format(text="text"))
+
+
+ORACLES["op4_decontamination"] = f"""
+WITH {_shingles_sql("ds", "documents", "doc_id")},
+{_shingles_sql("bs", "benchmark", "item_id")},
+sizes AS (SELECT id, count(*) AS n FROM bs GROUP BY id),
+shared AS (SELECT ds.id AS doc_id, bs.id AS item_id, count(*) AS k FROM ds JOIN bs USING (s) GROUP BY 1, 2)
+SELECT doc_id, item_id, n AS n_item, k AS n_shared, CAST(k AS DOUBLE) / n AS containment
+FROM shared JOIN sizes ON sizes.id = shared.item_id
+WHERE k >= ceil(0.8 * n - 1e-9)
+"""
