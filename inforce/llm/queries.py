@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from inforce.llm.common import crc_mod
 from inforce.llm.decontaminate import contained_items
+from inforce.llm.near_duplicates import near_duplicates
 from inforce.llm.packing import pack_documents
 from inforce.llm.pii import find_pii, fit_pii
 from inforce.llm.token_counts import token_counts
@@ -85,3 +86,21 @@ SELECT doc_id, item_id, n AS n_item, k AS n_shared, CAST(k AS DOUBLE) / n AS con
 FROM shared JOIN sizes ON sizes.id = shared.item_id
 WHERE k >= ceil(0.8 * n - 1e-9)
 """
+
+
+@_query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+
+
+ORACLES["op5_near_duplicates"] = f"""
+WITH RECURSIVE {_shingles_sql("ds", "documents", "doc_id")},
+sizes AS (SELECT id, count(*) AS n FROM ds GROUP BY id),
+shared AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM ds a JOIN ds b ON a.s = b.s AND a.id <> b.id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach(id, other) AS (SELECT id, id FROM sizes UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(min(reach.other), d.doc_id) AS component_id,
+       d.doc_id = coalesce(min(reach.other), d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes ON sizes.id = d.doc_id LEFT JOIN reach ON reach.id = d.doc_id
+GROUP BY d.doc_id, sizes.n
+"""
