@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from inforce.llm.common import crc_mod
 from inforce.llm.decontaminate import contained_items
+from inforce.llm.embedding_duplicates import embedding_duplicates
 from inforce.llm.near_duplicates import near_duplicates
 from inforce.llm.packing import pack_documents
 from inforce.llm.pii import find_pii, fit_pii
@@ -104,3 +105,8 @@ SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles, coalesce(min(reach.other),
 FROM documents d LEFT JOIN sizes ON sizes.id = d.doc_id LEFT JOIN reach ON reach.id = d.doc_id
 GROUP BY d.doc_id, sizes.n
 """
+
+
+@_query
+def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(read_table(spark, sf_dir, "embeddings"))

@@ -24,14 +24,15 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 from itertools import chain
 
 import numpy as np
 
 #: Chunks kept per process and tokenizer before the table starts anew (about 250 bytes each).
-TABLE_CHUNKS = 1_200_000
+TABLE_CHUNKS = 900_000
 #: Characters handled at once inside a task.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_500_000
 
 _RUN = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
@@ -96,8 +97,7 @@ def _byte_letters() -> dict[int, str]:
 _BYTES = _byte_letters()
 
 
-def _as_bytes(piece: str) -> str:
-    return piece.encode().decode("latin-1").translate(_BYTES)
+_SPACE = _BYTES[32]
 
 
 class _Numbers(dict):
@@ -133,38 +133,53 @@ class Encoder:
         """Ids of one pre-token of letters (with its leading space)."""
         got = self.words.get(word)
         if got is None:
-            got = self.words[word] = [t.id for t in self.model.tokenize(_as_bytes(word))]
+            mapped = word.replace(" ", _SPACE) if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+            got = self.words[word] = [t.id for t in self.model.tokenize(mapped)]
         return got
 
     def _plain(self, chunk: str) -> list[int] | None:
         """Ids of a chunk that is letters and at most one full stop or comma:
         its pre-tokens are known, so only the model is needed. None for others."""
-        mark = chunk[-1:]
-        word = chunk[:-1] if mark == "." or mark == "," else chunk
-        letters = word if self.lower else word.removeprefix(" ")
-        if not letters.isalpha():
-            return None
-        if self.lower:  # letters below U+0250 are their own normal form
+        marked = chunk.endswith((".", ","))
+        word = chunk[:-1] if marked else chunk
+        if self.lower:
+            letters = word
             word = word.lower()
-            if max(word) > "\u024f" or len(word) != len(letters):
+            # letters below U+0250 are their own normal form
+            if not word.isascii() and (max(word) > "\u024f" or len(word) != len(letters)):
                 return None
-        return self._word(word) if word is chunk or len(word) == len(chunk) else self._word(word) + self._word(mark)
+        else:
+            letters = word[1:] if word.startswith(" ") else word
+        if not letters.isalpha():
+            return None
+        return self._word(word) + self._word(chunk[-1]) if marked else self._word(word)
 
     def _learn(self, chunks: list[str]) -> None:
-        lists = [self._plain(c) for c in chunks]
-        odd = [i for i, x in enumerate(lists) if x is None]
-        for i, e in zip(odd, self.tok.encode_batch_fast([chunks[i] for i in odd], add_special_tokens=False), strict=True):
-            lists[i] = e.ids
-        n = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        total, first = int(n.sum()), len(self.at) - len(chunks)
-        while self.used + total > len(self.ids):
+        ids, n = array("I"), array("q")
+        odd = []
+        for i, c in enumerate(chunks):
+            got = self._plain(c)
+            if got is None:
+                odd.append(i)
+                n.append(0)
+            else:
+                ids.extend(got)
+                n.append(len(got))
+        self.words.clear()
+        ids, n = np.frombuffer(ids, dtype=np.uint32), np.frombuffer(n, dtype=np.int64).copy()
+        if odd:
+            others = [e.ids for e in self.tok.encode_batch_fast([chunks[i] for i in odd], add_special_tokens=False)]
+            at = np.cumsum(n)[odd]
+            n[odd] = [len(x) for x in others]
+            ids = np.insert(ids, np.repeat(at, n[odd]), np.fromiter(chain.from_iterable(others), dtype=np.uint32, count=int(n[odd].sum())))
+        first = len(self.at) - len(chunks)
+        while self.used + ids.size > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while len(self.at) + 1 > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=total)
-        self.start[first + 1 : first + 1 + len(lists)] = self.used + np.cumsum(n)
-        self.used += total
-        self.words.clear()
+        self.ids[self.used : self.used + ids.size] = ids
+        self.start[first + 1 : first + 1 + len(chunks)] = self.used + np.cumsum(n)
+        self.used += ids.size
 
     def _lookup(self, chunks: list[str]) -> np.ndarray:
         if len(self.at) > self.most:
