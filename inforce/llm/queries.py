@@ -14,6 +14,7 @@ from inforce.llm.embedding_duplicates import embedding_duplicates
 from inforce.llm.near_duplicates import near_duplicates
 from inforce.llm.packing import pack_documents
 from inforce.llm.pii import find_pii, fit_pii
+from inforce.llm.repeated_spans import repeated_spans
 from inforce.llm.token_counts import token_counts
 from inforce.llm.token_files import read_token_files, token_file_folder, write_token_files
 from inforce.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_scores
@@ -110,3 +111,8 @@ GROUP BY d.doc_id, sizes.n
 @_query
 def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(read_table(spark, sf_dir, "documents")).drop("spans")
