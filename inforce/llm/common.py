@@ -47,7 +47,7 @@ def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
-def text_pieces(batches, most: int = 8_000_000):
+def text_pieces(batches, most: int = 4_000_000):
     """(ids, texts) of Arrow batches, in pieces of about ``most`` characters, so
     that memory in a task follows this bound and not the batch's row count."""
     for b in batches:
@@ -125,7 +125,7 @@ def _powers_inverse(n: int) -> np.ndarray:
     return _INVERSES
 
 
-def text_blocks(texts: list[str], most: int = 1_000_000):
+def text_blocks(texts: list[str], most: int = 200_000):
     """Consecutive texts as UTF-8, in blocks of about ``most`` bytes."""
     block, size, first = [], 0, 0
     for i, t in enumerate(texts):

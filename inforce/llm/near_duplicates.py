@@ -11,8 +11,9 @@
    share falls out of the index unless it is most of the sketch.
 3. Candidates are links to the *hub* of a list, its member with the longest
    lists (in a group of near copies, the text they came from), so a group of any
-   size gives a number of candidates in proportion to it. Only members that end
-   up in different components are then compared with each other.
+   size gives a number of candidates in proportion to it. Members of a hub that
+   end up in different components then meet, in chunks, and are compared with each
+   other inside the meeting: it returns links, never its pairs.
 4. The union's sketch, merged from two sketches, estimates the similarity and
    drops hopeless candidates; the others are decided on the full sets.
 5. Components of the links by large and small stars.
@@ -36,6 +37,8 @@ SKETCH, WORDS = 32, 5
 MISS = 1e-9
 #: A candidate's estimate may fall this much short of the threshold (over 5 sigma at k = 32).
 SLACK = 0.4
+#: Texts and shingles of a chunk of a meeting.
+CHUNK_TEXTS, CHUNK_SHINGLES = 1024, 500_000
 
 _SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 _LINK_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("joint", pa.int64())])
@@ -79,23 +82,109 @@ def indexed_values(reps: DataFrame, k: int, threshold: float) -> DataFrame:
     return shared.filter(room > 0).select("rep", "n", "typical", F.explode(F.slice("found", F.lit(1), room)).alias("x")).select(F.col("x.value").alias("value"), "rep", "n", "typical")
 
 
-def hub_pairs(lists: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Candidates (a, b) between the members of each list and its hub, and the hubs."""
+def hub_members(lists: DataFrame) -> DataFrame:
+    """(hub, hub_n, rep, n): every representative with the hubs of its lists."""
     hubs = lists.groupBy("value").agg(F.max(F.struct("typical", (-F.col("rep")).alias("minus"), "n")).alias("h")).select("value", (-F.col("h.minus")).alias("hub"), F.col("h.n").alias("hub_n"))
-    met = lists.join(hubs, "value").filter((F.col("rep") != F.col("hub")) & _sizes_allow(F.col("n"), F.col("hub_n"), threshold))
-    return met.select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), hubs
+    return lists.join(hubs, "value").filter(F.col("rep") != F.col("hub")).select("hub", "hub_n", "rep", "n").distinct()
 
 
-def cross_pairs(lists: DataFrame, hubs: DataFrame, component: DataFrame, threshold: float) -> DataFrame:
-    """Candidates between members of a list that are in different components
-    (its hub aside, which has been compared with all of them)."""
-    rest = lists.join(hubs, "value").filter(F.col("rep") != F.col("hub")).join(component.withColumnRenamed("node", "rep"), "rep", "left")
-    rest = rest.select("value", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    mixed = rest.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(F.col("lo") != F.col("hi")).select("value")
-    rest = rest.join(mixed, "value")
-    x, y = rest.alias("x"), rest.alias("y")
-    on = (F.col("x.value") == F.col("y.value")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & _sizes_allow(F.col("x.n"), F.col("y.n"), threshold)
-    return x.join(y, on).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+def mixed_meetings(members: DataFrame, component: DataFrame) -> DataFrame:
+    """(hub, lo, hi, rep, chunk, component): the members of each hub that are in
+    more than one component, in chunks that meet in pairs, so that a meeting
+    holds at most about 2 * CHUNK_TEXTS texts and 2 * CHUNK_SHINGLES shingles."""
+    known = members.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sizes = known.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.greatest(F.ceil(F.count("*") / CHUNK_TEXTS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
+    known = known.join(sizes.filter(F.col("low") != F.col("high")), "hub")
+    known = known.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return known.select("hub", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "rep", "chunk", "component")
+
+
+def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """One row per set: 16 bits of the smallest hash in each of 256 ranges of the
+    hash's values; 0 where a range is empty."""
+    out = np.zeros((len(sets), 256), dtype=np.uint16)
+    for i, s in enumerate(sets):
+        bins = (s >> np.uint64(56)).astype(np.int64)
+        first = np.concatenate([[True], bins[1:] != bins[:-1]]) if s.size else np.zeros(0, bool)
+        out[i, bins[first]] = ((s[first] >> np.uint64(40)) & np.uint64(0xFFFF)).astype(np.uint16) | 1
+    return out
+
+
+def links_between(rep: list[int], chunk: list[int], component: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links found in a meeting, enough to join all that its links join. Pairs
+    of one component are skipped, as are sizes that rule a link out and pairs whose
+    fingerprints agree in far fewer ranges than a link's would (over 5 sigma);
+    all others are decided on the full sets."""
+    t = percent / 100
+    size = np.array([s.size for s in sets])
+    prints = fingerprints(sets)
+    filled = prints > 0
+    sides = np.asarray(chunk)
+    across = len(set(chunk)) > 1
+    root = {c: c for c in component}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    links = []
+    for i in range(len(rep) - 1):
+        rest = slice(i + 1, None)
+        fit = np.minimum(size[i], size[rest]) >= np.maximum(size[i], size[rest]) * t - 1e-9
+        if across:
+            fit &= sides[rest] != sides[i]
+        at = np.flatnonzero(fit) + i + 1
+        if at.size == 0:
+            continue
+        ranges = (filled[i] | filled[at]).sum(axis=1)
+        same = ((prints[i] == prints[at]) & filled[i]).sum(axis=1)
+        at = at[same >= ranges * t - 5.5 * np.sqrt(ranges * t * (1 - t)) - 1]
+        for j in at.tolist():
+            a, b = find(component[i]), find(component[j])
+            if a == b:
+                continue
+            pos = np.minimum(np.searchsorted(sets[j], sets[i]), sets[j].size - 1)
+            shared = int((sets[j][pos] == sets[i]).sum())
+            if 100 * shared >= percent * int(size[i] + size[j] - shared):
+                root[max(a, b)] = min(a, b)
+                links.append((rep[i], rep[j]))
+    return links
+
+
+def links_of_meetings(meetings: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """(a, b) found in the meetings; one meeting's texts are held at a time."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def close():
+            t = pa.Table.from_batches(held)
+            rep, chunk, component, texts = (t.column(c).to_pylist() for c in ("rep", "chunk", "component", "text"))
+            found = links_between(rep, chunk, component, list(shingle_sets(texts, words)), percent)
+            return batch_of(out, a=[a for a, _ in found], b=[b for _, b in found])
+
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            k = [b.column(i).to_numpy() for i in range(3)]
+            cut = np.flatnonzero((np.diff(k[0]) != 0) | (np.diff(k[1]) != 0) | (np.diff(k[2]) != 0)) + 1
+            for i, j in zip([0, *cut], [*cut, b.num_rows], strict=True):
+                key = tuple(int(c[i]) for c in k)
+                if key != last and held:
+                    yield close()
+                    held = []
+                last = key
+                held.append(b.slice(i, j - i))
+        if held:
+            yield close()
+
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = meetings.join(docs.withColumnRenamed("doc_id", "rep"), "rep").select("hub", "lo", "hi", "rep", "chunk", "component", "text")
+    return rows.repartition(tasks, "hub", "lo", "hi").sortWithinPartitions("hub", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
 def _sizes_allow(n: Column, other: Column, threshold: float) -> Column:
@@ -154,10 +243,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     reps = classes.join(usable.select("set_key", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), ["set_key", "rep"]).dropDuplicates(["rep"])
     reps = written(reps.select("rep", "n", "sketch"), "representatives")
     lists = written(indexed_values(reps, k, threshold), "lists")
-    pairs, hubs = hub_pairs(lists, threshold)
-    links = written(verified(estimated(pairs, reps, k, threshold), base, percent, words), "verified")
+    members = written(hub_members(lists), "members")
+    pairs = members.filter(_sizes_allow(F.col("n"), F.col("hub_n"), threshold)).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    links = written(verified(estimated(pairs, reps, k, threshold), base, percent, words).select("a", "b"), "verified")
     component = connected_components(links)
-    more = written(verified(estimated(cross_pairs(lists, hubs, component, threshold), reps, k, threshold), base, percent, words), "verified")
+    more = written(links_of_meetings(mixed_meetings(members, component), base, percent, words), "meetings")
     if not more.isEmpty():
         component = connected_components(links.unionAll(more))
     of_class = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
