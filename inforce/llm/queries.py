@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from inforce.llm.common import crc_mod
 from inforce.llm.decontaminate import contained_items
 from inforce.llm.embedding_duplicates import embedding_duplicates
+from inforce.llm.lm_scoring import lm_scores
 from inforce.llm.near_duplicates import near_duplicates
 from inforce.llm.packing import pack_documents
 from inforce.llm.pii import find_pii, fit_pii
@@ -116,3 +117,8 @@ def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@_query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), crc_mod("doc_id", 7) == 2)

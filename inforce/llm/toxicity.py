@@ -213,3 +213,15 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
             yield batch_of(_OUT, doc_id=ids, score=[model.score(features(t)) for t in texts])
 
     return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            keep = [model.score(features(t or "")) < threshold for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(keep, type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
