@@ -169,9 +169,10 @@ def premium_by(df: DataFrame, dims: Sequence[str], measure: str) -> DataFrame:
     return df.groupBy(*dims).agg(F.sum(measure).alias(f"sum_{measure}"))
 
 
-def inforce_by_status(snapshot: DataFrame, statuses: Sequence[str], key: str = "policy_id") -> DataFrame:
+def inforce_by_status(snapshot: DataFrame, statuses: Sequence[str], key: str = "policy_id", latest: DataFrame | None = None) -> DataFrame:
     """Distinct ids by plan x status on the latest snapshot. The status test is
-    parenthesised, so every status is restricted to the latest snapshot."""
-    latest = snapshot.agg(F.max("me_dt").alias("me_dt"))
+    parenthesised, so every status is restricted to the latest snapshot. ``latest``:
+    one row with its date; without it the snapshots are read once more."""
+    latest = snapshot.agg(F.max("me_dt").alias("me_dt")) if latest is None else latest
     snap = snapshot.join(F.broadcast(latest), "me_dt", "left_semi").filter(F.col("pol_status_cd").isin(list(statuses)))
     return snap.groupBy("rate_plan_cd", "pol_status_cd").agg(F.countDistinct(key).alias("cnt"))

@@ -3,20 +3,20 @@ reconciliation between datasets (W16-W20).
 
 Scale notes
 -----------
-* The exposure share is a window over (policy, period, coverage) — a key with
-  many distinct values, so the exchange spreads evenly; no skew-prone key.
+* The exposure share is a window over (period, policy, coverage) on rows that the
+  join has partitioned by period: no exchange of its own, and no skew-prone key.
 * Reconciliation totals are aggregated on each side *before* they meet, so
   the join is between two small aggregates (partial aggregation happens
   map-side), never between the raw tables.
-* The joined update de-duplicates the source to its key first; otherwise a
-  many-to-one source would multiply target rows.
+* The joined update sums the source to its key first, and target rows that
+  repeat a key share its value, so totals are kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inforce.functions.columns import pct_diff_signed, pct_diff_symmetric, round_half_up
@@ -27,6 +27,11 @@ COVERAGE_MAP = {"BI": "bi", "COLL": "coll", "COMP": "comp", "MED": "mp", "PD": "
 MODEL_COVERAGES = ["bi", "coll", "comp", "mp", "pd", "pip", "um"]
 
 
+def exact_sum(c: str) -> Column:
+    """The sum of doubles as decimals of ten places: independent of the order of rows."""
+    return F.sum(F.col(c).cast("decimal(28,10)")).cast("double")
+
+
 def _as(c: Column, t: str | None) -> Column:
     return c if t is None else c.cast(t)
 
@@ -39,10 +44,13 @@ def allocate_prediction(
     ee_col: str = "ee",
     period_col: str = "pol_prd_id",
     model_key: str = "cv_plcy_period_id",
-    digits: int | None = 4,
+    digits: int | None = None,
 ) -> DataFrame:
     """Spread each period-level coverage prediction over the period's month rows
-    in proportion to earned exposure; add the total over the seven coverages."""
+    in proportion to earned exposure (``ttl_cov_ee``: the group's exposure); add the
+    total over the seven coverages. Without exposure the share, and what is allocated,
+    is NULL; the total is NULL too for unrounded values (``digits=None``), while with
+    rounding a NULL counts as 0 in it."""
     # the source compares the two ids as text; when both sides already have the
     # same type the native key is equivalent and hashes faster
     same = dict(loss.dtypes)[period_col] == dict(model.dtypes)[model_key]
@@ -53,14 +61,14 @@ def allocate_prediction(
         *[F.col(f"{c}_exposure") for c in MODEL_COVERAGES],
     )
     j = loss.withColumn("_lk", _as(F.col(period_col), key_type)).join(m, F.col("_lk") == F.col("_mk"), "inner")
-    # total exposure per (policy, period, coverage): a partial aggregation joined
-    # back (AQE splits a hot key on the join) rather than a window that would
-    # sort a hot key's rows in one task
-    ee = F.col(ee_col).cast("double")
-    tot = loss.groupBy(*keys).agg(F.sum(F.col(ee_col).cast("double")).alias("_tot"))
-    j = j.join(tot, list(keys), "inner")
-    share = F.when(F.col("_tot") == 0, F.lit(None).cast("double")).otherwise(ee / F.col("_tot"))
-    j = j.withColumn("ee_percent", share).drop("_tot")
+    # total exposure per (policy, period, coverage): the joined rows are already
+    # partitioned by period, so the window needs no exchange of its own; a group is
+    # the months of one period
+    w = Window.partitionBy("_lk", *[k for k in keys if k != period_col])
+    j = j.withColumn("ttl_cov_ee", F.sum(ee_col).over(w))
+    total_ee = F.col("ttl_cov_ee").cast("double")
+    share = F.when(total_ee == 0, F.lit(None).cast("double")).otherwise(F.col(ee_col).cast("double") / total_ee)
+    j = j.withColumn("ee_percent", share)
     alloc = []
     for code, c in COVERAGE_MAP.items():
         v = F.when(
@@ -70,7 +78,8 @@ def allocate_prediction(
     j = j.select(F.col("*"), *alloc)
     total = None
     for c in MODEL_COVERAGES:
-        total = F.col(f"adj_{c}_pp") if total is None else total + F.col(f"adj_{c}_pp")
+        v = F.col(f"adj_{c}_pp") if digits is None else F.coalesce(F.col(f"adj_{c}_pp"), F.lit(0.0))
+        total = v if total is None else total + v
     return j.withColumn("adj_ttl_pp", total).drop("_lk", "_mk")
 
 
@@ -94,7 +103,7 @@ def allocation_check(alloc: DataFrame, model: DataFrame, tol: float = 0.02, with
     same = dict(alloc.dtypes)["pol_prd_id"] == dict(model.dtypes)["cv_plcy_period_id"]
     key_type = None if same else "string"
     op = alloc.groupBy(_as(F.col("pol_prd_id"), key_type).alias("pol_prd_id")).agg(
-        *[F.sum(f"adj_{c}_pp").alias(f"{c}_op") for c in MODEL_COVERAGES], F.sum("adj_ttl_pp").alias("ttl_op")
+        *[exact_sum(f"adj_{c}_pp").alias(f"{c}_op") for c in MODEL_COVERAGES], exact_sum("adj_ttl_pp").alias("ttl_op")
     )
     j = op.join(model_values(model, key_type=key_type), "pol_prd_id", "inner")
     ok = None
@@ -115,21 +124,32 @@ def update_from(
     keys: Sequence[str],
     cols: Mapping[str, float],
     null_safe: Sequence[str] = (),
+    share: str | None = None,
 ) -> DataFrame:
     """``ALTER TABLE ADD COLUMN c DEFAULT d`` + ``UPDATE target FROM source``.
 
-    The source is aggregated to one row per key (sum) so the update is
-    deterministic; keys listed in ``null_safe`` match NULL to NULL."""
-    src = source.groupBy(*keys).agg(*[F.sum(c).alias(f"_src_{c}") for c in cols])
+    The source is summed to one row per key. Target rows that repeat a key share
+    its value, in proportion to ``share`` (a column of the target), or equally where
+    there is none or it adds up to nothing: an update keeps the source's total. Keys
+    listed in ``null_safe`` match NULL to NULL; rows without a source row get the
+    default."""
+    src = source.groupBy(*keys).agg(*[exact_sum(c).alias(f"_src_{c}") for c in cols])
     src = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[f"_src_{c}" for c in cols])
     cond = None
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_k_{k}")) if k in null_safe else F.col(k) == F.col(f"_k_{k}")
         cond = c if cond is None else cond & c
-    j = target.join(src, cond, "left")
+    w = Window.partitionBy(*keys)
+    equal = F.lit(1.0) / F.count(F.lit(1)).over(w)
+    if share is None:
+        part = equal
+    else:
+        whole = F.sum(share).over(w).cast("double")
+        part = F.when(F.coalesce(whole, F.lit(0.0)) == 0, equal).otherwise(F.coalesce(F.col(share).cast("double"), F.lit(0.0)) / whole)
+    j = target.withColumn("_part", part).join(src, cond, "left")
     for c, default in cols.items():
-        j = j.withColumn(c, F.coalesce(F.col(f"_src_{c}"), F.lit(default)))
-    return j.drop(*[f"_k_{k}" for k in keys], *[f"_src_{c}" for c in cols])
+        j = j.withColumn(c, F.coalesce(F.col(f"_src_{c}") * F.col("_part"), F.lit(default)))
+    return j.drop("_part", *[f"_k_{k}" for k in keys], *[f"_src_{c}" for c in cols])
 
 
 # --------------------------------------------------------------------------- W19
@@ -167,12 +187,13 @@ def snapshot_vs_history_counts(
     snap_key: str = "policy_id",
     hist_key: str = "pol_id",
     snapshot_filter: Column | None = None,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct counts per ``by`` from the latest snapshot and from the latest
     history row per policy; symmetric % difference and absolute difference.
-    The latest snapshot date is a one-row aggregate (broadcast semi join)."""
-    latest = snapshot.agg(F.max("me_dt").alias("me_dt"))
-    snap = snapshot.join(F.broadcast(latest), "me_dt", "left_semi")
+    ``latest``: one row with the latest snapshot date; without it the snapshots are
+    read once more to find it. One row either way, so it is broadcast."""
+    snap = snapshot.join(F.broadcast(snapshot.agg(F.max("me_dt").alias("me_dt")) if latest is None else latest), "me_dt", "left_semi")
     if snapshot_filter is not None:
         snap = snap.filter(snapshot_filter)
     a = snap.groupBy(by).agg(F.countDistinct(snap_key).alias("mif_cnt"))

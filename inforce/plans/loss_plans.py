@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from inforce.operators import loss as L
 from inforce.plans.registry import finalize, register
 from inforce.sources import staging as S
-from inforce.sources.tables import session_memo
 
 # ----------------------------------------------------------------------------- shared SQL pieces
 EE_SQL = (
@@ -68,17 +67,14 @@ def _uw_sql(body: str, upto: str = "fixed", more: list[str] | None = None) -> st
 
 
 # ----------------------------------------------------------------------------- shared DataFrame stages
-@session_memo
 def uw_cohort(spark, d):
     return L.cohort_extract(S.auto_policy(spark, d), S.cohort_config(spark), S.AS_OF, config_rows=S.cohort_config_rows())
 
 
-@session_memo
 def uw_rollup(spark, d):
     return L.loss_rollup(S.loss(spark, d), uw_cohort(spark, d))
 
 
-@session_memo
 def uw_fixed(spark, d):
     return L.reclassify(uw_rollup(spark, d), F.col("clean_dirty_cd") == "D", "derived_yes_no_flag", L.YES_ACC_LABEL)
 

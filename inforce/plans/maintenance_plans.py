@@ -15,7 +15,6 @@ from inforce.plans.registry import finalize, register
 from inforce.plans.shared import _sql
 from inforce.sources import lines as LN
 from inforce.sources import staging as S
-from inforce.sources.tables import session_memo
 
 
 # ----------------------------------------------------------------------------- W43
@@ -37,7 +36,7 @@ GROUP BY 1, 2""",
     ),
 )
 def w43_inforce_by_status(spark, d):
-    return LK.inforce_by_status(S.inforce_monthend(spark, d), ["InForce", "A"])
+    return LK.inforce_by_status(S.inforce_monthend(spark, d), ["InForce", "A"], latest=S.last_month_end(spark, d))
 
 
 # ----------------------------------------------------------------------------- W38 / W39 / W40
@@ -67,7 +66,6 @@ STACKED_SQL = """stacked AS (
 _LIST_CTES = [flags_sql(), TXN_SQL, REMOVED_IDS_SQL, REINSTATED_IDS_SQL, STACKED_SQL]
 
 
-@session_memo
 def id_lists(spark, d):
     removed = SEL.credit_removed(pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1)),
                                  keep=["pol_prd_id"], bucket=F.year("pol_eff_dt")).select("pol_id")
@@ -76,7 +74,6 @@ def id_lists(spark, d):
     return removed, reinst
 
 
-@session_memo
 def stacked_ids(spark, d):
     removed, reinst = id_lists(spark, d)
     return SEL.tag_and_stack({"credit_removed": removed, "reinstated": reinst}, dedupe=["credit_removed"])

@@ -10,7 +10,7 @@ from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
 from inforce.plans.registry import deliver_as_double, deliver_as_text, finalize, register
 from inforce.sources import staging as S
-from inforce.sources.tables import read_table, session_memo
+from inforce.sources.tables import read_table
 
 A = S.AS_OF_SQL
 
@@ -63,7 +63,6 @@ FLAG_COLS = (
 )
 
 
-@session_memo
 def pers(spark, d):
     t = S.term(spark, d)
     flat = F.coalesce((F.col("canc_eff_dt") == F.col("pol_eff_dt")).cast("int"), F.lit(0))
@@ -122,7 +121,6 @@ FIRST_TRANS_SQL = """first_trans AS (
 )"""
 
 
-@session_memo
 def first_transactions(spark, d):
     """First transaction premium per agreement (earliest line of each order)."""
     li = read_table(spark, d, "lineitem").select(
@@ -136,7 +134,6 @@ def first_transactions(spark, d):
     )
 
 
-@session_memo
 def history(spark, d):
     return P.term_history(
         pers(spark, d), prem="prem", first_prem="frst_trans_prem", first_prem_table=first_transactions(spark, d),
@@ -248,7 +245,6 @@ def w05_ultimate_cancel(spark, d):
 
 
 # ----------------------------------------------------------------------------- W06 / W07 / W08 — renewal-zone book
-@session_memo
 def members(spark, d):
     """Renewal-zone list: policies whose holder had a qualifying web event."""
     ev = read_table(spark, d, "events")
@@ -258,7 +254,6 @@ def members(spark, d):
 MEMBERS_SQL = "members AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS pol_id FROM events WHERE event_type = 'purchase')"
 
 
-@session_memo
 def book(spark, d):
     latest = SEL.latest_by_key(pers(spark, d), ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
     return latest.filter(SEL.renewal_window("pol_exp_dt", RENEWAL_WINDOW_START, S.AS_OF))
@@ -389,9 +384,7 @@ FROM (
 def w30_code_transitions(spark, d):
     snap = S.inforce_monthend(spark, d)
     recent = snap.filter((F.col("me_dt") > F.lit(W30_FROM_ME).cast("date")) & (F.col("pol_status_cd") == "InForce"))
-    now = snap.filter(F.col("pol_status_cd") == "InForce").join(
-        snap.agg(F.max("me_dt").alias("me_dt")), "me_dt", "left_semi"
-    )
+    now = snap.filter(F.col("pol_status_cd") == "InForce").join(F.broadcast(S.last_month_end(spark, d)), "me_dt", "left_semi")
     return P.code_transitions(recent, now, from_code="3-MEDIUM", label="MEDIUM")
 
 
@@ -412,7 +405,6 @@ rsn AS (
 )"""
 
 
-@session_memo
 def transactions(spark, d):
     t = S.term(spark, d)
     raw = t.select(

@@ -9,7 +9,7 @@ from inforce.operators import reconcile as R
 from inforce.operators import selection as SEL
 from inforce.plans.registry import finalize, register
 from inforce.sources import staging as S
-from inforce.sources.tables import read_table, session_memo
+from inforce.sources.tables import read_table
 
 A = S.AS_OF_SQL
 
@@ -28,7 +28,6 @@ MODEL_ACTIVE = {"bi", "coll", "mp"}
 LOSS_COV = {"A": "BI", "N": "COLL", "R": "MED"}
 
 
-@session_memo
 def ulm_loss(spark, d):
     lo = S.loss(spark, d)
     cov = F.when(F.col("cov_type_abbr") == "A", "BI").when(F.col("cov_type_abbr") == "N", "COLL").otherwise("MED")
@@ -43,10 +42,9 @@ ULM_LOSS_SQL = """ulm_loss AS (
 )"""
 
 
-@session_memo
 def model_period(spark, d):
-    """Model predictions per policy period (scored orders only: status P is not scored yet)."""
-    o = read_table(spark, d, "orders").filter(F.col("o_orderstatus") != "P")
+    """Model predictions per policy period."""
+    o = read_table(spark, d, "orders")
     k = F.col("o_orderkey")
     cols = [k.alias("cv_plcy_period_id")]
     for c, base in MODEL_BASE.items():
@@ -62,44 +60,44 @@ def model_period_sql() -> str:
         cols.append(f"CAST({base!r} AS DOUBLE) * CAST(o_orderkey % 7 + 1 AS DOUBLE) AS adj_{c}_pp_pred")
         expo = "CAST(o_orderkey % 4 + 1 AS DOUBLE) / 7.0" if c in MODEL_ACTIVE else "CAST(0.0 AS DOUBLE)"
         cols.append(f"{expo} AS {c}_exposure")
-    return "model_period AS (SELECT " + ", ".join(cols) + " FROM orders WHERE o_orderstatus <> 'P')"
+    return "model_period AS (SELECT " + ", ".join(cols) + " FROM orders)"
 
 
-def _alloc_sql() -> str:
-    w = "SUM(CAST(l.ee AS DOUBLE)) OVER (PARTITION BY l.pol_id, l.pol_prd_id, l.cov_type_abbr)"
+def _alloc_sql(digits: int | None = None, name: str = "alloc") -> str:
+    """Exposure per (policy, period, coverage) as a grouped table, joined to its rows."""
     adj = []
     for code, c in R.COVERAGE_MAP.items():
-        adj.append(
-            rhu(f"CASE WHEN cov_type_abbr = '{code}' THEN ee_percent * adj_{c}_pp_pred * {c}_exposure ELSE 0.0 END")
-            + f" AS adj_{c}_pp"
-        )
-    ttl = " + ".join(f"adj_{c}_pp" for c in R.MODEL_COVERAGES)
-    return f"""alloc0 AS (
-  SELECT l.*, m.*,
-         CASE WHEN {w} = 0 THEN NULL ELSE CAST(l.ee AS DOUBLE) / {w} END AS ee_percent
-  FROM ulm_loss l JOIN model_period m ON CAST(l.pol_prd_id AS VARCHAR) = CAST(m.cv_plcy_period_id AS VARCHAR)
+        v = f"CASE WHEN cov_type_abbr = '{code}' THEN ee_percent * adj_{c}_pp_pred * {c}_exposure ELSE 0.0 END"
+        adj.append((v if digits is None else rhu(v, digits)) + f" AS adj_{c}_pp")
+    ttl = " + ".join(f"adj_{c}_pp" if digits is None else f"COALESCE(adj_{c}_pp, 0.0)" for c in R.MODEL_COVERAGES)
+    return f"""{name}_shares AS (
+  SELECT l.*, m.*, g.ttl_cov_ee, CAST(l.ee AS DOUBLE) / NULLIF(CAST(g.ttl_cov_ee AS DOUBLE), 0) AS ee_percent
+  FROM ulm_loss l
+  JOIN (SELECT pol_id, pol_prd_id, cov_type_abbr, SUM(ee) AS ttl_cov_ee FROM ulm_loss GROUP BY ALL) g
+    ON (l.pol_id, l.pol_prd_id, l.cov_type_abbr) IS NOT DISTINCT FROM (g.pol_id, g.pol_prd_id, g.cov_type_abbr)
+  JOIN model_period m ON l.pol_prd_id = m.cv_plcy_period_id
 ),
-alloc1 AS (SELECT *, {", ".join(adj)} FROM alloc0),
-alloc AS (SELECT *, {ttl} AS adj_ttl_pp FROM alloc1)"""
+{name}_parts AS (SELECT *, {", ".join(adj)} FROM {name}_shares),
+{name} AS (SELECT *, {ttl} AS adj_ttl_pp FROM {name}_parts)"""
 
 
 def _sql(body, extra):
     return S.with_ctes(["loss"], body, extra)
 
 
-@session_memo
-def alloc(spark, d):
-    return R.allocate_prediction(ulm_loss(spark, d), model_period(spark, d))
+def alloc(spark, d, digits=None):
+    return R.allocate_prediction(ulm_loss(spark, d), model_period(spark, d), digits=digits)
 
 
 _ADJ = [f"adj_{c}_pp" for c in R.MODEL_COVERAGES] + ["adj_ttl_pp"]
-_W16_COLS = ["pol_id", "pol_prd_id", "cov_type_abbr", "earned_month", "ee", "ee_percent", *_ADJ]
+_W16_COLS = ["pol_id", "pol_prd_id", "cov_type_abbr", "earned_month", "ee", "ttl_cov_ee", "ee_percent", *_ADJ]
+_W16_SQL = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in ("ee", "ttl_cov_ee") else c for c in _W16_COLS)
 
 
 @register(
     "w16_allocate_prediction",
     _sql(
-        "SELECT " + ", ".join("CAST(ee AS DOUBLE) AS ee" if c == "ee" else c for c in _W16_COLS) + " FROM alloc",
+        f"SELECT {_W16_SQL} FROM alloc",
         [ULM_LOSS_SQL, model_period_sql(), _alloc_sql()],
     ),
 )
@@ -107,15 +105,24 @@ def w16_allocate_prediction(spark, d):
     return finalize(alloc(spark, d).select(*_W16_COLS))
 
 
+@register("w16_allocation_rounded", _sql(f"SELECT {_W16_SQL} FROM alloc", [ULM_LOSS_SQL, model_period_sql(), _alloc_sql(4)]))
+def w16_allocation_rounded(spark, d):
+    return finalize(alloc(spark, d, 4).select(*_W16_COLS))
+
+
+def _exact(c: str) -> str:
+    return f"CAST(SUM(CAST({c} AS DECIMAL(28,10))) AS DOUBLE)"
+
+
 def _check_sql(within: bool) -> str:
-    ops = ", ".join(f"SUM(adj_{c}_pp) AS {c}_op" for c in R.MODEL_COVERAGES)
+    ops = ", ".join(f"{_exact(f'adj_{c}_pp')} AS {c}_op" for c in R.MODEL_COVERAGES)
     ulm = ", ".join(f"adj_{c}_pp_pred * {c}_exposure AS {c}_ulm" for c in R.MODEL_COVERAGES)
     ttl = " + ".join(f"{c}_ulm" for c in R.MODEL_COVERAGES)
     cond = " AND ".join(f"ABS({c}_op - {c}_ulm) <= 0.02" for c in R.MODEL_COVERAGES)
     outs = ", ".join(f"{rhu(c + '_op')} AS {c}_op, {rhu(c + '_ulm')} AS {c}_ulm" for c in [*R.MODEL_COVERAGES, "ttl"])
     return _sql(
         f"""SELECT pol_prd_id, {outs}
-FROM (SELECT CAST(pol_prd_id AS VARCHAR) AS pol_prd_id, {ops}, SUM(adj_ttl_pp) AS ttl_op FROM alloc GROUP BY 1) op
+FROM (SELECT CAST(pol_prd_id AS VARCHAR) AS pol_prd_id, {ops}, {_exact('adj_ttl_pp')} AS ttl_op FROM alloc GROUP BY 1) op
 JOIN (SELECT *, {ttl} AS ttl_ulm FROM (SELECT CAST(cv_plcy_period_id AS VARCHAR) AS pol_prd_id, {ulm} FROM model_period)) mu
 USING (pol_prd_id)
 WHERE {'' if within else 'NOT '}({cond})""",
@@ -139,13 +146,19 @@ _KEYS = ["pol_id", "pol_prd_id", "cov_type_abbr", "earned_month"]
     "w18_update_from",
     _sql(
         "SELECT t.pol_id, t.pol_prd_id, t.cov_type_abbr, t.earned_month, CAST(t.ee AS DOUBLE) AS ee, "
-        + ", ".join(f"{rhu(f'COALESCE(s.{c}, 0.0)')} AS {c}" for c in _ADJ)
+        + ", ".join(f"{rhu(f'COALESCE(s.{c} * t.part, 0.0)')} AS {c}" for c in _ADJ)
         + """
-FROM ulm_loss t LEFT JOIN (
+FROM (
+  SELECT l.*, CASE WHEN COALESCE(k.ee_of_key, 0) = 0 THEN CAST(1.0 AS DOUBLE) / k.rows_of_key
+                   ELSE COALESCE(CAST(l.ee AS DOUBLE), 0.0) / CAST(k.ee_of_key AS DOUBLE) END AS part
+  FROM ulm_loss l JOIN (
+    SELECT pol_id, pol_prd_id, cov_type_abbr, earned_month, SUM(ee) AS ee_of_key, COUNT(*) AS rows_of_key FROM ulm_loss GROUP BY ALL
+  ) k ON (l.pol_id, l.pol_prd_id, l.cov_type_abbr, l.earned_month) IS NOT DISTINCT FROM (k.pol_id, k.pol_prd_id, k.cov_type_abbr, k.earned_month)
+) t LEFT JOIN (
   SELECT pol_id, pol_prd_id, cov_type_abbr, earned_month, """
-        + ", ".join(f"SUM({c}) AS {c}" for c in _ADJ)
+        + ", ".join(f"{_exact(c)} AS {c}" for c in _ADJ)
         + """
-  FROM alloc GROUP BY pol_id, pol_prd_id, cov_type_abbr, earned_month
+  FROM alloc GROUP BY ALL
 ) s ON t.pol_id = s.pol_id AND t.pol_prd_id IS NOT DISTINCT FROM s.pol_prd_id
    AND t.cov_type_abbr = s.cov_type_abbr AND t.earned_month = s.earned_month""",
         [ULM_LOSS_SQL, model_period_sql(), _alloc_sql()],
@@ -153,7 +166,7 @@ FROM ulm_loss t LEFT JOIN (
 )
 def w18_update_from(spark, d):
     target = ulm_loss(spark, d)
-    upd = R.update_from(target, alloc(spark, d), _KEYS, {c: 0.0 for c in _ADJ}, null_safe=["pol_prd_id"])
+    upd = R.update_from(target, alloc(spark, d), _KEYS, {c: 0.0 for c in _ADJ}, null_safe=["pol_prd_id"], share="ee")
     return finalize(upd.select(*_KEYS, "ee", *[round_half_up(c, 4).alias(c) for c in _ADJ]))
 
 
@@ -248,7 +261,7 @@ def w20_snapshot_vs_history(spark, d):
     inforce = latest.filter(
         (F.col("pol_eff_dt") <= a) & (F.col("pol_exp_dt") > a) & (F.col("canc_eff_dt").isNull() | (F.col("canc_eff_dt") > a))
     )
-    return R.snapshot_vs_history_counts(snap, inforce, snapshot_filter=F.col("pol_status_cd") == "InForce")
+    return R.snapshot_vs_history_counts(snap, inforce, snapshot_filter=F.col("pol_status_cd") == "InForce", latest=S.last_month_end(spark, d))
 
 
 # ----------------------------------------------------------------------------- W16 sample (ORDER BY ... LIMIT)
@@ -259,8 +272,7 @@ _SAMPLE_ORDER = ["pol_id", "pol_prd_id", "cov_type_abbr", "earned_month", "ee",
 @register(
     "w16_allocation_sample",
     _sql(
-        "SELECT " + ", ".join("CAST(ee AS DOUBLE) AS ee" if c == "ee" else c for c in _W16_COLS)
-        + f" FROM alloc ORDER BY {', '.join(_SAMPLE_ORDER)} LIMIT {SAMPLE_N}",
+        f"SELECT {_W16_SQL} FROM alloc ORDER BY {', '.join(_SAMPLE_ORDER)} LIMIT {SAMPLE_N}",
         [ULM_LOSS_SQL, model_period_sql(), _alloc_sql()],
     ),
 )

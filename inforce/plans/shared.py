@@ -6,7 +6,6 @@ from __future__ import annotations
 from inforce.operators import selection as SEL
 from inforce.plans.persistency_plans import pers
 from inforce.sources import staging as S
-from inforce.sources.tables import session_memo
 
 A = S.AS_OF_SQL
 LATEST = "row_number() OVER (PARTITION BY pol_id ORDER BY pol_eff_dt DESC NULLS FIRST, pol_prd_id DESC NULLS FIRST)"
@@ -16,7 +15,6 @@ def _sql(body, extra, base=("term",)):
     return S.with_ctes(list(base), body, extra)
 
 
-@session_memo
 def latest_pers(spark, d):
     return SEL.latest_by_key(pers(spark, d), ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
 

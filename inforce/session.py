@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +36,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this is configured by the deployment and is only read here
     (Spark then also uses it for ``DataFrame.checkpoint``). Only when it is
-    unset (local tests) a scratch folder is created for this application and
-    registered as the context's checkpoint directory.
+    unset and the master is local (tests) a scratch folder is created for this
+    application and registered as the context's checkpoint directory; on a cluster
+    a missing setting is an error, because a machine's own folder is not shared.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_CKPT:
         _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="inforce-ckpt-")

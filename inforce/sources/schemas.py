@@ -94,12 +94,12 @@ def read_domain(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
     return spark.read.format(fmt).schema(SCHEMAS[name]).options(**options).load(path)
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select and cast a frame to a domain schema (by name; missing columns are NULL)."""
+def conform(df: DataFrame, name: str, absent: tuple[str, ...] = ()) -> DataFrame:
+    """Select and cast a frame to a domain schema by name. A column that the frame
+    lacks is an error, unless ``absent`` names it: those become NULL."""
     from pyspark.sql import functions as F
 
-    out = []
-    for f in SCHEMAS[name].fields:
-        col = F.col(f.name) if f.name in df.columns else F.lit(None)
-        out.append(col.cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    missing = [f.name for f in SCHEMAS[name].fields if f.name not in df.columns and f.name not in absent]
+    if missing:
+        raise ValueError(f"{name}: columns missing from the input: {', '.join(missing)}")
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])

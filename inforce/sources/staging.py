@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from inforce.functions.columns import as_date, money, month_key
 from inforce.operators.common import with_group_aggs
-from inforce.sources.tables import read_table, session_memo
+from inforce.sources.tables import read_table
 
 AS_OF = dt.date(2000, 6, 30)
 AS_OF_SQL = "DATE '2000-06-30'"
@@ -35,7 +35,6 @@ COHORT_GROUPS = [
 
 
 # --------------------------------------------------------------------------- term
-@session_memo
 def term(spark: SparkSession, d: str) -> DataFrame:
     """Policy terms: one order = one term of policy ``o_custkey``."""
     o = read_table(spark, d, "orders")
@@ -100,7 +99,6 @@ TERM_SQL = """term AS (
 
 
 # --------------------------------------------------------------------------- loss
-@session_memo
 def loss(spark: SparkSession, d: str) -> DataFrame:
     """Operational loss: one line item = one policy-period x coverage x earned-month row."""
     li = read_table(spark, d, "lineitem")
@@ -147,7 +145,6 @@ LOSS_SQL = """loss AS (
 
 
 # --------------------------------------------------------------------------- auto policy (UW view)
-@session_memo
 def auto_policy(spark: SparkSession, d: str) -> DataFrame:
     """Underwriting attributes per term: origin date, clean/dirty code, violation and
     eligibility counts (some eligibility counts NULL on purpose)."""
@@ -197,7 +194,6 @@ AUTO_POLICY_SQL = """auto_policy AS (
 
 
 # --------------------------------------------------------------------------- cohort config
-@session_memo
 def cohort_config(spark: SparkSession) -> DataFrame:
     """Parameter table (state, start date, start month); bounded by the number of states."""
     rows = [(s, start, month) for states, start, month in COHORT_GROUPS for s in states]
@@ -254,7 +250,6 @@ def dev_factor_rows() -> list[tuple[str, str, float]]:
     return rows
 
 
-@session_memo
 def dev_factors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(dev_factor_rows(), "persistency_period string, pol_new_renew_cd string, dev_fctr double")
 
@@ -265,18 +260,27 @@ def dev_factors_sql() -> str:
 
 
 # --------------------------------------------------------------------------- in-force month-end snapshots
-MONTH_ENDS = [dt.date(2000, 1, 31), dt.date(2000, 2, 29), dt.date(2000, 3, 31),
-              dt.date(2000, 4, 30), dt.date(2000, 5, 31), dt.date(2000, 6, 30)]
+def last_month_end(spark: SparkSession, d: str) -> DataFrame:
+    """One row, one column: the last month end that is not after the newest term's
+    effective date (the date of the latest snapshot)."""
+    newest = F.max(as_date("o_orderdate"))
+    me = F.when(newest == F.last_day(newest), newest).otherwise(F.last_day(F.add_months(newest, -1)))
+    return read_table(spark, d, "orders").agg(me.alias("me_dt"))
+
+
+LAST_MONTH_END_SQL = "(SELECT CASE WHEN MAX(pol_eff_dt) = last_day(MAX(pol_eff_dt)) THEN MAX(pol_eff_dt) ELSE CAST(date_trunc('month', MAX(pol_eff_dt)) AS DATE) - 1 END FROM term)"
 
 
-@session_memo
 def inforce_monthend(spark: SparkSession, d: str) -> DataFrame:
-    """Month-end snapshot: for each month end, the newest term of each policy in
-    force then (eff <= me < exp). Each term emits the month ends it covers
-    (array filter + explode), so no join against the calendar is needed."""
+    """Month-end snapshots over the whole history: for each month end up to the
+    newest term's effective date, the newest term of each policy in force then
+    (eff <= me < exp). Each term emits the month ends it covers, so no join against
+    a calendar is needed."""
     t = term(spark, d)
-    mes = F.array(*[F.lit(m) for m in MONTH_ENDS])
-    covered = F.filter(mes, lambda m: (F.col("pol_eff_dt") <= m) & (F.col("pol_exp_dt") > m))
+    months = F.sequence(F.trunc("pol_eff_dt", "month"), F.trunc("pol_exp_dt", "month"), F.expr("interval 1 month"))
+    newest = read_table(spark, d, "orders").agg(F.max(as_date("o_orderdate"))).scalar()
+    t = t.withColumn("_newest", newest)
+    covered = F.filter(F.transform(months, F.last_day), lambda m: (F.col("pol_eff_dt") <= m) & (F.col("pol_exp_dt") > m) & (m <= F.col("_newest")))
     snap = t.select(
         F.col("pol_id").alias("policy_id"), "pol_prd_id", "pol_eff_dt", "canc_eff_dt", "rate_plan_cd", "pol_form_cd",
         F.explode(covered).alias("me_dt"),
@@ -295,19 +299,22 @@ def inforce_monthend(spark: SparkSession, d: str) -> DataFrame:
 
 
 def inforce_monthend_sql() -> str:
-    vals = ", ".join(f"(DATE '{m.isoformat()}')" for m in MONTH_ENDS)
-    return f"""inforce_monthend AS (
+    return """month_ends AS (
+  SELECT CAST(last_day(m) AS DATE) AS me_dt FROM (
+    SELECT unnest(generate_series(date_trunc('month', MIN(pol_eff_dt)), date_trunc('month', MAX(pol_eff_dt)), INTERVAL 1 MONTH)) AS m FROM term)
+  WHERE last_day(m) <= (SELECT MAX(pol_eff_dt) FROM term)
+),
+inforce_monthend AS (
   SELECT policy_id, me_dt, pol_prd_id, rate_plan_cd, pol_form_cd, pol_status_cd FROM (
     SELECT t.pol_id AS policy_id, m.me_dt, t.pol_prd_id, t.rate_plan_cd, t.pol_form_cd,
            CASE WHEN t.canc_eff_dt IS NOT NULL AND t.canc_eff_dt <= m.me_dt THEN 'Cancelled' ELSE 'InForce' END AS pol_status_cd,
            row_number() OVER (PARTITION BY t.pol_id, m.me_dt ORDER BY t.pol_eff_dt DESC, t.pol_prd_id DESC) AS rn
-    FROM term t JOIN (VALUES {vals}) AS m(me_dt) ON t.pol_eff_dt <= m.me_dt AND t.pol_exp_dt > m.me_dt
+    FROM term t JOIN month_ends m ON t.pol_eff_dt <= m.me_dt AND t.pol_exp_dt > m.me_dt
   ) WHERE rn = 1
 )"""
 
 
 # --------------------------------------------------------------------------- policy characteristics (int dates)
-@session_memo
 def char_ref(spark: SparkSession, d: str) -> DataFrame:
     """Per-term characteristics as the source's reference table stores them:
     dates as ``yyyymmdd`` integers with 0 for "none", a possibly different

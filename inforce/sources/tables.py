@@ -7,7 +7,6 @@ query references (``ReadSchema`` in ``explain``).
 
 from __future__ import annotations
 
-import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,33 +23,3 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-_MEMO: dict[tuple, DataFrame] = {}
-
-
-def _session_token(spark: SparkSession):
-    """Identity of a live session (a new application or session gets a new token)."""
-    try:
-        return (spark.sparkContext.applicationId, id(spark))
-    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
-        return (getattr(spark, "session_id", None), id(spark))
-
-
-def session_memo(fn):
-    """Build a staging DataFrame once per (session, data folder, arguments).
-
-    DataFrames are immutable, lazy plans; reusing the definition only saves
-    the Python-side construction and analysis (like a temp view registered
-    once per session). Nothing is cached or materialised."""
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, *args):
-        key = (fn.__module__, fn.__qualname__, _session_token(spark), args)
-        df = _MEMO.get(key)
-        if df is None:
-            df = fn(spark, *args)
-            _MEMO[key] = df
-        return df
-
-    return wrapper
