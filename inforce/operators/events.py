@@ -29,26 +29,28 @@ def session_cohort(events: DataFrame, base: Column, qualifying: Column, session_
 # --------------------------------------------------------------------------- W32
 def id_rows(df: DataFrame, col: str = "policy_num", day_col: str = "event_day", id_len: int = 11,
             quote_marks: tuple[str, ...] = ("ph", "pa")) -> DataFrame:
-    """Per-row part of the id clean-up (stateless, so it also runs on streams).
+    """Per-row part of the id clean-up: one explode, so the input is read once.
 
     Short values (length <= id_len + 1) keep their first ``id_len`` characters
     (drops a stray trailing comma); longer ones are split on ',', trimmed, and
     parts that look like quote ids are dropped; blank ids are removed."""
     v = F.col(col)
-    single = df.filter(F.length(v) <= id_len + 1).select(F.substring(v, 1, id_len).alias("pol_id"), day_col)
-    parts = df.filter(F.length(v) > id_len + 1).select(F.explode(F.split(v, ",")).alias("_p"), day_col)
-    keep = None
-    for q in quote_marks:
-        c = ~F.col("_p").like(f"%{q}%")
-        keep = c if keep is None else keep & c
-    multi = parts.filter(keep).select(F.trim("_p").alias("pol_id"), day_col)
-    return single.union(multi).filter(F.col("pol_id") != "")
+    raw = F.split(v, ",")
+
+    def no_quote(p: Column) -> Column:
+        keep = F.lit(True)
+        for q in quote_marks:
+            keep &= ~p.contains(q)
+        return keep
+
+    listed = F.transform(F.filter(raw, no_quote), lambda p: F.trim(p))
+    ids = F.when(F.length(v) <= id_len + 1, F.array(F.substring(v, 1, id_len))).when(F.length(v) > id_len + 1, listed)
+    return df.select(F.explode(ids).alias("pol_id"), day_col).filter(F.col("pol_id") != "")
 
 
 def normalize_id_list(df: DataFrame, col: str = "policy_num", day_col: str = "event_day", id_len: int = 11,
                       quote_marks: tuple[str, ...] = ("ph", "pa")) -> DataFrame:
-    """Clean a free-text id field into distinct (id, day) rows (UNION of the
-    single-id and list halves, blanks removed)."""
+    """Clean a free-text id field into distinct (id, day) rows, blanks removed."""
     return id_rows(df, col, day_col, id_len, quote_marks).distinct()
 
 

@@ -65,14 +65,15 @@ def w31_session_cohort(spark, d):
     return EV.session_cohort(LN.web_events(spark, d), _base(window=SESSION_WINDOW), _qual())
 
 
-NORMALIZE_SQL = """single AS (SELECT DISTINCT policy_num, event_day FROM full_data WHERE length(policy_num) <= 12),
-comma_fix AS (SELECT substr(policy_num, 1, 11) AS pol_id, event_day FROM single),
-multi AS (SELECT DISTINCT policy_num, event_day FROM full_data WHERE length(policy_num) > 12),
-fixed AS (
-  SELECT DISTINCT trim(v) AS pol_id, event_day FROM multi, unnest(string_split(policy_num, ',')) AS t(v)
-  WHERE v NOT LIKE '%ph%' AND v NOT LIKE '%pa%'
-),
-ids AS (SELECT * FROM (SELECT * FROM fixed UNION SELECT * FROM comma_fix) WHERE pol_id <> '')"""
+NORMALIZE_SQL = """ids AS (
+  SELECT DISTINCT pol_id, event_day
+  FROM (
+    SELECT event_day, unnest(
+      CASE WHEN length(policy_num) > 12
+           THEN [trim(part) FOR part IN string_split(policy_num, ',') IF NOT (contains(part, 'ph') OR contains(part, 'pa'))]
+           ELSE [left(policy_num, 11)] END) AS pol_id
+    FROM full_data WHERE policy_num IS NOT NULL)
+  WHERE pol_id <> '')"""
 
 
 def session_ids(spark, d):

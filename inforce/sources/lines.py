@@ -130,13 +130,32 @@ def billing_term_data(spark: SparkSession, d: str) -> DataFrame:
 
 
 BILLING_SQL = f"""billing_data AS (
-  SELECT a.bill_acct_id, t.pol_term_id, t.pol_id, t.pol_eff_dt, t.pol_exp_dt, a.bill_acct_plan_typ_cd, td.bill_instal_typ_desc
-  FROM (SELECT c_custkey AS bill_acct_id, {_case_map('c_mktsegment', PLAN_CODES)} AS bill_acct_plan_typ_cd FROM customer) a,
-       (SELECT o_orderkey AS pol_term_id, CAST(o_custkey AS VARCHAR) AS pol_id, CAST(o_orderdate AS DATE) AS pol_eff_dt,
-               CAST(o_orderdate AS DATE) + 365 AS pol_exp_dt, o_custkey AS orig_bill_acct_id FROM orders) t,
-       (SELECT o_orderkey AS pol_term_id,
-               CASE WHEN o_orderstatus = 'F' THEN 'Full Pay' ELSE 'Monthly Installments' END AS bill_instal_typ_desc FROM orders) td
-  WHERE a.bill_acct_id = t.orig_bill_acct_id AND t.pol_term_id = td.pol_term_id
+  SELECT c_custkey AS bill_acct_id, o_orderkey AS pol_term_id, CAST(o_custkey AS VARCHAR) AS pol_id,
+         CAST(o_orderdate AS DATE) AS pol_eff_dt, CAST(o_orderdate AS DATE) + 365 AS pol_exp_dt,
+         {_case_map('c_mktsegment', PLAN_CODES)} AS bill_acct_plan_typ_cd,
+         IF(o_orderstatus = 'F', 'Full Pay', 'Monthly Installments') AS bill_instal_typ_desc
+  FROM customer JOIN orders ON c_custkey = o_custkey
+)"""
+
+HOME_PLANS = [f"ACT_A{n}" for n in range(1, 9)]
+
+
+def home_billing(spark: SparkSession, d: str) -> DataFrame:
+    """Billing terms of the home line; some are paid in full by a mortgagee."""
+    h = home_policy(spark, d)
+    k = F.col("pol_prd_id")
+    inst = F.when(k % 5 == 0, "Full Pay (Mortgagee)").when(k % 5 <= 2, "Full Pay").otherwise("Monthly Installments")
+    return h.select(
+        k.alias("pol_term_id"), "pol_id", "pol_eff_dt", inst.alias("bill_instal_typ_desc"),
+        F.concat(F.lit("ACT_A"), (k % len(HOME_PLANS) + 1).cast("string")).alias("bill_acct_plan_typ_cd"),
+    )
+
+
+HOME_BILLING_SQL = f"""home_billing AS (
+  SELECT pol_prd_id AS pol_term_id, pol_id, pol_eff_dt,
+         CASE WHEN pol_prd_id % 5 = 0 THEN 'Full Pay (Mortgagee)' WHEN pol_prd_id % 5 <= 2 THEN 'Full Pay' ELSE 'Monthly Installments' END AS bill_instal_typ_desc,
+         'ACT_A' || CAST(pol_prd_id % {len(HOME_PLANS)} + 1 AS VARCHAR) AS bill_acct_plan_typ_cd
+  FROM home_policy
 )"""
 
 
