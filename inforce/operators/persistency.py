@@ -105,10 +105,15 @@ def term_history(
     bucket: Column | None = None,
     first_prem_table: DataFrame | None = None,
     row_id: str = "pol_prd_id",
+    previous_prem: str | None = None,
 ) -> DataFrame:
     """Prior-term values (lag 1, lag 2), premium change and its band, "same as
     prior term" indicators, prior-term cancel and credit indicators.
 
+    ``previous_prem``: a column with the latest premium of the policy that this one
+    replaced; it stands in for the prior term's premium where there is none (a
+    renewal under a new id), and so enters the change and its band.
+
     The change compares the term's first-transaction premium (``first_prem``,
     default the term premium) with the prior term's latest one. All lags share
     one window spec; with ``bucket`` (e.g. the effective year) they are
@@ -144,7 +149,8 @@ def term_history(
         keep.append(fp)
     p = F.col(first_prem or prem).cast("double")
     sel = [F.col(c) for c in keep]
-    sel.append(F.coalesce(F.col(f"lag1_{prem}").cast("double"), F.lit(0.0)).alias("prev_term_prem"))
+    replaced = [F.col(previous_prem).cast("double")] if previous_prem is not None else []
+    sel.append(F.coalesce(F.col(f"lag1_{prem}").cast("double"), *replaced, F.lit(0.0)).alias("prev_term_prem"))
     sel.append(F.coalesce(F.col(f"lag2_{prem}").cast("double"), F.lit(0.0)).alias("prev_two_term_prem"))
     for c in compare:
         sel.append(F.col(f"lag1_{c}").alias(f"prev_{c}"))
@@ -242,7 +248,7 @@ def term_characteristics(
         F.when(F.col(key) != F.col("prev_pol_id"), F.coalesce(F.col("_prev_pol_prem"), F.lit(0).cast("decimal(18,2)")))
         .otherwise(F.lit(0).cast("decimal(18,2)")).alias("prev_pol_id_latst_prem"),
         F.when(F.col("canc_eff_dt") != 0, date_from_yyyymmdd("pol_entry_dt")).alias("cancel_trans_dt"),
-        F.col("years_with_co").cast("decimal(10,1)").alias("htfd_pol_yr_cnt"),
+        F.col("years_with_co").cast("decimal(10,1)").alias("tenure_years"),
         F.when(F.col("plus4_cd").isNotNull(), F.concat(F.col("zip_cd"), F.lit("-"), F.col("plus4_cd")))
         .otherwise(F.col("zip_cd")).alias("dwell_loc_addr_full_zip_cd"),
         F.col("lag1_rate_tbl_dt").alias("prev_term_rate_tbl_dt"),
@@ -439,12 +445,12 @@ def reinstated_after_cancel(
         {"trans_typ_desc": (1,), "trans_rsn_desc": (1,), "canc_eff_dt": (1,)}, bucket
     )
     j = (
-        j.withColumnRenamed("lag1_trans_typ_desc", "cancel_check")
-        .withColumnRenamed("lag1_trans_rsn_desc", "non_pymt_check")
-        .withColumnRenamed("lag1_canc_eff_dt", "last_cancelation_dt")
+        j.withColumnRenamed("lag1_trans_typ_desc", "prior_trans_type")
+        .withColumnRenamed("lag1_trans_rsn_desc", "prior_trans_reason")
+        .withColumnRenamed("lag1_canc_eff_dt", "prior_cancel_dt")
     )
     return j.filter(
         (F.col("trans_typ_desc") == "Reinstate")
-        & (F.col("cancel_check") == "Cancel")
-        & (F.col("non_pymt_check") == "Non-Payment")
+        & (F.col("prior_trans_type") == "Cancel")
+        & (F.col("prior_trans_reason") == "Non-Payment")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from inforce.operators import linkage as LK
 from inforce.operators import selection as SEL
-from inforce.plans.persistency_plans import flags_sql, pers
+from inforce.plans.persistency_plans import REMOVED_SQL, flags_sql, pers
 from inforce.plans.registry import deliver_as_double, deliver_as_text, finalize, register
 from inforce.plans.shared import LATEST_PERS_SQL, A, _sql, latest_pers
 from inforce.sources import lines as LN
@@ -41,13 +41,8 @@ def crosswalk(spark, d):
 _XW_COLS = "pol_start, start_pol_id, start_orig_qte_dt, start_qcn, end_qcn, end_orig_qte_dt, end_pol_id, pol_end"
 XW_SQL_CTES = [
     flags_sql(), LN.HOME_POLICY_SQL, LN.AUTO_QUOTES_SQL, LN.HOME_QUOTES_SQL, LN.PARTY_LINK_SQL, S.inforce_monthend_sql(),
-    """removed AS (
-  SELECT DISTINCT pol_id FROM (
-    SELECT *, CASE WHEN LAG(acct_cr_ind, 1) OVER (PARTITION BY pol_id ORDER BY pol_eff_dt ASC NULLS FIRST, pol_prd_id ASC NULLS FIRST)
-                        - acct_cr_ind = 1 THEN 1 ELSE 0 END AS disc_rem
-    FROM pers WHERE newco_ind = 'Y' AND atr_e_flat = 1
-  ) WHERE disc_rem = 1 AND acct_cr_ind = 0
-)""",
+    REMOVED_SQL,
+    "removed AS (SELECT DISTINCT pol_id FROM credit_dropped)",
     """auto_inforce AS (
   SELECT TRY_CAST(policy_id AS DECIMAL(38,0)) AS pol_id FROM inforce_monthend
   WHERE policy_id IS NOT NULL AND me_dt = (SELECT MAX(me_dt) FROM inforce_monthend) AND pol_status_cd = 'InForce'
@@ -81,9 +76,18 @@ W29_COLS = ["auto_pol_id", "auto_eff_dt", "auto_status", "auto_acct_cr_ind", "au
             "home_form_cd", "home_pol_id", "home_acct_cr_ind", "home_status", "future_ind", "acct_issue_ind"]
 
 
-def linked_pairs(spark, d):
+def linked_pairs(spark, d, book=None, expires_from=None):
+    """Linked auto and home policies. ``book``: a condition on the terms from which
+    the latest one of each auto policy is taken; ``expires_from``: the first expiry
+    date of those terms."""
     a = F.lit(S.AS_OF)
-    ap = latest_pers(spark, d).select(
+    if book is None:
+        latest = latest_pers(spark, d)
+    else:
+        latest = SEL.latest_by_key(pers(spark, d).filter(book), ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
+    if expires_from is not None:
+        latest = latest.filter(F.col("pol_exp_dt") >= F.lit(expires_from))
+    ap = latest.select(
         F.col("pol_id").alias("auto_pol_id"), F.col("pol_eff_dt").alias("auto_eff_dt"),
         F.when(
             (F.col("canc_eff_dt").isNull() | (F.col("canc_eff_dt") > a)) & (F.col("pol_eff_dt") >= F.add_months(a, -6)),
@@ -99,7 +103,7 @@ def linked_pairs(spark, d):
         .otherwise(F.lit("Left")).alias("home_status"),
     )
     aq = LN.auto_quotes(spark, d).select(F.col("pol_id").alias("auto_pol_id"), F.col("qcn").alias("auto_qcn")).distinct()
-    lk = LN.party_link(spark, d).distinct()
+    lk = LN.party_link(spark, d)
     hq = LN.home_quotes(spark, d).select(F.col("qcn").alias("home_qcn"), F.col("pol_id").alias("home_pol_id")).distinct()
     # every side is distinct on what it contributes and every join key is kept
     # (or equal to a kept column), so the chain output is already distinct
@@ -107,44 +111,62 @@ def linked_pairs(spark, d):
     return j.join(hp.distinct(), j.home_pol_id.cast("string") == hp._hp_id).drop("_hp_id")
 
 
-@register(
-    "w29_household_credit_issues",
-    _sql(
+def _w29_sql(book: str) -> str:
+    """Auto and home sides as state tables, linked through their quotes; ``at_odds``
+    is the rule that both indicators of a pair share."""
+    return _sql(
         f"""SELECT {', '.join(W29_COLS)} FROM (
-  SELECT j.*,
-    CASE WHEN auto_status = 'InForce'
-          AND ((home_status = 'InForce' AND (auto_acct_cr_ind = 'N' OR home_acct_cr_ind = 'N')) OR (home_status = 'Left' AND auto_acct_cr_ind = 'Y'))
-          AND auto_eff_dt >= DATE '{FUTURE_START}' AND auto_eff_dt <= DATE '{FUTURE_END}' THEN 1 ELSE 0 END AS future_ind
-  FROM joined j
-) f
-CROSS JOIN LATERAL (SELECT CASE
-    WHEN f.auto_eff_dt <= DATE '{HIST_CUTOFF}' AND f.future_ind = 0 THEN 0
-    WHEN f.auto_status = 'InForce'
-         AND ((f.home_status = 'InForce' AND (f.auto_acct_cr_ind = 'N' OR f.home_acct_cr_ind = 'N')) OR (f.home_status = 'Left' AND f.auto_acct_cr_ind = 'Y')) THEN 1
-    WHEN f.home_status = 'InForce' AND f.auto_status = 'Left' AND f.home_acct_cr_ind = 'Y' THEN 1
-    WHEN f.auto_status = 'Left' AND f.home_status = 'Left' AND (f.auto_acct_cr_ind = 'Y' OR f.home_acct_cr_ind = 'Y') THEN 1
-    ELSE 0 END AS acct_issue_ind)""",
+  SELECT *, CAST(at_odds AND auto_eff_dt BETWEEN DATE '{FUTURE_START}' AND DATE '{FUTURE_END}' AS INTEGER) AS future_ind FROM pairs
+), LATERAL (SELECT CAST(COALESCE(CASE
+    WHEN auto_eff_dt <= DATE '{HIST_CUTOFF}' AND future_ind = 0 THEN FALSE
+    WHEN auto_status = 'InForce' THEN at_odds
+    WHEN home_status = 'InForce' THEN home_acct_cr_ind = 'Y'
+    ELSE 'Y' IN (auto_acct_cr_ind, home_acct_cr_ind) END, FALSE) AS INTEGER) AS acct_issue_ind)""",
         [
             flags_sql(), LATEST_PERS_SQL, LN.HOME_POLICY_SQL, LN.AUTO_QUOTES_SQL, LN.HOME_QUOTES_SQL, LN.PARTY_LINK_SQL,
-            f"""joined AS (
-  SELECT DISTINCT ap.pol_id AS auto_pol_id, ap.pol_eff_dt AS auto_eff_dt,
-         CASE WHEN (ap.canc_eff_dt IS NULL OR ap.canc_eff_dt > {A}) AND ap.pol_eff_dt >= CAST({A} - INTERVAL 6 MONTH AS DATE)
-              THEN 'InForce' ELSE 'Left' END AS auto_status,
-         CASE WHEN ap.acct_cr_ind = 1 THEN 'Y' ELSE 'N' END AS auto_acct_cr_ind,
-         ap.pol_form_cd AS auto_form_cd, aq.qcn AS auto_qcn, lk.home_qcn, hp.pol_form_cd AS home_form_cd,
-         hq.pol_id AS home_pol_id, hp.acct_cr_ind AS home_acct_cr_ind,
-         CASE WHEN hp.pol_status_cd = 'InForce' AND hp.pol_eff_dt >= CAST({A} - INTERVAL 12 MONTH AS DATE)
-              THEN 'InForce' ELSE 'Left' END AS home_status
-  FROM latest_pers ap JOIN auto_quotes aq ON ap.pol_id = aq.pol_id JOIN party_link lk ON aq.qcn = lk.auto_qcn
-  JOIN home_quotes hq ON lk.home_qcn = hq.qcn JOIN home_policy hp ON CAST(hq.pol_id AS VARCHAR) = CAST(hp.pol_id AS VARCHAR)
+            f"""home_side AS (
+  SELECT DISTINCT q.qcn AS home_qcn, q.pol_id AS home_pol_id, p.pol_form_cd AS home_form_cd, p.acct_cr_ind AS home_acct_cr_ind,
+         IF(p.pol_status_cd = 'InForce' AND p.pol_eff_dt >= CAST({A} - INTERVAL 1 YEAR AS DATE), 'InForce', 'Left') AS home_status
+  FROM home_quotes q JOIN home_policy p USING (pol_id)
+),
+auto_side AS (
+  SELECT DISTINCT b.pol_id AS auto_pol_id, b.pol_eff_dt AS auto_eff_dt, b.pol_form_cd AS auto_form_cd, q.qcn AS auto_qcn,
+         IF(b.acct_cr_ind = 1, 'Y', 'N') AS auto_acct_cr_ind,
+         IF(COALESCE(b.canc_eff_dt > {A}, TRUE) AND b.pol_eff_dt >= CAST({A} - INTERVAL 6 MONTH AS DATE), 'InForce', 'Left') AS auto_status
+  FROM ({book}) b JOIN auto_quotes q USING (pol_id)
+),
+pairs AS (
+  SELECT *, auto_status = 'InForce' AND CASE home_status WHEN 'InForce' THEN 'N' IN (auto_acct_cr_ind, home_acct_cr_ind)
+                                                         ELSE auto_acct_cr_ind = 'Y' END AS at_odds
+  FROM auto_side JOIN party_link USING (auto_qcn) JOIN home_side USING (home_qcn)
 )""",
         ],
-    ),
-)
+    )
+
+
+W29_EXPIRES_FROM = dt.date(1999, 9, 1)
+
+
+@register("w29_household_credit_issues", _w29_sql("SELECT * FROM latest_pers"))
 def w29_household_credit_issues(spark, d):
     return LK.household_credit_issues(linked_pairs(spark, d), FUTURE_START, FUTURE_END, HIST_CUTOFF).select(*W29_COLS)
 
 
+@register(
+    "w29_newer_company_book",
+    _w29_sql(
+        f"""SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY pol_id ORDER BY pol_eff_dt DESC NULLS FIRST, pol_prd_id DESC NULLS FIRST) AS newest
+    FROM pers WHERE newco_ind = 'Y')
+  WHERE newest = 1 AND pol_exp_dt >= DATE '{W29_EXPIRES_FROM}'"""
+    ),
+)
+def w29_newer_company_book(spark, d):
+    """The source's book: newer-company terms only, latest of each policy, not expired before a date."""
+    pairs = linked_pairs(spark, d, F.col("newco_ind") == "Y", W29_EXPIRES_FROM)
+    return LK.household_credit_issues(pairs, FUTURE_START, FUTURE_END, HIST_CUTOFF).select(*W29_COLS)
+
+
 # ----------------------------------------------------------------------------- W42
 def connected(spark, d):
     """Distinct linked pairs with market attributes.
@@ -165,7 +187,7 @@ def connected(spark, d):
     aq = LN.auto_quotes(spark, d).select(
         LK.try_decimal_id("pol_id").alias("_aq_key"), F.col("qcn").alias("auto_qcn")
     ).filter(F.col("_aq_key").isNotNull()).distinct()
-    lk = LN.party_link(spark, d).distinct()
+    lk = LN.party_link(spark, d)
     hq = LN.home_quotes(spark, d).select(F.col("qcn").alias("home_qcn"), F.col("pol_id").alias("home_pol_id")).distinct()
     hp = LN.home_policy(spark, d).select(
         LK.try_decimal_id("pol_id").alias("_hp_key"), F.col("market_channel").alias("home_mkt_chnl"),
@@ -186,17 +208,20 @@ def connected(spark, d):
 FROM connected_table""",
         [
             flags_sql(), LN.HOME_POLICY_SQL, LN.AUTO_QUOTES_SQL, LN.HOME_QUOTES_SQL, LN.PARTY_LINK_SQL,
-            f"""connected_table AS (
-  SELECT DISTINCT
-    {LN._case_map('ap.mkt_segment', LN.MEDIA_GROUPS, 'Referral')} AS auto_mkt_grp,
-    CASE WHEN ap.pol_form_cd IN ('1-URGENT', '2-HIGH') THEN 'Agency' WHEN ap.pol_form_cd = '3-MEDIUM' THEN 'Direct' ELSE 'Partner' END AS auto_mkt_chnl,
-    ap.pol_id AS auto_pol_id, aq.qcn AS auto_qcn, lk.home_qcn, hq.pol_id AS home_pol_id,
-    hp.market_channel AS home_mkt_chnl, hp.mktg_media_grp AS home_mkt_grp
-  FROM pers ap
-  JOIN auto_quotes aq ON TRY_CAST(ap.pol_id AS DECIMAL(38,0)) = TRY_CAST(aq.pol_id AS DECIMAL(38,0))
-  JOIN party_link lk ON aq.qcn = lk.auto_qcn
-  JOIN home_quotes hq ON lk.home_qcn = hq.qcn
-  JOIN home_policy hp ON TRY_CAST(hq.pol_id AS DECIMAL(38,0)) = TRY_CAST(hp.pol_id AS DECIMAL(38,0))
+            f"""auto_market AS (
+  SELECT DISTINCT TRY_CAST(pol_id AS DECIMAL(38,0)) AS auto_key, pol_id AS auto_pol_id,
+         {LN._case_map('mkt_segment', LN.MEDIA_GROUPS, 'Referral')} AS auto_mkt_grp,
+         CASE pol_form_cd WHEN '1-URGENT' THEN 'Agency' WHEN '2-HIGH' THEN 'Agency' WHEN '3-MEDIUM' THEN 'Direct' ELSE 'Partner' END AS auto_mkt_chnl
+  FROM pers
+),
+home_market AS (
+  SELECT DISTINCT q.qcn AS home_qcn, q.pol_id AS home_pol_id, p.market_channel AS home_mkt_chnl, p.mktg_media_grp AS home_mkt_grp
+  FROM home_policy p JOIN home_quotes q ON TRY_CAST(p.pol_id AS DECIMAL(38,0)) = TRY_CAST(q.pol_id AS DECIMAL(38,0))
+),
+connected_table AS (
+  SELECT DISTINCT * EXCLUDE (auto_key)
+  FROM (SELECT DISTINCT TRY_CAST(pol_id AS DECIMAL(38,0)) AS auto_key, qcn AS auto_qcn FROM auto_quotes)
+  JOIN auto_market USING (auto_key) JOIN party_link USING (auto_qcn) JOIN home_market USING (home_qcn)
 )""",
         ],
     ),
@@ -239,18 +264,16 @@ def quote_funnel(spark, d):
         f"SELECT {', '.join(W34_COLS)} FROM final",
         [
             flags_sql(), LN.QUOTE_FLOW_SQL, LN.RATER_SQL,
-            """hq AS (
-  SELECT *, row_number() OVER (PARTITION BY qcn ORDER BY strptime(quote_trans_lst_chng_dt, '%Y%m%d') DESC NULLS FIRST,
-                                line_no DESC NULLS FIRST, part_no DESC NULLS FIRST, supp_no DESC NULLS FIRST,
-                                qte_prem_amt DESC NULLS FIRST) AS rn
-  FROM quote_flow
-)""",
-            "qcn_agg AS (SELECT qcn, MAX(resp_ind_cnt) AS resp_ind_cnt, MAX(iss_ind_cnt) AS iss_ind_cnt FROM quote_flow GROUP BY qcn)",
-            f"""a AS (
-  SELECT q.qcn, q.pol_id, CAST(strptime(q.quote_trans_lst_chng_dt, '%Y%m%d') AS DATE) AS quote_last_transaction_dt,
-         q.qte_prem_amt, g.resp_ind_cnt, g.iss_ind_cnt
-  FROM hq q JOIN qcn_agg g ON q.qcn = g.qcn
-  WHERE q.bus_unit_abbr = 'AGCY' AND q.quote_trans_lst_chng_dt >= '{QUOTE_FROM}' AND q.rn = 1
+            f"""last_quote AS (
+  SELECT qcn, MAX(resp_ind_cnt) AS resp_ind_cnt, MAX(iss_ind_cnt) AS iss_ind_cnt,
+         arg_max({{'pol_id': pol_id, 'day': quote_trans_lst_chng_dt, 'prem': qte_prem_amt, 'unit': bus_unit_abbr}},
+                 (strptime(quote_trans_lst_chng_dt, '%Y%m%d'), line_no, part_no, supp_no, qte_prem_amt)) AS last
+  FROM quote_flow GROUP BY qcn
+),
+a AS (
+  SELECT qcn, last.pol_id AS pol_id, CAST(strptime(last.day, '%Y%m%d') AS DATE) AS quote_last_transaction_dt,
+         last.prem AS qte_prem_amt, resp_ind_cnt, iss_ind_cnt
+  FROM last_quote WHERE last.unit = 'AGCY' AND last.day >= '{QUOTE_FROM}'
 )""",
             """c AS (
   SELECT pol_id AS policy_id, pol_eff_dt AS first_pol_eff_dt, cancel_e_flat, cancel_e_180, cancel_e_365, atr_e_flat,

@@ -10,7 +10,7 @@ from inforce.operators import linkage as LK
 from inforce.operators import maintenance as MT
 from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
-from inforce.plans.persistency_plans import TXN_SQL, W35_SINCE, flags_sql, pers, transactions
+from inforce.plans.persistency_plans import REINSTATED_SQL, REMOVED_SQL, TXN_SQL, W35_SINCE, flags_sql, pers, transactions
 from inforce.plans.registry import finalize, register
 from inforce.plans.shared import _sql
 from inforce.sources import lines as LN
@@ -40,30 +40,14 @@ def w43_inforce_by_status(spark, d):
 
 
 # ----------------------------------------------------------------------------- W38 / W39 / W40
-REMOVED_IDS_SQL = """removed_ids AS (
-  SELECT pol_id FROM (
-    SELECT *, CASE WHEN LAG(acct_cr_ind, 1) OVER (PARTITION BY pol_id ORDER BY pol_eff_dt ASC NULLS FIRST, pol_prd_id ASC NULLS FIRST)
-                        - acct_cr_ind = 1 THEN 1 ELSE 0 END AS disc_rem
-    FROM pers WHERE newco_ind = 'Y' AND atr_e_flat = 1
-  ) WHERE disc_rem = 1
-)"""
-REINSTATED_IDS_SQL = f"""reinstated_ids AS (
-  SELECT qcn AS pol_id FROM (
-    SELECT j.*, LAG(trans_typ_desc) OVER w AS cancel_check, LAG(trans_rsn_desc) OVER w AS non_pymt_check
-    FROM (
-      SELECT a.qcn, a.trans_typ_desc, a.trans_id, a.trans_dt, b.trans_rsn_desc
-      FROM txn a JOIN rsn b ON a.qcn = b.qcn AND a.trans_dt = b.trans_dt
-      WHERE year(a.trans_dt) - year(a.orig_pol_eff_dt) <= 1 AND a.trans_dt >= DATE '{W35_SINCE.isoformat()}'
-        AND a.trans_stat_desc = 'Committed'
-    ) j WINDOW w AS (PARTITION BY qcn ORDER BY trans_dt ASC NULLS FIRST, trans_id ASC NULLS FIRST, trans_rsn_desc ASC NULLS FIRST)
-  ) WHERE trans_typ_desc = 'Reinstate' AND cancel_check = 'Cancel' AND non_pymt_check = 'Non-Payment'
-)"""
+REMOVED_IDS_SQL = "removed_ids AS (SELECT pol_id FROM credit_dropped)"
+REINSTATED_IDS_SQL = "reinstated_ids AS (SELECT qcn AS pol_id FROM reinstated)"
 STACKED_SQL = """stacked AS (
   SELECT DISTINCT pol_id, 'credit_removed' AS source FROM removed_ids
   UNION ALL
   SELECT pol_id, 'reinstated' AS source FROM reinstated_ids
 )"""
-_LIST_CTES = [flags_sql(), TXN_SQL, REMOVED_IDS_SQL, REINSTATED_IDS_SQL, STACKED_SQL]
+_LIST_CTES = [flags_sql(), TXN_SQL, REMOVED_SQL, REINSTATED_SQL, REMOVED_IDS_SQL, REINSTATED_IDS_SQL, STACKED_SQL]
 
 
 def id_lists(spark, d):

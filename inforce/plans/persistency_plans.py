@@ -333,16 +333,20 @@ def w08_cohort_split(spark, d):
 
 
 # ----------------------------------------------------------------------------- W27
+# successive eligible terms of a policy, and those where the credit went from 1 to 0
+REMOVED_SQL = """eligible AS (
+  SELECT *, row_number() OVER (PARTITION BY pol_id ORDER BY pol_eff_dt NULLS FIRST, pol_prd_id NULLS FIRST) AS nth
+  FROM pers WHERE newco_ind = 'Y' AND atr_e_flat = 1
+),
+credit_dropped AS (
+  SELECT now.* FROM eligible now JOIN eligible before ON before.pol_id = now.pol_id AND before.nth + 1 = now.nth
+  WHERE before.acct_cr_ind = 1 AND now.acct_cr_ind = 0
+)"""
+
+
 @register(
     "w27_credit_removed",
-    _sql(
-        """SELECT DISTINCT pol_id, acct_cr_ind, mkt_segment FROM (
-  SELECT *, CASE WHEN LAG(acct_cr_ind, 1) OVER (PARTITION BY pol_id ORDER BY pol_eff_dt ASC NULLS FIRST, pol_prd_id ASC NULLS FIRST)
-                      - acct_cr_ind = 1 THEN 1 ELSE 0 END AS disc_rem
-  FROM pers WHERE newco_ind = 'Y' AND atr_e_flat = 1
-) WHERE disc_rem = 1""",
-        [flags_sql()],
-    ),
+    _sql("SELECT DISTINCT pol_id, acct_cr_ind, mkt_segment FROM credit_dropped", [flags_sql(), REMOVED_SQL]),
 )
 def w27_credit_removed(spark, d):
     p = pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1))
@@ -356,28 +360,24 @@ W30_FROM_ME = "2000-01-31"
 @register(
     "w30_code_transitions",
     _sql(
-        f"""SELECT policy_id, initial_code, current_code, strftime(change_dt, '%b') AS change_month, change_dt,
-       CASE WHEN policy_id NOT IN (SELECT policy_id FROM inforce_now WHERE policy_id IS NOT NULL) THEN 1 ELSE 0 END AS cancel_flag,
-       CASE WHEN initial_code = '3-MEDIUM' AND current_code <> '0' THEN 'MEDIUM to Other'
-            WHEN initial_code = '3-MEDIUM' AND current_code = '0' THEN 'MEDIUM to Nothing'
-            WHEN current_code = '3-MEDIUM' AND initial_code <> '0' THEN 'Other to MEDIUM'
-            WHEN current_code = '3-MEDIUM' AND initial_code = '0' THEN 'Nothing to MEDIUM'
-            WHEN current_code = initial_code THEN 'Multiple Code Changes'
-            ELSE 'No MEDIUM in Transition' END AS bucket
+        """SELECT policy_id, initial_code, current_code, strftime(change_dt, '%b') AS change_month, change_dt,
+       CAST(NOT EXISTS (SELECT 1 FROM inforce_now n WHERE n.policy_id = c.policy_id) AS INTEGER) AS cancel_flag,
+       CASE '3-MEDIUM' WHEN initial_code THEN 'MEDIUM to ' || IF(current_code = '0', 'Nothing', 'Other')
+                       WHEN current_code THEN IF(initial_code = '0', 'Nothing', 'Other') || ' to MEDIUM'
+                       ELSE IF(initial_code = current_code, 'Multiple Code Changes', 'No MEDIUM in Transition') END AS bucket
 FROM (
-  SELECT policy_id, MAX(initial_code) AS initial_code, MAX(current_code) AS current_code, MAX(chg_dt) AS change_dt
-  FROM (
-    SELECT policy_id,
-           FIRST_VALUE(pol_form_cd) OVER (PARTITION BY policy_id ORDER BY me_dt) AS initial_code,
-           LAST_VALUE(pol_form_cd) OVER (PARTITION BY policy_id ORDER BY me_dt ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS current_code,
-           CASE WHEN pol_form_cd <> LAG(pol_form_cd) OVER (PARTITION BY policy_id ORDER BY me_dt) THEN me_dt END AS chg_dt
-    FROM snaps
-  ) GROUP BY policy_id HAVING MAX(chg_dt) IS NOT NULL
-)""",
+  SELECT policy_id, codes[1] AS initial_code, codes[-1] AS current_code,
+         days[list_max([i FOR i IN range(2, len(codes) + 1) IF codes[i] <> codes[i - 1]])] AS change_dt
+  FROM history
+) c
+WHERE change_dt IS NOT NULL""",
         [
             S.inforce_monthend_sql(),
-            f"snaps AS (SELECT * FROM inforce_monthend WHERE me_dt > DATE '{W30_FROM_ME}' AND pol_status_cd = 'InForce')",
-            "inforce_now AS (SELECT policy_id FROM inforce_monthend WHERE me_dt = (SELECT MAX(me_dt) FROM inforce_monthend) AND pol_status_cd = 'InForce')",
+            f"""history AS (
+  SELECT policy_id, list(pol_form_cd ORDER BY me_dt) AS codes, list(me_dt ORDER BY me_dt) AS days
+  FROM inforce_monthend WHERE pol_status_cd = 'InForce' AND me_dt > DATE '{W30_FROM_ME}' GROUP BY policy_id
+)""",
+            "inforce_now AS (SELECT policy_id FROM inforce_monthend WHERE pol_status_cd = 'InForce' AND me_dt = " + S.LAST_MONTH_END_SQL + ")",
         ],
     ),
 )
@@ -422,35 +422,30 @@ def transactions(spark, d):
     return txn, rsn
 
 
-_W35_COLS = ["qcn", "trans_id", "orig_pol_eff_dt", "trans_dt", "canc_eff_dt", "trans_rsn_desc", "cancel_check",
-             "non_pymt_check", "last_cancelation_dt"]
+_W35_COLS = ["qcn", "trans_id", "orig_pol_eff_dt", "trans_dt", "canc_eff_dt", "trans_rsn_desc", "prior_trans_type",
+             "prior_trans_reason", "prior_cancel_dt"]
 
+# committed transactions with their reasons, numbered per quote; a reinstatement
+# counts if the one numbered before it is a cancellation for non-payment
+REINSTATED_SQL = f"""numbered AS (
+  SELECT t.*, trans_rsn_desc, row_number() OVER (PARTITION BY qcn ORDER BY trans_dt NULLS FIRST, trans_id NULLS FIRST, trans_rsn_desc NULLS FIRST) AS nth
+  FROM txn t JOIN rsn USING (qcn, trans_dt)
+  WHERE trans_stat_desc = 'Committed' AND trans_dt >= DATE '{W35_SINCE.isoformat()}' AND datediff('year', orig_pol_eff_dt, trans_dt) <= 1
+),
+reinstated AS (
+  SELECT n.*, p.trans_typ_desc AS prior_trans_type, p.trans_rsn_desc AS prior_trans_reason, p.canc_eff_dt AS prior_cancel_dt
+  FROM numbered n JOIN numbered p ON p.qcn = n.qcn AND p.nth = n.nth - 1
+  WHERE (n.trans_typ_desc, p.trans_typ_desc, p.trans_rsn_desc) = ('Reinstate', 'Cancel', 'Non-Payment')
+)"""
 
-@register(
-    "w35_reinstated_after_cancel",
-    _sql(
-        f"""SELECT {', '.join(_W35_COLS)} FROM (
-  SELECT j.*,
-         LAG(trans_typ_desc) OVER w AS cancel_check,
-         LAG(trans_rsn_desc) OVER w AS non_pymt_check,
-         LAG(canc_eff_dt) OVER w AS last_cancelation_dt
-  FROM (
-    SELECT a.qcn, a.trans_typ_desc, a.trans_id, a.orig_pol_eff_dt, a.trans_dt, a.canc_eff_dt, b.trans_rsn_desc
-    FROM txn a JOIN rsn b ON a.qcn = b.qcn AND a.trans_dt = b.trans_dt
-    WHERE year(a.trans_dt) - year(a.orig_pol_eff_dt) <= 1 AND a.trans_dt >= DATE '{W35_SINCE.isoformat()}'
-      AND a.trans_stat_desc = 'Committed'
-  ) j
-  WINDOW w AS (PARTITION BY qcn ORDER BY trans_dt ASC NULLS FIRST, trans_id ASC NULLS FIRST, trans_rsn_desc ASC NULLS FIRST)
-) WHERE trans_typ_desc = 'Reinstate' AND cancel_check = 'Cancel' AND non_pymt_check = 'Non-Payment'""",
-        [TXN_SQL],
-    ),
-)
+
+@register("w35_reinstated_after_cancel", _sql(f"SELECT {', '.join(_W35_COLS)} FROM reinstated", [TXN_SQL, REINSTATED_SQL]))
 def w35_reinstated_after_cancel(spark, d):
     txn, rsn = transactions(spark, d)
     return P.reinstated_after_cancel(txn, rsn, W35_SINCE, bucket=F.year("trans_dt")).select(*_W35_COLS)
 
 
-deliver_as_text("w35_reinstated_after_cancel", ("canc_eff_dt", "last_cancelation_dt"))
+deliver_as_text("w35_reinstated_after_cancel", ("canc_eff_dt", "prior_cancel_dt"))
 
 
 # ----------------------------------------------------------------------------- W37
@@ -485,7 +480,7 @@ def w37_premium_change_by_year(spark, d):
 _CHAR_COLS = [
     "policy_id", "pol_prd_id", "pol_eff_date", "canc_eff_date", "acct_cr_ind", "pol_annl_ttl_bill_prem_amt",
     "prev_term_latest_prem_amt", "prev_term_auto_prem", "prem_chng_combined", "prev_pol_id_latst_prem",
-    "cancel_trans_dt", "htfd_pol_yr_cnt", "dwell_loc_addr_full_zip_cd", "prev_term_rate_tbl_dt", "rate_tbl_dt_chng_ind",
+    "cancel_trans_dt", "tenure_years", "dwell_loc_addr_full_zip_cd", "prev_term_rate_tbl_dt", "rate_tbl_dt_chng_ind",
     "prr_eq_grss_aal_amt", "prr_hurr_grss_aal_amt", "prr_total_aal_cat_load", "aal_cat_load_change",
     "prev_term_loss_cnt", "same_loss_cnt_ind", "prev_term_ins_score", "same_ins_score_ind",
 ]
@@ -512,7 +507,7 @@ def _char_sql() -> str:
        {rhu} AS prem_chng_combined,
        CAST(CASE WHEN policy_id <> prev_pol_id THEN COALESCE(prev_pol_prem, 0) ELSE 0 END AS DOUBLE) AS prev_pol_id_latst_prem,
        CASE WHEN canc_eff_dt <> 0 THEN {_YMD.format(c='pol_entry_dt')} END AS cancel_trans_dt,
-       CAST(CAST(years_with_co AS DECIMAL(10,1)) AS DOUBLE) AS htfd_pol_yr_cnt,
+       CAST(CAST(years_with_co AS DECIMAL(10,1)) AS DOUBLE) AS tenure_years,
        CASE WHEN plus4_cd IS NOT NULL THEN zip_cd || '-' || plus4_cd ELSE zip_cd END AS dwell_loc_addr_full_zip_cd,
        lag_rate AS prev_term_rate_tbl_dt,
        CASE WHEN rate_tbl_dt <> lag_rate THEN 1 ELSE 0 END AS rate_tbl_dt_chng_ind,
@@ -549,3 +544,41 @@ def w03_term_characteristics(spark, d):
 
 deliver_as_double("w03_term_characteristics", ("prev_term_loss_cnt",))
 deliver_as_text("w03_term_characteristics", ("canc_eff_date", "cancel_trans_dt", "prev_term_rate_tbl_dt"))
+
+
+# ----------------------------------------------------------------------------- W03 (renewals under a new id)
+@register(
+    "w03_rewritten_policies",
+    _sql(
+        """SELECT pol_id, pol_prd_id, new_rnw_cd, prev_term_prem,
+       CASE WHEN new_rnw_cd = 'R' AND prev_term_prem <> 0 THEN ROUND(change, 6) + 0.0 END AS renewal_prem_change,
+       CASE WHEN new_rnw_cd = 'R' AND prev_term_prem <> 0
+            THEN CASE WHEN change < -0.05 THEN 'a. < -5' WHEN change < 0 THEN 'b. -5 to 0' WHEN change < 0.1 THEN 'c. 0 to 9'
+                      WHEN change < 0.2 THEN 'd. 10 to 19' ELSE 'e. > 20' END END AS renewal_prem_change_grp
+FROM (SELECT *, CAST(prem AS DOUBLE) / NULLIF(prev_term_prem, 0) - 1.0 AS change FROM rewritten)""",
+        ["""ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY pol_id ORDER BY pol_eff_dt NULLS FIRST, pol_prd_id NULLS FIRST) AS nth,
+         CASE WHEN CAST(pol_id AS BIGINT) % 4 = 1 THEN CAST(CAST(pol_id AS BIGINT) - 1 AS VARCHAR) END AS replaced_id
+  FROM term
+),
+last_prem AS (SELECT pol_id AS replaced_id, arg_max(prem, nth) AS replaced_prem FROM ordered GROUP BY pol_id),
+rewritten AS (
+  SELECT now.pol_id, now.pol_prd_id, now.prem, IF(l.replaced_prem IS NOT NULL, 'R', now.new_rnw_cd) AS new_rnw_cd,
+         CAST(COALESCE(before.prem, l.replaced_prem, 0) AS DOUBLE) AS prev_term_prem
+  FROM ordered now LEFT JOIN ordered before ON before.pol_id = now.pol_id AND before.nth = now.nth - 1
+  LEFT JOIN last_prem l ON l.replaced_id = now.replaced_id
+)"""],
+    ),
+)
+def w03_rewritten_policies(spark, d):
+    """Policies with id 4n+1 replaced policy 4n: their first term is a renewal, compared
+    with the replaced policy's latest premium."""
+    t = S.term(spark, d)
+    k = F.col("pol_id").cast("bigint")
+    last = SEL.latest_by_key(t, ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"]).select(
+        F.col("pol_id").alias("replaced_id"), F.col("prem").alias("replaced_prem")
+    )
+    t = t.withColumn("replaced_id", F.when(k % 4 == 1, (k - 1).cast("string"))).join(last, "replaced_id", "left")
+    t = t.withColumn("new_rnw_cd", F.when(F.col("replaced_prem").isNotNull(), "R").otherwise(F.col("new_rnw_cd")))
+    out = P.term_history(t, compare=(), cancel_flag=None, acct_cr=None, previous_prem="replaced_prem", bucket=YEAR_BUCKET())
+    return out.select("pol_id", "pol_prd_id", "new_rnw_cd", "prev_term_prem", "renewal_prem_change", "renewal_prem_change_grp")

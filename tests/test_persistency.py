@@ -144,7 +144,7 @@ def test_reinstated_after_cancel(spark):
         "qcn string, trans_dt date, trans_rsn_desc string",
     )
     out = P.reinstated_after_cancel(txns, reasons, D(2024, 12, 1)).collect()
-    assert [(r.qcn, r.last_cancelation_dt) for r in out] == [("q1", D(2024, 12, 2))]  # q2 is 2 calendar years old
+    assert [(r.qcn, r.prior_cancel_dt) for r in out] == [("q1", D(2024, 12, 2))]  # q2 is 2 calendar years old
 
 
 def test_term_characteristics_edges(spark):
@@ -172,7 +172,7 @@ def test_term_characteristics_edges(spark):
     assert out[3].acct_cr_ind is None and out[3].aal_cat_load_change == "NO AAL"
     assert out[5].prem_chng_combined == -1.0  # DIV0: zero prior total gives 0, minus 1
     assert out[5].aal_cat_load_change == "NO CHANGE" and out[2].aal_cat_load_change == "INCREASE"
-    assert str(out[1].htfd_pol_yr_cnt) == "3.5"
+    assert str(out[1].tenure_years) == "3.5"
 
 
 def test_cohort_rates_one_pass(spark):
