@@ -16,7 +16,8 @@ and a hot key is spread over as many tasks as it has buckets:
 4. the carry-in values are joined back on (key, bucket), which is the same
    distribution as step 1, so the big side is not shuffled again.
 
-The result equals the plain window for any data (tested against it).
+The input is written once to the shared checkpoint folder and both branches read
+it from there. The result equals the plain window for any data (tested against it).
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inforce.session import materialize
+
 
 def _asc(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in cols]
@@ -77,7 +80,9 @@ def bucketed_lags(
         parts += [kn.alias(f"_kn{i}"), kf.alias(f"_kf{i}")]
     d0 = df.select(F.col("*"), *parts, bucket.alias("_bkt"))
     bn, bf = _null_safe_parts(F.col("_bkt"), d0.schema["_bkt"].dataType)
-    d0 = d0.select(F.col("*"), bn.alias("_bn"), bf.alias("_bf")).drop("_bkt")
+    # both branches below read these rows; written once in the shared folder, whatever
+    # they were derived from is computed once, and a lost executor repeats only a read
+    d0 = materialize(d0.select(F.col("*"), bn.alias("_bn"), bf.alias("_bf")).drop("_bkt"))
     gkey = [c for i in range(len(key)) for c in (f"_kn{i}", f"_kf{i}")]
     w = Window.partitionBy(*gkey, "_bn", "_bf").orderBy(*_asc(order))
     wd = Window.partitionBy(*gkey, "_bn", "_bf").orderBy(*_desc(order))

@@ -4,7 +4,7 @@ For each query: number of shuffles (Exchange), Parquet scans, sort-based
 aggregates, broadcast joins and sort-merge joins in the executed plan, plus a
 flag for anything that should never appear (cartesian products, nested-loop
 joins, Python UDFs). Run with broadcasts disabled to see the plan a large
-input gets: ``python tools/plan_report.py [sf_dir] [--no-broadcast]``.
+input gets: ``python tools/plan_report.py [sf_dir] [--no-broadcast] [name-prefix ...]``.
 """
 
 from __future__ import annotations
@@ -31,7 +31,10 @@ def main(argv: list[str]) -> None:
     print("| query | shuffles | scans | columns read / table width | sort aggs | broadcast joins | sort-merge joins | flags |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     widths = {}
+    prefixes = tuple(a for a in argv[1:] if not a.startswith("--") and not os.path.isdir(a))
     for name, fn in sorted(E.queries().items()):
+        if prefixes and not name.startswith(prefixes):
+            continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         reads = {}
         for cols, loc in re.findall(r"FileScan parquet \[([^\]]*)\].*?Location: [^\[]*\[[^\]]*/(\w+)\.parquet\]", plan):
