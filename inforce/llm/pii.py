@@ -43,8 +43,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_CARD_GROUPS = re.compile(r"(?<![0-9])(?:[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}|3[47][0-9]{2}([ -]?)[0-9]{6}\2[0-9]{5})(?![0-9])")
-_PHONE_GROUPS = re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,5}(?![0-9])")
+# every place where a card number may begin, also inside a longer run of groups
+_CARD_GROUPS = re.compile(r"(?<![0-9])(?=((?:[0-9]{4}([ -]?)[0-9]{4}\2[0-9]{4}\2[0-9]{2,7}|3[47][0-9]{2}([ -]?)[0-9]{6}\3[0-9]{5})(?![0-9])))")
+# without a country code, a run of groups that goes on with digits is no phone number
+_PHONE_GROUPS = re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,5}(?![0-9])|(?<![0-9][ .-])(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,5}(?![ .-]?[0-9]))")
 _SPELLED = re.compile(r"[A-Za-z0-9][\w.%+-]{0,63} ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z0-9-]{1,63}){1,5}", re.ASCII)
 _SPELLED_HINT = re.compile(r"\(at\)|\[at\]|\{at\}|\(dot\)|\[dot\]|\{dot\}| dot ")
 
@@ -106,7 +108,7 @@ def wide_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     if _SPELLED_HINT.search(text):
         found += [(m.start(), 0, m.end()) for m in _SPELLED.finditer(text)]
     if _DIGIT.search(text):
-        found += [(m.start(), 2, m.end()) for m in _CARD_GROUPS.finditer(text)]
+        found += [(m.start(1), 2, m.end(1)) for m in _CARD_GROUPS.finditer(text)]
         found += [(m.start(), 3, m.end()) for m in _PHONE_GROUPS.finditer(text) if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
     taken = [(a, b) for a, _, b in base]
     return [s for s in sorted(found) if not any(a < s[2] and s[0] < b for a, b in taken)]
@@ -176,7 +178,7 @@ def reliabilities(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -
     return share, table, post
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30, ridge: float = 1.0) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30, ridge: float = 0.02) -> np.ndarray:
     """Weighted ridge logistic regression on soft labels, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -198,9 +200,10 @@ class SpanModel:
     weights: tuple
     labelers: tuple
 
-    def accepts(self, kind: int, features: tuple[int, ...]) -> bool:
+    def margin(self, kind: int, features: tuple[int, ...]) -> float:
+        """Log odds of a candidate; without a classifier, it is rejected."""
         w = self.weights[kind]
-        return w is not None and float(np.dot(w[:-1], features) + w[-1]) > 0
+        return -1.0 if w is None else float(np.dot(w[:-1], features) + w[-1])
 
 
 def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> SpanModel:
@@ -238,11 +241,12 @@ def all_spans(text: str, model: SpanModel) -> tuple[list[tuple[int, int, int]],
     """The base spans, and those that the classifier adds (touching none of them
     nor each other)."""
     base = base_spans(text)
+    found = [(model.margin(s[1], (*votes(text, s, False), *shape_bits(text, s))), s) for s in wide_spans(text, base)]
     added: list[tuple[int, int, int]] = []
-    for s in wide_spans(text, base):
-        if model.accepts(s[1], (*votes(text, s, False), *shape_bits(text, s))) and not any(a < s[2] and s[0] < b for a, _, b in added):
+    for _, s in sorted((-m, s) for m, s in found if m > 0):  # the surest of those that overlap
+        if not any(a < s[2] and s[0] < b for a, _, b in added):
             added.append(s)
-    return base, added
+    return base, sorted(added)
 
 
 def _written(spans: list[tuple[int, int, int]]) -> str:
