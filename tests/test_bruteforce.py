@@ -233,28 +233,30 @@ def test_allocation_and_update_brute_force(spark):
     schema = "cv_plcy_period_id bigint, " + ", ".join(f"adj_{c}_pp_pred double, {c}_exposure double" for c in R.MODEL_COVERAGES)
     model = spark.createDataFrame(model_rows, schema)
     mdl = {r[0]: r[1:] for r in model_rows}
-    got = sorted((r.pol_id, r.pol_prd_id, r.cov_type_abbr, r.earned_month, r.ee, r.adj_bi_pp, r.adj_mp_pp, r.adj_ttl_pp)
-                 for r in R.allocate_prediction(loss, model).collect())
-    want = []
-    for pol, prd, cov, m, ee in loss_rows:
-        if prd not in mdl:
-            continue  # inner join with the model (NULL periods never match)
-        tot = sum(r[4] for r in loss_rows if (r[0], r[1], r[2]) == (pol, prd, cov))
-        share = None if tot == 0 else ee / tot
-        vals = {}
-        for i, c in enumerate(R.MODEL_COVERAGES):
-            code = [k for k, v in R.COVERAGE_MAP.items() if v == c][0]
-            v = (share * mdl[prd][2 * i] * mdl[prd][2 * i + 1]) if (cov == code and share is not None) else (None if cov == code else 0.0)
-            vals[c] = _rhu(v, 4) if v is not None else None
-        ttl = None if any(v is None for v in vals.values()) else sum(vals[c] for c in R.MODEL_COVERAGES)
-        want.append((pol, prd, cov, m, ee, vals["bi"], vals["mp"], ttl))
-    assert len(got) == len(want)
-    gs = sorted(got, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
-    ws = sorted(want, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
-    for g, w in zip(gs, ws):
-        assert g[:5] == w[:5]
-        for a, b in zip(g[5:], w[5:]):
-            assert (a is None and b is None) or abs(a - b) < 1e-9
+    for digits in (None, 4):
+        got = sorted((r.pol_id, r.pol_prd_id, r.cov_type_abbr, r.earned_month, r.ee, r.adj_bi_pp, r.adj_mp_pp, r.adj_ttl_pp)
+                     for r in R.allocate_prediction(loss, model, digits=digits).collect())
+        want = []
+        for pol, prd, cov, m, ee in loss_rows:
+            if prd not in mdl:
+                continue  # inner join with the model (NULL periods never match)
+            tot = sum(r[4] for r in loss_rows if (r[0], r[1], r[2]) == (pol, prd, cov))
+            share = None if tot == 0 else ee / tot
+            vals = {}
+            for i, c in enumerate(R.MODEL_COVERAGES):
+                code = [k for k, v in R.COVERAGE_MAP.items() if v == c][0]
+                v = (share * mdl[prd][2 * i] * mdl[prd][2 * i + 1]) if (cov == code and share is not None) else (None if cov == code else 0.0)
+                vals[c] = _rhu(v, digits) if v is not None and digits is not None else v
+            # a NULL counts as 0 in the rounded total only
+            ttl = None if digits is None and None in vals.values() else sum(vals[c] or 0.0 for c in R.MODEL_COVERAGES)
+            want.append((pol, prd, cov, m, ee, vals["bi"], vals["mp"], ttl))
+        assert len(got) == len(want)
+        gs = sorted(got, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
+        ws = sorted(want, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
+        for g, w in zip(gs, ws):
+            assert g[:5] == w[:5]
+            for a, b in zip(g[5:], w[5:]):
+                assert (a is None and b is None) or abs(a - b) < 1e-9
 
 
 def test_reconcile_metric_brute_force(spark):
