@@ -12,9 +12,7 @@ from inforce.functions.columns import (  # noqa: F401
     month_start,
     pct_diff_signed,
     pct_diff_symmetric,
-    pct_text,
     ratio,
     round_half_up,
-    same_value_ind,
 )
-from inforce.functions.bands import band_column, band_expr  # noqa: F401
+from inforce.functions.bands import band_expr  # noqa: F401

@@ -54,10 +54,6 @@ def band_expr(col: Column | str, rules: Sequence[dict], default=None, first_matc
     return expr.otherwise(F.lit(default))
 
 
-def band_column(df, col: str, rules: Sequence[dict], out: str, default=None, first_match: bool = True):
-    return df.withColumn(out, band_expr(col, rules, default=default, first_match=first_match))
-
-
 def band_sql(col: str, rules: Sequence[dict], default=None, first_match: bool = True) -> str:
     """The same rule list rendered as a SQL ``CASE`` (used by the SQL oracles)."""
 

@@ -95,11 +95,6 @@ def pct_diff_symmetric(a: ColumnLike, b: ColumnLike, digits: int = 4) -> Column:
     )
 
 
-def pct_text(x: ColumnLike) -> Column:
-    """Number -> '93.00%' (two places, always printed)."""
-    return F.concat(F.format_number(_c(x).cast("double"), 2), F.lit("%"))
-
-
 def month_key(d: ColumnLike) -> Column:
     """DATE/TIMESTAMP -> 'yyyyMM' text; lexical order equals time order."""
     return F.date_format(_c(d), "yyyyMM")
@@ -116,8 +111,3 @@ def earned_exposure(yyyymm: ColumnLike) -> Column:
     days_in_month = F.dayofmonth(F.last_day(d)).cast("double")
     days_in_year = F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31))).cast("double")
     return days_in_month / days_in_year
-
-
-def same_value_ind(cur: ColumnLike, prev: ColumnLike) -> Column:
-    """1 when both present and equal, else 0 (the source's ``CHNG_*`` flags mean *unchanged*)."""
-    return F.when(_c(cur) == _c(prev), F.lit(1)).otherwise(F.lit(0))

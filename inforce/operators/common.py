@@ -7,16 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is bounded by construction
-# (parameter tables, one row per state, ...) and below this bound.
+# Rows of a parameter table that may be broadcast without being measured.
 BROADCAST_ROW_BOUND = 100_000
 
 
 def bounded_broadcast(df: DataFrame, row_bound: int | None, limit: int = BROADCAST_ROW_BOUND) -> DataFrame:
-    """Broadcast ``df`` when the caller knows a small bound on its rows (a
-    parameter table built from a list, one row per state, ...); with no known
-    bound (``None``) leave the choice to AQE, which broadcasts only after
-    measuring the actual size at run time."""
+    """Broadcast ``df`` when it was built from a list of ``row_bound`` rows in the
+    code; otherwise (``None``) AQE decides after measuring its size at run time."""
     return F.broadcast(df) if row_bound is not None and row_bound <= limit else df
 
 

@@ -202,12 +202,12 @@ def share_of_total(
     type_col: str = "pol_type",
 ) -> DataFrame:
     """Segment share of the grand total (``SUM(x) / TOTAL(SUM(x))``). The grand
-    total is a window over the aggregated report rows (one per segment), so
-    the input is scanned and aggregated once."""
+    total is a scalar subquery over the report rows: with partial sums, however
+    many segments there are, no task gets all of them."""
     m = F.col(measure) if business_type == "Both" else F.when(F.col(type_col) == business_type, F.col(measure))
     seg = df.groupBy(*dims).agg(F.sum(m).alias("_m"))
-    tot = F.sum("_m").over(Window.partitionBy())
-    return seg.select(*dims, F.col("_m").cast("double").alias("segment_total"), ratio(F.col("_m"), tot, 6).alias("share"))
+    seg = seg.withColumn("_total", seg.agg(F.sum("_m")).scalar())
+    return seg.select(*dims, F.col("_m").cast("double").alias("segment_total"), ratio(F.col("_m"), F.col("_total"), 6).alias("share"))
 
 
 # --------------------------------------------------------------------------- W15
@@ -230,8 +230,9 @@ def segment_loss_ratio(
         F.sum("ee").alias("_ee"), F.sum("ult_loss").alias("_ult"), F.sum("incur_loss").alias("_inc"),
         F.sum("ep").alias("_ep"),
     )
-    # grand total over the aggregated report rows (one per segment): no re-scan
-    tot = F.sum("_ee").over(Window.partitionBy())
+    # the grand total is a scalar subquery with partial sums, not a window in one task
+    seg = seg.withColumn("_total", seg.agg(F.sum("_ee")).scalar())
+    tot = F.col("_total")
     return seg.select(
         *dims,
         F.col("_ee").cast("double").alias("earned_exposure"),

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from inforce.functions.bands import band_expr
 from inforce.functions.columns import round_half_up
-from inforce.operators.common import bounded_broadcast
 
 
 # --------------------------------------------------------------------------- W22
@@ -28,19 +27,16 @@ def relativity_rows(
     df: DataFrame,
     group: str,
     measures: Mapping[str, str],
-    group_bound: int | None = None,
     digits: int = 6,
 ) -> DataFrame:
     """Row relativity = row value / mean of its group, for each ``measure -> out``.
     The mean is Σ / count of non-null values (pandas ``mean`` semantics; NULL
-    group keys get no mean). ``group_bound``: a known bound on the number of
-    groups (e.g. states), which lets the means be broadcast back."""
+    group keys get no mean). AQE measures the means and broadcasts them if they
+    are small."""
     aggs = []
     for m in measures:
         aggs.append((F.sum(m).cast("double") / F.count(m).cast("double")).alias(f"_mean_{m}"))
     means = df.groupBy(group).agg(*aggs).filter(F.col(group).isNotNull())
-    if group_bound is not None:
-        means = bounded_broadcast(means, group_bound)
     j = df.join(means, group, "left")
     out = [F.col("*")]
     for m, name in measures.items():

@@ -227,6 +227,12 @@ def _w19(grain, ml, mr):
 register("w19_reconcile_all", _w19_sql("all", "ep", "epapr"))(_w19("all", "ep", "epapr"))
 register("w19_reconcile_year", _w19_sql("year", "ep", "ep"))(_w19("year", "ep", "ep"))
 register("w19_reconcile_month", _w19_sql("month", "ult_loss", "ult_loss"))(_w19("month", "ult_loss", "ult_loss"))
+# the other metric x grain pairs
+for _name, _grain, _left, _right in [
+    ("ep_epapr", "year", "ep", "epapr"), ("ep_epapr", "month", "ep", "epapr"), ("ep", "all", "ep", "ep"), ("ep", "month", "ep", "ep"),
+    ("ult_loss", "all", "ult_loss", "ult_loss"), ("ult_loss", "year", "ult_loss", "ult_loss"),
+]:
+    register(f"w19_reconcile_{_name}_{_grain}", _w19_sql(_grain, _left, _right))(_w19(_grain, _left, _right))
 
 
 # ----------------------------------------------------------------------------- W20

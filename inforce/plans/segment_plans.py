@@ -12,7 +12,6 @@ from inforce.sources import staging as S
 from inforce.sources.tables import read_table
 
 A = S.AS_OF_SQL
-STATE_DOMAIN_SIZE = 64  # states / nations: a fixed domain, far below any broadcast limit
 
 # ----------------------------------------------------------------------------- fixed values
 # Age bands (interval rules, first match wins).
@@ -183,7 +182,6 @@ def rel(spark, d):
     # states: a fixed, small domain (nation keys), so the means are broadcast back
     return G.relativity_rows(
         scoremart(spark, d), "state", {"expected_loss_ratio": "elrr", "ol_expected_loss_ratio": "ol_elrr"},
-        group_bound=STATE_DOMAIN_SIZE,
     )
 
 
