@@ -133,8 +133,10 @@ def _sub_bins(label: np.ndarray, mask: np.ndarray) -> list[np.ndarray]:
 
 def seed_packings(lengths: np.ndarray, capacity: int, count: int, rng: np.random.Generator) -> list[np.ndarray]:
     """Best-fit packings: the first longest first, the others by lengths with
-    some noise, so that their bins differ."""
-    out = []
+    some noise, so that their bins differ. If the first cannot be beaten, it stands
+    for all."""
+    out: list[np.ndarray] = []
+    least = -(-int(lengths.sum()) // capacity)
     for k in range(count):
         keys = lengths * (1 if k == 0 else rng.uniform(0.8, 1.2, lengths.size))
         bins, room = [], []
@@ -145,6 +147,8 @@ def seed_packings(lengths: np.ndarray, capacity: int, count: int, rng: np.random
             for block in np.array_split(order, 20):
                 best_fit(lengths, block, bins, room, capacity)
         out.append(_label(bins))
+        if len(bins) <= least:
+            return [out[-1]] * count
     return out
 
 

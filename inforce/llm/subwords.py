@@ -22,6 +22,7 @@ Other tokenizers (or texts that hold no safe cut) go to the library whole.
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 from array import array
@@ -127,45 +128,46 @@ class Encoder:
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
-        self.words: dict[str, list[int]] = {}
-
-    def _word(self, word: str) -> list[int]:
-        """Ids of one pre-token of letters (with its leading space)."""
-        got = self.words.get(word)
-        if got is None:
-            mapped = word.replace(" ", _SPACE) if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
-            got = self.words[word] = [t.id for t in self.model.tokenize(mapped)]
-        return got
-
-    def _plain(self, chunk: str) -> list[int] | None:
-        """Ids of a chunk that is letters and at most one full stop or comma:
-        its pre-tokens are known, so only the model is needed. None for others."""
-        marked = chunk.endswith((".", ","))
-        word = chunk[:-1] if marked else chunk
-        if self.lower:
-            letters = word
-            word = word.lower()
-            # letters below U+0250 are their own normal form
-            if not word.isascii() and (max(word) > "\u024f" or len(word) != len(letters)):
-                return None
-        else:
-            letters = word[1:] if word.startswith(" ") else word
-        if not letters.isalpha():
-            return None
-        return self._word(word) + self._word(chunk[-1]) if marked else self._word(word)
+
+    def _pieces(self, word: str) -> list[int]:
+        """Ids of one pre-token of letters or one mark (with its leading space)."""
+        mapped = word.replace(" ", _SPACE) if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+        return [t.id for t in self.model.tokenize(mapped)]
 
     def _learn(self, chunks: list[str]) -> None:
-        ids, n = array("I"), array("q")
-        odd = []
-        for i, c in enumerate(chunks):
-            got = self._plain(c)
-            if got is None:
+        """Encodes new chunks. Where a chunk is letters and at most one full stop or
+        comma, its pre-tokens are known and only the model is needed; all other
+        chunks go through the whole tokenizer."""
+        ids, n, odd = array("I"), array("q"), []
+        words: dict[str, list[int]] = {m: self._pieces(m) for m in (".", ",")}
+        collecting = gc.isenabled()
+        gc.disable()  # very many small lists live at once, and none in a cycle
+        for i, chunk in enumerate(chunks):
+            mark = chunk[-1:]
+            marked = mark == "." or mark == ","
+            word = chunk[:-1] if marked else chunk
+            if self.lower:
+                letters, word = word, word.lower()
+                # letters below U+0250 are their own normal form
+                known = letters.isalpha() and (word.isascii() or (max(word) <= "\u024f" and len(word) == len(letters)))
+            else:
+                known = (word[1:] if word[:1] == " " else word).isalpha()
+            if not known:
                 odd.append(i)
                 n.append(0)
+                continue
+            got = words.get(word)
+            if got is None:
+                got = words[word] = self._pieces(word)
+            ids.extend(got)
+            if marked:
+                ids.extend(words[mark])
+                n.append(len(got) + len(words[mark]))
             else:
-                ids.extend(got)
                 n.append(len(got))
-        self.words.clear()
+        del words
+        if collecting:
+            gc.enable()
         ids, n = np.frombuffer(ids, dtype=np.uint32), np.frombuffer(n, dtype=np.int64).copy()
         if odd:
             others = [e.ids for e in self.tok.encode_batch_fast([chunks[i] for i in odd], add_special_tokens=False)]
