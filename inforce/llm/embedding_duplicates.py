@@ -68,28 +68,29 @@ def product_code(dim: int, codewords: int, blocks: int = BLOCKS, each: float = F
     return rotation, books, edges, threshold
 
 
-def list_decode(x: np.ndarray, code) -> list[np.ndarray]:
-    """Sorted numbers of all filters that each unit vector (row) exceeds; one at
-    least, its best."""
+def list_decode(x: np.ndarray, code, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter number), ascending, of all filters that each unit vector (row)
+    exceeds; one at least, its best. Block after block, only codewords that the best
+    of the blocks still to come could lift over the threshold go on; about ``most``
+    scores are held at a time."""
     rotation, books, edges, threshold = code
-    x = x @ rotation
-    scores = [x[:, a:b] @ w.T for a, b, w in zip(edges[:-1], edges[1:], books, strict=True)]
     c = len(books[0])
-    rest = [np.zeros(len(x))]
-    for s in scores[:0:-1]:
-        rest.append(rest[-1] + s.max(axis=1))
-    rest = rest[::-1]  # the most that the blocks after k can still add
-    out = []
-    for i in range(len(x)):
-        number, value = np.zeros(1, dtype=np.int64), np.zeros(1)
-        bound = min(threshold, rest[0][i] + scores[0][i].max()) - 1e-12
+    step = max(1, most // (c * c))
+    rows, numbers = [], []
+    for first in range(0, len(x), step):
+        part = x[first : first + step] @ rotation
+        scores = [part[:, a:b] @ w.T for a, b, w in zip(edges[:-1], edges[1:], books, strict=True)]
+        best = np.stack([s.max(axis=1) for s in scores])
+        bound = np.minimum(threshold, best.sum(axis=0)) - 1e-12
+        row, number, value = np.arange(len(part)), np.zeros(len(part), dtype=np.int64), np.zeros(len(part))
         for k, s in enumerate(scores):
-            value = (value[:, None] + s[i][None, :]).ravel()
-            number = (number[:, None] * c + np.arange(c)).ravel()
-            alive = value + rest[k][i] >= bound
-            number, value = number[alive], value[alive]
-        out.append(np.sort(number))
-    return out
+            total = value[:, None] + s[row]
+            alive, word = np.nonzero(total >= (bound - best[k + 1 :].sum(axis=0))[row][:, None])
+            value, number, row = total[alive, word], number[alive] * c + word, row[alive]
+        rows.append(row + first)
+        numbers.append(number)
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *rows]), np.concatenate([none, *numbers])
 
 
 def usable_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -133,16 +134,24 @@ def cell_rows(classes: DataFrame, codewords: int, span: int, each: int, codes: i
         for b in batches:
             rep, dim, raw = b.column(0), b.column(2).to_pylist(), b.column(3).to_pylist()
             for d in sorted(set(dim)):
-                at = [i for i, x in enumerate(dim) if x == d]
-                x = _unit(_stacked([raw[i] for i in at], d))
-                lists: list[list[np.ndarray]] = [[] for _ in at]
-                for k in range(codes):
-                    for own, found in zip(lists, list_decode(x, product_code(d, codewords, each=each, seed=SEED + k)), strict=True):
-                        own.append((((d * codes + k) << 24) + np.unique(found // span)).astype("<i8"))
-                cells = [np.concatenate(own) for own in lists]
-                n = [c.size for c in cells]
-                take = pa.array(np.repeat(at, n))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), rep.take(take), b.column(1).take(take), b.column(2).take(take), b.column(3).take(take), pa.array([c.tobytes() for c, k in zip(cells, n, strict=True) for _ in range(k)], pa.binary())], names=["cell", "rep", "copies", "dim", "vector", "cells"])
+                every = [i for i, x in enumerate(dim) if x == d]
+                for at in (every[i : i + 500] for i in range(0, len(every), 500)):
+                    x = _unit(_stacked([raw[i] for i in at], d))
+                    row, cell = [], []
+                    for k in range(codes):
+                        found, number = list_decode(x, product_code(d, codewords, each=each, seed=SEED + k))
+                        number = ((d * codes + k) << 24) + number // span
+                        new = np.concatenate([[True], (np.diff(found) != 0) | (np.diff(number) != 0)])
+                        row.append(found[new])
+                        cell.append(number[new])
+                    row, cell = np.concatenate(row), np.concatenate(cell)
+                    order = np.lexsort((cell, row))
+                    row, cell = row[order], cell[order].astype("<i8")
+                    n = np.bincount(row, minlength=len(at))
+                    ends = np.cumsum(n)
+                    lists = [cell[e - k : e].tobytes() for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+                    take = pa.array(np.repeat(at, n))
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), rep.take(take), b.column(1).take(take), b.column(2).take(take), b.column(3).take(take), pa.array(lists, pa.binary()).take(pa.array(row))], names=["cell", "rep", "copies", "dim", "vector", "cells"])
 
     return classes.select("rep", "copies", "dim", "vector").mapInArrow(run, "cell long, rep long, copies long, dim int, vector binary, cells binary")
 
