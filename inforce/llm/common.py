@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 import numpy as np
@@ -31,6 +32,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_tables() -> None:
+    """Called by operators that encode nothing: Python workers are reused, and one
+    that encoded before would go on holding its table of sub-words."""
+    subwords = sys.modules.get("inforce.llm.subwords")
+    if subwords is not None:
+        subwords.release()
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, as (doc_id, text); null text: empty.
     Other columns, whatever they are called, are left out."""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, block_shingles, shingle_sets, text_blocks, text_pieces, texts_of
+from inforce.llm.common import batch_of, block_shingles, release_tables, shingle_sets, text_blocks, text_pieces, texts_of
 
 THRESHOLD, WORDS = 0.8, 5
 #: Shingles of the items sent to the tasks at once (8 bytes each).
@@ -133,6 +133,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
         sent = spark.sparkContext.broadcast((ids, sets))
 
         def run(batches, sent=sent):
+            release_tables()
             index = ItemIndex(*sent.value, threshold)
             for doc_ids, texts in text_pieces(batches):
                 for first, block in text_blocks(texts):
@@ -154,6 +155,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = T
         sent = spark.sparkContext.broadcast((ids, sets))
 
         def run(batches, sent=sent):
+            release_tables()
             index = ItemIndex(*sent.value, threshold)
             for b in batches:
                 texts = [t or "" for t in b.column(at).to_pylist()]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, shingle_sets, text_pieces, texts_of, written
+from inforce.llm.common import batch_of, release_tables, shingle_sets, text_pieces, texts_of, written
 from inforce.llm.components import connected_components
 
 SKETCH, WORDS = 32, 5
@@ -60,6 +60,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     (as unsigned order mapped to signed longs)."""
 
     def run(batches):
+        release_tables()
         for ids, texts in text_pieces(batches):
             sets = list(shingle_sets(texts, words))
             yield batch_of(_SKETCH_ARROW, doc_id=ids, n_shingles=[s.size for s in sets], set_key=[hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], sketch=[(s[:k] ^ np.uint64(1 << 63)).view(np.int64) for s in sets])
@@ -205,6 +206,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, words: int = WORDS
     which are made from the whole texts again (only those of candidates move)."""
 
     def run(batches):
+        release_tables()
         last = {}  # pairs arrive sorted by b, the hub of many
         for batch in batches:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()

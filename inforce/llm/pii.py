@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, text_pieces, texts_of
+from inforce.llm.common import batch_of, release_tables, text_pieces, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("rule", "gazetteer", "context", "grouping", "border")
@@ -212,6 +212,7 @@ def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     out = pa.schema([("kind", pa.int32()), ("pattern", pa.list_(pa.int32())), ("n", pa.int64())])
 
     def count(batches):
+        release_tables()
         seen: Counter = Counter()
         for _, texts in text_pieces(batches):
             for t in texts:
@@ -263,6 +264,7 @@ def find_pii(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", text_col
     """
 
     def run(batches):
+        release_tables()
         for ids, texts in text_pieces(batches):
             cols: dict[str, list] = {f.name: [] for f in _OUT if f.name != "doc_id"}
             for t in texts:
@@ -293,6 +295,7 @@ def redact_pii(docs: DataFrame, model: SpanModel, text_col: str = "text") -> Dat
     null texts stay as they are."""
 
     def run(batches):
+        release_tables()
         for b in batches:
             at = b.schema.get_field_index(text_col)
             new = [None if t is None else redacted(t, model) for t in b.column(at).to_pylist()]

@@ -31,7 +31,7 @@ from itertools import chain
 import numpy as np
 
 #: Chunks kept per process and tokenizer before the table starts anew (about 250 bytes each).
-TABLE_CHUNKS = 900_000
+TABLE_CHUNKS = 600_000
 #: Characters handled at once inside a task.
 BLOCK_CHARS = 1_500_000
 
@@ -244,7 +244,17 @@ def gather_runs(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tupl
     return values[pick], ends
 
 
-@functools.lru_cache(maxsize=2)
+_ENCODERS: dict[str, Encoder] = {}
+
+
 def encoder(path: str) -> Encoder:
     """The process's encoder for a tokenizer file (Python workers are reused)."""
-    return Encoder(path)
+    if path not in _ENCODERS:
+        _ENCODERS.clear()  # one table per process
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+def release() -> None:
+    """Drops the process's table; the next encoder starts anew."""
+    _ENCODERS.clear()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, mix, text_pieces, texts_of, word_hashes, word_spans
+from inforce.llm.common import batch_of, mix, release_tables, text_pieces, texts_of, word_hashes, word_spans
 
 FEATURE_BITS = 20
 PREFIXES = (3, 4, 5, 6)
@@ -209,6 +209,7 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     an empty table gives an empty result; other columns are not read."""
 
     def run(batches):
+        release_tables()
         for ids, texts in text_pieces(batches):
             yield batch_of(_OUT, doc_id=ids, score=[model.score(features(t)) for t in texts])
 
@@ -220,6 +221,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, t
     at = docs.columns.index(text_col)
 
     def run(batches):
+        release_tables()
         for b in batches:
             keep = [model.score(features(t or "")) < threshold for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(keep, type=pa.bool_()))
