@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from inforce.plans import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
@@ -12,7 +12,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 def plans(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the plan a large input gets
     try:
-        yield {n: f(spark, SF)._jdf.queryExecution().executedPlan().toString() for n, f in E.queries().items()}
+        yield {n: f(spark, SF)._jdf.queryExecution().executedPlan().toString() for n, f in QUERIES.items()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

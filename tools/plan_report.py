@@ -1,4 +1,4 @@
-"""Physical-plan summary of every registered query.
+"""Physical-plan summary of every registered query of the reference's operators.
 
 For each query: number of shuffles (Exchange), Parquet scans, sort-based
 aggregates, broadcast joins and sort-merge joins in the executed plan, plus a
@@ -26,13 +26,13 @@ def main(argv: list[str]) -> None:
     if "--no-broadcast" in argv:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    import __spark_entry__ as E
+    from inforce.plans import QUERIES
 
     print("| query | shuffles | scans | columns read / table width | sort aggs | broadcast joins | sort-merge joins | flags |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     widths = {}
     prefixes = tuple(a for a in argv[1:] if not a.startswith("--") and not os.path.isdir(a))
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         if prefixes and not name.startswith(prefixes):
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
