@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from inforce.functions.bands import band_sql
+from inforce.functions.bands import band_expr, band_sql
 from inforce.operators import segment as G
 from inforce.operators import selection as SEL
 from inforce.plans.registry import register
@@ -25,6 +25,8 @@ AGE_BANDS = [
 # Insurance-score decile cut points (upper bounds, inclusive) from Decile 10 up to Decile 02;
 # 0 and >= 998 mean no hit / no score.
 DECILE_CUTS = [504, 603, 670, 714, 744, 766, 785, 804, 825]
+HOME_DECILE_CUTS = [557, 654, 705, 735, 757, 776, 793, 810, 832]
+ROOF_CONDITIONS = ["-2", "-1", "0", "1", "2", "not_available", "unknown"]
 QUINTILE_OF_DECILE = {
     "Decile 01": "Quintile 1", "Decile 02": "Quintile 1", "Decile 03": "Quintile 2", "Decile 04": "Quintile 2",
     "Decile 05": "Quintile 3", "Decile 06": "Quintile 3", "Decile 07": "Quintile 4", "Decile 08": "Quintile 4",
@@ -45,10 +47,10 @@ LIMIT_GROUPS = [(None, 300000, "<$300k"), (300000, 450000, "$300k-$449k"), (4500
 SQFT_GROUPS = [(0, 1500, "0-1500"), (1501, 2000, "1501-2000"), (2001, 2500, "2001-2500"), (2500, None, "2501+")]
 
 
-def decile_rules() -> list[dict]:
+def decile_rules(cuts: list[int] = DECILE_CUTS) -> list[dict]:
     rules = [{"label": "NH/NS", "eq": 0}, {"label": "NH/NS", "lo": 998}]
     lo = 0
-    for i, hi in enumerate(DECILE_CUTS):
+    for i, hi in enumerate(cuts):
         rules.append({"label": f"Decile {10 - i:02d}", "lo": lo, "lo_incl": False, "hi": hi, "hi_incl": True})
         lo = hi
     rules.append({"label": "Decile 01", "lo": lo, "lo_incl": False, "hi": 998})
@@ -292,3 +294,42 @@ def w21_band_value_counts(spark, d):
     ])).alias("_p")
     long = b.select(pairs).select("_p.segmentation", "_p.band")
     return value_counts(long, "band", by=["segmentation"])
+
+
+# ----------------------------------------------------------------------------- W21 (home line and the SQL variant of the bands)
+def home_band_rules():
+    """out column -> (input column, rules, default); a NULL age counts as the oldest."""
+    return {
+        "home_decile": ("ins_scr_cd", decile_rules(HOME_DECILE_CUTS), None),
+        "ttl_bath_cnt": ("bath_num", [{"label": str(n), "eq": n} for n in range(1, 9)] + [{"label": "9+", "lo": 9}], None),
+        "roof_cond": ("roof", [{"label": c, "eq": c} for c in ROOF_CONDITIONS], None),
+        "ubi_grp": ("ubi_score", [{"label": "0-0.99", "lo": 0, "hi": 1}, *ubi_rules()], None),
+        "age_grp": ("age", AGE_BANDS, "80+"),
+    }
+
+
+HOME_CHARS_SQL = f"""home_chars AS (
+  SELECT c_custkey AS qcn, CAST(c_custkey * 37 % 1000 AS INTEGER) AS ins_scr_cd,
+         CASE WHEN c_custkey % 11 = 0 THEN 0.0 ELSE CAST(c_custkey % 12 AS DOUBLE) END AS bath_num,
+         {ROOF_CONDITIONS!r}[CAST(c_custkey % 8 + 1 AS INTEGER)] AS roof,
+         CAST(c_custkey % 1000 AS DOUBLE) / 10.0 AS ubi_score,
+         CASE WHEN c_custkey % 13 <> 0 THEN CAST(40 + c_custkey % 50 AS INTEGER) END AS age
+  FROM customer
+)"""
+
+
+@register(
+    "w21_home_bands",
+    "WITH " + HOME_CHARS_SQL + " SELECT qcn, "
+    + ", ".join(f"{band_sql(c, rules, default)} AS {out}" for out, (c, rules, default) in home_band_rules().items()) + " FROM home_chars",
+)
+def w21_home_bands(spark, d):
+    """Bath counts come as text with 'None'; roof condition is a direct segment."""
+    k = F.col("c_custkey")
+    chars = read_table(spark, d, "customer").select(
+        k.alias("qcn"), (k * 37 % 1000).cast("int").alias("ins_scr_cd"),
+        F.when(k % 11 == 0, "None").otherwise((k % 12).cast("string")).alias("bath"),
+        F.get(F.array(*[F.lit(c) for c in ROOF_CONDITIONS]), (k % 8).cast("int")).alias("roof"),
+        ((k % 1000).cast("double") / 10.0).alias("ubi_score"), F.when(k % 13 != 0, (k % 50 + 40).cast("int")).alias("age"),
+    ).withColumn("bath_num", G.numeric_from_text("bath"))
+    return chars.select("qcn", *[band_expr(c, rules, default=default).alias(out) for out, (c, rules, default) in home_band_rules().items()])
