@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
 
@@ -34,15 +35,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def release_tables() -> None:
     """Called by operators that encode nothing: Python workers are reused, and one
-    that encoded before would go on holding its table of sub-words."""
+    that encoded before would go on holding its table of sub-words. What is free is
+    given back to the system, where it can be."""
     subwords = sys.modules.get("inforce.llm.subwords")
     if subwords is not None:
         subwords.release()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+#: Bytes of an Arrow batch that goes to a Python task.
+BATCH_BYTES = "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, so that memory in tasks does not follow the
+    length of texts. A bound that the session sets itself stays."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, as (doc_id, text); null text: empty.
     Other columns, whatever they are called, are left out."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, block_shingles, release_tables, shingle_sets, text_blocks, text_pieces, texts_of
+from inforce.llm.common import batch_of, block_shingles, bound_batches, release_tables, shingle_sets, text_blocks, text_pieces, texts_of
 
 THRESHOLD, WORDS = 0.8, 5
 #: Shingles of the items sent to the tasks at once (8 bytes each).
@@ -149,6 +149,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
 def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text contains an item."""
     spark = docs.sparkSession
+    bound_batches(spark)
     out = docs
     schema, at = docs.schema, docs.columns.index(text_col)
     for ids, sets in _blocks(item_shingles(items), BLOCK_VALUES):

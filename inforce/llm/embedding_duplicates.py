@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, written
+from inforce.llm.common import batch_of, bound_batches, written
 from inforce.llm.components import connected_components
 
 COSINE = 0.9
@@ -241,6 +241,7 @@ def embedding_duplicates(embeddings: DataFrame, cosine: float = COSINE, id_col:
     rows. An empty table gives an empty result; extra columns are not read.
     """
     spark = embeddings.sparkSession
+    bound_batches(spark)
     made = written(usable_vectors(embeddings, id_col, vector_col), "vectors")
     usable = made.filter(F.col("set_key").isNotNull() & F.col("vec_id").isNotNull())
     classes = usable.groupBy("set_key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("dim").alias("dim"), F.first("vector").alias("vector"))

@@ -232,10 +232,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     sets; component_id is the smallest doc_id reachable. Null texts and texts
     without words have no shingles and are linked with nothing, as are rows with
     a null doc_id (component_id null, kept false). A text of fewer than ``words``
-    words is one shingle. Rows that repeat a doc_id with the same text are one
-    text; with another text the id stands for the text with the smallest key in
-    links between texts. An empty table gives an empty result; extra columns are
-    not read.
+    words is one shingle. Rows that repeat a doc_id and its text are one text. An
+    id is expected to name one text: where it occurs with different ones, each row
+    follows its own text's copies, and links may be those of either text. An empty
+    table gives an empty result; extra columns are not read.
     """
     threshold = percent / 100
     base = texts_of(docs, id_col, text_col)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, text_pieces, texts_of, written
+from inforce.llm.common import batch_of, release_tables, text_pieces, texts_of, written
 from inforce.llm.subwords import encoder
 
 CAPACITY = 4096
@@ -185,6 +185,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
     dealt = pieces.withColumn("shard", shard).repartition(tasks, "shard")
 
     def start(pdf: pd.DataFrame) -> pd.DataFrame:
+        release_tables()
         pdf = _in_order(pdf)
         lengths = pdf.length.to_numpy()
         lengths = lengths[lengths < capacity]

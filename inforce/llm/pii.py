@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, release_tables, text_pieces, texts_of
+from inforce.llm.common import batch_of, bound_batches, release_tables, text_pieces, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("rule", "gazetteer", "context", "grouping", "border")
@@ -301,4 +301,5 @@ def redact_pii(docs: DataFrame, model: SpanModel, text_col: str = "text") -> Dat
             new = [None if t is None else redacted(t, model) for t in b.column(at).to_pylist()]
             yield b.set_column(at, b.schema.field(at), pa.array(new, type=b.schema.field(at).type))
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

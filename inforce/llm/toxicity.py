@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, mix, release_tables, text_pieces, texts_of, word_hashes, word_spans
+from inforce.llm.common import batch_of, bound_batches, mix, release_tables, text_pieces, texts_of, word_hashes, word_spans
 
 FEATURE_BITS = 20
 PREFIXES = (3, 4, 5, 6)
@@ -218,6 +218,7 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
+    bound_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches):
