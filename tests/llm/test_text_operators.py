@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from inforce.llm import lm_scoring as LM
 from inforce.llm import pii as PII
 from inforce.llm import toxicity as TX
 from inforce.llm.common import block_shingles
@@ -411,3 +412,34 @@ def test_lm_scores(docs, none, rows):
     assert np.allclose(sorted(r.base_score for r in got), base, atol=1e-4)
     assert all(r.score < 0 for r in got) and len({round(r.score, 6) for r in got if r.doc_id in (3, 10, 30)}) == 1
     assert lm_scores(none, WORD, column).count() == 0
+
+
+def test_rounds_read_every_training_document_once(docs, rows, monkeypatch):
+    read, real = [], LM.averaged_round
+    monkeypatch.setattr(LM, "averaged_round", lambda part, *rest: read.extend(r.doc_id for r in part.select("doc_id").collect()) or real(part, *rest))
+    LM.lm_scores(docs, WORD, F.coalesce(F.col("doc_id") % 5 == 0, F.lit(False))).count()
+    assert sorted(read, key=lambda i: -1 if i is None else i) == sorted((i for i, _ in rows if i is None or i % 5), key=lambda i: -1 if i is None else i)
+
+
+@pytest.mark.parametrize("most", [5, 4_000_000])
+def test_neighbours_and_class_bigrams_of_all_documents(spark, most):
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(0, 30, n).astype(np.uint16) for n in rng.integers(1, 40, 200)]
+    ids = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "ids binary").repartition(5)
+    counts = np.bincount(np.concatenate(texts), minlength=40)
+    top = np.argsort(-counts, kind="stable")[:7].tolist()
+    classes = np.arange(40) % LM.A.CLASSES
+    want, pairs = {}, np.zeros((LM.A.CLASSES + 1, LM.A.CLASSES))
+    for t in texts:
+        for a, b in zip(t[:-1].tolist(), t[1:].tolist(), strict=True):
+            if a in top:
+                want[b * 14 + top.index(a)] = want.get(b * 14 + top.index(a), 0) + 1
+            if b in top:
+                want[a * 14 + 7 + top.index(b)] = want.get(a * 14 + 7 + top.index(b), 0) + 1
+        np.add.at(pairs, (np.concatenate([[LM.A.CLASSES], classes[t[:-1]]]), classes[t]), 1)
+    got = {}
+    for keys, n in LM.neighbour_counts(ids, counts, 3, 7, most):
+        assert not got.keys() & set(keys.tolist())
+        got.update(zip(keys.tolist(), n.tolist(), strict=True))
+    assert got == want
+    assert (LM.class_bigrams(ids, classes) == pairs).all()
