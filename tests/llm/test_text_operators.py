@@ -395,6 +395,29 @@ def test_repeated_spans(docs, none, rows, frequent):
     assert repeated_spans(none).count() == 0
 
 
+@pytest.mark.parametrize("part", [60, 1000])
+def test_anchors_of_parts_equal_those_of_the_whole(monkeypatch, part):
+    rng = np.random.default_rng(8)
+    raw = rng.integers(97, 99, 5000).astype(np.uint8)
+    raw[3000:3300] = 97
+    ends = np.array([0, 10, 70, 70, 1900, 1949, 4100, 5000])
+    whole = anchors(raw, ends, 50)
+    monkeypatch.setattr("inforce.llm.suffixes.PART", part)
+    for a, b in zip(anchors(raw, ends, 50), whole, strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_anchors_beyond_the_bits_of_a_place():
+    rng = np.random.default_rng(9)
+    passage = rng.integers(97, 123, 500).astype(np.uint8)
+    raw = rng.integers(97, 123, (1 << 24) + 2000).astype(np.uint8)
+    raw[(1 << 24) + 700 : (1 << 24) + 1200] = passage
+    near = {(int(h), int(a)) for h, a, *_ in zip(*anchors(passage, np.array([0, 500]), 50), strict=True)}
+    h, at, first, last = anchors(raw, np.array([0, raw.size]), 50)
+    assert near <= set(zip(h.tolist(), (at - (1 << 24) - 700).tolist(), strict=True))
+    assert int((last - first + 1).sum()) == raw.size - 49 and (first <= at).all() and (at + 20 <= last + 50).all()
+
+
 # ----------------------------------------------------------------------------- op 1
 def test_lm_scores(docs, none, rows):
     held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
