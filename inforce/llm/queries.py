@@ -15,6 +15,7 @@ from inforce.llm.lm_scoring import lm_scores
 from inforce.llm.near_duplicates import near_duplicates
 from inforce.llm.packing import pack_documents
 from inforce.llm.pii import find_pii, fit_pii
+from inforce.llm.rank_bpe import round_trip
 from inforce.llm.repeated_spans import repeated_spans
 from inforce.llm.token_counts import token_counts
 from inforce.llm.token_files import read_token_files, token_file_folder, write_token_files
@@ -122,3 +123,8 @@ def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), crc_mod("doc_id", 7) == 2)
+
+
+@_query
+def op12_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -174,13 +174,17 @@ class Encoder:
             at = np.cumsum(n)[odd]
             n[odd] = [len(x) for x in others]
             ids = np.insert(ids, np.repeat(at, n[odd]), np.fromiter(chain.from_iterable(others), dtype=np.uint32, count=int(n[odd].sum())))
-        first = len(self.at) - len(chunks)
+        self._append(ids, n)
+
+    def _append(self, ids: np.ndarray, n: np.ndarray) -> None:
+        """Adds the newest chunks to the table: all their ids, and how many each has."""
+        first = len(self.at) - len(n)
         while self.used + ids.size > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while len(self.at) + 1 > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
         self.ids[self.used : self.used + ids.size] = ids
-        self.start[first + 1 : first + 1 + len(chunks)] = self.used + np.cumsum(n)
+        self.start[first + 1 : first + 1 + len(n)] = self.used + np.cumsum(n)
         self.used += ids.size
 
     def _lookup(self, chunks: list[str]) -> np.ndarray:
@@ -244,15 +248,16 @@ def gather_runs(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tupl
     return values[pick], ends
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The process's encoder for a tokenizer file (Python workers are reused)."""
-    if path not in _ENCODERS:
+def encoder(path: str, *more: str, kind: type = Encoder):
+    """The process's encoder for tokenizer files (Python workers are reused)."""
+    key = (kind, path, *more)
+    if key not in _ENCODERS:
         _ENCODERS.clear()  # one table per process
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+        _ENCODERS[key] = kind(path, *more)
+    return _ENCODERS[key]
 
 
 def release() -> None:
