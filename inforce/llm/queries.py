@@ -20,6 +20,7 @@ from inforce.llm.repeated_spans import repeated_spans
 from inforce.llm.token_counts import token_counts
 from inforce.llm.token_files import read_token_files, token_file_folder, write_token_files
 from inforce.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_scores
+from inforce.llm.whitening import whitened_embeddings
 from inforce.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +129,8 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_embeddings(read_table(spark, sf_dir, "embeddings"))
