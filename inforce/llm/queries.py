@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inforce.llm.alignment import alignment_counts
 from inforce.llm.common import crc_mod
 from inforce.llm.decontaminate import contained_items
 from inforce.llm.embedding_duplicates import embedding_duplicates
@@ -126,6 +127,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), crc_mod("doc_id", 7) == 2)
 
 
+@_query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @_query
 def op12_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
