@@ -23,7 +23,8 @@ distinct pair it holds. No table of all pairs is collected or broadcast.
 from __future__ import annotations
 
 import hashlib
-from itertools import islice
+import os
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,18 +34,18 @@ from pyspark.sql import functions as F
 
 from inforce.llm.common import text_pieces, texts_of, written
 from inforce.llm.rank_bpe import BYTE_OF, BoundedEncoder, read_fields
-from inforce.llm.subwords import byte_level_chunks, chunk_rule, encoder, gather_runs
+from inforce.llm.subwords import Encoder, byte_level_chunks, chunk_rule, encoder, gather_runs
 
 #: Characters of the texts in a block, and A tokens of a lane.
-BLOCK_CHARS, LANE_TOKENS = 6_000_000, 2048
+BLOCK_CHARS, LANE_TOKENS = 2_500_000, 2048
 #: Bytes searched for a common end where a long document is parted.
 LANE_WINDOW = 512
 #: Token pairs of a group up to which they are listed, not counted from histograms.
 LISTED_PAIRS = 4096
 #: Distinct pairs in one row of the table that is summed.
 PAIRS_PER_ROW = 500_000
-#: Chunks kept per tokenizer and process.
-TABLE_CHUNKS = 250_000
+#: Chunks kept per process, with their ids on both sides.
+TABLE_CHUNKS = 600_000
 
 
 # ----------------------------------------------------------------------------- the two tokenizers
@@ -52,6 +53,7 @@ class PlainEncoder(BoundedEncoder):
     """Ids of a ``tokenizers`` file; strings of special tokens are ordinary text."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -60,7 +62,7 @@ class PlainEncoder(BoundedEncoder):
         self.tok.encode_special_tokens = True
         if chunk_rule(self.tok) is not byte_level_chunks:
             raise ValueError(f"{path}: not a byte-level tokenizer with the usual pattern")
-        self.cut = byte_level_chunks
+        self.cut, self.model, self.lower = byte_level_chunks, self.tok.model, False
         vocabulary = self.tok.get_vocab(with_added_tokens=True)
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
         back = [b""] * (max(vocabulary.values()) + 1)
@@ -69,8 +71,9 @@ class PlainEncoder(BoundedEncoder):
         self.bytes, self.bytes_at = _byte_table(back)
         super().__init__(TABLE_CHUNKS)
 
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _learn(self, chunks: list[str]) -> None:
+        self.chars += sum(map(len, chunks))
+        Encoder._learn(self, chunks)  # words straight through the model, all else through the tokenizer
 
 
 class PieceEncoder(BoundedEncoder):
@@ -112,23 +115,49 @@ def _byte_table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PairEncoder:
-    """Both encoders of a process."""
+    """Both encoders of a process, over one table of chunks."""
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = PlainEncoder(a_path), PieceEncoder(b_path)
         self.digits = _digit_table(len(self.a.bytes_at) - 1, ",|"), _digit_table(len(self.b.bytes_at) - 1, ",;")
+        self.at = self.a.at
+
+    def _side_ids(self, spaced: list[str]):
+        """(A ids, A tokens of each text, B ids, B tokens of each text)."""
+        if self.b.cut is not byte_level_chunks:  # no common chunks
+            for side in (self.a, self.b):
+                ids, n = zip(*side.encode_blocks(spaced), strict=True)
+                yield from (np.concatenate(ids), np.concatenate(n))
+            return
+        if len(self.at) > TABLE_CHUNKS or self.a.full() or self.b.full():
+            self.a._reset()
+            self.b._reset()
+            self.at = self.a.at
+        cut = [byte_level_chunks(t) for t in spaced]
+        n = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        code = np.fromiter(map(self.at.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(n.sum()))
+        del cut
+        new, self.at.new = self.at.new, []
+        self.b.at = self.at
+        at = np.concatenate([[0], np.cumsum(n)])
+        for side in (self.a, self.b):
+            if new:
+                side._learn(new)
+            ids, ends = gather_runs(side.ids, side.start[code], side.start[code + 1])
+            yield from (ids, np.diff(ends[at]))
 
     def encode(self, texts: list[str]):
         """(A ids, B ids, A and B tokens of each text) of space + text. A text has
         no tokens if it is empty or one side's bytes differ from it."""
         spaced = [" " + t for t in texts]
-        sides, same = [], np.array([len(t) > 0 for t in texts])
+        same = np.array([len(t) > 0 for t in texts])
         raw = [t.encode() for t in spaced]
         expected, size = np.frombuffer(b"".join(raw), dtype=np.uint8), np.array([len(r) for r in raw], dtype=np.int64)
-        for side in (self.a, self.b):
-            ids, n = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*side.encode_blocks(spaced), strict=True))
-            ids = ids.astype(np.int64)
-            got, ends = gather_runs(side.bytes, side.bytes_at[ids], side.bytes_at[ids + 1])
+        del raw
+        a, n_a, b, n_b = self._side_ids(spaced)
+        sides = [(a, n_a), (b, n_b)]
+        for side, (ids, n) in zip((self.a, self.b), sides, strict=True):
+            got, ends = gather_runs(side.bytes, side.bytes_at[ids], side.bytes_at[ids + np.uint32(1)])
             at = np.concatenate([[0], np.cumsum(n)])
             start, have = ends[at[:-1]], np.diff(ends[at])
             same &= have == size
@@ -141,12 +170,11 @@ class PairEncoder:
                 for d in np.flatnonzero(have == size).tolist():
                     if not np.array_equal(got[start[d] : start[d] + size[d]], expected[where[d] : where[d + 1]]):
                         same[d] = False
-            sides.append((ids, n))
         out = []
         for ids, n in sides:
             if not same.all():
                 ids, n = ids[np.repeat(same, n)], np.where(same, n, 0)
-            out += [ids, n]
+            out += [ids.astype(np.int64), n]
         return out[0], out[2], out[1], out[3]
 
     def ends(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,12 +281,12 @@ class Alignment:
         return [hashlib.sha256(view[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
     def weighted_links(self):
-        """Portions of (document, A id, B id, number of links)."""
+        """Portions of (document, A id, B id, number of links; None: one each)."""
         several = (self.size_a > 1) & (self.size_b > 1)
         group = np.searchsorted(self.cut_a, self.link_a, side="right")
         doc_of = np.repeat(np.arange(len(self.n_a)), np.diff(self.at_group))
         plain = ~several[group]
-        yield doc_of[group[plain]], self.a[self.link_a[plain]], self.b[self.link_b[plain]], np.ones(int(plain.sum()), dtype=np.int64)
+        yield doc_of[group[plain]], self.a[self.link_a[plain]], self.b[self.link_b[plain]], None
         pairs = self.size_a * self.size_b
         start_a, start_b = self.cut_a - self.size_a, self.cut_b - self.size_b
         listed = np.flatnonzero(several & (pairs <= LISTED_PAIRS))
@@ -267,7 +295,7 @@ class Alignment:
                 n = pairs[part]
                 k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 wide = np.repeat(self.size_b[part], n)
-                yield np.repeat(doc_of[part], n), self.a[np.repeat(start_a[part], n) + k // wide], self.b[np.repeat(start_b[part], n) + k % wide], np.ones(k.size, dtype=np.int64)
+                yield np.repeat(doc_of[part], n), self.a[np.repeat(start_a[part], n) + k // wide], self.b[np.repeat(start_b[part], n) + k % wide], None
         for g in np.flatnonzero(several & (pairs > LISTED_PAIRS)).tolist():
             a, n_a = np.unique(self.a[start_a[g] : self.cut_a[g]], return_counts=True)
             b, n_b = np.unique(self.b[start_b[g] : self.cut_b[g]], return_counts=True)
@@ -280,24 +308,32 @@ class Alignment:
         """Distinct id pairs of the block (A id * n_b_ids + B id, ascending), and for
         each document's distinct pairs, document after document: document,
         index among the block's pairs, number of links."""
-        parts = []
+        width = (len(self.pair.a.bytes_at) - 1) * n_b_ids
+        if len(self.n_a) * width >= 2**63:
+            raise ValueError("too many documents in a block for these vocabularies")
+        keys, counts = [], []
         for doc, a, b, n in self.weighted_links():
-            parts.append(_summed(doc, a * n_b_ids + b, n))
-        doc, key, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        if len(parts) > 1:
-            doc, key, n = _summed(doc, key, n)
+            key = doc * width + a * n_b_ids + b
+            if n is None:  # one link each
+                key.sort()
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if key.size else np.zeros(0, dtype=np.int64)
+                keys.append(key[first])
+                counts.append(np.diff(np.append(first, key.size)))
+            else:
+                keys.append(key)
+                counts.append(n)
+        key, n = keys[0], counts[0]
+        if len(keys) > 1:
+            key, n = np.concatenate(keys), np.concatenate(counts)
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], n[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if key.size else np.zeros(0, dtype=np.int64)
+            key, n = key[first], np.add.reduceat(n, first) if first.size else n
+        doc, key = np.divmod(key, width)
         pairs, code = np.unique(key, return_inverse=True)
         return pairs, doc, code, n
 
 
-def _summed(doc: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums ``n`` over equal (doc, key), in ascending order."""
-    order = np.lexsort((key, doc))
-    doc, key, n = doc[order], key[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if doc.size else np.zeros(0, dtype=np.int64)
-    return doc[first], key[first], np.add.reduceat(n, first) if first.size else n
-
-
 # ----------------------------------------------------------------------------- operators
 _ALIGNED = pa.schema([("doc_id", pa.int64()), ("a_ids", pa.list_(pa.int32())), ("b_ids", pa.list_(pa.int32())), ("a_cuts", pa.list_(pa.int32())), ("b_cuts", pa.list_(pa.int32()))])
 

@@ -170,8 +170,11 @@ class BoundedEncoder(Encoder):
         super()._reset()
         self.chars = 0
 
+    def full(self) -> bool:
+        return self.used > TABLE_IDS or self.chars > TABLE_CHARS
+
     def _lookup(self, chunks: list[str]) -> np.ndarray:
-        if self.used > TABLE_IDS or self.chars > TABLE_CHARS:
+        if self.full():
             self._reset()
         return super()._lookup(chunks)
 
