@@ -37,7 +37,7 @@ from inforce.llm.rank_bpe import BYTE_OF, BoundedEncoder, read_fields
 from inforce.llm.subwords import Encoder, byte_level_chunks, chunk_rule, encoder, gather_runs
 
 #: Characters of the texts in a block, and A tokens of a lane.
-BLOCK_CHARS, LANE_TOKENS = 2_500_000, 2048
+BLOCK_CHARS, LANE_TOKENS = 1_200_000, 2048
 #: Bytes searched for a common end where a long document is parted.
 LANE_WINDOW = 512
 #: Token pairs of a group up to which they are listed, not counted from histograms.
@@ -45,7 +45,7 @@ LISTED_PAIRS = 4096
 #: Distinct pairs in one row of the table that is summed.
 PAIRS_PER_ROW = 500_000
 #: Chunks kept per process, with their ids on both sides.
-TABLE_CHUNKS = 600_000
+TABLE_CHUNKS = 500_000
 
 
 # ----------------------------------------------------------------------------- the two tokenizers
@@ -394,7 +394,7 @@ def stored_alignment(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
             block, got = (task << 32) + no, Alignment(pair, texts)
             pairs, doc, code, n = got.document_pairs(n_b_ids)
             edge = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
-            code, n = code.astype("<i4"), n.astype("<i8")
+            code = code.astype("<i4")
             # within a document places ascend: the differences are small
             step = np.diff(code, prepend=0).astype("<i4")
             starts = np.array(edge[:-1])[np.diff(edge) > 0]
@@ -402,10 +402,10 @@ def stored_alignment(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
             count = len(texts)
             columns = {
                 "block": np.full(count, block), "doc_id": ids, "n_a": got.n_a, "n_b": got.n_b, "n_groups": np.diff(got.at_group), "n_links": got.links_of_documents(), "groups_sha256": got.digests(),
-                "codes": [step[i:j].tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)], "links": [n[i:j].tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)],
+                "codes": [step[i:j].tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)], "links": [_narrow(n[i:j]) for i, j in zip(edge[:-1], edge[1:], strict=True)],
             }
             rows = iter(range(count))
-            while part := list(islice(rows, 2000)):
+            while part := list(islice(rows, 500)):
                 cut = slice(part[0], part[-1] + 1)
                 yield _stored({k: v[cut] for k, v in columns.items()}, len(part))
             holding = np.bincount(code, minlength=pairs.size)
@@ -417,6 +417,16 @@ def stored_alignment(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
     return written(texts_of(docs, id_col, text_col).mapInArrow(align, _STORED), "aligned")
 
 
+def _narrow(n: np.ndarray) -> bytes:
+    """Counts in the least number of bytes each that holds the largest."""
+    most = int(n.max(initial=0))
+    return n.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u8").tobytes()
+
+
+def _wide(raw, count: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"<u{len(raw) // count if count else 8}").astype(np.int64)
+
+
 def _stored(columns: dict, rows: int) -> pa.RecordBatch:
     arrays = [pa.nulls(rows, f.type) if f.name not in columns else columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], type=f.type) for f in _STORED_ARROW]
     return pa.RecordBatch.from_arrays(arrays, schema=_STORED_ARROW)
@@ -459,7 +469,7 @@ def alignment_counts(docs: DataFrame, a_path: str, b_path: str, id_col: str = "d
         n_best, count_sum = [], []
         for steps, links in zip(rows.column("codes"), rows.column("links"), strict=True):
             at = np.cumsum(np.frombuffer(steps.as_buffer(), dtype="<i4"), dtype=np.int64)
-            times = np.frombuffer(links.as_buffer(), dtype="<i8")
+            times = _wide(links.as_buffer(), at.size)
             n_best.append(int(times @ best[at]))
             count_sum.append(int(times @ count[at]))
         return pa.Table.from_arrays([rows.column(f.name) if f.name in rows.column_names else pa.chunked_array([pa.array({"n_best": n_best, "count_sum": count_sum}[f.name], pa.int64())]) for f in _COUNTED], schema=_COUNTED)
