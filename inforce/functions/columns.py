@@ -111,3 +111,22 @@ def earned_exposure(yyyymm: ColumnLike) -> Column:
     days_in_month = F.dayofmonth(F.last_day(d)).cast("double")
     days_in_year = F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31))).cast("double")
     return days_in_month / days_in_year
+
+
+def null_safe_parts(c: Column, dtype) -> tuple[Column, Column]:
+    """(is-null flag, value with NULL replaced by a typed default): together an
+    injective, never-NULL stand-in for ``c``, so NULL keys group and join like
+    any other value in plain equi-joins."""
+    from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
+
+    if isinstance(dtype, StringType):
+        default = F.lit("")
+    elif isinstance(dtype, NumericType):
+        default = F.lit(0).cast(dtype)
+    elif isinstance(dtype, BooleanType):
+        default = F.lit(False)
+    elif isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        default = F.lit("1970-01-01").cast(dtype)
+    else:
+        default = F.lit(None).cast(dtype)
+    return c.isNull(), F.coalesce(c, default)

@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inforce.operators.reconcile import at_latest
+
 
 def try_decimal_id(col: str | Column) -> Column:
     """``TRY_TO_DECIMAL(id)``: numeric ids -> decimal(38,0), anything else -> NULL."""
@@ -64,6 +66,31 @@ def crosswalk(
     )
 
 
+def quote_pairs(auto_quotes: DataFrame, link: DataFrame, home_quotes: DataFrame) -> DataFrame:
+    """The linked quotes of both lines that name a policy: (auto_qcn, auto_pol_id,
+    auto_dt, home_qcn, home_pol_id, home_dt), distinct. Both directions of the
+    crosswalk start from this table."""
+    def side(quotes: DataFrame, line: str) -> DataFrame:
+        return quotes.select(F.col("qcn").alias(f"{line}_qcn"), F.col("pol_id").alias(f"{line}_pol_id"), F.col("qte_dt").alias(f"{line}_dt")).filter(F.col(f"{line}_pol_id").isNotNull())
+
+    # one distinct over the pairs: their rows are few beside the quotes' (every pair needs a link)
+    return side(auto_quotes, "auto").join(link.select("auto_qcn", "home_qcn"), "auto_qcn").join(side(home_quotes, "home"), "home_qcn").distinct()
+
+
+def crosswalk_from_pairs(pairs: DataFrame, start: DataFrame, inforce_to: DataFrame, line: str, other: str, labels: tuple[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """Policies of ``start`` (``pol_id`` and the ``keep`` columns) with their quotes of
+    ``line``, the linked quotes of the ``other`` line, and that line's policy, where it
+    is in force (ids compared as decimals, so non-numeric ids never match)."""
+    s = start.select(F.col("pol_id").alias(f"{line}_pol_id"), *keep).distinct()
+    inf = inforce_to.select(try_decimal_id("pol_id").alias("_inf")).filter(F.col("_inf").isNotNull())
+    chain = pairs.join(s, f"{line}_pol_id").join(inf, try_decimal_id(f"{other}_pol_id") == F.col("_inf"), "left_semi")
+    return chain.select(
+        F.lit(labels[0]).alias("pol_start"), F.col(f"{line}_pol_id").alias("start_pol_id"), *keep, F.col(f"{line}_dt").alias("start_orig_qte_dt"),
+        F.col(f"{line}_qcn").alias("start_qcn"), F.col(f"{other}_qcn").alias("end_qcn"), F.col(f"{other}_dt").alias("end_orig_qte_dt"),
+        F.col(f"{other}_pol_id").alias("end_pol_id"), F.lit(labels[1]).alias("pol_end"),
+    )
+
+
 # --------------------------------------------------------------------------- W29
 def household_credit_issues(
     linked: DataFrame,
@@ -173,6 +200,5 @@ def inforce_by_status(snapshot: DataFrame, statuses: Sequence[str], key: str = "
     """Distinct ids by plan x status on the latest snapshot. The status test is
     parenthesised, so every status is restricted to the latest snapshot. ``latest``:
     one row with its date; without it the snapshots are read once more."""
-    latest = snapshot.agg(F.max("me_dt").alias("me_dt")) if latest is None else latest
-    snap = snapshot.join(F.broadcast(latest), "me_dt", "left_semi").filter(F.col("pol_status_cd").isin(list(statuses)))
+    snap = at_latest(snapshot, latest).filter(F.col("pol_status_cd").isin(list(statuses)))
     return snap.groupBy("rate_plan_cd", "pol_status_cd").agg(F.countDistinct(key).alias("cnt"))

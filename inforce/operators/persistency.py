@@ -40,6 +40,12 @@ PREMIUM_CHANGE_BANDS = [
 STATUS_ACTIVE, STATUS_CANCEL, STATUS_PENDING = "Active", "Cancel", "Pending"
 
 
+def cancelled(eff: str = "pol_eff_dt", canc: str = "canc_eff_dt") -> Column:
+    """1 for a cancelled term, 0 for one that is not (a cancellation on day 365 is an expiry)."""
+    c = F.col(canc)
+    return F.when(c.isNull() | (days_between(c, F.col(eff)) == 365), 0).otherwise(1)
+
+
 def flag_names(prefix: str) -> list[str]:
     return [f"{prefix}_flat"] + [f"{prefix}_{n}" for n in DEV_DAYS] + [f"{prefix}_365"]
 
@@ -66,7 +72,7 @@ def development_flags(
     out.append((flat_cancel if flat_cancel is not None else F.lit(0)).cast("int").alias("flat_cancel_flag"))
     out.append(F.when(c.isNull(), F.lit(-1)).otherwise(days_canc).alias("num_days_canc"))
     out.append(days_eff.alias("num_days_eff"))
-    out.append(F.when(c.isNull() | (days_canc == 365), 0).otherwise(1).alias("cancel_flag"))
+    out.append(cancelled(eff, canc).alias("cancel_flag"))
     out.append(F.when(c.isNotNull() & (days_canc <= 0) & (a >= e), 1).otherwise(0).alias("cancel_e_flat"))
     for n in DEV_DAYS:
         out.append(F.when(c.isNotNull() & (days_canc <= n) & (days_eff >= n), 1).otherwise(0).alias(f"cancel_e_{n}"))
@@ -106,10 +112,14 @@ def term_history(
     first_prem_table: DataFrame | None = None,
     row_id: str = "pol_prd_id",
     previous_prem: str | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Prior-term values (lag 1, lag 2), premium change and its band, "same as
     prior term" indicators, prior-term cancel and credit indicators.
 
+    ``keep``: the columns of ``terms`` to carry along (all by default); fewer columns
+    make the shuffle, and with ``bucket`` the written rows, narrower.
+
     ``previous_prem``: a column with the latest premium of the policy that this one
     replaced; it stands in for the prior term's premium where there is none (a
     renewal under a new id), and so enters the change and its band.
@@ -117,7 +127,8 @@ def term_history(
     The change compares the term's first-transaction premium (``first_prem``,
     default the term premium) with the prior term's latest one. All lags share
     one window spec; with ``bucket`` (e.g. the effective year) they are
-    computed skew-safe (see ``sequence.bucketed_lags``).
+    computed skew-safe (see ``sequence.bucketed_lags``, which writes the columns in
+    use when it is called).
 
     With ``first_prem_table`` (``row_id`` -> ``first_prem``, e.g. the first
     transaction of each term from a much larger transaction table), the value
@@ -135,8 +146,10 @@ def term_history(
         lags[first_prem] = (1,)
     if first_prem_table is not None:
         lags[row_id] = (1,)
-    lagged = ordered_lags(terms, [key], order, lags, bucket)
-    keep = list(terms.columns)
+    keep = list(terms.columns) if keep is None else list(dict.fromkeys([*keep, key, *order, prem, new_renew, *compare, *([previous_prem] if previous_prem else [])]))
+    if first_prem is not None and first_prem_table is None:
+        keep = list(dict.fromkeys([*keep, first_prem]))
+    lagged = ordered_lags(terms, [key], order, lags, bucket, keep=keep)
     if first_prem_table is not None:
         fp = first_prem or "frst_trans_prem"
         cur = first_prem_table.select(F.col(row_id).alias("_fp_id"), F.col(fp))
@@ -180,18 +193,29 @@ def term_history(
     return df.select(F.col("*"), *extra)
 
 
+def with_expected_change(history: DataFrame, expected: DataFrame, columns: Sequence[str], row_id: str = "pol_prd_id") -> DataFrame:
+    """Expected renewal premium figures of each term, from a side table keyed by the
+    policy period (at most one row per period; a term without one gets NULLs). The
+    table is joined after the lags, so no window carries it."""
+    side = expected.filter(F.col(row_id).isNotNull()).select(row_id, *columns)
+    return history.join(side, row_id, "left").select(*history.columns, *columns)
+
+
 # --------------------------------------------------------------------------- W03 (characteristics)
 AAL_NO_DATA, AAL_UNKNOWN, AAL_SAME, AAL_UP, AAL_DOWN = "NO AAL", "UNKNOWN", "NO CHANGE", "INCREASE", "DECREASE"
 
 
+# Columns of the reference table that the output is made of.
+CHARACTERISTICS = (
+    "policy_id pol_prd_id pol_eff_dt canc_eff_dt pol_entry_dt acct_cr_cd pol_term_mo_cnt term_writ_prem current_term_auto_prem prev_pol_id "
+    "years_with_co zip_cd plus4_cd rate_tbl_dt total_aal_cat_load aal_data_ind"
+).split()
+
+
 def latest_premium_by_policy(ref: DataFrame, key: str = "policy_id", prem: str = "term_writ_prem") -> DataFrame:
     """Latest term premium of every policy (newest effective date, then period)."""
-    w = Window.partitionBy(key).orderBy(F.col("pol_eff_dt").desc(), F.col("pol_prd_id").desc())
-    return (
-        ref.select(key, prem, F.row_number().over(w).alias("_rn"))
-        .filter(F.col("_rn") == 1)
-        .select(F.col(key).alias("_prev_key"), F.col(prem).alias("_prev_pol_prem"))
-    )
+    newest = F.max_by(prem, F.struct("pol_eff_dt", "pol_prd_id"))  # combined before the shuffle
+    return ref.groupBy(F.col(key).alias("_prev_key")).agg(newest.alias("_prev_pol_prem"))
 
 
 def term_characteristics(
@@ -221,7 +245,7 @@ def term_characteristics(
         lags[c] = (1,)
     for _, (_, latest) in first_latest.items():
         lags[latest] = (1,)
-    j = ordered_lags(j, [key], order, lags, bucket)
+    j = ordered_lags(j, [key], order, lags, bucket, keep=list(dict.fromkeys([key, *CHARACTERISTICS, *(f for f, _ in first_latest.values()), "_prev_pol_prem"])))
     prem, auto = F.col("term_writ_prem"), F.col("current_term_auto_prem")
     lprem, lauto = F.col("lag1_term_writ_prem"), F.col("lag1_current_term_auto_prem")
     combined = F.when(
@@ -373,6 +397,19 @@ def cohort_rates(
 
 
 # --------------------------------------------------------------------------- W30
+def transition_bucket(from_code: str, none_code: str = "0", label: str | None = None) -> Column:
+    """Kind of a change from ``initial_code`` to ``current_code``, seen from one code."""
+    ini, cur, lab = F.col("initial_code"), F.col("current_code"), label or from_code
+    return (
+        F.when((ini == from_code) & (cur != none_code), F.lit(f"{lab} to Other"))
+        .when((ini == from_code) & (cur == none_code), F.lit(f"{lab} to Nothing"))
+        .when((cur == from_code) & (ini != none_code), F.lit(f"Other to {lab}"))
+        .when((cur == from_code) & (ini == none_code), F.lit(f"Nothing to {lab}"))
+        .when(cur == ini, F.lit("Multiple Code Changes"))
+        .otherwise(F.lit(f"No {lab} in Transition"))
+    )
+
+
 def code_transitions(
     snapshots: DataFrame,
     as_of_snapshots: DataFrame,
@@ -404,19 +441,9 @@ def code_transitions(
     per = per.join(inforce, per[key] == inforce._k, "left").withColumn(
         "cancel_flag", F.when(F.col("_k").isNull(), 1).otherwise(0)
     ).drop("_k")
-    ini, cur = F.col("initial_code"), F.col("current_code")
-    lab = label or from_code
-    bucket = (
-        F.when((ini == from_code) & (cur != none_code), F.lit(f"{lab} to Other"))
-        .when((ini == from_code) & (cur == none_code), F.lit(f"{lab} to Nothing"))
-        .when((cur == from_code) & (ini != none_code), F.lit(f"Other to {lab}"))
-        .when((cur == from_code) & (ini == none_code), F.lit(f"Nothing to {lab}"))
-        .when(cur == ini, F.lit("Multiple Code Changes"))
-        .otherwise(F.lit(f"No {lab} in Transition"))
-    )
     return per.select(
         key, "initial_code", "current_code", F.date_format("_chg_dt", "MMM").alias("change_month"),
-        F.col("_chg_dt").alias("change_dt"), "cancel_flag", bucket.alias("bucket"),
+        F.col("_chg_dt").alias("change_dt"), "cancel_flag", transition_bucket(from_code, none_code, label).alias("bucket"),
     )
 
 
@@ -442,7 +469,8 @@ def reinstated_after_cancel(
         # a transaction can carry several reasons (the reason table is keyed by
         # quote and date only), so the reason is the last tiebreak of the order
         j, [key], [when_col, "trans_id", "trans_rsn_desc"],
-        {"trans_typ_desc": (1,), "trans_rsn_desc": (1,), "canc_eff_dt": (1,)}, bucket
+        {"trans_typ_desc": (1,), "trans_rsn_desc": (1,), "canc_eff_dt": (1,)}, bucket,
+        keep=[key, "trans_id", "orig_pol_eff_dt", when_col, "canc_eff_dt", "trans_rsn_desc", "trans_typ_desc"],
     )
     j = (
         j.withColumnRenamed("lag1_trans_typ_desc", "prior_trans_type")

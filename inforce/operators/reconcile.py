@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inforce.functions.columns import pct_diff_signed, pct_diff_symmetric, round_half_up
+from inforce.functions.columns import null_safe_parts, pct_diff_signed, pct_diff_symmetric, round_half_up
 
 # Coverage code in the loss data -> model coverage (prediction and
 # exposure columns are ``adj_<m>_pp_pred`` and ``<m>_exposure``).
@@ -133,23 +133,28 @@ def update_from(
     there is none or it adds up to nothing: an update keeps the source's total. Keys
     listed in ``null_safe`` match NULL to NULL; rows without a source row get the
     default."""
-    src = source.groupBy(*keys).agg(*[exact_sum(c).alias(f"_src_{c}") for c in cols])
-    src = src.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[f"_src_{c}" for c in cols])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_k_{k}")) if k in null_safe else F.col(k) == F.col(f"_k_{k}")
-        cond = c if cond is None else cond & c
-    w = Window.partitionBy(*keys)
+    # a window, an aggregation and a join on the same columns: NULL keys as a flag and
+    # a stand-in, so that all three share one partitioning of each side
+    types = {f.name: f.dataType for f in target.schema.fields}
+    names, of_target, of_source = [], [], []
+    for i, k in enumerate(keys):
+        flag, value = null_safe_parts(F.col(k), types[k])
+        names += [f"_kf{i}", f"_kv{i}"] if k in null_safe else [f"_kv{i}"]
+        plain = F.col(k)
+        of_target += [flag.alias(f"_kf{i}"), value.alias(f"_kv{i}")] if k in null_safe else [plain.alias(f"_kv{i}")]
+        flag, value = null_safe_parts(F.col(k).cast(types[k]), types[k])
+        of_source += [flag.alias(f"_kf{i}"), value.alias(f"_kv{i}")] if k in null_safe else [plain.cast(types[k]).alias(f"_kv{i}")]
+    src = source.select(*of_source, *cols).groupBy(*names).agg(*[exact_sum(c).alias(f"_src_{c}") for c in cols])
+    w = Window.partitionBy(*names)
     equal = F.lit(1.0) / F.count(F.lit(1)).over(w)
     if share is None:
         part = equal
     else:
         whole = F.sum(share).over(w).cast("double")
         part = F.when(F.coalesce(whole, F.lit(0.0)) == 0, equal).otherwise(F.coalesce(F.col(share).cast("double"), F.lit(0.0)) / whole)
-    j = target.withColumn("_part", part).join(src, cond, "left")
-    for c, default in cols.items():
-        j = j.withColumn(c, F.coalesce(F.col(f"_src_{c}") * F.col("_part"), F.lit(default)))
-    return j.drop("_part", *[f"_k_{k}" for k in keys], *[f"_src_{c}" for c in cols])
+    j = target.select("*", *of_target).withColumn("_part", part).join(src, names, "left")
+    kept = [F.col(c) for c in target.columns if c not in cols]
+    return j.select(*kept, *[F.coalesce(F.col(f"_src_{c}") * F.col("_part"), F.lit(default)).alias(c) for c, default in cols.items()])
 
 
 # --------------------------------------------------------------------------- W19
@@ -179,7 +184,48 @@ def reconcile_metric(
     )
 
 
+def reconcile_all(
+    left: DataFrame,
+    right: DataFrame,
+    metrics: Mapping[str, tuple[str, str]],
+    date_col: str,
+    digits: int = 2,
+) -> DataFrame:
+    """Every metric at every grain (all, year, month) from one scan of each side.
+
+    ``metrics``: name -> (column on the left, column on the right). Each side is summed
+    once to the months, as exact decimals; years and the total are sums of those few
+    rows (grouping sets), so no row of the data is expanded. The result is long:
+    metric, grain, year_earned, month_earned (NULL where the grain has none),
+    left_total, right_total, pct_diff. A year or month that only one side has gives no
+    row, nor does a missing date at those grains; it counts in the total."""
+
+    def side(df: DataFrame, which: int) -> DataFrame:
+        months = df.groupBy(F.year(date_col).alias("y"), F.month(date_col).alias("m")).agg(*[F.sum(pair[which]).alias(name) for name, pair in metrics.items()])
+        sums = [F.sum(name).alias(name) for name in metrics]
+        g = months.groupingSets([[], ["y"], ["y", "m"]], "y", "m").agg(F.grouping_id().alias("g"), *sums)
+        g = g.filter((F.col("g") == 3) | F.col("y").isNotNull())
+        # stand-ins for what a grain does not have: a plain equi-join
+        rows = F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), F.round(F.col(name), digits).cast("double").alias("total")) for name in metrics])).alias("r")
+        return g.select("g", F.coalesce("y", F.lit(-1)).alias("y"), F.coalesce("m", F.lit(-1)).alias("m"), rows).select("g", "y", "m", "r.metric", "r.total")
+
+    one = side(left, 0).withColumnRenamed("total", "left_total")
+    other = side(right, 1).withColumnRenamed("total", "right_total")
+    j = one.join(other, ["metric", "g", "y", "m"])
+    return j.select(
+        "metric", F.when(F.col("g") == 3, "all").when(F.col("g") == 1, "year").otherwise("month").alias("grain"),
+        F.when(F.col("y") >= 0, F.col("y")).alias("year_earned"), F.when(F.col("m") >= 0, F.col("m")).alias("month_earned"),
+        "left_total", "right_total", pct_diff_signed(F.col("left_total"), F.col("right_total"), 2).alias("pct_diff"),
+    )
+
+
 # --------------------------------------------------------------------------- W20
+def at_latest(snapshot: DataFrame, latest: DataFrame | None = None, when_col: str = "me_dt") -> DataFrame:
+    """The rows of the latest snapshot; ``latest``: one row, one column, with its date."""
+    latest = snapshot.agg(F.max(when_col)) if latest is None else latest
+    return snapshot.filter(F.col(when_col) == latest.scalar())
+
+
 def snapshot_vs_history_counts(
     snapshot: DataFrame,
     history_latest: DataFrame,
@@ -192,8 +238,9 @@ def snapshot_vs_history_counts(
     """Distinct counts per ``by`` from the latest snapshot and from the latest
     history row per policy; symmetric % difference and absolute difference.
     ``latest``: one row with the latest snapshot date; without it the snapshots are
-    read once more to find it. One row either way, so it is broadcast."""
-    snap = snapshot.join(F.broadcast(snapshot.agg(F.max("me_dt").alias("me_dt")) if latest is None else latest), "me_dt", "left_semi")
+    read once more to find it. As a scalar it is a filter on the month, which goes
+    below the snapshot's window and into the scan of a stored one."""
+    snap = at_latest(snapshot, latest)
     if snapshot_filter is not None:
         snap = snap.filter(snapshot_filter)
     a = snap.groupBy(by).agg(F.countDistinct(snap_key).alias("mif_cnt"))

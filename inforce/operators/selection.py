@@ -126,8 +126,9 @@ def credit_removed(
     bucket: Column | None = None,
 ) -> DataFrame:
     """Rows whose indicator dropped 1 -> 0 from the previous term
-    (``LAG(ind) - ind = 1``), distinct. ``bucket`` makes the lag skew-safe."""
-    lagged = ordered_lags(terms, [key], order, {ind: (1,)}, bucket)
+    (``LAG(ind) - ind = 1``), distinct. ``bucket`` makes the lag skew-safe; the
+    columns in use are then written to the shared folder when this is called."""
+    lagged = ordered_lags(terms, [key], order, {ind: (1,)}, bucket, keep=list(dict.fromkeys([key, ind, *keep])))
     dropped = (F.col(f"lag1_{ind}") - F.col(ind)) == 1
     return lagged.filter(dropped).select(key, ind, *keep).distinct()
 

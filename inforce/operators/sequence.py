@@ -16,8 +16,14 @@ and a hot key is spread over as many tasks as it has buckets:
 4. the carry-in values are joined back on (key, bucket), which is the same
    distribution as step 1, so the big side is not shuffled again.
 
-The input is written once to the shared checkpoint folder and both branches read
-it from there. The result equals the plain window for any data (tested against it).
+Both branches need the same rows. The columns that the caller keeps, orders by and
+lags are written once to the shared folder as Parquet, so whatever they were derived
+from is computed once and the tail branch reads back only its own columns. **This
+write is a Spark job that runs when the function is called**, before any action on
+the result. The result equals the plain window for any data (tested against it).
+
+All lagged values of a row travel as one struct: a window has one ``LAG`` per
+offset, however many columns are lagged.
 """
 
 from __future__ import annotations
@@ -27,7 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inforce.session import materialize
+from inforce.functions.columns import null_safe_parts
+from inforce.session import written
 
 
 def _asc(cols: Sequence[str]) -> list[Column]:
@@ -38,23 +45,8 @@ def _desc(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in cols]
 
 
-def _null_safe_parts(c: Column, dtype) -> tuple[Column, Column]:
-    """(is-null flag, value with NULL replaced by a typed default): together an
-    injective, never-NULL stand-in for ``c``, so NULL keys group and join like
-    any other value in plain equi-joins."""
-    from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
-
-    if isinstance(dtype, StringType):
-        default = F.lit("")
-    elif isinstance(dtype, NumericType):
-        default = F.lit(0).cast(dtype)
-    elif isinstance(dtype, BooleanType):
-        default = F.lit(False)
-    elif isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
-        default = F.lit("1970-01-01").cast(dtype)
-    else:
-        default = F.lit(None).cast(dtype)
-    return c.isNull(), F.coalesce(c, default)
+def _packed(lags: dict[str, Sequence[int]]) -> Column:
+    return F.struct(*[F.col(c) for c in lags])
 
 
 def bucketed_lags(
@@ -63,49 +55,47 @@ def bucketed_lags(
     order: Sequence[str],
     bucket: Column,
     lags: dict[str, Sequence[int]],
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add ``lag{n}_{col}`` for every ``col -> offsets`` in ``lags``.
+    """Add ``lag{n}_{col}`` for every ``col -> offsets`` in ``lags``; ``keep`` names
+    the columns of ``df`` to carry (all by default), and so what is written.
 
     ``order`` must make rows unique within a key (add a tiebreak column);
     ``bucket`` must be non-decreasing along ``order`` within a key (NULL
     order values, and a NULL bucket, come first)."""
-    key = list(key)
-    max_off = max(max(v) for v in lags.values())
+    key, keep = list(key), list(df.columns if keep is None else keep)
+    offsets = sorted({n for v in lags.values() for n in v})
+    max_off = offsets[-1]
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     # never-NULL stand-ins for the key and the bucket: the windows and the
     # carry-in join use the same plain columns, so the join needs no new shuffle
-    parts = []
-    for i, k in enumerate(key):
-        kn, kf = _null_safe_parts(F.col(k), types[k])
-        parts += [kn.alias(f"_kn{i}"), kf.alias(f"_kf{i}")]
-    d0 = df.select(F.col("*"), *parts, bucket.alias("_bkt"))
-    bn, bf = _null_safe_parts(F.col("_bkt"), d0.schema["_bkt"].dataType)
-    # both branches below read these rows; written once in the shared folder, whatever
-    # they were derived from is computed once, and a lost executor repeats only a read
-    d0 = materialize(d0.select(F.col("*"), bn.alias("_bn"), bf.alias("_bf")).drop("_bkt"))
     gkey = [c for i in range(len(key)) for c in (f"_kn{i}", f"_kf{i}")]
+    bkt = df.select(bucket.alias("_bkt")).schema["_bkt"].dataType
+    needed = list(dict.fromkeys([*keep, *key, *order, *lags]))
+    rows = df.select(*needed, bucket.alias("_bkt"))
+    rows = written(rows, "lag-rows")
+
+    def keyed(columns: Sequence[str]) -> DataFrame:
+        parts = []
+        for i, k in enumerate(key):
+            kn, kf = null_safe_parts(F.col(k), types[k])
+            parts += [kn.alias(f"_kn{i}"), kf.alias(f"_kf{i}")]
+        bn, bf = null_safe_parts(F.col("_bkt"), bkt)
+        return rows.select(*columns, *parts, bn.alias("_bn"), bf.alias("_bf"), _packed(lags).alias("_now"))
+
     w = Window.partitionBy(*gkey, "_bn", "_bf").orderBy(*_asc(order))
     wd = Window.partitionBy(*gkey, "_bn", "_bf").orderBy(*_desc(order))
-    sel = [F.col("*"), F.row_number().over(w).alias("_rn")]
-    for c, offs in lags.items():
-        for n in offs:
-            sel.append(F.lag(c, n).over(w).alias(f"_loc{n}_{c}"))
-    d = d0.select(*sel)
+    local = [F.lag("_now", n).over(w).alias(f"_loc{n}") for n in offsets]
+    d = keyed(list(dict.fromkeys([*keep, *order]))).select("*", F.row_number().over(w).alias("_rn"), *local).drop("_now")
 
-    cols = list(lags)
     # last max_off rows per (key, bucket): a top-k per group, planned with a
     # partial group limit before its shuffle, so only <= max_off rows per
-    # (key, bucket) and task move; this branch re-reads only the needed columns
-    tail = (
-        d0.select(*gkey, "_bn", "_bf", *cols, F.row_number().over(wd).alias("_rnd"))
-        .filter(F.col("_rnd") <= max_off)
-    )
+    # (key, bucket) and task move; this branch reads only its own columns
+    tail = keyed(order).select(*gkey, "_bn", "_bf", "_now", F.row_number().over(wd).alias("_rnd")).filter(F.col("_rnd") <= max_off)
     # NULL bucket first, then buckets ascending; within a bucket earliest first
     wt = Window.partitionBy(*gkey).orderBy(F.col("_bn").desc(), F.col("_bf").asc(), F.col("_rnd").desc())
     tsel = [F.col(c) for c in gkey] + [F.col("_bn"), F.col("_bf")]
-    for c in cols:
-        for i in range(1, max_off + 1):
-            tsel.append(F.lag(c, i).over(wt).alias(f"_in{i}_{c}"))
+    tsel += [F.lag("_now", i).over(wt).alias(f"_in{i}") for i in range(1, max_off + 1)]
     # the earliest tail row of a bucket (first row, or the bucket changed from the
     # previous tail row) carries the values just before the bucket; computed on
     # the same window as the lags, so the tail table is shuffled once
@@ -113,24 +103,26 @@ def bucketed_lags(
     first_of_bucket = (F.row_number().over(wt) == 1) | changed
     carry = tail.select(*tsel, first_of_bucket.alias("_first")).filter(F.col("_first")).drop("_first")
     j = d.join(carry, [*gkey, "_bn", "_bf"], "left")
-    out = [F.col(c) for c in df.columns]
-    for c, offs in lags.items():
-        for n in offs:
-            e = F.when(F.col("_rn") > n, F.col(f"_loc{n}_{c}"))
-            for k in range(1, n + 1):
-                e = e.when(F.col("_rn") == k, F.col(f"_in{n - k + 1}_{c}"))
-            out.append(e.alias(f"lag{n}_{c}"))
-    return j.select(*out)
+    out = [F.col(c) for c in keep]
+    for n in offsets:
+        e = F.when(F.col("_rn") > n, F.col(f"_loc{n}"))
+        for k in range(1, n + 1):
+            e = e.when(F.col("_rn") == k, F.col(f"_in{n - k + 1}"))
+        j = j.withColumn(f"_lag{n}", e)
+    return j.select(*out, *_unpacked(lags))
+
+
+def _unpacked(lags: dict[str, Sequence[int]]) -> list[Column]:
+    return [F.col(f"_lag{n}")[c].alias(f"lag{n}_{c}") for c, offs in lags.items() for n in offs]
 
 
-def plain_lags(df: DataFrame, key: Sequence[str], order: Sequence[str], lags: dict[str, Sequence[int]]) -> DataFrame:
+def plain_lags(df: DataFrame, key: Sequence[str], order: Sequence[str], lags: dict[str, Sequence[int]], keep: Sequence[str] | None = None) -> DataFrame:
     """The single-window form (one exchange on the key)."""
     w = Window.partitionBy(*key).orderBy(*_asc(order))
-    sel = [F.col("*")]
-    for c, offs in lags.items():
-        for n in offs:
-            sel.append(F.lag(c, n).over(w).alias(f"lag{n}_{c}"))
-    return df.select(*sel)
+    keep = list(df.columns if keep is None else keep)
+    offsets = sorted({n for v in lags.values() for n in v})
+    packed = df.select(*list(dict.fromkeys([*keep, *key, *order])), _packed(lags).alias("_now"))
+    return packed.select(*keep, *[F.lag("_now", n).over(w).alias(f"_lag{n}") for n in offsets]).select(*keep, *_unpacked(lags))
 
 
 def ordered_lags(
@@ -139,8 +131,10 @@ def ordered_lags(
     order: Sequence[str],
     lags: dict[str, Sequence[int]],
     bucket: Column | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Lags by the plain window, or skew-safe when a ``bucket`` is given."""
+    """Lags by the plain window, or skew-safe when a ``bucket`` is given (which
+    writes the columns in use to the shared folder when called)."""
     if bucket is None:
-        return plain_lags(df, key, order, lags)
-    return bucketed_lags(df, key, order, bucket, lags)
+        return plain_lags(df, key, order, lags, keep)
+    return bucketed_lags(df, key, order, bucket, lags, keep)

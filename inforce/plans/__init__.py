@@ -9,5 +9,6 @@ from inforce.plans import (  # noqa: F401
     persistency_plans,
     reconcile_plans,
     segment_plans,
+    stored_plans,
 )
 from inforce.plans.registry import ORACLES, QUERIES, finalize, register  # noqa: F401

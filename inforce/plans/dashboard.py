@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from inforce.operators import loss as L
 from inforce.plans.loss_plans import uw_fixed
 from inforce.session import ensure_checkpoint_dir
+from inforce.sources.stored import StoredTable
 
 
 def build_uw_dashboard(spark: SparkSession, sf_dir: str, name: str = "uw_rollup") -> dict[str, DataFrame]:
     """Write the reclassified rollup, then return the reports computed from it."""
-    target = os.path.join(ensure_checkpoint_dir(spark), name)
-    uw_fixed(spark, sf_dir).write.mode("overwrite").parquet(target)
-    rollup = spark.read.parquet(target)
+    table = StoredTable(spark, os.path.join(ensure_checkpoint_dir(spark), name), "risk_st")
+    table.overwrite(uw_fixed(spark, sf_dir))  # readers of the last build keep its files
+    rollup = table.read()
     seg = rollup.withColumn("segment", L.segment_label())
     return {
         "running_ratio": L.running_ratio(rollup),

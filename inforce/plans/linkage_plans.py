@@ -8,33 +8,38 @@ from pyspark.sql import functions as F
 
 from inforce.operators import linkage as LK
 from inforce.operators import selection as SEL
+from inforce.operators import snapshots as SN
 from inforce.plans.persistency_plans import REMOVED_SQL, flags_sql, pers
 from inforce.plans.registry import deliver_as_double, deliver_as_text, finalize, register
 from inforce.plans.shared import LATEST_PERS_SQL, A, _sql, latest_pers
+from inforce.session import written
 from inforce.sources import lines as LN
 from inforce.sources import staging as S
 
 
 # ----------------------------------------------------------------------------- W28
 def auto_inforce_now(spark, d):
-    snap = S.inforce_monthend(spark, d)
-    return (
-        snap.join(F.broadcast(S.last_month_end(spark, d)), "me_dt", "left_semi")
-        .filter((F.col("pol_status_cd") == "InForce") & F.col("policy_id").isNotNull())
-        .select(F.col("policy_id").alias("pol_id"))
-    )
-
-
-def crosswalk(spark, d):
-    removed = SEL.credit_removed(
-        pers(spark, d).filter((F.col("newco_ind") == "Y") & (F.col("atr_e_flat") == 1)), bucket=F.year("pol_eff_dt")
-    ).filter(F.col("acct_cr_ind") == 0)
-    home = LN.home_policy(spark, d)
-    aq, hq, lk = LN.auto_quotes(spark, d), LN.home_quotes(spark, d), LN.party_link(spark, d)
-    a2h = LK.crosswalk(removed, aq, lk, hq, home.filter(F.col("pol_status_cd") == "InForce"),
-                       "auto_qcn", "home_qcn", "Auto", "Home")
-    h2a = LK.crosswalk(home.filter(F.col("acct_cr_ind") == "N"), hq, lk, aq, auto_inforce_now(spark, d),
-                       "home_qcn", "auto_qcn", "Home", "Auto")
+    """Policies in force at the last month end: that month's snapshot, and no other's."""
+    now = SN.month_snapshot(S.term(spark, d), S.last_month_end(spark, d).scalar())
+    return now.filter((F.col("pol_status_cd") == "InForce") & F.col("policy_id").isNotNull()).select(F.col("policy_id").alias("pol_id"))
+
+
+def contact_method(key: str):
+    """Emulated contact method of the original quote, by period number."""
+    k = F.col(key) % 3
+    return F.when(k == 0, "Phone").when(k == 1, "Web").otherwise("Agent")
+
+
+def crosswalk(spark, d, keep=()):
+    terms = S.term(spark, d).withColumn("orig_qte_cntct_meth_cd", contact_method("pol_prd_id"))
+    # eligible: newer company, and in force at some time (attained the effective date)
+    eligible = terms.filter((F.col("newco_ind") == "Y") & (F.col("pol_eff_dt") <= F.lit(S.AS_OF)))
+    removed = SEL.credit_removed(eligible, keep=keep, bucket=F.year("pol_eff_dt")).filter(F.col("acct_cr_ind") == 0)
+    home = LN.home_policy(spark, d).withColumn("orig_qte_cntct_meth_cd", contact_method("pol_prd_id"))
+    # both directions read the linked quotes: joined once, written when this is called
+    pairs = written(LK.quote_pairs(LN.auto_quotes(spark, d), LN.party_link_rows(spark, d), LN.home_quotes(spark, d)), "quote-pairs")
+    a2h = LK.crosswalk_from_pairs(pairs, removed, home.filter(F.col("pol_status_cd") == "InForce"), "auto", "home", ("Auto", "Home"), keep)
+    h2a = LK.crosswalk_from_pairs(pairs, home.filter(F.col("acct_cr_ind") == "N"), auto_inforce_now(spark, d), "home", "auto", ("Home", "Auto"), keep)
     return a2h.unionByName(h2a)
 
 
@@ -69,6 +74,29 @@ def w28_crosswalk(spark, d):
     return crosswalk(spark, d)
 
 
+_METHOD_SQL = "['Phone', 'Web', 'Agent'][1 + pol_prd_id % 3]"
+
+
+@register(
+    "w28_crosswalk_contact",
+    _sql(
+        """SELECT pol_start, start_pol_id, orig_qte_cntct_meth_cd, start_orig_qte_dt, start_qcn, end_qcn, end_orig_qte_dt, end_pol_id, pol_end
+FROM xw JOIN methods USING (pol_start, start_pol_id)""",
+        [
+            *XW_SQL_CTES,
+            f"""methods AS (
+  SELECT DISTINCT 'Auto' AS pol_start, pol_id AS start_pol_id, {_METHOD_SQL} AS orig_qte_cntct_meth_cd FROM credit_dropped
+  UNION
+  SELECT DISTINCT 'Home', pol_id, {_METHOD_SQL} FROM home_policy WHERE acct_cr_ind = 'N'
+)""",
+        ],
+    ),
+)
+def w28_crosswalk_contact(spark, d):
+    """The crosswalk with the contact method of the start policy's original quote."""
+    return crosswalk(spark, d, keep=["orig_qte_cntct_meth_cd"])
+
+
 # ----------------------------------------------------------------------------- W29
 FUTURE_START, FUTURE_END, HIST_CUTOFF = dt.date(2000, 6, 5), dt.date(2000, 8, 2), dt.date(2000, 9, 1)
 
@@ -205,7 +233,7 @@ def connected(spark, d):
        CAST(COUNT_IF(auto_mkt_grp <> home_mkt_grp) AS BIGINT) AS auto_mkt_grp_diff_cnt,
        CAST(COUNT_IF(auto_mkt_chnl <> home_mkt_chnl) AS BIGINT) AS auto_mkt_chnl_diff_cnt,
        CAST(COUNT_IF(auto_mkt_grp <> home_mkt_grp OR auto_mkt_chnl <> home_mkt_chnl) AS BIGINT) AS any_diff_cnt
-FROM connected_table""",
+FROM linked_markets""",
         [
             flags_sql(), LN.HOME_POLICY_SQL, LN.AUTO_QUOTES_SQL, LN.HOME_QUOTES_SQL, LN.PARTY_LINK_SQL,
             f"""auto_market AS (
@@ -218,7 +246,7 @@ home_market AS (
   SELECT DISTINCT q.qcn AS home_qcn, q.pol_id AS home_pol_id, p.market_channel AS home_mkt_chnl, p.mktg_media_grp AS home_mkt_grp
   FROM home_policy p JOIN home_quotes q ON TRY_CAST(p.pol_id AS DECIMAL(38,0)) = TRY_CAST(q.pol_id AS DECIMAL(38,0))
 ),
-connected_table AS (
+linked_markets AS (
   SELECT DISTINCT * EXCLUDE (auto_key)
   FROM (SELECT DISTINCT TRY_CAST(pol_id AS DECIMAL(38,0)) AS auto_key, qcn AS auto_qcn FROM auto_quotes)
   JOIN auto_market USING (auto_key) JOIN party_link USING (auto_qcn) JOIN home_market USING (home_qcn)
@@ -261,33 +289,30 @@ def quote_funnel(spark, d):
 @register(
     "w34_quote_funnel",
     _sql(
-        f"SELECT {', '.join(W34_COLS)} FROM final",
+        f"""SELECT q.qcn, q.pol_id, q.quote_last_transaction_dt, q.resp_ind_cnt, q.iss_ind_cnt, CAST(q.qte_prem_amt AS DOUBLE) AS qte_prem_amt,
+       CAST(r.own_premium AS DOUBLE) AS own_premium, r.carriers_quoted, r.win_ind, r.own_rank,
+       t.pol_eff_dt AS first_pol_eff_dt, t.cancel_e_flat, t.cancel_e_180, t.cancel_e_365, t.atr_e_flat, t.atr_e_180, t.atr_e_365,
+       t.canc_eff_dt, t.risk_st AS pol_risk_st, t.new_rnw_cd AS pol_new_rnw_cd,
+       CAST(t.pol_id IS NOT NULL AS INTEGER) AS pol_cnt_issue_match
+FROM newest_quote q
+LEFT JOIN earliest_term t USING (pol_id)
+LEFT JOIN comparative_rater r USING (qcn)""",
         [
             flags_sql(), LN.QUOTE_FLOW_SQL, LN.RATER_SQL,
-            f"""last_quote AS (
-  SELECT qcn, MAX(resp_ind_cnt) AS resp_ind_cnt, MAX(iss_ind_cnt) AS iss_ind_cnt,
-         arg_max({{'pol_id': pol_id, 'day': quote_trans_lst_chng_dt, 'prem': qte_prem_amt, 'unit': bus_unit_abbr}},
-                 (strptime(quote_trans_lst_chng_dt, '%Y%m%d'), line_no, part_no, supp_no, qte_prem_amt)) AS last
-  FROM quote_flow GROUP BY qcn
+            f"""newest_quote AS (
+  SELECT qcn, pol_id, CAST(strptime(quote_trans_lst_chng_dt, '%Y%m%d') AS DATE) AS quote_last_transaction_dt, qte_prem_amt,
+         most_resp AS resp_ind_cnt, most_iss AS iss_ind_cnt
+  FROM (
+    SELECT *, MAX(resp_ind_cnt) OVER q AS most_resp, MAX(iss_ind_cnt) OVER q AS most_iss,
+           row_number() OVER (PARTITION BY qcn ORDER BY strptime(quote_trans_lst_chng_dt, '%Y%m%d') DESC, line_no DESC, part_no DESC, supp_no DESC, qte_prem_amt DESC) AS age
+    FROM quote_flow WINDOW q AS (PARTITION BY qcn)
+  ) WHERE age = 1 AND bus_unit_abbr = 'AGCY' AND quote_trans_lst_chng_dt >= '{QUOTE_FROM}'
 ),
-a AS (
-  SELECT qcn, last.pol_id AS pol_id, CAST(strptime(last.day, '%Y%m%d') AS DATE) AS quote_last_transaction_dt,
-         last.prem AS qte_prem_amt, resp_ind_cnt, iss_ind_cnt
-  FROM last_quote WHERE last.unit = 'AGCY' AND last.day >= '{QUOTE_FROM}'
-)""",
-            """c AS (
-  SELECT pol_id AS policy_id, pol_eff_dt AS first_pol_eff_dt, cancel_e_flat, cancel_e_180, cancel_e_365, atr_e_flat,
-         atr_e_180, atr_e_365, canc_eff_dt, risk_st AS pol_risk_st, new_rnw_cd AS pol_new_rnw_cd
-  FROM pers QUALIFY pol_prd_id IS NOT NULL AND MIN(pol_prd_id) OVER (PARTITION BY pol_id) = pol_prd_id
-)""",
-            """final AS (
-  SELECT a.*, CAST(b.own_premium AS DOUBLE) AS own_premium, b.carriers_quoted, b.win_ind, b.own_rank, c.*,
-         CASE WHEN a.pol_id = c.policy_id THEN 1 ELSE 0 END AS pol_cnt_issue_match
-  FROM a LEFT JOIN comparative_rater b ON a.qcn = b.qcn LEFT JOIN c ON a.pol_id = c.policy_id
+earliest_term AS (
+  SELECT * FROM pers p WHERE pol_prd_id = (SELECT MIN(f.pol_prd_id) FROM pers f WHERE f.pol_id = p.pol_id)
 )""",
         ],
-    ).replace("SELECT qcn, pol_id, quote_last_transaction_dt, resp_ind_cnt, iss_ind_cnt, qte_prem_amt,",
-              "SELECT qcn, pol_id, quote_last_transaction_dt, resp_ind_cnt, iss_ind_cnt, CAST(qte_prem_amt AS DOUBLE) AS qte_prem_amt,"),
+    ),
 )
 def w34_quote_funnel(spark, d):
     return quote_funnel(spark, d)
@@ -314,20 +339,11 @@ def rule_terms(spark, d):
 @register(
     "w36_enrich_rules",
     _sql(
-        f"SELECT {', '.join(W36_COLS)} FROM data",
-        [
-            flags_sql(), LN.RULE_HITS_SQL, LN.RULE_REF_SQL,
-            """terms AS (
-  SELECT pol_id, pol_eff_dt, pol_prd_id, cancel_flag, pol_form_cd, MIN(pol_eff_dt) OVER (PARTITION BY pol_id) AS orig_pol_eff_dt,
-         pol_prd_id % 3 + pol_prd_id % 2 + CAST(risk_st % 2 AS BIGINT) + 1 AS veh_cnt
-  FROM pers
-)""",
-            """data AS (
-  SELECT a.*, b.msg, b.nb, b.rw, b.uw_rule_trig_rsn_desc, c.pol_prd_id, c.cancel_flag, c.pol_form_cd, c.orig_pol_eff_dt, c.veh_cnt
-  FROM rule_hits a LEFT JOIN rule_ref b ON a.uw_ref_decl_rule_id = b.rule_id
-  JOIN terms c ON CAST(a.pol_id AS VARCHAR) = CAST(c.pol_id AS VARCHAR) AND a.pol_eff_dt = c.pol_eff_dt
-)""",
-        ],
+        """SELECT h.pol_id, h.pol_eff_dt, h.hit_prd_id, h.hit_line, h.uw_ref_decl_rule_id, ref.msg, ref.nb, ref.rw, ref.uw_rule_trig_rsn_desc,
+       p.pol_prd_id, p.cancel_flag, p.pol_form_cd, p.orig_pol_eff_dt,
+       p.pol_prd_id % 3 + p.pol_prd_id % 2 + CAST(p.risk_st % 2 AS BIGINT) + 1 AS veh_cnt
+FROM pers p JOIN rule_hits h USING (pol_id, pol_eff_dt) LEFT JOIN rule_ref ref ON ref.rule_id = h.uw_ref_decl_rule_id""",
+        [flags_sql(), LN.RULE_HITS_SQL, LN.RULE_REF_SQL],
     ),
 )
 def w36_enrich_rules(spark, d):

@@ -14,27 +14,26 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inforce.operators import loss as L
 from inforce.operators import persistency as P
-from inforce.plans.persistency_plans import W37_MIN_EFF, W37_STATE, history
+from inforce.plans.persistency_plans import history, yearly_change
 from inforce.session import ensure_checkpoint_dir
 from inforce.sources import staging as S
+from inforce.sources.stored import StoredTable
 
 
-def build_persistency_table(spark: SparkSession, sf_dir: str, name: str = "persistency") -> dict[str, DataFrame]:
-    """Write history + flags + ultimate cancellations, then the reports from the written table."""
-    target = os.path.join(ensure_checkpoint_dir(spark), name)
-    table = P.ultimate_cancel(history(spark, sf_dir), S.dev_factors(spark), factor_rows=len(S.dev_factor_rows()))
-    table.write.mode("overwrite").parquet(target)
-    t = spark.read.parquet(target)
-    change = L.premium_change_by_year(
-        t.filter(
-            (F.col("risk_st") == W37_STATE)
-            & (F.col("pol_eff_dt") >= F.lit(W37_MIN_EFF).cast("date"))
-            & (F.col("new_rnw_cd") == "R")
-        ),
-        "renewal_prem_change",
-    )
+def build_persistency_table(spark: SparkSession, sf_dir: str, name: str = "persistency", rewritten: bool = False) -> dict[str, DataFrame]:
+    """Write history + flags + ultimate cancellations, then the reports from the written
+    table. ``rewritten``: first terms of policies that replaced another one are
+    renewals, compared with the replaced policy's latest premium."""
+    terms = S.renewal_terms(spark, sf_dir) if rewritten else S.term(spark, sf_dir)
+    keep = [c for c in terms.columns if c != "replaced_prem"]
+    lagged = history(spark, sf_dir, keep=keep, terms=terms, previous_prem="replaced_prem" if rewritten else None).drop("cancel_flag")
+    flat = F.coalesce((F.col("canc_eff_dt") == F.col("pol_eff_dt")).cast("int"), F.lit(0))
+    flags = P.development_flags(lagged, S.AS_OF, flat_cancel=flat)
+    stored = StoredTable(spark, os.path.join(ensure_checkpoint_dir(spark), name), "risk_st")
+    stored.overwrite(P.ultimate_cancel(flags, S.dev_factors(spark), factor_rows=len(S.dev_factor_rows())))
+    t = stored.read()
+    change = yearly_change(t)
     return {
         "table": t,
         "premium_change_by_year": change,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
+from inforce.operators.reconcile import at_latest
 from inforce.plans.registry import deliver_as_double, deliver_as_text, finalize, register
 from inforce.sources import staging as S
 from inforce.sources.tables import read_table
@@ -134,10 +135,18 @@ def first_transactions(spark, d):
     )
 
 
-def history(spark, d):
+#: Columns that the registered history queries carry through the lags.
+HISTORY_KEEP = ["pol_id", "pol_prd_id", "pol_eff_dt", "prem", "rate_plan_cd", "pol_form_cd", "acct_cr_ind", "new_rnw_cd", "risk_st"]
+
+
+def history(spark, d, keep=HISTORY_KEEP, terms=None, previous_prem=None):
+    """Term history; the flags are computed from the terms after the lags (only the
+    cancel flag is lagged). ``terms`` with a ``previous_prem`` column: a policy that
+    replaced another one is compared with that one's latest premium."""
+    t = S.term(spark, d) if terms is None else terms
     return P.term_history(
-        pers(spark, d), prem="prem", first_prem="frst_trans_prem", first_prem_table=first_transactions(spark, d),
-        bucket=YEAR_BUCKET(),
+        t.withColumn("cancel_flag", P.cancelled()), prem="prem", first_prem="frst_trans_prem", first_prem_table=first_transactions(spark, d),
+        bucket=YEAR_BUCKET(), previous_prem=previous_prem, keep=keep,
     )
 
 
@@ -384,7 +393,7 @@ WHERE change_dt IS NOT NULL""",
 def w30_code_transitions(spark, d):
     snap = S.inforce_monthend(spark, d)
     recent = snap.filter((F.col("me_dt") > F.lit(W30_FROM_ME).cast("date")) & (F.col("pol_status_cd") == "InForce"))
-    now = snap.filter(F.col("pol_status_cd") == "InForce").join(F.broadcast(S.last_month_end(spark, d)), "me_dt", "left_semi")
+    now = at_latest(snap, S.last_month_end(spark, d)).filter(F.col("pol_status_cd") == "InForce")
     return P.code_transitions(recent, now, from_code="3-MEDIUM", label="MEDIUM")
 
 
@@ -466,13 +475,13 @@ FROM (SELECT eff_year, CAST(SUM(CAST(renewal_prem_change AS DECIMAL(18,6))) AS D
     ),
 )
 def w37_premium_change_by_year(spark, d):
+    return yearly_change(history(spark, d))
+
+
+def yearly_change(h):
     from inforce.operators.loss import premium_change_by_year
 
-    h = history(spark, d).filter(
-        (F.col("risk_st") == W37_STATE)
-        & (F.col("pol_eff_dt") >= F.lit(W37_MIN_EFF).cast("date"))
-        & (F.col("new_rnw_cd") == "R")
-    )
+    h = h.filter((F.col("risk_st") == W37_STATE) & (F.col("pol_eff_dt") >= F.lit(W37_MIN_EFF).cast("date")) & (F.col("new_rnw_cd") == "R"))
     return premium_change_by_year(h, "renewal_prem_change")
 
 
@@ -489,52 +498,48 @@ FIRST_LATEST = {"loss_cnt": ("frst_chrg_loss_cnt", "latst_chrg_loss_cnt"),
 _YMD = "CASE WHEN {c} IS NULL OR {c} = 0 THEN NULL ELSE CAST(strptime(CAST({c} AS VARCHAR), '%Y%m%d') AS DATE) END"
 
 
-def _char_sql() -> str:
-    w = "OVER (PARTITION BY r.policy_id ORDER BY r.pol_eff_dt ASC NULLS FIRST, r.pol_prd_id ASC NULLS FIRST)"
-    comb = (
-        "CASE WHEN current_term_auto_prem IS NOT NULL AND lag_auto IS NOT NULL AND lag_prem IS NOT NULL THEN "
-        "(CASE WHEN CAST(lag_prem + lag_auto AS DOUBLE) = 0 THEN 0.0 "
-        "ELSE CAST(term_writ_prem + current_term_auto_prem AS DOUBLE) / CAST(lag_prem + lag_auto AS DOUBLE) END) - 1.0 END"
-    )
-    rhu = f"sign({comb}) * floor(abs({comb}) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE)"
-    return f"""SELECT policy_id, pol_prd_id,
-       {_YMD.format(c='pol_eff_dt')} AS pol_eff_date,
-       {_YMD.format(c='canc_eff_dt')} AS canc_eff_date,
-       CASE WHEN acct_cr_cd = 1 THEN 'Y' WHEN acct_cr_cd = 2 THEN 'N' END AS acct_cr_ind,
-       CAST(CASE WHEN pol_term_mo_cnt = 6 THEN term_writ_prem * 2 ELSE term_writ_prem END AS DOUBLE) AS pol_annl_ttl_bill_prem_amt,
-       CAST(COALESCE(lag_prem, prev_pol_prem, 0) AS DOUBLE) AS prev_term_latest_prem_amt,
-       CAST(lag_auto AS DOUBLE) AS prev_term_auto_prem,
-       {rhu} AS prem_chng_combined,
-       CAST(CASE WHEN policy_id <> prev_pol_id THEN COALESCE(prev_pol_prem, 0) ELSE 0 END AS DOUBLE) AS prev_pol_id_latst_prem,
-       CASE WHEN canc_eff_dt <> 0 THEN {_YMD.format(c='pol_entry_dt')} END AS cancel_trans_dt,
-       CAST(CAST(years_with_co AS DECIMAL(10,1)) AS DOUBLE) AS tenure_years,
-       CASE WHEN plus4_cd IS NOT NULL THEN zip_cd || '-' || plus4_cd ELSE zip_cd END AS dwell_loc_addr_full_zip_cd,
-       lag_rate AS prev_term_rate_tbl_dt,
-       CASE WHEN rate_tbl_dt <> lag_rate THEN 1 ELSE 0 END AS rate_tbl_dt_chng_ind,
-       CAST(lag_eq AS DOUBLE) AS prr_eq_grss_aal_amt, CAST(lag_hurr AS DOUBLE) AS prr_hurr_grss_aal_amt,
-       CAST(lag_cat AS DOUBLE) AS prr_total_aal_cat_load,
-       CASE WHEN aal_data_ind = 'N' THEN 'NO AAL'
-            WHEN total_aal_cat_load IS NULL OR lag_cat IS NULL THEN 'UNKNOWN'
-            WHEN total_aal_cat_load = lag_cat THEN 'NO CHANGE'
-            WHEN total_aal_cat_load > lag_cat THEN 'INCREASE'
-            WHEN total_aal_cat_load < lag_cat THEN 'DECREASE' END AS aal_cat_load_change,
-       lag_loss AS prev_term_loss_cnt, CASE WHEN lag_loss = frst_chrg_loss_cnt THEN 1 ELSE 0 END AS same_loss_cnt_ind,
-       lag_score AS prev_term_ins_score, CASE WHEN lag_score = frst_ins_score_cd THEN 1 ELSE 0 END AS same_ins_score_ind
-FROM (
-  SELECT r.*, c.prev_pol_prem,
-         LAG(r.term_writ_prem, 1) {w} AS lag_prem, LAG(r.current_term_auto_prem, 1) {w} AS lag_auto,
-         LAG(r.rate_tbl_dt, 1) {w} AS lag_rate, LAG(r.eq_grss_aal_amt, 1) {w} AS lag_eq,
-         LAG(r.hurr_grss_aal_amt, 1) {w} AS lag_hurr, LAG(r.total_aal_cat_load, 1) {w} AS lag_cat,
-         LAG(r.latst_chrg_loss_cnt, 1) {w} AS lag_loss, LAG(r.latst_ins_score_cd, 1) {w} AS lag_score
-  FROM char_ref r LEFT JOIN (
-    SELECT policy_id AS pol_id, term_writ_prem AS prev_pol_prem FROM (
-      SELECT *, row_number() OVER (PARTITION BY policy_id ORDER BY pol_eff_dt DESC, pol_prd_id DESC) AS rn FROM char_ref
-    ) WHERE rn = 1
-  ) c ON r.prev_pol_id = c.pol_id
-)"""
+# terms numbered within their policy, each beside the one numbered before it; the
+# premium of the newest term of every policy stands in for a missing one
+NUMBERED_SQL = """numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY policy_id ORDER BY pol_eff_dt NULLS FIRST, pol_prd_id NULLS FIRST) AS nth FROM {ref}
+),
+newest_prem AS (SELECT policy_id AS replaced_id, arg_max(term_writ_prem, nth) AS replaced_prem FROM numbered GROUP BY policy_id)"""
+
+
+def _six_places(x: str) -> str:
+    return f"sign({x}) * floor(abs({x}) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE)"
 
 
-@register("w03_term_characteristics", S.with_ctes(["term", "char_ref"], _char_sql()))
+def _char_sql() -> str:
+    both = "CAST(now.term_writ_prem + now.current_term_auto_prem AS DOUBLE)"
+    before = "CAST(old.term_writ_prem + old.current_term_auto_prem AS DOUBLE)"
+    change = _six_places(f"(IF({before} = 0, CAST(0 AS DOUBLE), {both} / {before}) - 1.0)")
+    return f"""SELECT now.policy_id, now.pol_prd_id,
+       {_YMD.format(c='now.pol_eff_dt')} AS pol_eff_date, {_YMD.format(c='now.canc_eff_dt')} AS canc_eff_date,
+       ['Y', 'N'][now.acct_cr_cd] AS acct_cr_ind,
+       CAST(now.term_writ_prem * IF(now.pol_term_mo_cnt = 6, 2, 1) AS DOUBLE) AS pol_annl_ttl_bill_prem_amt,
+       CAST(COALESCE(old.term_writ_prem, replaced_prem, 0) AS DOUBLE) AS prev_term_latest_prem_amt,
+       CAST(old.current_term_auto_prem AS DOUBLE) AS prev_term_auto_prem,
+       {change} AS prem_chng_combined,
+       CAST(IF(now.policy_id = now.prev_pol_id, 0, COALESCE(replaced_prem, 0)) AS DOUBLE) AS prev_pol_id_latst_prem,
+       CASE WHEN now.canc_eff_dt <> 0 THEN {_YMD.format(c='now.pol_entry_dt')} END AS cancel_trans_dt,
+       CAST(CAST(now.years_with_co AS DECIMAL(10,1)) AS DOUBLE) AS tenure_years,
+       concat_ws('-', now.zip_cd, now.plus4_cd) AS dwell_loc_addr_full_zip_cd,
+       old.rate_tbl_dt AS prev_term_rate_tbl_dt,
+       CAST(COALESCE(now.rate_tbl_dt <> old.rate_tbl_dt, FALSE) AS INTEGER) AS rate_tbl_dt_chng_ind,
+       CAST(old.eq_grss_aal_amt AS DOUBLE) AS prr_eq_grss_aal_amt, CAST(old.hurr_grss_aal_amt AS DOUBLE) AS prr_hurr_grss_aal_amt,
+       CAST(old.total_aal_cat_load AS DOUBLE) AS prr_total_aal_cat_load,
+       IF(now.aal_data_ind = 'N', 'NO AAL',
+          COALESCE(['DECREASE', 'NO CHANGE', 'INCREASE'][2 + CAST(sign(now.total_aal_cat_load - old.total_aal_cat_load) AS INTEGER)], 'UNKNOWN')) AS aal_cat_load_change,
+       old.latst_chrg_loss_cnt AS prev_term_loss_cnt,
+       CAST(COALESCE(old.latst_chrg_loss_cnt = now.frst_chrg_loss_cnt, FALSE) AS INTEGER) AS same_loss_cnt_ind,
+       old.latst_ins_score_cd AS prev_term_ins_score,
+       CAST(COALESCE(old.latst_ins_score_cd = now.frst_ins_score_cd, FALSE) AS INTEGER) AS same_ins_score_ind
+FROM numbered now LEFT JOIN numbered old ON old.policy_id = now.policy_id AND old.nth = now.nth - 1
+LEFT JOIN newest_prem ON newest_prem.replaced_id = now.prev_pol_id"""
+
+
+@register("w03_term_characteristics", S.with_ctes(["term", "char_ref"], _char_sql(), [NUMBERED_SQL.format(ref="char_ref")]))
 def w03_term_characteristics(spark, d):
     out = P.term_characteristics(
         S.char_ref(spark, d), bucket=(F.col("pol_eff_dt") / 10000).cast("int"), first_latest=FIRST_LATEST
@@ -573,12 +578,88 @@ rewritten AS (
 def w03_rewritten_policies(spark, d):
     """Policies with id 4n+1 replaced policy 4n: their first term is a renewal, compared
     with the replaced policy's latest premium."""
-    t = S.term(spark, d)
-    k = F.col("pol_id").cast("bigint")
-    last = SEL.latest_by_key(t, ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"]).select(
-        F.col("pol_id").alias("replaced_id"), F.col("prem").alias("replaced_prem")
+    out = P.term_history(
+        S.renewal_terms(spark, d), compare=(), cancel_flag=None, acct_cr=None, previous_prem="replaced_prem", bucket=YEAR_BUCKET(),
+        keep=["pol_id", "pol_prd_id", "new_rnw_cd"],
     )
-    t = t.withColumn("replaced_id", F.when(k % 4 == 1, (k - 1).cast("string"))).join(last, "replaced_id", "left")
-    t = t.withColumn("new_rnw_cd", F.when(F.col("replaced_prem").isNotNull(), "R").otherwise(F.col("new_rnw_cd")))
-    out = P.term_history(t, compare=(), cancel_flag=None, acct_cr=None, previous_prem="replaced_prem", bucket=YEAR_BUCKET())
     return out.select("pol_id", "pol_prd_id", "new_rnw_cd", "prev_term_prem", "renewal_prem_change", "renewal_prem_change_grp")
+
+
+# ----------------------------------------------------------------------------- W37 (renewals under a new id)
+@register(
+    "w37_rewritten_policies",
+    _sql(
+        f"""SELECT eff_year, {_six_places('x')} AS avg_prem_change, term_cnt
+FROM (
+  SELECT CAST(year(pol_eff_dt) AS INTEGER) AS eff_year, COUNT(*) AS term_cnt,
+         CAST(SUM(CAST(ROUND(CAST(frst_trans_prem AS DOUBLE) / NULLIF(prev_prem, 0) - 1.0, 6) AS DECIMAL(18,6))) AS DOUBLE) / COUNT(*) AS x
+  FROM offers
+  WHERE risk_st = {W37_STATE} AND pol_eff_dt >= DATE '{W37_MIN_EFF}' AND (new_rnw_cd = 'R' OR replaced_prem IS NOT NULL)
+  GROUP BY 1
+)""",
+        [
+            FIRST_TRANS_SQL,
+            """ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY pol_id ORDER BY pol_eff_dt NULLS FIRST, pol_prd_id NULLS FIRST) AS nth,
+         CASE WHEN CAST(pol_id AS BIGINT) % 4 = 1 THEN CAST(CAST(pol_id AS BIGINT) - 1 AS VARCHAR) END AS replaced_id
+  FROM term
+),
+last_prem AS (SELECT pol_id AS replaced_id, arg_max(prem, nth) AS replaced_prem FROM ordered GROUP BY pol_id),
+offers AS (
+  SELECT now.*, f.frst_trans_prem, l.replaced_prem, CAST(COALESCE(old.prem, l.replaced_prem, 0) AS DOUBLE) AS prev_prem
+  FROM ordered now LEFT JOIN ordered old ON old.pol_id = now.pol_id AND old.nth = now.nth - 1
+  LEFT JOIN last_prem l ON l.replaced_id = now.replaced_id
+  LEFT JOIN first_trans f ON f.pol_prd_id = now.pol_prd_id
+)""",
+        ],
+    ),
+)
+def w37_rewritten_policies(spark, d):
+    """The yearly figure with renewals under a new id, whose offer is compared with
+    the replaced policy's latest premium."""
+    return yearly_change(history(spark, d, terms=S.renewal_terms(spark, d), previous_prem="replaced_prem"))
+
+
+# ----------------------------------------------------------------------------- W03 (expected premium change)
+@register(
+    "w03_expected_change",
+    _sql(
+        "SELECT h.pol_id, h.pol_prd_id, h.prev_term_prem, h.renewal_prem_change, "
+        + ", ".join(f"CAST(e.{c} AS DOUBLE) AS {c}" if c not in ("pol_eff_yrmo", "low_prem_flag", "overall_expected_rate_grp") else f"e.{c}" for c in S.EXPECTED_COLS)
+        + " FROM hist h LEFT JOIN expected_change e ON e.pol_prd_id = h.pol_prd_id",
+        [*history_sql_ctes(), S.EXPECTED_SQL],
+    ),
+)
+def w03_expected_change(spark, d):
+    """Offered and expected premium change of every term."""
+    h = history(spark, d).select("pol_id", "pol_prd_id", "prev_term_prem", "renewal_prem_change")
+    out = finalize(P.with_expected_change(h, S.expected_change(spark, d), S.EXPECTED_COLS))
+    return out.withColumn("polyr", F.col("polyr").cast("double"))
+
+
+# ----------------------------------------------------------------------------- W03 (modelled losses)
+MODELLED = [*S.MODEL_AMOUNTS, "aal_yrmo_dt", "aal_data_ind", "total_aal_cat_load", "tot_aal_cat_load_wp_grp"]
+MODEL_FIRST_LATEST = {**FIRST_LATEST, **{c: (f"frst_{c}", f"latst_{c}") for c in S.FIRST_LATEST_CODES}}
+_AMOUNTS = (*S.MODEL_AMOUNTS, "total_aal_cat_load")
+
+
+@register(
+    "w03_model_lags",
+    S.with_ctes(
+        ["term", "char_ref"],
+        "SELECT now.policy_id, now.pol_prd_id, "
+        + ", ".join(f"CAST(old.{c} AS DOUBLE) AS prr_{c}" if c in _AMOUNTS else f"old.{c} AS prr_{c}" for c in MODELLED) + ", "
+        + ", ".join(
+            (f"CAST(old.{late} AS DOUBLE)" if n == "loss_cnt" else f"old.{late}") + f" AS prev_term_{n}, CAST(COALESCE(old.{late} = now.{first}, FALSE) AS INTEGER) AS same_{n}_ind"
+            for n, (first, late) in MODEL_FIRST_LATEST.items()
+        )
+        + " FROM numbered now LEFT JOIN numbered old ON old.policy_id = now.policy_id AND old.nth = now.nth - 1",
+        [S.model_ref_sql(), NUMBERED_SQL.format(ref="model_ref")],
+    ),
+)
+def w03_model_lags(spark, d):
+    """All thirteen modelled-loss values of the prior term and the six "unchanged"
+    flags of the rating inputs, from one lag."""
+    out = P.term_characteristics(S.model_ref(spark, d), bucket=(F.col("pol_eff_dt") / 10000).cast("int"), modelled=MODELLED, first_latest=MODEL_FIRST_LATEST)
+    out = finalize(out.select("policy_id", "pol_prd_id", *[f"prr_{c}" for c in MODELLED], *[x for n in MODEL_FIRST_LATEST for x in (f"prev_term_{n}", f"same_{n}_ind")]))
+    return out.withColumn("prev_term_loss_cnt", F.col("prev_term_loss_cnt").cast("double"))

@@ -235,6 +235,41 @@ for _name, _grain, _left, _right in [
     register(f"w19_reconcile_{_name}_{_grain}", _w19_sql(_grain, _left, _right))(_w19(_grain, _left, _right))
 
 
+# every metric and grain in one long table
+_PAIRS = {"ep_epapr": ("ep", "epapr"), "ep": ("ep", "ep"), "ult_loss": ("ult_loss", "ult_loss")}
+
+
+def _long_sql() -> str:
+    parts = []
+    for grain, keys in (("all", ()), ("year", ("y",)), ("month", ("y", "m"))):
+        on = " AND ".join(f"a.{k} = b.{k}" for k in keys) or "TRUE"
+        for metric in _PAIRS:
+            total = lambda side: f"CAST({side}.{metric} AS DOUBLE)"  # noqa: E731, B023
+            parts.append(
+                f"SELECT '{metric}' AS metric, '{grain}' AS grain, {'a.y' if 'y' in keys else 'NULL'} AS year_earned, {'a.m' if 'm' in keys else 'NULL'} AS month_earned, "
+                f"{total('a')} AS left_total, {total('b')} AS right_total FROM a_{grain} a JOIN b_{grain} b ON {on}"
+            )
+    ctes = []
+    for side, where, which in (("a", "", 0), ("b", f" WHERE {DEV_FILTER}", 1)):
+        sums = ", ".join(f"ROUND(SUM({p[which]}), 2) AS {m}" for m, p in _PAIRS.items())
+        for grain, keys, by in (("all", "", ""), ("year", "year(earned_month_dt) AS y, ", " GROUP BY 1"), ("month", "year(earned_month_dt) AS y, month(earned_month_dt) AS m, ", " GROUP BY 1, 2")):
+            ctes.append(f"{side}_{grain} AS (SELECT {keys}{sums} FROM loss{where}{by})")
+    return S.with_ctes(
+        ["loss"],
+        "SELECT metric, grain, CAST(year_earned AS DOUBLE) AS year_earned, CAST(month_earned AS DOUBLE) AS month_earned, left_total, right_total, "
+        "ROUND((right_total - left_total) / NULLIF(left_total, 0) * 100.0, 2) + 0.0 AS pct_diff FROM (" + " UNION ALL ".join(parts) + ")",
+        ctes,
+    )
+
+
+@register("w19_reconcile_long", _long_sql())
+def w19_reconcile_long(spark, d):
+    """All nine metric and grain pairs from one scan of each side."""
+    lo = S.loss(spark, d)
+    out = R.reconcile_all(lo, _dev(lo), _PAIRS, "earned_month_dt")
+    return out.withColumns({c: F.col(c).cast("double") for c in ("year_earned", "month_earned")})
+
+
 # ----------------------------------------------------------------------------- W20
 INFORCE_AT_AS_OF = f"pol_eff_dt <= {A} AND pol_exp_dt > {A} AND (canc_eff_dt IS NULL OR canc_eff_dt > {A})"
 
@@ -260,14 +295,18 @@ FROM (
     ),
 )
 def w20_snapshot_vs_history(spark, d):
-    snap = S.inforce_monthend(spark, d)
+    return against_history(spark, d, S.inforce_monthend(spark, d), S.last_month_end(spark, d))
+
+
+def against_history(spark, d, snap, latest=None):
+    """A snapshot table's latest month against the history's latest rows."""
     t = S.term(spark, d).filter(F.col("pol_eff_dt") <= F.lit(S.AS_OF))
-    latest = SEL.latest_by_key(t, ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
+    history = SEL.latest_by_key(t, ["pol_id"], ["pol_eff_dt"], ["pol_prd_id"])
     a = F.lit(S.AS_OF)
-    inforce = latest.filter(
+    inforce = history.filter(
         (F.col("pol_eff_dt") <= a) & (F.col("pol_exp_dt") > a) & (F.col("canc_eff_dt").isNull() | (F.col("canc_eff_dt") > a))
     )
-    return R.snapshot_vs_history_counts(snap, inforce, snapshot_filter=F.col("pol_status_cd") == "InForce", latest=S.last_month_end(spark, d))
+    return R.snapshot_vs_history_counts(snap, inforce, snapshot_filter=F.col("pol_status_cd") == "InForce", latest=latest)
 
 
 # ----------------------------------------------------------------------------- W16 sample (ORDER BY ... LIMIT)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL_CKPT[app]
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back: lineage ends there,
+    a lost executor repeats only a read, and readers take only the columns they use.
+    The write runs when this is called. The folder stays until the deployment's
+    clean-up of ``spark.checkpoint.dir``, because results read it lazily."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 

@@ -96,9 +96,14 @@ def home_quotes(spark: SparkSession, d: str) -> DataFrame:
 HOME_QUOTES_SQL = "home_quotes AS (SELECT pol_prd_id AS qcn, pol_id, pol_eff_dt - 30 AS qte_dt FROM home_policy)"
 
 
-def party_link(spark: SparkSession, d: str) -> DataFrame:
+def party_link_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Linked quotes as they come, with repeats."""
     li = read_table(spark, d, "lineitem")
-    return li.select(F.col("l_orderkey").alias("auto_qcn"), F.col("l_suppkey").alias("home_qcn")).distinct()
+    return li.select(F.col("l_orderkey").alias("auto_qcn"), F.col("l_suppkey").alias("home_qcn"))
+
+
+def party_link(spark: SparkSession, d: str) -> DataFrame:
+    return party_link_rows(spark, d).distinct()
 
 
 PARTY_LINK_SQL = "party_link AS (SELECT DISTINCT l_orderkey AS auto_qcn, l_suppkey AS home_qcn FROM lineitem)"

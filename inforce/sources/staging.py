@@ -380,3 +380,82 @@ CHAR_REF_SQL = """char_ref AS (
   FROM term
 )"""
 STAGING_SQL["char_ref"] = CHAR_REF_SQL
+
+
+# --------------------------------------------------------------------------- modelled losses and first / latest values
+# Rules of the emulated columns: name -> (modulus, factor, modulus of the rows without a value)
+MODEL_AMOUNTS = {
+    "eq_grss_aal": (97, "0.75", 13), "ffe_grss_aal": (89, "0.25", 17), "hurr_near_term_grss_aal": (83, "1.5", 11), "hurr_lt_grss_aal": (79, "1.25", 19),
+    "tor_grss_aal": (73, "0.5", 23), "hail_grss_aal": (71, "0.75", 29), "wldfr_grss_aal": (67, "2.25", 31), "rms_wt_gr_aal": (61, "1.75", 37), "tot_aal": (59, "3.5", 41),
+}
+# name -> (modulus, offset of the latest value, modulus of the rows without a first value)
+FIRST_LATEST_CODES = {"ins_score_model_type": (3, 1, 13), "rating_terr": (5, 2, 17), "protection_class_pt1": (4, 3, 19), "itv_pct": (6, 1, 23)}
+
+
+def model_ref(spark: SparkSession, d: str) -> DataFrame:
+    """``char_ref`` with all modelled-loss columns of a term, the month and kind of
+    their data, and the first and latest charged values of the rating inputs."""
+    k = F.col("pol_prd_id")
+    out = [(F.when(k % gap != 0, ((k + F.col("risk_st")) % m).cast("decimal(10,2)") * F.lit(f).cast("decimal(4,2)")).cast("decimal(18,2)")).alias(c) for c, (m, f, gap) in MODEL_AMOUNTS.items()]
+    out.append(F.date_format(F.add_months(F.to_date(F.col("pol_eff_dt").cast("string"), "yyyyMMdd"), -2), "yyyyMM").alias("aal_yrmo_dt"))
+    out.append(F.concat(F.lit("G"), (F.col("pol_prd_id") % 50 / 10).cast("int").cast("string")).alias("tot_aal_cat_load_wp_grp"))
+    for c, (m, shift, gap) in FIRST_LATEST_CODES.items():
+        out.append(F.when(k % gap != 0, F.concat(F.lit("V"), (k % m).cast("string"))).alias(f"frst_{c}"))
+        out.append(F.concat(F.lit("V"), ((k + shift * (F.col("risk_st") % 3)) % m).cast("string")).alias(f"latst_{c}"))
+    state = term(spark, d).select("pol_prd_id", "risk_st")
+    return char_ref(spark, d).join(state, "pol_prd_id").select("*", *out).drop("risk_st")
+
+
+def model_ref_sql() -> str:
+    out = [f"CASE WHEN c.pol_prd_id % {gap} <> 0 THEN CAST(CAST((c.pol_prd_id + t.risk_st) % {m} AS DECIMAL(10,2)) * CAST({f} AS DECIMAL(4,2)) AS DECIMAL(18,2)) END AS {c}" for c, (m, f, gap) in MODEL_AMOUNTS.items()]
+    out.append("strftime(t.pol_eff_dt - INTERVAL 2 MONTH, '%Y%m') AS aal_yrmo_dt")
+    out.append("'G' || CAST((c.pol_prd_id % 50) // 10 AS VARCHAR) AS tot_aal_cat_load_wp_grp")
+    for c, (m, shift, gap) in FIRST_LATEST_CODES.items():
+        out.append(f"CASE WHEN c.pol_prd_id % {gap} <> 0 THEN 'V' || CAST(c.pol_prd_id % {m} AS VARCHAR) END AS frst_{c}")
+        out.append(f"'V' || CAST((c.pol_prd_id + {shift} * (t.risk_st % 3)) % {m} AS VARCHAR) AS latst_{c}")
+    return "model_ref AS (SELECT c.*, " + ", ".join(out) + " FROM char_ref c JOIN term t USING (pol_prd_id))"
+
+
+# --------------------------------------------------------------------------- expected renewal premium change
+EXPECTED_COLS = ["pol_eff_yrmo", "polyr", "curr_ye_outlk_pct", "snr", "snr_premium_change", "overall_expected_rate", "expected_premium_change", "low_prem_flag", "overall_expected_rate_grp"]
+
+
+def expected_change(spark: SparkSession, d: str) -> DataFrame:
+    """Expected renewal figures per policy period; two periods in three have them."""
+    o = read_table(spark, d, "orders").filter(F.col("o_orderkey") % 3 != 2)
+    k = F.col("o_orderkey")
+    outlook, snr = (k % 11 - 3).cast("decimal(10,4)") / 100, (k % 7).cast("decimal(10,4)") / 100
+    rate = (outlook + snr).cast("decimal(10,4)")
+    return o.select(
+        k.alias("pol_prd_id"), F.date_format("o_orderdate", "yyyyMM").alias("pol_eff_yrmo"), F.year("o_orderdate").alias("polyr"),
+        outlook.cast("decimal(10,4)").alias("curr_ye_outlk_pct"), snr.cast("decimal(10,4)").alias("snr"),
+        (money("o_totalprice") * snr.cast("decimal(10,4)")).cast("decimal(18,4)").alias("snr_premium_change"),
+        rate.alias("overall_expected_rate"), (money("o_totalprice") * rate).cast("decimal(18,4)").alias("expected_premium_change"),
+        F.when(F.col("o_totalprice") < 20000, "Y").otherwise("N").alias("low_prem_flag"),
+        F.when(rate < 0, "decrease").when(rate < F.lit("0.05").cast("decimal(10,4)"), "0 to 5").otherwise("5 or more").alias("overall_expected_rate_grp"),
+    )
+
+
+EXPECTED_SQL = """expected_change AS (
+  SELECT o_orderkey AS pol_prd_id, strftime(o_orderdate, '%Y%m') AS pol_eff_yrmo, CAST(year(o_orderdate) AS INTEGER) AS polyr,
+         outlook AS curr_ye_outlk_pct, snr, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * snr AS DECIMAL(18,4)) AS snr_premium_change,
+         rate AS overall_expected_rate, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * rate AS DECIMAL(18,4)) AS expected_premium_change,
+         IF(o_totalprice < 20000, 'Y', 'N') AS low_prem_flag,
+         CASE WHEN rate < 0 THEN 'decrease' WHEN rate < 0.05 THEN '0 to 5' ELSE '5 or more' END AS overall_expected_rate_grp
+  FROM (SELECT *, CAST(outlook + snr AS DECIMAL(10,4)) AS rate FROM (
+    SELECT *, CAST(CAST(o_orderkey % 11 - 3 AS DECIMAL(10,4)) * 0.01 AS DECIMAL(10,4)) AS outlook,
+           CAST(CAST(o_orderkey % 7 AS DECIMAL(10,4)) * 0.01 AS DECIMAL(10,4)) AS snr
+    FROM orders WHERE o_orderkey % 3 <> 2))
+)"""
+
+
+# --------------------------------------------------------------------------- policies that replaced another one
+def renewal_terms(spark: SparkSession, d: str) -> DataFrame:
+    """Terms with the latest premium of the policy that theirs replaced: policies with
+    id 4n+1 replaced policy 4n, so their first term is a renewal too."""
+    t = term(spark, d)
+    k = F.col("pol_id").cast("bigint")
+    newest = F.max_by("prem", F.struct("pol_eff_dt", "pol_prd_id"))
+    last = t.groupBy(F.col("pol_id").alias("replaced_id")).agg(newest.alias("replaced_prem"))
+    t = t.withColumn("replaced_id", F.when(k % 4 == 1, (k - 1).cast("string"))).join(last, "replaced_id", "left")
+    return t.withColumn("new_rnw_cd", F.when(F.col("replaced_prem").isNotNull(), "R").otherwise(F.col("new_rnw_cd"))).drop("replaced_id")
