@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from inforce.llm.common import written
 from inforce.llm.decontaminate import without_contaminated
-from inforce.llm.near_duplicates import near_duplicates
+from inforce.llm.near_duplicates import without_near_duplicates
 from inforce.llm.packing import pack_documents
 from inforce.llm.pii import fit_pii, redact_pii
 from inforce.llm.toxicity import fit_toxicity, without_toxic
@@ -30,16 +30,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each near-duplicate group
-    (five words, similarity 0.8); of rows that repeat id and text, one."""
-    found = written(near_duplicates(docs, percent=80), "near-duplicates").filter(F.col("doc_id").isNotNull())
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = written(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
-    if repeated.isEmpty():
-        return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(docs.columns)
-    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once)
+    """One row, of the document with the smallest id, of each near-duplicate group
+    (five words, similarity 0.8); rows are judged, not ids, so an id that names two
+    texts loses neither to the other."""
+    return without_near_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,14 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def spare(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that none of ``columns`` has (whatever the case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(id_col: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (null id: the text is empty)."""
     col = F.col(id_col) if isinstance(id_col, str) else id_col

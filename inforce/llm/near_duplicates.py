@@ -1,8 +1,10 @@
 """MinHash near-duplicates with bottom-k sketches from one hash (operator 5).
 
 1. Each text becomes its set of five-word shingle hashes; equal sets are one
-   class, represented by its smallest doc_id, before anything is compared. The
-   sketch of a set is its ``k`` smallest hashes.
+   class, with a number of its own (``rep``), before anything is compared; its text
+   is that of its least (doc_id, text key). The sketch of a set is its ``k``
+   smallest hashes. Numbers, not ids, meet from here on, so an id that names
+   several texts joins nothing that its texts do not.
 2. Inverted lists: two sets with Jaccard similarity ``t`` share at least ``m`` of
    their retained values (all but one pair in 10^9, by the binomial tail of the
    union's sketch, or surely where the sketch is the whole set). So it suffices to
@@ -12,8 +14,8 @@
 3. Candidates are links to the *hub* of a list, its member with the longest
    lists (in a group of near copies, the text they came from), so a group of any
    size gives a number of candidates in proportion to it. Members of a hub that
-   end up in different components then meet, in chunks, and are compared with each
-   other inside the meeting: it returns links, never its pairs.
+   end up outside its largest component then meet all its members, in chunks, and
+   are compared inside the meeting: it returns links, never its pairs.
 4. The union's sketch, merged from two sketches, estimates the similarity and
    drops hopeless candidates; the others are decided on the full sets.
 5. Components of the links by large and small stars.
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, release_tables, shingle_sets, text_pieces, texts_of, written
+from inforce.llm.common import batch_of, release_tables, shingle_sets, spare, text_pieces, texts_of, written
 from inforce.llm.components import connected_components
 
 SKETCH, WORDS = 32, 5
@@ -40,7 +42,10 @@ SLACK = 0.4
 #: Texts and shingles of a chunk of a meeting.
 CHUNK_TEXTS, CHUNK_SHINGLES = 1024, 500_000
 
-_SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64()))])
+#: Ways in which a hub's members are dealt when they are joined with its sizes.
+SALTS = 16
+
+_SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("text_key", pa.binary()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 _LINK_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int64()), ("joint", pa.int64())])
 
 
@@ -55,17 +60,26 @@ def least_overlap(k: int, threshold: float, miss: float = MISS) -> int:
     return max(1, m)
 
 
+def text_key() -> Column:
+    """A 256-bit key of ``text``."""
+    return F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SKETCH, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit key of the set, and its k smallest hashes
-    (as unsigned order mapped to signed longs)."""
+    """doc_id, a key of the text, n_shingles, a 128-bit key of the set, and its k
+    smallest hashes (as unsigned order mapped to signed longs)."""
 
     def run(batches):
         release_tables()
-        for ids, texts in text_pieces(batches):
-            sets = list(shingle_sets(texts, words))
-            yield batch_of(_SKETCH_ARROW, doc_id=ids, n_shingles=[s.size for s in sets], set_key=[hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], sketch=[(s[:k] ^ np.uint64(1 << 63)).view(np.int64) for s in sets])
+        for b in batches:
+            done = 0
+            for ids, texts in text_pieces([b]):
+                sets = list(shingle_sets(texts, words))
+                keys = b.column(2).slice(done, len(texts))
+                done += len(texts)
+                yield batch_of(_SKETCH_ARROW, doc_id=ids, text_key=keys, n_shingles=[s.size for s in sets], set_key=[hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], sketch=[(s[:k] ^ np.uint64(1 << 63)).view(np.int64) for s in sets])
 
-    return texts_of(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch array<long>")
+    return texts_of(docs, id_col, text_col).select("doc_id", "text", text_key().alias("text_key")).mapInArrow(run, "doc_id long, text_key binary, n_shingles long, set_key binary, sketch array<long>")
 
 
 def indexed_values(reps: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -90,14 +104,29 @@ def hub_members(lists: DataFrame) -> DataFrame:
 
 
 def mixed_meetings(members: DataFrame, component: DataFrame) -> DataFrame:
-    """(hub, lo, hi, rep, chunk, component): the members of each hub that are in
-    more than one component, in chunks that meet in pairs, so that a meeting
-    holds at most about 2 * CHUNK_TEXTS texts and 2 * CHUNK_SHINGLES shingles."""
+    """(hub, lo, hi, rep, chunk, component): the members of each hub that has more
+    than one component, in chunks that meet in pairs, so that a meeting holds at
+    most about 2 * CHUNK_TEXTS texts and 2 * CHUNK_SHINGLES shingles. Members of the
+    hub's largest component are linked already: they meet the other members'
+    chunks, not each other's."""
     known = members.join(component.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    sizes = known.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.greatest(F.ceil(F.count("*") / CHUNK_TEXTS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
-    known = known.join(sizes.filter(F.col("low") != F.col("high")), "hub")
-    known = known.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return known.select("hub", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "rep", "chunk", "component")
+    parts = known.groupBy("hub", "component").agg(F.count("*").alias("texts"), F.sum("n").alias("shingles"))
+    sizes = parts.groupBy("hub").agg(F.max(F.struct("texts", "shingles", "component")).alias("main"), F.sum("texts").alias("texts"), F.sum("shingles").alias("shingles")).filter(F.col("texts") > F.col("main.texts"))
+
+    def chunks(texts: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(texts / CHUNK_TEXTS), F.ceil(shingles / CHUNK_SHINGLES)).cast("int")
+
+    main, other = chunks(F.col("main.texts"), F.col("main.shingles")), chunks(F.col("texts") - F.col("main.texts"), F.col("shingles") - F.col("main.shingles"))
+    sizes = sizes.select("hub", F.col("main.component").alias("main"), main.alias("mains"), other.alias("others"))
+    # a hub may hold a large share of all members: they are dealt by a salt as well
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = known.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).join(sizes, ["hub", "salt"])
+    inside = F.col("component") == F.col("main")
+    own = F.xxhash64("rep", F.lit("chunk"))
+    known = known.withColumn("chunk", F.when(inside, F.pmod(own, F.col("mains"))).otherwise(F.col("mains") + F.pmod(own, F.col("others"))).cast("int"))
+    last = F.col("mains") + F.col("others") - 1
+    known = known.withColumn("with", F.explode(F.sequence(F.when(inside, F.col("mains")).otherwise(F.lit(0)), last)))
+    return known.select("hub", F.least("chunk", "with").alias("lo"), F.greatest("chunk", "with").alias("hi"), "rep", "chunk", "component")
 
 
 def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
@@ -154,7 +183,7 @@ def links_between(rep: list[int], chunk: list[int], component: list[int], sets:
     return links
 
 
-def links_of_meetings(meetings: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+def links_of_meetings(meetings: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
     """(a, b) found in the meetings; one meeting's texts are held at a time."""
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -183,8 +212,8 @@ def links_of_meetings(meetings: DataFrame, docs: DataFrame, percent: int, words:
         if held:
             yield close()
 
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = meetings.join(docs.withColumnRenamed("doc_id", "rep"), "rep").select("hub", "lo", "hi", "rep", "chunk", "component", "text")
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = meetings.join(texts, "rep").select("hub", "lo", "hi", "rep", "chunk", "component", "text")
     return rows.repartition(tasks, "hub", "lo", "hi").sortWithinPartitions("hub", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
@@ -201,7 +230,14 @@ def estimated(pairs: DataFrame, reps: DataFrame, k: int, threshold: float) -> Da
     return pairs.join(one, "a").join(other, "b").filter(both >= F.size(union) * (threshold - SLACK)).select("a", "b")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
+def class_texts(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, text): the text of each class in ``reps`` (rep, doc_id, text_key)."""
+    rows = docs.withColumn("text_key", text_key()).join(reps.select("rep", "doc_id", "text_key"), ["doc_id", "text_key"])
+    # rows that repeat id and text; combined before the shuffle
+    return rows.groupBy("rep").agg(F.first("text").alias("text"))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
     """The pairs with 100 * intersection >= percent * union on the full sets,
     which are made from the whole texts again (only those of candidates move)."""
 
@@ -220,39 +256,72 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, words: int = WORDS
                 joint[i] = own.size + hub.size - shared[i]
             yield batch_of(_LINK_ARROW, a=a, b=b, shared=shared, joint=joint).filter(pa.array(100 * shared >= percent * joint))
 
-    one = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    other = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    one = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
+    other = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
     return pairs.join(one, "a").join(other, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, shared long, joint long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", k: int = SKETCH, words: int = WORDS) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
-
-    Rows are linked when 100 * intersection >= percent * union of their shingle
-    sets; component_id is the smallest doc_id reachable. Null texts and texts
-    without words have no shingles and are linked with nothing, as are rows with
-    a null doc_id (component_id null, kept false). A text of fewer than ``words``
-    words is one shingle. Rows that repeat a doc_id and its text are one text. An
-    id is expected to name one text: where it occurs with different ones, each row
-    follows its own text's copies, and links may be those of either text. An empty
-    table gives an empty result; extra columns are not read.
-    """
+def duplicate_rows(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", k: int = SKETCH, words: int = WORDS) -> DataFrame:
+    """One row per input row: doc_id, text_key, n_shingles, component_id (least
+    doc_id reachable) and first_key, the key of the least text under that id in the
+    component (null where a row has no shingles or a null id)."""
     threshold = percent / 100
     base = texts_of(docs, id_col, text_col)
     made = written(sketches(base, k=k, words=words), "sketches")
     usable = made.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    reps = classes.join(usable.select("set_key", F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch"), ["set_key", "rep"]).dropDuplicates(["rep"])
-    reps = written(reps.select("rep", "n", "sketch"), "representatives")
+    least = usable.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    # written with its numbers, so they stay what they are
+    classes = written(least.select(F.monotonically_increasing_id().alias("rep"), "set_key", F.col("least.doc_id").alias("doc_id"), F.col("least.text_key").alias("text_key"), "n", "sketch"), "representatives")
+    reps = classes.select("rep", "n", "sketch")
     lists = written(indexed_values(reps, k, threshold), "lists")
     members = written(hub_members(lists), "members")
     pairs = members.filter(_sizes_allow(F.col("n"), F.col("hub_n"), threshold)).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    links = written(verified(estimated(pairs, reps, k, threshold), base, percent, words).select("a", "b"), "verified")
+    pairs = written(estimated(pairs, reps, k, threshold), "candidates")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    links = written(verified(pairs, class_texts(classes.join(asked, "rep"), base), percent, words).select("a", "b"), "verified")
     component = connected_components(links)
-    more = written(links_of_meetings(mixed_meetings(members, component), base, percent, words), "meetings")
+    meetings = written(mixed_meetings(members, component), "meetings")
+    asked = meetings.select("rep").distinct()
+    more = written(links_of_meetings(meetings, class_texts(classes.join(asked, "rep"), base), percent, words), "met")
     if not more.isEmpty():
         component = connected_components(links.unionAll(more))
-    of_class = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    joined = made.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(of_class, "set_key", "left")
-    component_id = F.coalesce("component", "doc_id")
-    return joined.select("doc_id", "n_shingles", component_id.alias("component_id"), F.coalesce(F.col("doc_id") == component_id, F.lit(False)).alias("kept"))
+    of_class = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", "doc_id", "text_key", F.coalesce("component", "rep").alias("component"))
+    first = of_class.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    of_class = of_class.join(first, "component").select("set_key", F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("first_key"))
+    key = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("set_key"))
+    joined = made.select("doc_id", "text_key", "n_shingles", key.alias("set_key")).join(of_class, "set_key", "left")
+    return joined.select("doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "first_key")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", k: int = SKETCH, words: int = WORDS) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept.
+
+    Rows are linked when 100 * intersection >= percent * union of their shingle
+    sets; component_id is the smallest doc_id reachable. Null texts and texts
+    without words have no shingles and are linked with nothing, as are rows with
+    a null doc_id (component_id null, kept false). A text of fewer than ``words``
+    words is one shingle. Rows are linked by their texts alone: where an id occurs
+    with different texts, each of its rows has the component of its own text, and
+    kept says that the row's id is the component's. An empty table gives an empty
+    result; extra columns are not read.
+    """
+    rows = duplicate_rows(docs, percent, id_col, text_col, k, words)
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of linked rows: that with the least id
+    and, under one id, the least key of its text; of rows that repeat both, any
+    one. Rows that are linked with nothing (no words, a null id) all stay."""
+    found = written(duplicate_rows(docs, percent, id_col, text_col), "near-duplicates").filter(F.col("first_key").isNotNull())
+    first = (F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("first_key"))
+    names = on = [spare(docs.columns, "row_id"), spare(docs.columns, "row_key")]
+    as_names = [F.col("doc_id").alias(names[0]), F.col("text_key").alias(names[1])]
+    gone = found.filter(~first).select(as_names).distinct()
+    keyed = docs.select("*", F.col(id_col).cast("long").alias(names[0]), F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).alias(names[1]))
+    left = keyed.join(gone, on, "left_anti")
+    repeated = written(found.filter(first).groupBy(as_names).count().filter("count > 1").select(on), "repeated-rows")
+    if repeated.isEmpty():
+        return left.select(docs.columns)
+    once = left.join(repeated, on, "left_semi").dropDuplicates(on)
+    return left.join(repeated, on, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
