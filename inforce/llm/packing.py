@@ -167,26 +167,29 @@ def evolve(lengths: np.ndarray, population: list[np.ndarray], capacity: int, gen
     return [p for _, _, p in scored]
 
 
-def _in_order(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["length", "doc_id", "piece", "ids_crc32", "start"], ascending=[False, True, True, True, True], kind="stable", na_position="first").reset_index(drop=True)
+def _in_order(pieces: pa.Table) -> pa.Table:
+    return pieces.sort_by([("length", "descending"), ("row_no", "ascending")])
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, islands: int = ISLANDS, population: int = POPULATION, epochs: int = EPOCHS, generations: int = GENERATIONS) -> DataFrame:
-    """Adds sequence_id and offset to pieces (columns of ``token_pieces``).
+    """Adds sequence_id and offset to pieces (columns of ``token_pieces``), which
+    are written to the shared folder with a number for every row.
 
     Sequences hold at most ``capacity`` ids and are gapless from 0. Identical
-    rows are separate pieces. An empty table gives an empty result.
+    rows are separate pieces, dealt by their numbers. An empty table gives an empty
+    result.
     """
     spark = pieces.sparkSession
+    pieces = written(pieces.withColumn("row_no", F.monotonically_increasing_id()), "pieces")
     small = pieces.filter(F.col("length") < capacity)
     shards = max(1, -(-small.count() // shard_pieces))
     tasks = min(shards, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "start"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("row_no"), F.lit(shards)).cast("int")
     dealt = pieces.withColumn("shard", shard).repartition(tasks, "shard")
 
     def start(pdf: pd.DataFrame) -> pd.DataFrame:
         release_tables()
-        pdf = _in_order(pdf)
+        pdf = pdf.sort_values(["length", "row_no"], ascending=[False, True], kind="stable").reset_index(drop=True)
         lengths = pdf.length.to_numpy()
         lengths = lengths[lengths < capacity]
         rows = []
@@ -209,7 +212,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
         return run
 
     state = "shard int, island int, lengths array<long>, packings array<array<int>>"
-    now = dealt.groupBy("shard").applyInPandas(start, state)
+    now = dealt.select("shard", "length", "row_no").groupBy("shard").applyInPandas(start, state)
     for e in range(epochs):
         now = written(now.mapInPandas(epoch(e), state + ", fitness double"), "islands")
         if e + 1 < epochs and islands > 1:
@@ -219,21 +222,22 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
             now = joined.select("shard", "island", "lengths", F.concat(F.slice("packings", 1, population - 1), F.array("elite")).alias("packings"))
     best = now.groupBy("shard").agg(F.max_by(F.col("packings")[0], F.struct("fitness", -F.col("island"))).alias("packing"))
 
-    def place(pieces_pdf: pd.DataFrame, best_pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _in_order(pieces_pdf)
-        full = int((pdf.length >= capacity).sum())  # these come first
-        label = np.concatenate([np.arange(full), full + np.asarray(best_pdf.packing[0], dtype=np.int64)]) if len(best_pdf) else np.arange(full)
-        lengths = pdf.length.to_numpy()
+    def place(pieces: pa.Table, best: pa.Table) -> pa.Table:
+        pieces = _in_order(pieces)  # Arrow throughout: an id next to a null stays an integer
+        lengths = pieces.column("length").to_numpy()
+        full = int((lengths >= capacity).sum())  # these come first
+        label = np.arange(full)
+        if best.num_rows:
+            label = np.concatenate([label, full + best.column("packing").combine_chunks().flatten().to_numpy().astype(np.int64)])
         order = np.argsort(label, kind="stable")
         before = np.cumsum(lengths[order]) - lengths[order]
         first = np.concatenate([[True], np.diff(label[order]) != 0]) if len(label) else np.zeros(0, bool)
         offset = np.empty(len(label), dtype=np.int64)
         offset[order] = before - np.repeat(before[first], np.diff(np.append(np.flatnonzero(first), len(label))))
-        pdf["sequence_id"] = pdf.shard.astype("int64") * (1 << 32) + label
-        pdf["offset"] = offset
-        return pdf.drop(columns="shard").astype({"doc_id": "Int64"})
+        sequence = pieces.column("shard").to_numpy().astype(np.int64) * (1 << 32) + label
+        return pieces.select(_PIECE_ARROW.names).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("shard").cogroup(best.repartition(tasks, "shard").groupBy("shard")).applyInPandas(place, _PIECE + ", sequence_id long, offset long")
+    return dealt.groupBy("shard").cogroup(best.repartition(tasks, "shard").groupBy("shard")).applyInArrow(place, _PIECE + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,4 +249,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     result; other columns are not read. Texts are encoded once: the pieces are
     written to the shared folder before they are packed.
     """
-    return pack_pieces(written(token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces"), capacity)
+    return pack_pieces(token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), capacity)
