@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning (operator 7).
 
-Confirmed toxic rows (P) and unlabelled text (U) train a small ensemble of
+Confirmed toxic rows (P) and text whose labels are not looked at (U) train a small ensemble of
 numpy classifiers. The risk is corrected by the class prior ``pi``::
 
     R = pi * E_P[l(g)] + max(0, E_U[l(-g)] - pi * E_P[l(-g)])
@@ -13,7 +13,7 @@ in P than in U (both by a z value and by a ratio) are kept, so that the words
 of a language that happens to be common in P say nothing.
 
 Training reads a sample whose size is bounded by parameters (rows chosen by a
-hash of the id, so the sample does not depend on partitioning); scoring reads
+hash of id and text, so the sample does not depend on partitioning); scoring reads
 every text whole and needs no shuffle. The model is a few thousand numbers.
 """
 
@@ -174,33 +174,40 @@ def _feature_rows(df: DataFrame) -> list[np.ndarray]:
     return sorted((np.frombuffer(b.as_py(), dtype=np.int32) for b in found), key=lambda a: (len(a), a.tobytes()))
 
 
-def _sampled(df: DataFrame, total: int, most: int) -> DataFrame:
-    """About ``most`` rows at most, by a hash of the id (all, if there are fewer)."""
+def _sampled(rows: DataFrame, total: int, most: int) -> DataFrame:
+    """About ``most`` of the different rows (doc_id, key of the text) at most, by a
+    hash of both (all, if there are fewer)."""
     if total <= most:
-        return df
-    return df.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 30)) < int(most / total * (1 << 30)))
+        return rows
+    return rows.filter(F.pmod(F.xxhash64("doc_id", "text_key", F.lit("sample")), F.lit(1 << 30)) < int(most / total * (1 << 30)))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Model:
     """Trains on the rows of ``docs`` for which ``may_learn`` (a column over
-    ``doc_id``) holds. P: rows that any label row calls toxic; U: rows without a
-    label, or all others that may be learned from where every row has one; the
-    prior is the toxic share of the labelled rows. At most about
-    ``most_positive`` + ``most_unlabelled`` rows are read for training."""
+    ``doc_id``) holds. P: rows whose id any label row calls toxic; U: all these rows
+    whatever their labels, the mixture that the risk estimator assumes; the prior
+    is the toxic share of the labelled rows. Rows that repeat id and text count
+    once. At most about ``most_positive`` + ``most_unlabelled`` rows, drawn by a
+    hash of id and text, are read for training. Without label rows, or without
+    rows to learn from, the model scores by the prior."""
     base = texts_of(docs).filter(F.col("doc_id").isNotNull())
     marks = labels.filter(F.col("toxic").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     if may_learn is not None:
         base, marks = base.filter(may_learn), marks.filter(may_learn)
     marks = marks.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = base.select("doc_id").join(marks, "doc_id", "left")
-    n = ids.agg(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1)), F.count(F.when(F.col("toxic").isNull(), 1))).first()
+    base = base.withColumn("text_key", F.xxhash64("text"))
+    rows = base.select("doc_id", "text_key").distinct().join(marks, "doc_id", "left")
+    n = rows.agg(F.count(F.when(F.col("toxic") == 1, 1)), F.count(F.when(F.col("toxic") == 0, 1)), F.count("*")).first()
     prior = min(0.9, max(0.001, n[0] / max(1, n[0] + n[1])))
-    # the sample is drawn on ids; at most about the stated numbers of ids are broadcast
-    other = F.col("toxic") == 0 if n[2] == 0 else F.col("toxic").isNull()
-    pos = _sampled(ids.filter(F.col("toxic") == 1), n[0], most_positive)
-    unl = _sampled(ids.filter(other), n[1] if n[2] == 0 else n[2], most_unlabelled)
-    pos, unl = (base.join(F.broadcast(x.select("doc_id").distinct()), "doc_id", "left_semi") for x in (pos, unl))
-    return train(_feature_rows(pos), _feature_rows(unl), prior)
+
+    def texts(sample: DataFrame) -> DataFrame:
+        # the stated numbers of rows at most, about: a bound on what is broadcast
+        keys = F.broadcast(sample.select("doc_id", "text_key"))
+        return base.join(keys, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
+
+    positive = texts(_sampled(rows.filter(F.col("toxic") == 1), n[0], most_positive))
+    unlabelled = texts(_sampled(rows, n[2], most_unlabelled))
+    return train(_feature_rows(positive), _feature_rows(unlabelled), prior)
 
 
 def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
