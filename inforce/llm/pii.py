@@ -19,6 +19,7 @@ beside the scan; only histogram rows are shuffled.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections import Counter
@@ -47,8 +48,10 @@ _DIGIT = re.compile(r"[0-9]")
 _CARD_GROUPS = re.compile(r"(?<![0-9])(?=((?:[0-9]{4}([ -]?)[0-9]{4}\2[0-9]{4}\2[0-9]{2,7}|3[47][0-9]{2}([ -]?)[0-9]{6}\3[0-9]{5})(?![0-9])))")
 # without a country code, a run of groups that goes on with digits is no phone number
 _PHONE_GROUPS = re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,5}(?![0-9])|(?<![0-9][ .-])(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,5}(?![ .-]?[0-9]))")
-_SPELLED = re.compile(r"[A-Za-z0-9][\w.%+-]{0,63} ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z0-9-]{1,63}){1,5}", re.ASCII)
-_SPELLED_HINT = re.compile(r"\(at\)|\[at\]|\{at\}|\(dot\)|\[dot\]|\{dot\}| dot ")
+# spelled-out addresses: the sign and what follows it, and what must stand before it.
+# Behind a plain " at " a domain's dots are spelled out, or have no space around them.
+_SPELLED_AT = re.compile(r" ?(?:(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z0-9-]{1,63}){1,5}|(?<= )at [A-Za-z0-9-]{1,63}(?:(?:\.| ?(?:\(dot\)|\[dot\]|\{dot\}| dot ) ?)[A-Za-z0-9-]{1,63}){1,5})")
+_SPELLED_LOCAL = re.compile(r"[A-Za-z0-9][\w.%+-]{0,63}\Z", re.ASCII)
 
 # Gazetteers and cue words.
 TOP_LEVEL = frozenset("com org net edu gov mil int info biz io ai app dev eu us uk de fr es it nl be ch at se no dk fi pl cz pt ie ru ua cn jp kr in au nz ca mx br ar cl za".split())
@@ -102,16 +105,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _spelled(text: str):
+    """Spans of spelled-out addresses: around each sign, so a candidate depends on
+    its own words only."""
+    at = 0
+    while m := _SPELLED_AT.search(text, at):
+        local = _SPELLED_LOCAL.search(text[max(0, m.start() - 64) : m.start()])
+        if local:
+            yield m.start() - len(local.group()), m.end()
+        # another sign may stand inside what was taken for a domain
+        at = m.end() if local else m.start() + 1
+
+
+def _free(span: tuple[int, int], starts: list[int], ends: list[int]) -> bool:
+    """Whether a span touches none of the disjoint, ascending intervals."""
+    k = bisect.bisect_left(starts, span[1])
+    return k == 0 or ends[k - 1] <= span[0]
+
+
 def wide_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates of the wider patterns that touch no base span."""
-    found = []
-    if _SPELLED_HINT.search(text):
-        found += [(m.start(), 0, m.end()) for m in _SPELLED.finditer(text)]
+    found = [(a, 0, b) for a, b in _spelled(text)] if "at" in text else []
     if _DIGIT.search(text):
         found += [(m.start(1), 2, m.end(1)) for m in _CARD_GROUPS.finditer(text)]
         found += [(m.start(), 3, m.end()) for m in _PHONE_GROUPS.finditer(text) if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
-    taken = [(a, b) for a, _, b in base]
-    return [s for s in sorted(found) if not any(a < s[2] and s[0] < b for a, b in taken)]
+    if not found:
+        return found
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, _, b in base:  # by start; base spans of two kinds may overlap
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return [s for s in sorted(found) if _free((s[0], s[2]), starts, ends)]
 
 
 def votes(text: str, span: tuple[int, int, int], is_base: bool) -> tuple[int, ...]:
@@ -244,8 +272,13 @@ def all_spans(text: str, model: SpanModel) -> tuple[list[tuple[int, int, int]],
     base = base_spans(text)
     found = [(model.margin(s[1], (*votes(text, s, False), *shape_bits(text, s))), s) for s in wide_spans(text, base)]
     added: list[tuple[int, int, int]] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for _, s in sorted((-m, s) for m, s in found if m > 0):  # the surest of those that overlap
-        if not any(a < s[2] and s[0] < b for a, _, b in added):
+        if _free((s[0], s[2]), starts, ends):
+            k = bisect.bisect_left(starts, s[0])
+            starts.insert(k, s[0])
+            ends.insert(k, s[2])
             added.append(s)
     return base, sorted(added)
 
