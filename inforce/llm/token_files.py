@@ -4,10 +4,9 @@ Documents are range-partitioned by id and sorted, encoded, and the ids of a
 partition are laid end to end (each document followed by ``end_id``) in
 sequences of ``length`` ids: record batches with a fixed-size list of ids
 (16 bits wide where the vocabulary allows) and a fixed-size list of mask bits,
-which are false in the padding of a file's last sequence only. All full batches
-of a file have the same size, so batch ``k`` lies at a computable place: a
-reader maps the file into memory and takes any sequence without a copy or a
-parse of what comes before (``SequenceFile``).
+which are false in the padding of a file's last sequence only. A reader maps the
+file into memory, reads the batches' headers once and then takes any sequence
+as a view, without a copy (``SequenceFile``).
 
 Each task writes its own file into the shared folder under a name of its own
 (partition and attempt), so retried and speculative attempts never mix: the
@@ -142,7 +141,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
             writer.close()
             sink.close()
 
-    sorted_docs = texts_of(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # a key of the text as second key: rows that share an id, or have none, spread too
+    keyed = texts_of(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    sorted_docs = keyed.repartitionByRange("doc_id", "text_key").sortWithinPartitions("doc_id", "text_key").select("doc_id", "text")
     index = written(sorted_docs.mapInArrow(write, "file_no int, path string, row_no long, doc_id long, at long, n_tokens long"), "token-index")
     return with_starts(index)
 
