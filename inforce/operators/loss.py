@@ -44,17 +44,45 @@ LOSS_MEASURES = ["incur_clm_cnt", "incur_loss", "glass_tow_cnt", "glass_tow_loss
 
 
 # --------------------------------------------------------------------------- W09
+def version_overlaps(config: DataFrame, key: Sequence[str], valid: tuple[str, str]) -> DataFrame:
+    """Versions of a configuration that begin before an earlier version of the same key
+    ends (``valid``: first and last day, both included; NULL: open)."""
+    start = F.coalesce(F.col(valid[0]), F.lit("0001-01-01").cast("date"))
+    end = F.coalesce(F.col(valid[1]), F.lit("9999-12-31").cast("date"))
+    rows = config.select(*key, start.alias("_from"), end.alias("_to"))
+    w = Window.partitionBy(*key).orderBy("_from", "_to")
+    before = F.max("_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return rows.withColumn("_before", before).filter(F.col("_before") >= F.col("_from"))
+
+
+def effective_config(
+    df: DataFrame, config: DataFrame, key: Sequence[str], at: str, valid: tuple[str, str], columns: Sequence[str], config_rows: int | None = None
+) -> DataFrame:
+    """Rows of ``df`` with the ``columns`` of the configuration version that is valid at
+    the row's date: an equi-join on the key with a range test. Rows without a valid
+    version, a key or a date are dropped. At most one version matches a row: versions
+    of one key that overlap are an error, found when this is called (one small query
+    of the configuration)."""
+    if not version_overlaps(config, key, valid).isEmpty():
+        raise ValueError("configuration versions of one key overlap")
+    cfg = bounded_broadcast(config.select(*key, *columns, F.col(valid[0]).alias("_from"), F.col(valid[1]).alias("_to")), config_rows)
+    inside = (F.col("_from").isNull() | (F.col(at) >= F.col("_from"))) & (F.col("_to").isNull() | (F.col(at) <= F.col("_to"))) & F.col(at).isNotNull()
+    return df.join(cfg, list(key), "inner").filter(inside).drop("_from", "_to")
+
+
 def cohort_extract(
     policies: DataFrame,
     config: DataFrame,
     as_of: dt.date,
     config_rows: int | None = None,
     nb_months: int = 6,
+    valid: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Per-state start dates drive the extraction (one broadcast join instead of
     a query per state group). NB when the origin date is within ``nb_months`` of
-    ``as_of`` (strictly after), rows with any NULL eligibility count dropped."""
-    cfg = bounded_broadcast(config.select("risk_st", "start_dt", "start_month"), config_rows)
+    ``as_of`` (strictly after), rows with any NULL eligibility count dropped.
+    ``valid``: the columns of a configuration with versions that say from and until
+    which effective date a version applies (see ``effective_config``)."""
     total = None
     for c in DERIVED_PARTS:
         total = F.col(c) if total is None else total + F.col(c)
@@ -62,9 +90,12 @@ def cohort_extract(
     for c in ELIG_COLS:
         cond = F.col(c).isNotNull()
         not_null = cond if not_null is None else not_null & cond
+    if valid is None:
+        started = policies.join(bounded_broadcast(config.select("risk_st", "start_dt", "start_month"), config_rows), "risk_st", "inner")
+    else:
+        started = effective_config(policies, config, ["risk_st"], "pol_eff_dt", valid, ["start_dt", "start_month"], config_rows)
     return (
-        policies.join(cfg, "risk_st", "inner")
-        .filter((F.col("pol_eff_dt") >= F.col("start_dt")) & not_null)
+        started.filter((F.col("pol_eff_dt") >= F.col("start_dt")) & not_null)
         .withColumn(
             "pol_type",
             F.when(F.col("orig_pol_eff_dt") > F.add_months(F.lit(as_of), -nb_months), F.lit(NB_LABEL)).otherwise(

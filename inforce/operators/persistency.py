@@ -15,7 +15,7 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -346,6 +346,25 @@ def status_counts(df: DataFrame, horizon: int | str = "flat", key: str = "pol_id
     return df.withColumn("status", term_status(df, horizon)).groupBy(*by, "status").agg(F.countDistinct(key).alias("cnt"))
 
 
+def status_by_window(
+    df: DataFrame,
+    windows: Mapping[str, tuple[dt.date, dt.date]],
+    horizons: Sequence[int | str] = ("flat", 30),
+    key: str = "pol_id",
+    eff: str = "pol_eff_dt",
+) -> DataFrame:
+    """(horizon, window_name, status, cnt): distinct policies per status whose term takes
+    effect in a window (both ends included), for all windows and horizons in one pass.
+    Windows may overlap: a term counts in each it lies in; a null date lies in none."""
+    inside = F.filter(
+        F.array(*[F.struct(F.lit(n).alias("name"), F.col(eff).between(F.lit(a), F.lit(b)).alias("ok")) for n, (a, b) in windows.items()]),
+        lambda w: F.coalesce(w["ok"], F.lit(False)),
+    )
+    states = F.array(*[F.struct(F.lit(0 if h in (0, "0", "flat") else int(h)).alias("horizon"), term_status(df, h).alias("status")) for h in horizons])
+    long = df.select(key, states.alias("_s"), F.explode(inside).alias("_w")).select(key, F.col("_w.name").alias("window_name"), F.explode("_s").alias("_s"))
+    return long.select(key, "window_name", "_s.horizon", "_s.status").groupBy("horizon", "window_name", "status").agg(F.countDistinct(key).alias("cnt"))
+
+
 # --------------------------------------------------------------------------- W07
 def persistency_rate(df: DataFrame, horizon: int | str = "flat", by: Sequence[str] = ()) -> DataFrame:
     """(ΣATR − ΣCANCEL) / ΣATR × 100 at a horizon, rounded to 2, plus '%' text."""

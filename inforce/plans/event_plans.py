@@ -53,14 +53,16 @@ def w31_event_cohort(spark, d):
     return EV.event_cohort(LN.web_events(spark, d), _base(from_day=EVENT_FROM), _qual())
 
 
-SESSION_SQL = f"""full_data AS (
-  SELECT DISTINCT policy_num, event_day FROM web_events
-  WHERE {_BASE_SQL} AND {_WIN_SQL}
-    AND session_id IN (SELECT DISTINCT session_id FROM web_events WHERE {_BASE_SQL} AND {_WIN_SQL} AND {_QUAL_SQL})
+# sessions are marked over their own events, then the marked ones' events listed
+SESSION_SQL = f"""session_events AS (
+  SELECT DISTINCT policy_num, event_day FROM (
+    SELECT policy_num, event_day, session_id, bool_or(COALESCE({_QUAL_SQL}, FALSE)) OVER (PARTITION BY session_id) AS marked
+    FROM web_events WHERE {_BASE_SQL} AND {_WIN_SQL}
+  ) WHERE marked AND session_id IS NOT NULL
 )"""
 
 
-@register("w31_session_cohort", _sql("SELECT policy_num, event_day FROM full_data", [LN.WEB_EVENTS_SQL, SESSION_SQL], base=()))
+@register("w31_session_cohort", _sql("SELECT policy_num, event_day FROM session_events", [LN.WEB_EVENTS_SQL, SESSION_SQL], base=()))
 def w31_session_cohort(spark, d):
     return EV.session_cohort(LN.web_events(spark, d), _base(window=SESSION_WINDOW), _qual())
 
@@ -72,7 +74,7 @@ NORMALIZE_SQL = """ids AS (
       CASE WHEN length(policy_num) > 12
            THEN [trim(part) FOR part IN string_split(policy_num, ',') IF NOT (contains(part, 'ph') OR contains(part, 'pa'))]
            ELSE [left(policy_num, 11)] END) AS pol_id
-    FROM full_data WHERE policy_num IS NOT NULL)
+    FROM session_events WHERE policy_num IS NOT NULL)
   WHERE pol_id <> '')"""
 
 
@@ -128,16 +130,17 @@ def stacked_lines(spark, d):
 
 
 def _stack_sql():
-    cols = []
-    for o, (ca, cb) in STACK_COLS.items():
-        parts = ([f"ap.{ca}"] if ca else []) + ([f"hp.{cb}"] if cb else [])
-        cols.append((f"COALESCE({', '.join(parts)})" if len(parts) > 1 else parts[0]) + f" AS {o}")
-    return f"""SELECT * FROM (
-  SELECT rz.pol_id, rz.event_day, {', '.join(cols)}
-  FROM latest_day rz
-  LEFT JOIN (SELECT * REPLACE (lpad(pol_id, 11, '0') AS pol_id), 'Auto' AS pol_type FROM latest_pers) ap ON rz.pol_id = ap.pol_id
-  LEFT JOIN (SELECT * REPLACE (lpad(pol_id, 11, '0') AS pol_id), 'Home' AS pol_type FROM home_latest) hp ON rz.pol_id = hp.pol_id
-) WHERE pol_type IS NOT NULL"""
+    """One union of both lines, the first line's values before the other's; a column
+    that only one line has is NULL in the other."""
+    picks = ", ".join(f"first({o} ORDER BY line) FILTER ({o} IS NOT NULL) AS {o}" for o in STACK_COLS)
+    lines = []
+    for no, (label, src) in enumerate((("Auto", "latest_pers"), ("Home", "home_latest"))):
+        cols = ", ".join((f"'{label}'" if o == "pol_type" else pair[no] or "NULL") + f" AS {o}" for o, pair in STACK_COLS.items())
+        lines.append(f"SELECT lpad(pol_id, 11, '0') AS pol_id, {no} AS line, {cols} FROM {src}")
+    return f"""SELECT d.pol_id, d.event_day, {", ".join("u." + o for o in STACK_COLS)}
+FROM latest_day d JOIN (
+  SELECT pol_id, {picks} FROM ({" UNION ALL ".join(lines)}) GROUP BY pol_id
+) u USING (pol_id)"""
 
 
 @register(

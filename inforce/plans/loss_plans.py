@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from inforce.operators import loss as L
@@ -91,6 +93,41 @@ def w09_cohort_extract(spark, d):
     return uw_cohort(spark, d).select(*_W09_COLS)
 
 
+# two versions per state: terms of 1999 and terms from 2000 on, which one group does not have
+VERSIONS = [
+    (s, first, last, start, month)
+    for states, start, month in S.COHORT_GROUPS
+    for s in states
+    for first, last in ([(None, dt.date(1999, 12, 31)), (dt.date(2000, 1, 1), None)] if s % 3 else [(None, dt.date(1999, 12, 31))])
+]
+
+
+def _version_start(start, first):
+    """The second version of a state starts a quarter later."""
+    return start if first is None else start + dt.timedelta(days=91)
+
+
+@register(
+    "w09_cohort_versions",
+    S.with_ctes(
+        _UW_CTES,
+        f"SELECT {', '.join(_W09_COLS)} FROM cohort",
+        [
+            "cohort_versions AS (SELECT * FROM (VALUES "
+            + ", ".join(f"({s}, DATE '{a or dt.date(1, 1, 1)}', DATE '{b or dt.date(9999, 12, 31)}', DATE '{_version_start(start, a)}', '{month}')" for s, a, b, start, month in VERSIONS)
+            + ") AS t(risk_st, first_day, last_day, start_dt, start_month))",
+            COHORT_SQL.replace("cohort_config c ON p.risk_st = c.risk_st", "cohort_versions c ON p.risk_st = c.risk_st AND p.pol_eff_dt BETWEEN c.first_day AND c.last_day"),
+        ],
+    ),
+)
+def w09_cohort_versions(spark, d):
+    """The cohort with several configuration versions per state, picked by effective date."""
+    rows = [(s, a, b, _version_start(start, a), month) for s, a, b, start, month in VERSIONS]
+    config = spark.createDataFrame(rows, "risk_st int, valid_from date, valid_to date, start_dt date, start_month string")
+    out = L.cohort_extract(S.auto_policy(spark, d), config, S.AS_OF, config_rows=len(rows), valid=("valid_from", "valid_to"))
+    return out.select(*_W09_COLS)
+
+
 # ----------------------------------------------------------------------------- W10
 _W10_COLS = ["pol_id", "earned_month", "risk_st", "latest_pol_eff_dt", "pol_type", "clean_dirty_cd",
              "derived_ttl_cnt", "derived_yes_no_flag", *L.LOSS_MEASURES, "ee"]

@@ -301,6 +301,42 @@ for _h in ("flat", "30"):
     )(_w06(_h))
 
 
+# renewal-zone members' newest terms, by the window in which they take effect
+W06_FROM = dt.date(1999, 10, 1)
+W06_WINDOWS = {
+    "Oct-1999": (dt.date(1999, 10, 1), dt.date(1999, 10, 31)), "Jan-2000": (dt.date(2000, 1, 1), dt.date(2000, 1, 31)),
+    "Oct-Dec 1999": (dt.date(1999, 10, 4), dt.date(1999, 12, 30)), "Jan-Mar 2000": (dt.date(2000, 1, 2), dt.date(2000, 3, 30)),
+}
+
+
+def renewal_zone(spark, d):
+    """Members' terms from a date on, the newest effective date of each (ties kept)."""
+    recent = pers(spark, d).filter(F.col("pol_eff_dt") >= F.lit(W06_FROM)).join(members(spark, d), "pol_id", "left_semi")
+    return SEL.extreme_by_key(recent, ["pol_id"], "pol_eff_dt", "max")
+
+
+@register(
+    "w06_status_windows",
+    _sql(
+        " UNION ALL ".join(
+            f"SELECT {0 if h == 'flat' else h} AS horizon, '{n}' AS window_name, {_status_sql(h)} AS status, COUNT(DISTINCT pol_id) AS cnt "
+            f"FROM zone WHERE pol_eff_dt BETWEEN DATE '{a}' AND DATE '{b}' GROUP BY 3"
+            for h in ("flat", "30") for n, (a, b) in W06_WINDOWS.items()
+        ),
+        [
+            flags_sql(), MEMBERS_SQL,
+            f"""zone AS (
+  SELECT p.* FROM pers p JOIN (
+    SELECT pol_id, MAX(pol_eff_dt) AS pol_eff_dt FROM pers JOIN members USING (pol_id) WHERE pol_eff_dt >= DATE '{W06_FROM}' GROUP BY pol_id
+  ) USING (pol_id, pol_eff_dt)
+)""",
+        ],
+    ),
+)
+def w06_status_windows(spark, d):
+    return P.status_by_window(renewal_zone(spark, d), W06_WINDOWS)
+
+
 def _rate_sql(h: str, src: str, extra_cols: str = "") -> str:
     atr = f"COALESCE(SUM(atr_e_{h}), 0)"
     can = f"COALESCE(SUM(cancel_e_{h}), 0)"

@@ -333,3 +333,37 @@ def w21_home_bands(spark, d):
         ((k % 1000).cast("double") / 10.0).alias("ubi_score"), F.when(k % 13 != 0, (k % 50 + 40).cast("int")).alias("age"),
     ).withColumn("bath_num", G.numeric_from_text("bath"))
     return chars.select("qcn", *[band_expr(c, rules, default=default).alias(out) for out, (c, rules, default) in home_band_rules().items()])
+
+
+# ----------------------------------------------------------------------------- W23 (home line's sheets)
+HOME_SEGMENTATIONS = ["cv_decile", "cv_quintile", "cov_a_sq_ft", "dwell_age_grp", "ttl_bath_cnt", "roof_cond"]
+
+
+@register(
+    "w23_home_summary",
+    _sql(
+        " UNION ALL ".join(
+            f"SELECT '{b}' AS segmentation, CAST({b} AS VARCHAR) AS band, COUNT(compl_qte_ind) AS cnt, SUM(CAST(elrr AS DECIMAL(18,6))) AS total, COUNT(elrr) AS n "
+            f"FROM home_banded WHERE {b} IS NOT NULL GROUP BY {b}"
+            for b in HOME_SEGMENTATIONS
+        ),
+        [
+            *banded_sql_ctes(),
+            HOME_CHARS_SQL,
+            "home_bands AS (SELECT qcn, " + ", ".join(f"{band_sql(c, rules, default)} AS {out}" for out, (c, rules, default) in home_band_rules().items() if out in HOME_SEGMENTATIONS) + " FROM home_chars)",
+            "home_banded AS (SELECT b.*, h.ttl_bath_cnt, h.roof_cond FROM banded b JOIN home_bands h ON h.qcn = b.qcn)",
+        ],
+    ).replace("WITH ", "SELECT segmentation, band, cnt, sign(CAST(total AS DOUBLE) / n) * floor(abs(CAST(total AS DOUBLE) / n) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE) AS lrr FROM (WITH ", 1)
+    + ")",
+)
+def w23_home_summary(spark, d):
+    """The home workbook's sheets: its two own bands beside the shared ones. The bands
+    are columns of the same rows, so nothing is joined."""
+    k = F.col("qcn")
+    rules = home_band_rules()
+    df = banded(spark, d).withColumn("bath", F.when(k % 11 == 0, "None").otherwise((k % 12).cast("string"))).withColumn("bath_num", G.numeric_from_text("bath"))
+    df = df.withColumn("roof", F.get(F.array(*[F.lit(c) for c in ROOF_CONDITIONS]), (k % 8).cast("int")))
+    for out in ("ttl_bath_cnt", "roof_cond"):
+        src, rule_list, default = rules[out]
+        df = df.withColumn(out, band_expr(src, rule_list, default=default))
+    return G.segment_summary(df, HOME_SEGMENTATIONS, "compl_qte_ind", "elrr")
