@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, bound_batches, written
+from inforce.llm.common import batch_of, bound_batches, one_blas_thread, written
 from inforce.llm.components import connected_components
 
 COSINE = 0.9
@@ -131,6 +131,7 @@ def cell_rows(classes: DataFrame, codewords: int, span: int, each: int, codes: i
     """(rep, cells): all cells of a class, ascending, as 64-bit integers."""
 
     def run(batches):
+        one_blas_thread()
         for b in batches:
             dim, raw = b.column(1).to_pylist(), b.column(2).to_pylist()
             for d in sorted(set(dim)):
@@ -197,6 +198,7 @@ def meetings(rows: DataFrame, cosine: float) -> DataFrame:
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
     def run(batches):
+        one_blas_thread()
         held: list[pa.RecordBatch] = []
         last = None
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inforce.llm.common import batch_of, bound_batches, written
+from inforce.llm.common import batch_of, bound_batches, one_blas_thread, written
 
 #: Entries become ``floor(SCALE * c) + SHIFT``.
 SCALE, SHIFT = 1024, 100_000
@@ -100,6 +100,7 @@ def _sums(blocks: DataFrame, part, dims: int, whole: bool = False) -> list:
     kind = "decimal(38,0)" if whole else "double"
 
     def add(batches):
+        one_blas_thread()
         total = None
         for b in batches:
             for raw in b.column(0):
@@ -317,6 +318,7 @@ def whitened(fit: Prepared, model: Whitening) -> DataFrame:
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.float64()]
 
     def project(batches):
+        one_blas_thread()
         for b in batches:
             for ids, raw in zip(b.column(0), b.column(1), strict=True):
                 x = np.frombuffer(raw.as_buffer(), dtype="<i8").reshape(-1, dims)
