@@ -92,6 +92,20 @@ def spare(columns: list[str], name: str) -> str:
     return name
 
 
+#: Bytes of texts in a group of documents that one task holds.
+GROUP_BYTES = 64 << 20
+
+
+def dealt(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
+    """``docs`` (doc_id, text) with a group number ``grp``, and how many groups there
+    are: as many as the bytes of all texts ask for (one scan), the session's number of
+    shuffle partitions at least. Rows are dealt by id and text, so rows without an
+    id, or with one that many rows share, spread too."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // group_bytes))
+    return docs.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")), groups
+
+
 def crc_mod(id_col: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (null id: the text is empty)."""
     col = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -4,7 +4,7 @@ Bytes covered by a ``length``-byte string that also starts in a document with a
 smaller id are removed. Suffixes of the whole corpus are never gathered; strings
 are routed so that equal ones meet, and each task sorts the suffixes it gets:
 
-1. Documents are dealt into groups by a hash of their id. Every
+1. Documents are dealt into groups of bounded size. Every
    ``length``-byte string chooses an *anchor* in itself (``suffixes.anchors``),
    so equal strings choose equal anchors. Each group sends its distinct anchors,
    with counts, to a bucket by the anchor's hash; a bucket answers with those
@@ -32,9 +32,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from inforce.llm.common import texts_of
+from inforce.llm.common import dealt, texts_of
 from inforce.llm.suffixes import anchors, smallest_owner
 
 LENGTH = 50
@@ -295,10 +294,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, frequent: int = FREQUE
     table gives an empty result; extra columns are not read. ``length`` is at
     least the 20 bytes of an anchor.
     """
-    spark = docs.sparkSession
-    groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows, groups = dealt(texts_of(docs, id_col, text_col))
     buckets = 2 * groups
-    grouped = texts_of(docs, id_col, text_col).withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")).groupBy("grp")
+    grouped = rows.groupBy("grp")
     seen = grouped.applyInArrow(group_anchors(buckets, length), _MESSAGE)
     shared = seen.groupBy("target").applyInArrow(shared_anchors(frequent), _MESSAGE)
     pieces = grouped.cogroup(shared.groupBy("target")).applyInArrow(group_pieces(buckets, length), _MESSAGE)

@@ -155,3 +155,30 @@ def test_many_candidates_in_one_text():
     small = " ".join(f"a{i}@b.com c{i} (at) d.org 4000 0000 0000 {i:04d} 10.0.0.{i}" for i in range(40))
     base = PII.base_spans(small)
     assert all(not any(a < s[2] and s[0] < b for a, _, b in base) for s in PII.wide_spans(small, base))
+
+
+def test_groups_follow_the_bytes_and_spread_rows_without_an_id(spark):
+    from inforce.llm.common import dealt, texts_of
+
+    rows = [(None if i % 3 == 0 else i, f"text number {i} " * 20) for i in range(3000)]
+    docs = texts_of(spark.createDataFrame(rows, TEXTS))
+    grouped, groups = dealt(docs, 20_000)
+    assert groups > 30
+    nulls = [r["count"] for r in grouped.filter("doc_id is null").groupBy("grp").count().collect()]
+    assert len(nulls) > groups * 0.9 and max(nulls) < 100
+    assert dealt(docs.limit(0))[1] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_repeated_spans_in_many_groups(spark, monkeypatch):
+    from inforce.llm import common
+    from inforce.llm import repeated_spans as RS
+
+    rng = random.Random(12)
+    shared = sentence(rng, 30)
+    rows = [(i % 40 if i % 5 else None, sentence(rng, 20) + (" " + shared if i % 4 == 0 else "")) for i in range(120)]
+    docs = spark.createDataFrame(rows, TEXTS)
+    want = sorted(map(tuple, RS.repeated_spans(docs).collect()), key=str)
+    real = common.dealt
+    monkeypatch.setattr(RS, "dealt", lambda d: real(d, 500))
+    assert sorted(map(tuple, RS.repeated_spans(docs).collect()), key=str) == want
+    assert any(r[2] for r in want)
