@@ -278,11 +278,14 @@ def duplicate_rows(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", t
     pairs = members.filter(_sizes_allow(F.col("n"), F.col("hub_n"), threshold)).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     pairs = written(estimated(pairs, reps, k, threshold), "candidates")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    links = written(verified(pairs, class_texts(classes.join(asked, "rep"), base), percent, words).select("a", "b"), "verified")
+    # written: both joins read it, and Spark can split a join on a hub of very many pairs
+    texts = written(class_texts(classes.join(asked, "rep"), base), "candidate-texts")
+    links = written(verified(pairs, texts, percent, words).select("a", "b"), "verified")
     component = connected_components(links)
     meetings = written(mixed_meetings(members, component), "meetings")
     asked = meetings.select("rep").distinct()
-    more = written(links_of_meetings(meetings, class_texts(classes.join(asked, "rep"), base), percent, words), "met")
+    texts = written(class_texts(classes.join(asked, "rep"), base), "met-texts")
+    more = written(links_of_meetings(meetings, texts, percent, words), "met")
     if not more.isEmpty():
         component = connected_components(links.unionAll(more))
     of_class = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("set_key", "doc_id", "text_key", F.coalesce("component", "rep").alias("component"))
