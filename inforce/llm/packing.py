@@ -133,8 +133,8 @@ def _sub_bins(label: np.ndarray, mask: np.ndarray) -> list[np.ndarray]:
 
 def seed_packings(lengths: np.ndarray, capacity: int, count: int, rng: np.random.Generator) -> list[np.ndarray]:
     """Best-fit packings: the first longest first, the others by lengths with
-    some noise, so that their bins differ. If the first cannot be beaten, it stands
-    for all."""
+    some noise, so that their bins differ. A packing that cannot be beaten ends the
+    search: it is returned alone."""
     out: list[np.ndarray] = []
     least = -(-int(lengths.sum()) // capacity)
     for k in range(count):
@@ -148,7 +148,7 @@ def seed_packings(lengths: np.ndarray, capacity: int, count: int, rng: np.random
                 best_fit(lengths, block, bins, room, capacity)
         out.append(_label(bins))
         if len(bins) <= least:
-            return [out[-1]] * count
+            return [out[-1]]
     return out
 
 
@@ -195,7 +195,11 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
         rows = []
         for k in range(islands if lengths.size else 0):
             rng = np.random.default_rng([int(pdf.shard[0]), k])
-            rows.append((int(pdf.shard[0]), k, lengths, [p.tolist() for p in seed_packings(lengths, capacity, population, rng)]))
+            seeds = seed_packings(lengths, capacity, population, rng)
+            rows.append((int(pdf.shard[0]), k, lengths, seeds))
+            if len(seeds) == 1:  # at the lower bound: the shard needs no other island
+                rows = rows[-1:]
+                break
         return pd.DataFrame(rows, columns=["shard", "island", "lengths", "packings"])
 
     def epoch(number: int):
@@ -206,7 +210,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
                     lengths = np.asarray(r.lengths, dtype=np.int64)
                     rng = np.random.default_rng([r.shard, r.island, number])
                     best = evolve(lengths, [np.asarray(p, dtype=np.int32) for p in r.packings], capacity, generations, rng)
-                    rows.append((r.shard, r.island, lengths, [p.tolist() for p in best], fitness(lengths, best[0], capacity)))
+                    rows.append((r.shard, r.island, lengths, best, fitness(lengths, best[0], capacity)))
                 yield pd.DataFrame(rows, columns=["shard", "island", "lengths", "packings", "fitness"])
 
         return run
@@ -218,8 +222,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
         if e + 1 < epochs and islands > 1:
             # the elite takes the place of the next island's worst packing
             elite = now.select("shard", ((F.col("island") + 1) % islands).cast("int").alias("island"), F.col("packings")[0].alias("elite"))
-            joined = now.repartition(tasks, "shard").join(elite.repartition(tasks, "shard"), ["shard", "island"])
-            now = joined.select("shard", "island", "lengths", F.concat(F.slice("packings", 1, population - 1), F.array("elite")).alias("packings"))
+            joined = now.repartition(tasks, "shard").join(elite.repartition(tasks, "shard"), ["shard", "island"], "left")
+            sent = F.concat(F.slice("packings", 1, population - 1), F.array("elite"))
+            now = joined.select("shard", "island", "lengths", F.when(F.col("elite").isNull(), F.col("packings")).otherwise(sent).alias("packings"))
     best = now.groupBy("shard").agg(F.max_by(F.col("packings")[0], F.struct("fitness", -F.col("island"))).alias("packing"))
 
     def place(pieces: pa.Table, best: pa.Table) -> pa.Table:
