@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from inforce.session import written
 from inforce.sources.stored import StoredTable
 
 STATUS_IN_FORCE, STATUS_CANCELLED = "InForce", "Cancelled"
@@ -100,13 +101,16 @@ def code_runs(terms: DataFrame, last: Column, key: str = "pol_id", code: str = "
     month ends at which a policy's newest term in force has the same code and status,
     up to the month end ``last`` (a one-row scalar or literal). Laying the runs out by
     month gives ``all_snapshots``. Terms without an effective or expiry date have no
-    months; a null code is a value like any other."""
+    months; a null code is a value like any other. Intermediate rows are written to the
+    shared folder when this is called."""
     # the month end of an expiry's own month is not before the expiry
     hi = F.least(month_number("pol_exp_dt") - 1, month_number(F.col("_last")))
     spans = terms.withColumn("_last", last).select(
         F.col(key).alias("policy_id"), F.col(code).alias(code), "pol_eff_dt", "pol_prd_id", month_number("pol_eff_dt").alias("lo"),
         F.when(F.col("pol_exp_dt").isNotNull(), hi).alias("hi"), month_number("canc_eff_dt").alias("gone"),
     ).filter(F.col("lo") <= F.col("hi"))
+    # three branches read the spans and two the rows per first month: written once each
+    spans = written(spans, "term-months")
     rank = F.struct("pol_eff_dt", "pol_prd_id")
     row = F.struct("hi", code, "gone")
     # one row per policy and first month: the newest term, and how far any other reaches
@@ -115,7 +119,7 @@ def code_runs(terms: DataFrame, last: Column, key: str = "pol_id", code: str = "
     before = F.max("reach").over(w.rowsBetween(Window.unboundedPreceding, -1))
     ordered = starts.withColumn("_next", F.lead("lo").over(w)).withColumn("_outlived", (F.col("reach") > F.col("hi")) | (F.coalesce(before, F.col("hi")) > F.col("hi")))
     odd = F.max("_outlived").over(Window.partitionBy("policy_id"))
-    ordered = ordered.withColumn("_odd", odd)
+    ordered = written(ordered.withColumn("_odd", odd), "term-starts")
     plain = ordered.filter(~F.col("_odd")).select("policy_id", code, "gone", "lo", F.least("hi", F.coalesce(F.col("_next") - 1, F.col("hi"))).alias("hi"))
     # an older term that outlives a newer one comes back: these policies month by month
     names = ordered.filter("_odd").select(F.col("policy_id").alias("_odd_id")).distinct()
