@@ -11,6 +11,7 @@ from inforce.operators import maintenance as MT
 from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
 from inforce.plans.persistency_plans import REINSTATED_SQL, REMOVED_SQL, TXN_SQL, W35_SINCE, flags_sql, pers, transactions
+from inforce.plans.reconcile_plans import last_snapshot
 from inforce.plans.registry import finalize, register
 from inforce.plans.shared import _sql
 from inforce.sources import lines as LN
@@ -36,7 +37,7 @@ GROUP BY 1, 2""",
     ),
 )
 def w43_inforce_by_status(spark, d):
-    return LK.inforce_by_status(S.inforce_monthend(spark, d), ["InForce", "A"], latest=S.last_month_end(spark, d))
+    return LK.inforce_by_status(last_snapshot(spark, d), ["InForce", "A"], latest=S.last_month_end(spark, d))
 
 
 # ----------------------------------------------------------------------------- W38 / W39 / W40

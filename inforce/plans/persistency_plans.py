@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from inforce.operators import persistency as P
 from inforce.operators import selection as SEL
-from inforce.operators.reconcile import at_latest
+from inforce.operators import snapshots as SN
 from inforce.plans.registry import deliver_as_double, deliver_as_text, finalize, register
 from inforce.sources import staging as S
 from inforce.sources.tables import read_table
@@ -429,7 +429,7 @@ WHERE change_dt IS NOT NULL""",
 def w30_code_transitions(spark, d):
     snap = S.inforce_monthend(spark, d)
     recent = snap.filter((F.col("me_dt") > F.lit(W30_FROM_ME).cast("date")) & (F.col("pol_status_cd") == "InForce"))
-    now = at_latest(snap, S.last_month_end(spark, d)).filter(F.col("pol_status_cd") == "InForce")
+    now = SN.month_snapshot(S.term(spark, d), S.last_month_end(spark, d).scalar()).filter(F.col("pol_status_cd") == "InForce")
     return P.code_transitions(recent, now, from_code="3-MEDIUM", label="MEDIUM")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from inforce.functions.columns import round_half_up
 from inforce.operators import reconcile as R
 from inforce.operators import selection as SEL
+from inforce.operators import snapshots as SN
 from inforce.plans.registry import finalize, register
 from inforce.sources import staging as S
 from inforce.sources.tables import read_table
@@ -295,7 +296,13 @@ FROM (
     ),
 )
 def w20_snapshot_vs_history(spark, d):
-    return against_history(spark, d, S.inforce_monthend(spark, d), S.last_month_end(spark, d))
+    return against_history(spark, d, last_snapshot(spark, d), S.last_month_end(spark, d))
+
+
+def last_snapshot(spark, d):
+    """The snapshot of the last month end, from the terms in force then; no other
+    month is built."""
+    return SN.month_snapshot(S.term(spark, d), S.last_month_end(spark, d).scalar())
 
 
 def against_history(spark, d, snap, latest=None):

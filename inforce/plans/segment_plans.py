@@ -8,6 +8,7 @@ from inforce.functions.bands import band_expr, band_sql
 from inforce.operators import segment as G
 from inforce.operators import selection as SEL
 from inforce.plans.registry import register
+from inforce.session import written
 from inforce.sources import staging as S
 from inforce.sources.tables import read_table
 
@@ -180,15 +181,17 @@ REL_SQL = """rel AS (
 )"""
 
 
-def rel(spark, d):
-    # states: a fixed, small domain (nation keys), so the means are broadcast back
+def rel(spark, d, store=False):
+    # states: a fixed, small domain (nation keys), so the means are broadcast back;
+    # stored, the score table is built once for its rows and for the means
+    rows = scoremart(spark, d)
     return G.relativity_rows(
-        scoremart(spark, d), "state", {"expected_loss_ratio": "elrr", "ol_expected_loss_ratio": "ol_elrr"},
+        written(rows, "scoremart") if store else rows, "state", {"expected_loss_ratio": "elrr", "ol_expected_loss_ratio": "ol_elrr"},
     )
 
 
-def banded(spark, d):
-    df = rel(spark, d).select(
+def banded(spark, d, store=False):
+    df = rel(spark, d, store).select(
         F.col("*"),
         G.numeric_from_text("dwelling_lmt").alias("dwelling_lmt_num"),
         G.numeric_from_text("sqft").alias("sqft_num"),
@@ -268,7 +271,7 @@ W23_SQL = _sql(
 
 @register("w23_segment_summary", W23_SQL)
 def w23_segment_summary(spark, d):
-    return G.segment_summary(banded(spark, d), SEGMENTATIONS, "compl_qte_ind", "elrr")
+    return G.segment_summary(banded(spark, d, store=True), SEGMENTATIONS, "compl_qte_ind", "elrr")
 
 
 # ----------------------------------------------------------------------------- W21 value counts
@@ -361,7 +364,7 @@ def w23_home_summary(spark, d):
     are columns of the same rows, so nothing is joined."""
     k = F.col("qcn")
     rules = home_band_rules()
-    df = banded(spark, d).withColumn("bath", F.when(k % 11 == 0, "None").otherwise((k % 12).cast("string"))).withColumn("bath_num", G.numeric_from_text("bath"))
+    df = banded(spark, d, store=True).withColumn("bath", F.when(k % 11 == 0, "None").otherwise((k % 12).cast("string"))).withColumn("bath_num", G.numeric_from_text("bath"))
     df = df.withColumn("roof", F.get(F.array(*[F.lit(c) for c in ROOF_CONDITIONS]), (k % 8).cast("int")))
     for out in ("ttl_bath_cnt", "roof_cond"):
         src, rule_list, default = rules[out]
