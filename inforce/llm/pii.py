@@ -48,9 +48,13 @@ _DIGIT = re.compile(r"[0-9]")
 _CARD_GROUPS = re.compile(r"(?<![0-9])(?=((?:[0-9]{4}([ -]?)[0-9]{4}\2[0-9]{4}\2[0-9]{2,7}|3[47][0-9]{2}([ -]?)[0-9]{6}\3[0-9]{5})(?![0-9])))")
 # without a country code, a run of groups that goes on with digits is no phone number
 _PHONE_GROUPS = re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,5}(?![0-9])|(?<![0-9][ .-])(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}[ .-][0-9]{2,5}(?![ .-]?[0-9]))")
-# spelled-out addresses: the sign and what follows it, and what must stand before it.
-# Behind a plain " at " a domain's dots are spelled out, or have no space around them.
-_SPELLED_AT = re.compile(r" ?(?:(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot ) ?[A-Za-z0-9-]{1,63}){1,5}|(?<= )at [A-Za-z0-9-]{1,63}(?:(?:\.| ?(?:\(dot\)|\[dot\]|\{dot\}| dot ) ?)[A-Za-z0-9-]{1,63}){1,5})")
+# spelled-out addresses: the signs (four characters each), what follows one, and what
+# must stand before it. Behind a plain " at " a domain's dots are spelled out, or have
+# no space around them.
+_SIGNS = (" at ", "(at)", "[at]", "{at}")
+_SPELLED_DOT = r"(?:\(dot\)|\[dot\]|\{dot\}| dot )"
+_DOMAIN_PLAIN = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\.| ?" + _SPELLED_DOT + r" ?)[A-Za-z0-9-]{1,63}){1,5}")
+_DOMAIN_BRACKET = re.compile(r" ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|" + _SPELLED_DOT + r") ?[A-Za-z0-9-]{1,63}){1,5}")
 _SPELLED_LOCAL = re.compile(r"[A-Za-z0-9][\w.%+-]{0,63}\Z", re.ASCII)
 
 # Gazetteers and cue words.
@@ -108,13 +112,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def _spelled(text: str):
     """Spans of spelled-out addresses: around each sign, so a candidate depends on
     its own words only."""
-    at = 0
-    while m := _SPELLED_AT.search(text, at):
-        local = _SPELLED_LOCAL.search(text[max(0, m.start() - 64) : m.start()])
+    found = []
+    for sign in _SIGNS:
+        at = text.find(sign)
+        while at >= 0:
+            found.append((at, sign))
+            at = text.find(sign, at + 1)
+    done = 0
+    for at, sign in sorted(found):
+        if at < done:
+            continue
+        domain = (_DOMAIN_PLAIN if sign == " at " else _DOMAIN_BRACKET).match(text, at + 4)
+        if not domain:
+            continue
+        end = at - 1 if sign != " at " and text[at - 1 : at] == " " else at
+        local = _SPELLED_LOCAL.search(text[max(0, end - 64) : end])
         if local:
-            yield m.start() - len(local.group()), m.end()
-        # another sign may stand inside what was taken for a domain
-        at = m.end() if local else m.start() + 1
+            done = domain.end()
+            yield end - len(local.group()), done
 
 
 def _free(span: tuple[int, int], starts: list[int], ends: list[int]) -> bool:
@@ -125,7 +140,7 @@ def _free(span: tuple[int, int], starts: list[int], ends: list[int]) -> bool:
 
 def wide_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates of the wider patterns that touch no base span."""
-    found = [(a, 0, b) for a, b in _spelled(text)] if "at" in text else []
+    found = [(a, 0, b) for a, b in _spelled(text)]
     if _DIGIT.search(text):
         found += [(m.start(1), 2, m.end(1)) for m in _CARD_GROUPS.finditer(text)]
         found += [(m.start(), 3, m.end()) for m in _PHONE_GROUPS.finditer(text) if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
