@@ -40,7 +40,7 @@ MISS = 1e-9
 #: A candidate's estimate may fall this much short of the threshold (over 5 sigma at k = 32).
 SLACK = 0.4
 #: Texts and shingles of a chunk of a meeting.
-CHUNK_TEXTS, CHUNK_SHINGLES = 1024, 500_000
+CHUNK_TEXTS, CHUNK_SHINGLES = 512, 500_000
 
 #: Ways in which a hub's members are dealt when they are joined with its sizes.
 SALTS = 16
