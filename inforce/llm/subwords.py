@@ -31,9 +31,9 @@ from itertools import chain
 import numpy as np
 
 #: Chunks kept per process and tokenizer before the table starts anew (about 250 bytes each).
-TABLE_CHUNKS = 500_000
+TABLE_CHUNKS = 600_000
 #: Characters handled at once inside a task.
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 1_500_000
 
 _RUN = re.compile(r"\s\s")
 _SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
@@ -128,24 +128,6 @@ class Encoder:
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
-        self.blocks = np.zeros(1 << 14, dtype=np.uint8)
-
-    def _renew(self) -> None:
-        """Starts anew with the chunks that several blocks had, at most half a table of
-        them: natural text repeats some words for ever and others once."""
-        keep = np.flatnonzero(self.blocks[: len(self.at)] > 1)
-        if keep.size > self.most // 2:
-            keep = keep[np.argsort(-self.blocks[keep].astype(np.int16), kind="stable")[: self.most // 2]]
-        chosen = np.zeros(len(self.at), dtype=bool)
-        chosen[keep] = True
-        keep = np.flatnonzero(chosen)
-        names = [c for c, k in zip(self.at, chosen.tolist(), strict=True) if k]
-        ids, ends = gather_runs(self.ids, self.start[keep], self.start[keep + 1])
-        self._reset()
-        for c in names:
-            self.at[c]
-        self.at.new = []
-        self._append(ids, np.diff(ends))
 
     def _pieces(self, word: str) -> list[int]:
         """Ids of one pre-token of letters or one mark (with its leading space)."""
@@ -154,43 +136,44 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encodes new chunks. Where a chunk is letters and at most one full stop or
-        comma, its pre-tokens are known and only the model is needed, once per distinct
-        word; all other chunks go through the whole tokenizer."""
-        mark = np.frombuffer("".join([{".": "1", ",": "2"}.get(c[-1:], "0") for c in chunks]).encode(), dtype=np.uint8) - 48
-        number = _Numbers()
-        bare = [c[:-1] if m else c for c, m in zip(chunks, mark.tolist(), strict=True)]
-        code = np.fromiter(map(number.__getitem__, bare), dtype=np.int64, count=len(bare))
-        words = number.new
-        del bare, number
-        if self.lower:
-            low = list(map(str.lower, words))
-            # letters below U+0250 are their own normal form
-            known = [a and (w.isascii() or (max(w) <= "\u024f" and len(w) == len(raw))) for a, w, raw in zip(map(str.isalpha, words), low, words, strict=True)]
-        else:
-            low, known = words, [(w[1:] if w[:1] == " " else w).isalpha() for w in words]
+        comma, its pre-tokens are known and only the model is needed; all other
+        chunks go through the whole tokenizer."""
+        ids, n, odd = array("I"), array("q"), []
+        words: dict[str, list[int]] = {m: self._pieces(m) for m in (".", ",")}
         collecting = gc.isenabled()
         gc.disable()  # very many small lists live at once, and none in a cycle
-        lists = [self._pieces(w) if k else () for w, k in zip(low, known, strict=True)]
-        lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(lengths.sum()))
-        del lists, low, words
-        known = np.array(known, dtype=bool)[code]
-        at = np.cumsum(lengths)
-        ids, ends = gather_runs(flat, (at - lengths)[code], at[code])
-        n = np.diff(ends)
-        for kind, letter in ((1, "."), (2, ",")):  # the mark behind a word
-            own = np.array(self._pieces(letter), dtype=np.uint32)
-            here = np.flatnonzero((mark == kind) & known)
-            ids = np.insert(ids, np.repeat(np.cumsum(n)[here], own.size), np.tile(own, here.size))
-            n[here] += own.size
-        odd = np.flatnonzero(~known)
-        if odd.size:
-            others = [e.ids for e in self.tok.encode_batch_fast([chunks[i] for i in odd.tolist()], add_special_tokens=False)]
+        for i, chunk in enumerate(chunks):
+            mark = chunk[-1:]
+            marked = mark == "." or mark == ","
+            word = chunk[:-1] if marked else chunk
+            if self.lower:
+                letters, word = word, word.lower()
+                # letters below U+0250 are their own normal form
+                known = letters.isalpha() and (word.isascii() or (max(word) <= "\u024f" and len(word) == len(letters)))
+            else:
+                known = (word[1:] if word[:1] == " " else word).isalpha()
+            if not known:
+                odd.append(i)
+                n.append(0)
+                continue
+            got = words.get(word)
+            if got is None:
+                got = words[word] = self._pieces(word)
+            ids.extend(got)
+            if marked:
+                ids.extend(words[mark])
+                n.append(len(got) + len(words[mark]))
+            else:
+                n.append(len(got))
+        del words
+        if collecting:
+            gc.enable()
+        ids, n = np.frombuffer(ids, dtype=np.uint32), np.frombuffer(n, dtype=np.int64).copy()
+        if odd:
+            others = [e.ids for e in self.tok.encode_batch_fast([chunks[i] for i in odd], add_special_tokens=False)]
             at = np.cumsum(n)[odd]
             n[odd] = [len(x) for x in others]
             ids = np.insert(ids, np.repeat(at, n[odd]), np.fromiter(chain.from_iterable(others), dtype=np.uint32, count=int(n[odd].sum())))
-        if collecting:
-            gc.enable()
         self._append(ids, n)
 
     def _append(self, ids: np.ndarray, n: np.ndarray) -> None:
@@ -206,16 +189,11 @@ class Encoder:
 
     def _lookup(self, chunks: list[str]) -> np.ndarray:
         if len(self.at) > self.most:
-            self._renew()
+            self._reset()
         code = np.fromiter(map(self.at.__getitem__, chunks), dtype=np.int64, count=len(chunks))
         if self.at.new:
             self._learn(self.at.new)
             self.at.new = []
-        while len(self.at) > self.blocks.size:
-            self.blocks = np.concatenate([self.blocks, np.zeros_like(self.blocks)])
-        seen = np.zeros(self.blocks.size, dtype=bool)
-        seen[code] = True
-        self.blocks += seen & (self.blocks < 255)
         return code
 
     def _blocks(self, texts: list[str]):
