@@ -47,8 +47,9 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in their sequences."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of all documents in their sequences. Workers that ran the stages
+    before keep a smaller table of sub-words."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), table_chunks=400_000)
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pii", pii), ("packing", packing)]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inforce.llm.common import batch_of, release_tables, text_pieces, texts_of, written
-from inforce.llm.subwords import encoder
+from inforce.llm.subwords import TABLE_CHUNKS, encoder, has_encoder
 
 CAPACITY = 4096
 #: Pieces of a shard, islands of a shard, packings of an island, epochs and generations of one.
@@ -40,12 +40,15 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", table_chunks: int = TABLE_CHUNKS) -> DataFrame:
     """The pieces of every document: its ids and the end id, cut every
-    ``capacity`` ids, with the crc32 of the piece's 32-bit ids."""
+    ``capacity`` ids, with the crc32 of the piece's 32-bit ids. ``table_chunks``
+    bounds the table of sub-words that a worker keeps."""
 
     def cut(batches):
-        enc = encoder(tokenizer_path)
+        if not has_encoder(tokenizer_path, table_chunks):
+            release_tables()  # what a reused worker still holds of other operators
+        enc = encoder(tokenizer_path, table_chunks)
         for ids, texts in text_pieces(batches):
             done = 0
             for flat, n in enc.encode_blocks(texts):
@@ -245,7 +248,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
     return dealt.groupBy("shard").cogroup(best.repartition(tasks, "shard").groupBy("shard")).applyInArrow(place, _PIECE + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", table_chunks: int = TABLE_CHUNKS) -> DataFrame:
     """Packs all documents into sequences of at most ``capacity`` ids: one row
     per piece with doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -254,4 +257,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     result; other columns are not read. Texts are encoded once: the pieces are
     written to the shared folder before they are packed.
     """
-    return pack_pieces(token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), capacity)
+    return pack_pieces(token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col, table_chunks), capacity)

@@ -251,7 +251,12 @@ def gather_runs(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tupl
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, *more: str, kind: type = Encoder):
+def has_encoder(path: str, *more) -> bool:
+    """Whether the process holds this encoder already."""
+    return (Encoder, path, *more) in _ENCODERS
+
+
+def encoder(path: str, *more, kind: type = Encoder):
     """The process's encoder for tokenizer files (Python workers are reused)."""
     key = (kind, path, *more)
     if key not in _ENCODERS:
