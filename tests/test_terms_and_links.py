@@ -178,3 +178,25 @@ def test_jdbc_reads_by_predicates(monkeypatch):
     ]
     with pytest.raises(ValueError):
         read_jdbc(Session(), "jdbc:x", "t", partition_column="k")
+
+
+# ----------------------------------------------------------------------------- W31
+@pytest.mark.parametrize("bits", ["8388608", "64"])  # the second lets most sessions pass wrongly
+def test_qualifying_sessions_filter_the_log_before_its_shuffle(spark, bits):
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    conf = {
+        prefix + "enabled": "true", prefix + "applicationSideScanSizeThreshold": "0", prefix + "creationSideThreshold": "1g", prefix + "numBits": bits,
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    want = rows(QUERIES["w31_session_cohort"](spark, SF))
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = QUERIES["w31_session_cohort"](spark, SF)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan.split("Join LeftSemi")[1].split("Filter")[1]  # beside the scan, below the join
+        assert rows(got) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
