@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of a parameter table that may be broadcast without being measured.
 BROADCAST_ROW_BOUND = 100_000
 
+# Rows that a task with wide sorts or hash tables is meant to take.
+ROWS_PER_TASK = 500_000
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions of about ``ROWS_PER_TASK`` rows at most, and no fewer than the session's
+    shuffles have. Given to ``repartition`` with the keys of a join: AQE merges other
+    shuffles up to a size in *compressed* bytes, so well-compressed rows end up in few
+    tasks, whose sorts and hash tables then grow with the table; a stated number stays."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
 
 def bounded_broadcast(df: DataFrame, row_bound: int | None, limit: int = BROADCAST_ROW_BOUND) -> DataFrame:
     """Broadcast ``df`` when it was built from a list of ``row_bound`` rows in the

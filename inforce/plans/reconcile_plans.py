@@ -29,8 +29,8 @@ MODEL_ACTIVE = {"bi", "coll", "mp"}
 LOSS_COV = {"A": "BI", "N": "COLL", "R": "MED"}
 
 
-def ulm_loss(spark, d):
-    lo = S.loss(spark, d)
+def ulm_loss(spark, d, partitions=None):
+    lo = S.loss(spark, d, partitions)
     cov = F.when(F.col("cov_type_abbr") == "A", "BI").when(F.col("cov_type_abbr") == "N", "COLL").otherwise("MED")
     return lo.select("pol_id", "pol_prd_id", cov.alias("cov_type_abbr"), "earned_month", "ee")
 
@@ -87,7 +87,8 @@ def _sql(body, extra):
 
 
 def alloc(spark, d, digits=None):
-    return R.allocate_prediction(ulm_loss(spark, d), model_period(spark, d), digits=digits)
+    """The allocation; every sort and aggregation by period keeps the loss rows' tasks."""
+    return R.allocate_prediction(ulm_loss(spark, d, S.loss_partitions(spark, d)), model_period(spark, d), digits=digits)
 
 
 _ADJ = [f"adj_{c}_pp" for c in R.MODEL_COVERAGES] + ["adj_ttl_pp"]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from inforce.functions.columns import as_date, money, month_key
-from inforce.operators.common import with_group_aggs
+from inforce.operators.common import partitions_for, with_group_aggs
 from inforce.sources.tables import read_table
 
 AS_OF = dt.date(2000, 6, 30)
@@ -99,9 +99,18 @@ TERM_SQL = """term AS (
 
 
 # --------------------------------------------------------------------------- loss
-def loss(spark: SparkSession, d: str) -> DataFrame:
-    """Operational loss: one line item = one policy-period x coverage x earned-month row."""
+def loss_partitions(spark: SparkSession, d: str) -> int:
+    """Partitions for the loss rows, counted from the footers of the Parquet files (a
+    Spark job that runs when this is called)."""
+    return partitions_for(spark, read_table(spark, d, "lineitem").count())
+
+
+def loss(spark: SparkSession, d: str, partitions: int | None = None) -> DataFrame:
+    """Operational loss: one line item = one policy-period x coverage x earned-month row;
+    with ``partitions``, dealt by period into so many tasks."""
     li = read_table(spark, d, "lineitem")
+    if partitions is not None:
+        li = li.repartition(partitions, "l_orderkey")
     o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     inc = money(F.col("l_extendedprice") * F.col("l_discount"), 4)
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
