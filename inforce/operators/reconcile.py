@@ -125,6 +125,7 @@ def update_from(
     cols: Mapping[str, float],
     null_safe: Sequence[str] = (),
     share: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``ALTER TABLE ADD COLUMN c DEFAULT d`` + ``UPDATE target FROM source``.
 
@@ -132,7 +133,8 @@ def update_from(
     its value, in proportion to ``share`` (a column of the target), or equally where
     there is none or it adds up to nothing: an update keeps the source's total. Keys
     listed in ``null_safe`` match NULL to NULL; rows without a source row get the
-    default."""
+    default. With ``partitions`` both sides are dealt by the keys into so many tasks
+    (see ``partitions_for``)."""
     # a window, an aggregation and a join on the same columns: NULL keys as a flag and
     # a stand-in, so that all three share one partitioning of each side
     types = {f.name: f.dataType for f in target.schema.fields}
@@ -144,7 +146,11 @@ def update_from(
         of_target += [flag.alias(f"_kf{i}"), value.alias(f"_kv{i}")] if k in null_safe else [plain.alias(f"_kv{i}")]
         flag, value = null_safe_parts(F.col(k).cast(types[k]), types[k])
         of_source += [flag.alias(f"_kf{i}"), value.alias(f"_kv{i}")] if k in null_safe else [plain.cast(types[k]).alias(f"_kv{i}")]
-    src = source.select(*of_source, *cols).groupBy(*names).agg(*[exact_sum(c).alias(f"_src_{c}") for c in cols])
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df if partitions is None else df.repartition(partitions, *names)
+
+    src = dealt(source.select(*of_source, *cols)).groupBy(*names).agg(*[exact_sum(c).alias(f"_src_{c}") for c in cols])
     w = Window.partitionBy(*names)
     equal = F.lit(1.0) / F.count(F.lit(1)).over(w)
     if share is None:
@@ -152,7 +158,7 @@ def update_from(
     else:
         whole = F.sum(share).over(w).cast("double")
         part = F.when(F.coalesce(whole, F.lit(0.0)) == 0, equal).otherwise(F.coalesce(F.col(share).cast("double"), F.lit(0.0)) / whole)
-    j = target.select("*", *of_target).withColumn("_part", part).join(src, names, "left")
+    j = dealt(target.select("*", *of_target)).withColumn("_part", part).join(src, names, "left")
     kept = [F.col(c) for c in target.columns if c not in cols]
     return j.select(*kept, *[F.coalesce(F.col(f"_src_{c}") * F.col("_part"), F.lit(default)).alias(c) for c, default in cols.items()])
 

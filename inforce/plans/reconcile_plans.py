@@ -86,9 +86,10 @@ def _sql(body, extra):
     return S.with_ctes(["loss"], body, extra)
 
 
-def alloc(spark, d, digits=None):
+def alloc(spark, d, digits=None, partitions=None):
     """The allocation; every sort and aggregation by period keeps the loss rows' tasks."""
-    return R.allocate_prediction(ulm_loss(spark, d, S.loss_partitions(spark, d)), model_period(spark, d), digits=digits)
+    partitions = S.loss_partitions(spark, d) if partitions is None else partitions
+    return R.allocate_prediction(ulm_loss(spark, d, partitions), model_period(spark, d), digits=digits)
 
 
 _ADJ = [f"adj_{c}_pp" for c in R.MODEL_COVERAGES] + ["adj_ttl_pp"]
@@ -167,8 +168,9 @@ FROM (
     ),
 )
 def w18_update_from(spark, d):
-    target = ulm_loss(spark, d)
-    upd = R.update_from(target, alloc(spark, d), _KEYS, {c: 0.0 for c in _ADJ}, null_safe=["pol_prd_id"], share="ee")
+    n = S.loss_partitions(spark, d)
+    target, source = ulm_loss(spark, d, n), alloc(spark, d, partitions=n)
+    upd = R.update_from(target, source, _KEYS, {c: 0.0 for c in _ADJ}, null_safe=["pol_prd_id"], share="ee", partitions=n)
     return finalize(upd.select(*_KEYS, "ee", *[round_half_up(c, 4).alias(c) for c in _ADJ]))
 
 

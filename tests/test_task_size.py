@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from inforce.operators import common as C
+from inforce.operators import reconcile as R
 from inforce.plans import reconcile_plans as RP
 from inforce.sources import staging as S
 
@@ -25,3 +26,12 @@ def test_allocation_is_dealt_by_rows(spark, monkeypatch):
     rows = S.loss(spark, SF).count()
     assert S.loss_partitions(spark, SF) == -(-rows // 500)
     assert most_rows_of_a_task(RP.alloc(spark, SF)) < 1000
+
+
+def test_joined_update_is_dealt_by_rows(spark):
+    target = spark.createDataFrame([(str(i), i % 5 or None, float(i)) for i in range(3000)], "k string, m int, ee double")
+    source = target.select("k", "m", (F.col("ee") * 2).alias("v"))
+    plain = R.update_from(target, source, ["k", "m"], {"v": 0.0}, null_safe=["m"], share="ee")
+    dealt = R.update_from(target, source, ["k", "m"], {"v": 0.0}, null_safe=["m"], share="ee", partitions=9)
+    assert sorted(dealt.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert most_rows_of_a_task(dealt) < 600
