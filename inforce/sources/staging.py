@@ -466,5 +466,8 @@ def renewal_terms(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("pol_id").cast("bigint")
     newest = F.max_by("prem", F.struct("pol_eff_dt", "pol_prd_id"))
     last = t.groupBy(F.col("pol_id").alias("replaced_id")).agg(newest.alias("replaced_prem"))
-    t = t.withColumn("replaced_id", F.when(k % 4 == 1, (k - 1).cast("string"))).join(last, "replaced_id", "left")
+    # terms that replaced nothing get a stand-in that matches no policy and differs from
+    # term to term: as NULL they would all go to one task of the join
+    none = F.concat(F.lit("none "), F.coalesce(F.col("pol_prd_id").cast("string"), F.lit("")))
+    t = t.withColumn("replaced_id", F.when(k % 4 == 1, (k - 1).cast("string")).otherwise(none)).join(last, "replaced_id", "left")
     return t.withColumn("new_rnw_cd", F.when(F.col("replaced_prem").isNotNull(), "R").otherwise(F.col("new_rnw_cd"))).drop("replaced_id")

@@ -35,3 +35,15 @@ def test_joined_update_is_dealt_by_rows(spark):
     dealt = R.update_from(target, source, ["k", "m"], {"v": 0.0}, null_safe=["m"], share="ee", partitions=9)
     assert sorted(dealt.collect(), key=str) == sorted(plain.collect(), key=str)
     assert most_rows_of_a_task(dealt) < 600
+
+
+def test_terms_that_replaced_nothing_are_spread(spark):
+    # three of four policies replaced none
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t = S.renewal_terms(spark, SF)
+        assert most_rows_of_a_task(t) < t.count() / 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
