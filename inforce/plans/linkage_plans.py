@@ -36,7 +36,7 @@ def crosswalk(spark, d, keep=()):
     removed = SEL.credit_removed(eligible, keep=keep, bucket=F.year("pol_eff_dt")).filter(F.col("acct_cr_ind") == 0)
     home = LN.home_policy(spark, d).withColumn("orig_qte_cntct_meth_cd", contact_method("pol_prd_id"))
     # both directions read the linked quotes: joined once, written when this is called
-    pairs = written(LK.quote_pairs(LN.auto_quotes(spark, d), LN.party_link_rows(spark, d), LN.home_quotes(spark, d)), "quote-pairs")
+    pairs = written(LK.quote_pairs(LN.auto_quotes(spark, d), LN.party_link_rows(spark, d, S.loss_partitions(spark, d)), LN.home_quotes(spark, d)), "quote-pairs")
     a2h = LK.crosswalk_from_pairs(pairs, removed, home.filter(F.col("pol_status_cd") == "InForce"), "auto", "home", ("Auto", "Home"), keep)
     h2a = LK.crosswalk_from_pairs(pairs, home.filter(F.col("acct_cr_ind") == "N"), auto_inforce_now(spark, d), "home", "auto", ("Home", "Auto"), keep)
     return a2h.unionByName(h2a)

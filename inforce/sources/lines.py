@@ -96,9 +96,12 @@ def home_quotes(spark: SparkSession, d: str) -> DataFrame:
 HOME_QUOTES_SQL = "home_quotes AS (SELECT pol_prd_id AS qcn, pol_id, pol_eff_dt - 30 AS qte_dt FROM home_policy)"
 
 
-def party_link_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Linked quotes as they come, with repeats."""
+def party_link_rows(spark: SparkSession, d: str, partitions: int | None = None) -> DataFrame:
+    """Linked quotes as they come, with repeats; with ``partitions``, dealt by the auto
+    quote into so many tasks."""
     li = read_table(spark, d, "lineitem")
+    if partitions is not None:
+        li = li.repartition(partitions, "l_orderkey")
     return li.select(F.col("l_orderkey").alias("auto_qcn"), F.col("l_suppkey").alias("home_qcn"))
 
 

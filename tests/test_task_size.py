@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from inforce.operators import common as C
 from inforce.operators import reconcile as R
+from inforce.plans import linkage_plans as LP
 from inforce.plans import reconcile_plans as RP
 from inforce.sources import staging as S
 
@@ -47,3 +48,16 @@ def test_terms_that_replaced_nothing_are_spread(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_linked_quotes_are_dealt_by_rows(spark, monkeypatch):
+    most = []
+
+    def spy(df, name):
+        most.append(most_rows_of_a_task(df))
+        return df
+
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 500)
+    monkeypatch.setattr(LP, "written", spy)
+    LP.crosswalk(spark, SF)
+    assert most and max(most) < 1000
