@@ -106,10 +106,11 @@ def w18_stored_update(spark, d):
     table = StoredTable(spark, scratch_path(spark, "ulm-loss"), "year_earned")
     table.insert(RP.ulm_loss(spark, d).withColumn("year_earned", F.substring("earned_month", 1, 4)))
     table.add_columns({c: F.lit(0.0) for c in RP._ADJ})
-    source = written(RP.alloc(spark, d).select(*RP._KEYS, *RP._ADJ), "allocation")
+    n = S.loss_partitions(spark, d)
+    source = written(RP.alloc(spark, d, partitions=n).select(*RP._KEYS, *RP._ADJ), "allocation")
 
     def change(rows, src):
-        return R.update_from(rows, src, RP._KEYS, {c: 0.0 for c in RP._ADJ}, null_safe=["pol_prd_id"], share="ee")
+        return R.update_from(rows, src, RP._KEYS, {c: 0.0 for c in RP._ADJ}, null_safe=["pol_prd_id"], share="ee", partitions=n)
 
     table.update_from(source, RP._KEYS, change)
     return finalize(table.read().select(*RP._KEYS, "ee", *[round_half_up(c, 4).alias(c) for c in RP._ADJ]))

@@ -198,7 +198,7 @@ class StoredTable:
         """``UPDATE ... FROM``: ``change(rows, source)`` on the partitions in which a
         row's keys (NULL equals NULL) occur in the source."""
         names = [f"_s{i}" for i in range(len(keys))]
-        ids = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).distinct()
+        ids = source.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])  # a semi join: repeats change nothing
         on = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
         return self._rewrite(lambda df: df.join(ids, on, "left_semi"), lambda df: change(df, source))
 

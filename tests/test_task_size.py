@@ -61,3 +61,20 @@ def test_linked_quotes_are_dealt_by_rows(spark, monkeypatch):
     monkeypatch.setattr(LP, "written", spy)
     LP.crosswalk(spark, SF)
     assert most and max(most) < 1000
+
+
+def test_stored_update_with_repeated_source_keys(spark, tmp_path):
+    from inforce.sources.stored import StoredTable
+
+    table = StoredTable(spark, str(tmp_path / "t"), "part")
+    table.insert(spark.createDataFrame([("a", 1, "x"), ("b", 1, "x"), (None, 1, "y"), ("c", 1, "z")], "k string, v int, part string"))
+    source = spark.createDataFrame([("a",), ("a",), (None,), (None,)], "k string")
+    seen = []
+
+    def change(rows, src):
+        seen.extend(r.part for r in rows.select("part").distinct().collect())
+        return rows.withColumn("v", F.lit(2))
+
+    table.update_from(source, ["k"], change)
+    assert sorted(seen) == ["x", "y"]
+    assert sorted((r.k or "", r.v) for r in table.read().collect()) == [("", 2), ("a", 2), ("b", 2), ("c", 1)]
