@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from inforce.operators import common as C
 from inforce.operators import reconcile as R
+from inforce.plans import QUERIES
 from inforce.plans import linkage_plans as LP
 from inforce.plans import reconcile_plans as RP
 from inforce.sources import staging as S
@@ -29,6 +30,11 @@ def test_allocation_is_dealt_by_rows(spark, monkeypatch):
     assert most_rows_of_a_task(RP.alloc(spark, SF)) < 1000
 
 
+def test_rounded_allocation_is_dealt_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 500)
+    assert most_rows_of_a_task(QUERIES["w16_allocation_rounded"](spark, SF)) < 1000
+
+
 def test_joined_update_is_dealt_by_rows(spark):
     target = spark.createDataFrame([(str(i), i % 5 or None, float(i)) for i in range(3000)], "k string, m int, ee double")
     source = target.select("k", "m", (F.col("ee") * 2).alias("v"))
