@@ -437,6 +437,24 @@ def test_lm_scores(docs, none, rows):
     assert lm_scores(none, WORD, column).count() == 0
 
 
+def test_distinct_words_are_encoded_past_the_table():
+    odd = ["", "word", "word.", "word,", "Über", "straße,", "İstanbul", "e\u0301t\u00e9", "don't", "x1", ".", ",", "..", "日本語", "日本語.", "ﬁn", "<unk>", "a\u00a0b", "\ufffd", "ſ", "q" * 300, "ÀÉ.", "\u0250a", "ǅ"]
+    made = ["".join(x) for x in np.random.default_rng(4).choice(list("abcdéñß.,'1Z"), (3000, 5))]
+    enc = LM.Encoder(WORD)
+    for words_ in (odd, made, odd[:1], ["plain"]):
+        flat, ends = LM.word_ids(enc, [w.encode("utf-8") for w in words_])
+        want = [enc.tok.encode(w, add_special_tokens=False).ids for w in words_]
+        assert [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == want and flat.size == ends[-1]
+    assert len(enc.at) == 0
+
+
+def test_distinct_hashes_as_numpy_finds_them():
+    rng = np.random.default_rng(5)
+    for h in (rng.integers(0, 1 << 63, 500).astype(np.uint64)[rng.integers(0, 500, 4000)] * np.uint64(2), np.zeros(0, dtype=np.uint64), np.full(3, (1 << 64) - 1, dtype=np.uint64)):
+        for got, want in zip(LM._distinct(h), np.unique(h, return_index=True, return_inverse=True), strict=True):
+            assert got.tolist() == want.tolist()
+
+
 def test_rounds_read_every_training_document_once(docs, rows, monkeypatch):
     read, real = [], LM.averaged_round
     monkeypatch.setattr(LM, "averaged_round", lambda part, *rest: read.extend(r.doc_id for r in part.select("doc_id").collect()) or real(part, *rest))
